@@ -763,3 +763,62 @@ def q_alias_resolve(spark, sf):
 @query("head_n", "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 10")
 def q_head_n(spark, sf):
     return V.load(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal").orderBy("c_custkey").limit(10)
+
+
+# ================================================================ model fit and scoring
+
+DOC_SPEC = FeatureSpec(
+    num_features=("n_chars",),
+    cat_features=("lang", "source"),
+    target="quality_label",
+    id_columns=("doc_id",),
+)
+# Query-level settings: a lighter model than the library default so the query runs in seconds.
+QUERY_BOOST = dict(max_iter=20, max_depth=5)
+DOC_LABELS = {"High": "keep", "Low": "drop"}
+
+
+def _labeled_docs(spark, sf):
+    labels = V.load(spark, sf, "labels")
+    docs = V.load(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    label = F.when(F.col("quality") == 1, F.lit("High")).otherwise(F.lit("Low"))
+    return docs, labels.join(docs, "doc_id").select("doc_id", "lang", "source", "n_chars", label.alias("quality_label"))
+
+
+def _fit_docs(spark, sf):
+    from tabula.operators import train
+
+    docs, labeled = _labeled_docs(spark, sf)
+    flagged = split.exact_split(labeled, "doc_id", TEST_RATIO, SEED)
+    tr, te = split.train_test(flagged)
+    model = train.fit(tr, DOC_SPEC, train.BoostParams(**QUERY_BOOST))
+    return train, model, docs, tr, te
+
+
+@query("gbt_score", None)
+def q_gbt_score(spark, sf):
+    """Fit on the labeled training split, batch-score every document (one row each)."""
+    train, model, docs, tr, _ = _fit_docs(spark, sf)
+    contract_ = train.input_contract(tr, DOC_SPEC)
+    return train.score(model, docs, DOC_SPEC, contract=contract_, keep=["doc_id"], labels=DOC_LABELS)
+
+
+@query("gbt_metrics", None)
+def q_gbt_metrics(spark, sf):
+    """Fit, score the test split, and report the long metric rows."""
+    train, model, _, tr, te = _fit_docs(spark, sf)
+    scored = train.score(model, te, DOC_SPEC, keep=["doc_id", "quality_label"], out="predicted")
+    m = evaluate.metrics_long(scored, "quality_label", "predicted", "High")
+    return m.select("key", r6("value").alias("value"))
+
+
+@query(
+    "batch_function",
+    "SELECT doc_id, lang, CASE WHEN n_chars >= 1000 THEN 'Room Reserved' ELSE 'Room Not Reserved' END AS prediction FROM documents",
+)
+def q_batch_function(spark, sf):
+    from tabula.operators.batch import ModelWrapper, ThresholdModel, score_batches
+
+    wrapper = ModelWrapper(ThresholdModel("n_chars", 1000, "Not_Canceled", "Canceled"), decode.PREDICTION_LABELS)
+    docs = V.load(spark, sf, "documents")
+    return score_batches(docs, wrapper, inputs=["n_chars"], keep=["doc_id", "lang"])
