@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.hashing import hash_fraction, hashed_key60
-from tabula.operators.select import kth_smallest
+from tabula.operators.select import count_values, kth_smallest
 
 _HELPERS = ("_h", "_x", "_m")
 
@@ -35,15 +35,24 @@ def hash_split(df: DataFrame, id_col: str, ratio: float = 0.2, seed: int = 42, o
     return df.withColumn(out, hash_fraction(_key(id_col), seed) < F.lit(bound))
 
 
-def first_n_by_hash(df: DataFrame, id_col: str, n: int, seed: int = 42, out: str = "is_test") -> DataFrame:
-    """Flag exactly ``n`` rows: the first ``n`` in seeded-hash order of ``id_col``."""
+def first_n_by_hash(
+    df: DataFrame, id_col: str, n: int | None = None, seed: int = 42, out: str = "is_test", ratio: float | None = None
+) -> DataFrame:
+    """Flag exactly ``n`` rows (or ``ceil(ratio * rows)``): the first in seeded-hash order of ``id_col``.
+
+    One pass gives the row count and the hash range; the threshold search then reads
+    only the hashed key.
+    """
     data_cols = list(df.columns)
     keyed = df.withColumn("_h", hashed_key60(_key(id_col), seed))
-    total = keyed.count()
+    stats = count_values(keyed, "_h")  # the hash is never null, so this counts every row
+    total = stats[0]
+    if n is None:
+        n = test_size(total, ratio)
     if n <= 0 or n >= total:
         return df.withColumn(out, F.lit(n >= total and total > 0))
     h = F.col("_h")
-    r1 = kth_smallest(keyed, "_h", n)
+    r1 = kth_smallest(keyed, "_h", n, stats=stats)
     left = n - r1.n_less
     if left == r1.n_equal:
         return keyed.withColumn(out, h <= F.lit(r1.value)).drop(*_HELPERS)
@@ -77,8 +86,7 @@ def test_size(n: int, ratio: float) -> int:
 
 def exact_split(df: DataFrame, id_col: str, ratio: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
     """Flag exactly ``ceil(n * ratio)`` rows as test, deterministically from the key."""
-    n = df.count()
-    return first_n_by_hash(df, id_col, test_size(n, ratio), seed, out)
+    return first_n_by_hash(df, id_col, None, seed, out, ratio=ratio)
 
 
 def exact_sample(df: DataFrame, id_col: str, frac: float, seed: int = 42) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import (
@@ -98,7 +99,13 @@ def build_pipeline(spec: FeatureSpec, params: BoostParams = BoostParams(), missi
 def fit(train: DataFrame, spec: FeatureSpec, params: BoostParams = BoostParams(), missing_flags: bool = True) -> PipelineModel:
     """Fit on the training frame; returns a model whose last stage names the class."""
     require_columns(train, [*spec.inputs, spec.target])
-    model = build_pipeline(spec, params, missing_flags).fit(train.select(*spec.inputs, spec.target))
+    # Every stage fit and every boosting round reads the input: keep it (spillable,
+    # recomputed from lineage if an executor is lost) instead of re-running upstream.
+    data = train.select(*spec.inputs, spec.target).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = build_pipeline(spec, params, missing_flags).fit(data)
+    finally:
+        data.unpersist()
     labels = model.stages[1].labels
     decode = IndexToString(inputCol=PREDICTION, outputCol=PREDICTED, labels=labels)
     return PipelineModel(stages=[*model.stages, decode])

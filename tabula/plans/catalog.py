@@ -255,9 +255,7 @@ ORDERS_SPEC = FeatureSpec(
 
 def _orders_raw(spark, sf) -> DataFrame:
     """orders in the shape of a raw text extract: dirty price, text month."""
-    d = V.dirty_orders(spark, sf)
-    o = V.load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return d.join(o, "o_orderkey").select(
+    return V.dirty_orders(spark, sf).select(
         "o_orderkey",
         "o_orderpriority",
         "o_orderstatus",
@@ -275,11 +273,11 @@ def _preprocessed(spark, sf) -> DataFrame:
 PREPROCESS_SQL = _with(
     V.DIRTY_ORDERS_SQL,
     f"""pre AS (
-  SELECT o.o_orderpriority, {V.sql_to_number('d.price_text')} AS price, CAST(o.o_custkey AS DOUBLE) AS o_custkey,
-    CAST(month(o.o_orderdate) AS DOUBLE) AS order_month, o.o_orderstatus, CAST(o.o_orderkey AS VARCHAR) AS o_orderkey,
-    round(sin(2.0 * pi() * month(o.o_orderdate) / 12.0), 6) + 0.0 AS month_as_sin,
-    round(cos(2.0 * pi() * month(o.o_orderdate) / 12.0), 6) + 0.0 AS month_as_cos
-  FROM orders o JOIN dirty_orders d ON o.o_orderkey = d.o_orderkey)""",
+  SELECT o_orderpriority, {V.sql_to_number('price_text')} AS price, CAST(o_custkey AS DOUBLE) AS o_custkey,
+    CAST(month(o_orderdate) AS DOUBLE) AS order_month, o_orderstatus, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+    round(sin(2.0 * pi() * month(o_orderdate) / 12.0), 6) + 0.0 AS month_as_sin,
+    round(cos(2.0 * pi() * month(o_orderdate) / 12.0), 6) + 0.0 AS month_as_cos
+  FROM dirty_orders)""",
 )
 
 

@@ -56,13 +56,14 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey",
         "o_orderstatus",
         "o_orderdate",
+        "o_orderpriority",
         price_text.alias("price_text"),
         priority_text.alias("priority_text"),
     )
 
 
 DIRTY_ORDERS_SQL = """dirty_orders AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
     CASE WHEN o_orderkey % 7 = 0 THEN NULL
          WHEN o_orderkey % 11 = 0 THEN 'n/a'
          WHEN o_orderkey % 13 = 0 THEN '1d'

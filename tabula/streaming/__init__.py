@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The pipeline this library rebuilds has no streaming input, time windows, late data or
+per-key state, so no streaming operator is provided. The batch operators are plain
+DataFrame functions and apply unchanged to a streaming DataFrame where Spark allows it
+(projections, coercion, encoders, map-only splits, ``PipelineModel.transform``).
+"""
