@@ -257,3 +257,150 @@ def run_inputs(inputs: DataFrame, datasets: DataFrame, run_id: str) -> DataFrame
         .join(datasets, inputs["dataset_digest"] == datasets["digest"], "inner")
         .drop("dataset_digest")
     )
+
+
+# ---------------------------------------------------------------- table-backed store
+
+
+def relative_bound_ms(seconds_ago: float, now_s: float | None = None) -> int:
+    """Epoch-ms bound ``seconds_ago`` before now (a parameter for run searches)."""
+    import time
+
+    return int((time.time() if now_s is None else now_s) - seconds_ago) * 1000
+
+
+_STORE_TABLES = {
+    "runs": "run_id string, experiment_id string, run_name string, status string, start_time bigint, "
+    "end_time bigint, artifact_uri string, lifecycle_stage string, updated bigint",
+    "metrics": "run_id string, key string, ts bigint, value double, step bigint",
+    "params": "run_id string, key string, value string",
+    "tags": "run_id string, key string, value string, ts bigint",
+    "inputs": "run_id string, dataset_digest string, context string",
+    "datasets": "digest string, name string, source_type string, source string, schema string, "
+    "num_rows bigint, num_elements bigint",
+    "model_versions": "name string, version bigint, run_id string, source string, created bigint, status string, "
+    "tags map<string,string>",
+    "model_aliases": "name string, alias string, version bigint, ts bigint",
+}
+
+
+class RunStore:
+    """Run log and model registry kept as append-only tables in one database.
+
+    Current state (run status, tag values, alias targets) is read back with
+    ``upsert_latest`` over the appended rows, so writers never rewrite a table.
+    """
+
+    def __init__(self, spark, database: str = "runlog", fmt: str = "parquet") -> None:
+        self.spark, self.db, self.fmt = spark, database, fmt
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name, ddl in _STORE_TABLES.items():
+            if not spark.catalog.tableExists(self._name(name)):
+                spark.createDataFrame([], ddl).write.format(fmt).saveAsTable(self._name(name))
+
+    def _name(self, table: str) -> str:
+        return f"{self.db}.{table}"
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(self._name(name))
+
+    def _append(self, name: str, df: DataFrame) -> None:
+        target = self.table(name)
+        df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.mode("append").format(
+            self.fmt
+        ).saveAsTable(self._name(name))
+
+    @staticmethod
+    def _now() -> int:
+        import time
+
+        return int(time.time() * 1000)
+
+    # runs ------------------------------------------------------------
+    def start_run(self, experiment_id: str, run_name: str, parent_run_id: str | None = None,
+                  artifact_root: str = "") -> str:
+        import uuid
+
+        run_id = uuid.uuid4().hex
+        now = self._now()
+        row = [(run_id, experiment_id, run_name, "RUNNING", now, None, f"{artifact_root}/{run_id}/artifacts", "active", now)]
+        self._append("runs", self.spark.createDataFrame(row, _STORE_TABLES["runs"]))
+        if parent_run_id:
+            self.set_tags(run_id, {"mlflow.parentRunId": parent_run_id})
+        return run_id
+
+    def end_run(self, run_id: str, status: str = "FINISHED") -> None:
+        cur = self.runs().where(F.col("run_id") == run_id)
+        now = self._now()
+        self._append(
+            "runs",
+            cur.withColumn("status", F.lit(status)).withColumn("end_time", F.lit(now)).withColumn("updated", F.lit(now)),
+        )
+
+    def runs(self) -> DataFrame:
+        """Current state of every run."""
+        return upsert_latest(self.table("runs"), ["run_id"], "updated", tiebreak=["status"])
+
+    # metrics / params / tags -----------------------------------------
+    def log_metrics(self, run_id: str, metrics, step: int = 0) -> None:
+        """``metrics``: a dict or a DataFrame of (key, value) rows."""
+        now = self._now()
+        if isinstance(metrics, dict):
+            metrics = self.spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "key string, value double")
+        rows = metrics.select(F.lit(run_id).alias("run_id"), "key", F.lit(now).alias("ts"), "value",
+                              F.lit(step).cast("long").alias("step"))
+        self._append("metrics", rows)
+
+    def log_params(self, run_id: str, params: dict) -> None:
+        new = self.spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()], _STORE_TABLES["params"])
+        self._append("params", params_to_append(self.table("params"), new))
+
+    def set_tags(self, run_id: str, tags: dict) -> None:
+        now = self._now()
+        rows = [(run_id, k, str(v), now) for k, v in tags.items()]
+        self._append("tags", self.spark.createDataFrame(rows, _STORE_TABLES["tags"]))
+
+    def tags(self) -> DataFrame:
+        return upsert_latest(self.table("tags"), ["run_id", "key"], "ts", tiebreak=["value"]).drop("ts")
+
+    def run_data(self, run_id: str) -> dict:
+        """{'metrics': {...}, 'params': {...}, 'tags': {...}} of one run (bounded by its key count)."""
+        pick = lambda df: df.where(F.col("run_id") == run_id)
+        m = {r.key: r.value for r in latest_metrics(pick(self.table("metrics"))).collect()}
+        p = {r.key: r.value for r in pick(self.table("params")).collect()}
+        t = {r.key: r.value for r in pick(self.tags()).collect()}
+        return {"metrics": m, "params": p, "tags": t}
+
+    def log_input(self, run_id: str, profile_row, digest: str, context: str, source: str = "table") -> None:
+        ds = [(digest, profile_row["name"], source, profile_row["name"], profile_row["schema"], profile_row["num_rows"],
+               profile_row["num_elements"])]
+        known = self.table("datasets").where(F.col("digest") == digest).limit(1).count()
+        if not known:
+            self._append("datasets", self.spark.createDataFrame(ds, _STORE_TABLES["datasets"]))
+        self._append("inputs", self.spark.createDataFrame([(run_id, digest, context)], _STORE_TABLES["inputs"]))
+
+    # registry --------------------------------------------------------
+    def register_model(self, name: str, run_id: str, source: str, tags: dict | None = None) -> int:
+        """Append the next version of ``name`` and return its number."""
+        regs = self.spark.createDataFrame([(name, run_id, source, self._now())],
+                                          "name string, run_id string, source string, created bigint")
+        existing = self.table("model_versions").where(F.col("name") == name)
+        top = existing.agg(F.max("version")).first()[0] or 0
+        row = regs.select("name", F.lit(top + 1).cast("long").alias("version"), "run_id", "source", "created",
+                          F.lit("READY").alias("status"),
+                          F.create_map(*[F.lit(x) for kv in (tags or {}).items() for x in (kv[0], str(kv[1]))])
+                          .cast("map<string,string>").alias("tags"))
+        self._append("model_versions", row)
+        return top + 1
+
+    def set_alias(self, name: str, alias: str, version: int) -> None:
+        check_alias(alias)
+        row = [(name, alias, int(version), self._now())]
+        self._append("model_aliases", self.spark.createDataFrame(row, _STORE_TABLES["model_aliases"]))
+
+    def resolve(self, name: str, alias: str):
+        """The model-version row an alias points to (raises when absent)."""
+        got = resolve_alias(self.table("model_aliases"), self.table("model_versions"), name, alias).first()
+        if got is None:
+            raise KeyError(f"{name}@{alias}")
+        return got

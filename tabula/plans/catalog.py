@@ -513,17 +513,21 @@ def q_dataset_digest(spark, sf):
 
 # ================================================================ snapshots (K8, K9)
 
-SNAPSHOT_SQL = """old_s AS (
+CHURN_CUTOFF = "2000-07-01 00:00:00"
+SNAPSHOT_SQL = f"""old_s AS (
   SELECT c_custkey, CASE WHEN c_custkey % 10 = 5 THEN NULL ELSE c_name END AS c_name, c_nationkey, c_acctbal, c_mktsegment
   FROM customer),
 new_s AS (
   SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 10 = 2 THEN c_acctbal + 100.0 ELSE c_acctbal END AS c_acctbal,
-    c_mktsegment FROM old_s WHERE c_custkey % 10 <> 1
+    c_mktsegment FROM old_s
+  WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '{CHURN_CUTOFF}')
   UNION ALL
-  SELECT c_custkey + 10000000, c_name, c_nationkey, c_acctbal, c_mktsegment FROM old_s WHERE c_custkey % 10 = 3)"""
+  SELECT s_suppkey + 10000000, s_name, s_nationkey, s_acctbal, 'SUPPLIER' FROM supplier)"""
 
 
 def _snapshots(spark, sf):
+    """Old snapshot: customers. New one: customers still ordering since the cutoff (the rest
+    churned), some balances changed, and suppliers onboarded as new customers."""
     c = V.load(spark, sf, "customer")
     k = F.col("c_custkey")
     old = c.select(
@@ -533,10 +537,22 @@ def _snapshots(spark, sf):
         "c_acctbal",
         "c_mktsegment",
     )
-    kept = old.where(k % 10 != 1).withColumn(
+    active = (
+        V.load(spark, sf, "orders")
+        .where(F.col("o_orderdate") >= F.expr(f"TIMESTAMP_NTZ'{CHURN_CUTOFF}'"))
+        .select(F.col("o_custkey").alias("c_custkey"))
+        .distinct()
+    )
+    kept = old.join(active, "c_custkey", "left_semi").withColumn(
         "c_acctbal", F.when(k % 10 == 2, F.col("c_acctbal") + F.lit(100.0)).otherwise(F.col("c_acctbal"))
     )
-    added = old.where(k % 10 == 3).withColumn("c_custkey", k + F.lit(10_000_000))
+    added = V.load(spark, sf, "supplier").select(
+        (F.col("s_suppkey") + F.lit(10_000_000)).alias("c_custkey"),
+        F.col("s_name").alias("c_name"),
+        F.col("s_nationkey").alias("c_nationkey"),
+        F.col("s_acctbal").alias("c_acctbal"),
+        F.lit("SUPPLIER").alias("c_mktsegment"),
+    )
     return old, kept.unionByName(added)
 
 
