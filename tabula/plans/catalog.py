@@ -399,13 +399,12 @@ def q_accuracy(spark, sf):
     )
 
 
-CLASS_SQL = """counts AS (
-  SELECT c AS class,
-    sum(CASE WHEN label = c AND prediction = c THEN 1 ELSE 0 END) AS tp,
-    sum(CASE WHEN label <> c AND prediction = c THEN 1 ELSE 0 END) AS fp,
-    sum(CASE WHEN label = c AND prediction <> c THEN 1 ELSE 0 END) AS fn
-  FROM scored, (SELECT label AS c FROM scored UNION SELECT prediction FROM scored) cls
-  GROUP BY c),
+CLASS_SQL = """sides AS (
+  SELECT label AS class, CASE WHEN label = prediction THEN 1 ELSE 0 END AS tp, 0 AS fp,
+    CASE WHEN label = prediction THEN 0 ELSE 1 END AS fn FROM scored
+  UNION ALL
+  SELECT prediction, 0, 1, 0 FROM scored WHERE label <> prediction),
+counts AS (SELECT class, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM sides GROUP BY class),
 per_class AS (
   SELECT class,
     coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision,
