@@ -25,11 +25,15 @@ _EXACT_SPAN = 2**53
 
 @dataclass(frozen=True)
 class Rank:
-    """The k-th smallest value, and how many rows lie strictly below / equal to it."""
+    """The k-th smallest value, how many rows lie strictly below / equal to it, the
+    rank that was resolved, and the number of non-null values. ``value`` is None when
+    the resolved rank falls outside 1..total."""
 
     value: object
     n_less: int
     n_equal: int
+    k: int = 0
+    total: int = 0
 
 
 def _values(df: DataFrame, col: str) -> DataFrame:
@@ -45,55 +49,78 @@ def count_values(df: DataFrame, col: str) -> tuple[int, object, object]:
     return int(row[0]), row[1], row[2]
 
 
+def _histogram(part: DataFrame, lo, hi, fanout: int, integral: bool) -> list:
+    """count/min/max per equal-width bucket of [lo, hi] (monotone bucket function)."""
+    if integral and hi - lo < _EXACT_SPAN:
+        offset = (F.col("_v") - F.lit(lo)).cast("double")
+        width = (hi - lo) / fanout
+    else:
+        offset = F.col("_v").cast("double") - F.lit(float(lo))
+        width = float(hi) / fanout - float(lo) / fanout
+    if not (width > 0 and math.isfinite(width)):
+        width = math.ulp(float(lo))
+    bucket = F.least(F.floor(offset / F.lit(width)), F.lit(fanout - 1)).cast("int")
+    return sorted(
+        part.groupBy(bucket.alias("_b"))
+        .agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        .collect()
+    )
+
+
 def kth_smallest(
     df: DataFrame,
     col: str,
-    k: int,
+    k,
     *,
     fanout: int = 1024,
     max_collect: int = 50_000,
     stats: tuple[int, object, object] | None = None,
+    bounds: tuple | None = None,
 ) -> Rank:
-    """Exact k-th smallest (1-based) non-null value of a numeric column."""
-    n, lo, hi = stats if stats is not None else count_values(df, col)
-    if not 1 <= k <= n:
-        raise ValueError(f"rank {k} outside 1..{n}")
+    """Exact k-th smallest (1-based) non-null value of a numeric column.
+
+    ``k`` may be a function of the row count; with known value ``bounds`` (lo, hi)
+    the first histogram pass also counts the rows, so no separate count is needed.
+    """
     values = _values(df, col)
     integral = not isinstance(df.schema[col].dataType, _FRACTIONAL)
+    buckets = None
+    if stats is not None:
+        n, lo, hi = stats
+    elif bounds is not None:
+        lo, hi = bounds
+        buckets = _histogram(values, lo, hi, fanout, integral)
+        n = sum(int(b["n"]) for b in buckets)
+    else:
+        n, lo, hi = count_values(df, col)
+    k = int(k(n)) if callable(k) else int(k)
+    if not 1 <= k <= n:
+        if stats is None and bounds is None:
+            raise ValueError(f"rank {k} outside 1..{n}")
+        return Rank(None, min(max(k, 0), n), 0, k, n)
     below = 0  # rows strictly below the current range
     count = n
     rank = k
     while True:
-        if lo == hi:
-            return Rank(lo, below, count)
-        part = values.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)))
-        if count <= max_collect:
-            vals = sorted(r[0] for r in part.collect())
-            v = vals[rank - 1]
-            first = bisect.bisect_left(vals, v)
-            return Rank(v, below + first, bisect.bisect_right(vals, v) - first)
-        if integral and hi - lo < _EXACT_SPAN:
-            offset = (F.col("_v") - F.lit(lo)).cast("double")
-            width = (hi - lo) / fanout
-        else:
-            offset = F.col("_v").cast("double") - F.lit(float(lo))
-            width = float(hi) / fanout - float(lo) / fanout
-        if not (width > 0 and math.isfinite(width)):
-            width = math.ulp(float(lo))
-        bucket = F.least(F.floor(offset / F.lit(width)), F.lit(fanout - 1)).cast("int")
-        buckets = sorted(
-            part.groupBy(bucket.alias("_b"))
-            .agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-            .collect()
-        )
+        if buckets is None:
+            if lo == hi:
+                return Rank(lo, below, count, k, n)
+            part = values.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)))
+            if count <= max_collect:
+                vals = sorted(r[0] for r in part.collect())
+                v = vals[rank - 1]
+                first = bisect.bisect_left(vals, v)
+                return Rank(v, below + first, bisect.bisect_right(vals, v) - first, k, n)
+            buckets = _histogram(part, lo, hi, fanout, integral)
         for b in buckets:
             if rank <= b["n"]:
-                if b["n"] == count and b["lo"] == lo and b["hi"] == hi:
+                if b["n"] == count and b["lo"] == lo and b["hi"] == hi and lo != hi:
                     raise RuntimeError("order statistic search made no progress")
                 lo, hi, count = b["lo"], b["hi"], int(b["n"])
                 break
             rank -= b["n"]
             below += b["n"]
+        buckets = None
 
 
 def exact_median(df: DataFrame, col: str, **kw) -> float | None:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.hashing import hash_fraction, hashed_key60
-from tabula.operators.select import count_values, kth_smallest
+from tabula.operators.select import kth_smallest
 
 _HELPERS = ("_h", "_x", "_m")
 
@@ -36,23 +36,26 @@ def hash_split(df: DataFrame, id_col: str, ratio: float = 0.2, seed: int = 42, o
 
 
 def first_n_by_hash(
-    df: DataFrame, id_col: str, n: int | None = None, seed: int = 42, out: str = "is_test", ratio: float | None = None
+    df: DataFrame, id_col: str, n: int | None = None, seed: int = 42, out: str = "is_test", ratio: float | None = None,
+    size_rule=None,
 ) -> DataFrame:
-    """Flag exactly ``n`` rows (or ``ceil(ratio * rows)``): the first in seeded-hash order of ``id_col``.
+    """Flag exactly ``n`` rows (or ``size_rule(rows)``, default ``ceil(ratio * rows)``):
+    the first rows in seeded-hash order of ``id_col``.
 
-    One pass gives the row count and the hash range; the threshold search then reads
-    only the hashed key.
+    The hash range is known (60 bits), so the first histogram pass over the hashed key
+    also counts the rows; the threshold search reads only that one column.
     """
     data_cols = list(df.columns)
     keyed = df.withColumn("_h", hashed_key60(_key(id_col), seed))
-    stats = count_values(keyed, "_h")  # the hash is never null, so this counts every row
-    total = stats[0]
-    if n is None:
-        n = test_size(total, ratio)
-    if n <= 0 or n >= total:
-        return df.withColumn(out, F.lit(n >= total and total > 0))
+    if n is not None:
+        rule = lambda total: n
+    else:
+        rule = size_rule or (lambda total: test_size(total, ratio))
     h = F.col("_h")
-    r1 = kth_smallest(keyed, "_h", n, stats=stats)
+    r1 = kth_smallest(keyed, "_h", rule, bounds=(0, 2**60 - 1), fanout=4096)
+    if r1.value is None:
+        return df.withColumn(out, F.lit(r1.k >= r1.total and r1.total > 0))
+    n = r1.k
     left = n - r1.n_less
     if left == r1.n_equal:
         return keyed.withColumn(out, h <= F.lit(r1.value)).drop(*_HELPERS)
@@ -91,8 +94,7 @@ def exact_split(df: DataFrame, id_col: str, ratio: float = 0.2, seed: int = 42,
 
 def exact_sample(df: DataFrame, id_col: str, frac: float, seed: int = 42) -> DataFrame:
     """Fixed-size sample without replacement: ``round(frac * n)`` rows."""
-    n = df.count()
-    flagged = first_n_by_hash(df, id_col, int(round(frac * n)), seed, out="_in_sample")
+    flagged = first_n_by_hash(df, id_col, None, seed, out="_in_sample", size_rule=lambda total: int(round(frac * total)))
     return flagged.where("_in_sample").drop("_in_sample")
 
 
