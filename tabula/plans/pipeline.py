@@ -20,11 +20,18 @@ from tabula.spec import FeatureSpec
 
 
 def prepare(raw: DataFrame, spec: FeatureSpec, database: str, month_col: str | None = None,
-            ratio: float = 0.2, seed: int = 42) -> tuple[str, str]:
+            ratio: float = 0.2, seed: int = 42, stage: bool = True) -> tuple[str, str]:
+    """Clean + split + publish. With ``stage`` the cleaned frame is written once as a
+    columnar staging table, so the split passes (id column only) and the two table
+    writes read Parquet instead of re-parsing the raw text each time."""
     spark = raw.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     pre = features.preprocess(raw, spec, month_col=month_col)
+    if stage:
+        staging = f"{database}.clean_stage"
+        tables.overwrite_table(pre, staging)
+        pre = spark.table(staging)
     flagged = split.exact_split(pre, spec.id_columns[0], ratio, seed)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     train_name, test_name = f"{database}.train_set", f"{database}.test_set"
     tables.publish_split(flagged, train_name, test_name)
     tables.enable_change_feed(spark, train_name, test_name)
