@@ -79,8 +79,8 @@ def q_coerce_json_field(spark, sf):
 @query(
     "null_tokens",
     _with(V.DIRTY_ORDERS_SQL, ORDERS_TOKENS_SQL)
-    + """SELECT o_orderstatus, count(*) AS n_rows, count_if(priority IS NULL) AS n_missing,
-  count_if(priority IS NULL AND priority_text IS NOT NULL) AS n_tokens
+    + """SELECT o_orderstatus, count(*) AS n_rows, CAST(count_if(priority IS NULL) AS BIGINT) AS n_missing,
+  CAST(count_if(priority IS NULL AND priority_text IS NOT NULL) AS BIGINT) AS n_tokens
 FROM tokens GROUP BY o_orderstatus""",
 )
 def q_null_tokens(spark, sf):
@@ -96,10 +96,10 @@ def q_null_tokens(spark, sf):
 @query(
     "null_counts",
     _with(V.DIRTY_ORDERS_SQL, ORDERS_TOKENS_SQL)
-    + f"""SELECT 'price' AS "column", count_if({V.sql_to_number('price_text')} IS NULL) AS n_missing FROM tokens
-UNION ALL SELECT 'priority', count_if(priority IS NULL) FROM tokens
-UNION ALL SELECT 'o_orderstatus', count_if(o_orderstatus IS NULL) FROM tokens
-UNION ALL SELECT 'o_orderdate', count_if(o_orderdate IS NULL) FROM tokens""",
+    + f"""SELECT 'price' AS "column", CAST(count_if({V.sql_to_number('price_text')} IS NULL) AS BIGINT) AS n_missing FROM tokens
+UNION ALL SELECT 'priority', CAST(count_if(priority IS NULL) AS BIGINT) FROM tokens
+UNION ALL SELECT 'o_orderstatus', CAST(count_if(o_orderstatus IS NULL) AS BIGINT) FROM tokens
+UNION ALL SELECT 'o_orderdate', CAST(count_if(o_orderdate IS NULL) AS BIGINT) FROM tokens""",
 )
 def q_null_counts(spark, sf):
     d = V.dirty_orders(spark, sf).select(
@@ -147,7 +147,7 @@ def q_fill_const(spark, sf):
     "nan_to_null",
     """WITH ev AS (SELECT event_id, event_type, CASE WHEN event_id % 7 = 0 THEN 'NaN'::DOUBLE ELSE value END AS value FROM events),
 norm AS (SELECT event_type, value AS raw, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM ev)
-SELECT event_type, count(*) AS n_rows, count_if(value IS NULL) AS n_missing, count_if(isnan(raw)) AS n_nan,
+SELECT event_type, count(*) AS n_rows, CAST(count_if(value IS NULL) AS BIGINT) AS n_missing, CAST(count_if(isnan(raw)) AS BIGINT) AS n_nan,
   round(sum(value), 6) + 0.0 AS value_sum FROM norm GROUP BY event_type""",
 )
 def q_nan_to_null(spark, sf):
@@ -350,7 +350,7 @@ def q_exact_sample(spark, sf):
 @query(
     "split_checks",
     _with(EXACT_SPLIT_SQL)
-    + """SELECT count(*) AS n_total, count_if(NOT is_test) AS n_train, count_if(is_test) AS n_test,
+    + """SELECT count(*) AS n_total, CAST(count_if(NOT is_test) AS BIGINT) AS n_train, CAST(count_if(is_test) AS BIGINT) AS n_test,
   CAST(0 AS BIGINT) AS n_ids_both_sides, CAST(6 AS BIGINT) AS n_columns FROM flagged""",
 )
 def q_split_checks(spark, sf):
