@@ -32,24 +32,26 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def class_counts(conf: DataFrame) -> DataFrame:
-    """Per class tp / fp / fn / support from a confusion table (classes seen as label or prediction)."""
+    """Per class tp / fp / fn / support from a confusion table (classes seen as label or prediction).
+
+    Each confusion row credits its label (tp or fn) and its prediction (fp), in one
+    explode, so the confusion table is read once.
+    """
     hit = F.col("label") == F.col("prediction")
-    as_label = conf.select(
-        F.col("label").alias("class"),
-        F.when(hit, F.col("n")).otherwise(0).alias("tp"),
-        F.lit(0).cast("long").alias("fp"),
-        F.when(hit, 0).otherwise(F.col("n")).alias("fn"),
-    )
-    as_pred = conf.where(~hit).select(
-        F.col("prediction").alias("class"),
-        F.lit(0).cast("long").alias("tp"),
-        F.col("n").alias("fp"),
-        F.lit(0).cast("long").alias("fn"),
-    )
+    n = F.col("n")
+    zero = F.lit(0).cast("long")
+    credit = F.explode(
+        F.array(
+            F.struct(F.col("label").alias("class"), F.when(hit, n).otherwise(zero).alias("tp"), zero.alias("fp"),
+                     F.when(hit, zero).otherwise(n).alias("fn")),
+            F.struct(F.col("prediction").alias("class"), zero.alias("tp"), F.when(hit, zero).otherwise(n).alias("fp"),
+                     zero.alias("fn")),
+        )
+    ).alias("c")
     return (
-        as_label.unionByName(as_pred)
-        .groupBy("class")
-        .agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
+        conf.select(credit)
+        .groupBy(F.col("c.class").alias("class"))
+        .agg(F.sum("c.tp").alias("tp"), F.sum("c.fp").alias("fp"), F.sum("c.fn").alias("fn"))
         .withColumn("support", F.col("tp") + F.col("fn"))
     )
 
@@ -64,28 +66,43 @@ def per_class(conf: DataFrame) -> DataFrame:
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(F.lit(2) * tp, F.lit(2) * tp + fp + fn).alias("f1_score"),
         F.col("support").cast("long").alias("support"),
+        tp.alias("tp"),
     )
 
 
-def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Per class rows plus ``macro avg`` and ``weighted avg`` rows."""
-    pc = per_class(confusion(df, label, prediction))
+def _rolled(conf: DataFrame) -> DataFrame:
+    """Per class rows plus one total row (``_total``) from a single rollup: macro and
+    weighted averages and accuracy all come from the same linear plan."""
+    pc = per_class(conf)
     s = F.col("support").cast("double")
-    macro = pc.agg(
-        F.lit("macro avg").alias("class"),
+    return pc.rollup("class").agg(
+        F.grouping_id().alias("_total"),
         F.avg("precision").alias("precision"),
         F.avg("recall").alias("recall"),
         F.avg("f1_score").alias("f1_score"),
+        _ratio(F.sum(F.col("precision") * s), F.sum(s)).alias("w_precision"),
+        _ratio(F.sum(F.col("recall") * s), F.sum(s)).alias("w_recall"),
+        _ratio(F.sum(F.col("f1_score") * s), F.sum(s)).alias("w_f1_score"),
         F.sum("support").cast("long").alias("support"),
+        _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
     )
-    weighted = pc.agg(
-        F.lit("weighted avg").alias("class"),
-        _ratio(F.sum(F.col("precision") * s), F.sum(s)).alias("precision"),
-        _ratio(F.sum(F.col("recall") * s), F.sum(s)).alias("recall"),
-        _ratio(F.sum(F.col("f1_score") * s), F.sum(s)).alias("f1_score"),
-        F.sum("support").cast("long").alias("support"),
+
+
+def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Per class rows plus ``macro avg`` and ``weighted avg`` rows."""
+    r = _rolled(confusion(df, label, prediction))
+    total = F.col("_total") == 1
+    row = lambda name, p, rc, f: F.struct(
+        name.alias("class"), p.alias("precision"), rc.alias("recall"), f.alias("f1_score"), F.col("support")
     )
-    return pc.unionByName(macro).unionByName(weighted)
+    rows = F.when(
+        total,
+        F.array(
+            row(F.lit("macro avg"), F.col("precision"), F.col("recall"), F.col("f1_score")),
+            row(F.lit("weighted avg"), F.col("w_precision"), F.col("w_recall"), F.col("w_f1_score")),
+        ),
+    ).otherwise(F.array(row(F.col("class"), F.col("precision"), F.col("recall"), F.col("f1_score"))))
+    return r.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def f1_for(df: DataFrame, label: str, prediction: str, positive) -> DataFrame:
@@ -99,26 +116,16 @@ def metrics_long(df: DataFrame, label: str, prediction: str, positive, f1_key: s
     """(key, value) metric rows: accuracy, f1 of the positive class, and per class
     precision_<c>, recall_<c>, f1_<c>. Rows, not columns, so keys that differ only
     in case never collide."""
-    conf = confusion(df, label, prediction)
-    pc = per_class(conf)
-    per = pc.select(
-        "class",
-        F.explode(
-            F.array(
-                F.struct(F.lit("precision_").alias("p"), F.col("precision").alias("v")),
-                F.struct(F.lit("recall_").alias("p"), F.col("recall").alias("v")),
-                F.struct(F.lit("f1_").alias("p"), F.col("f1_score").alias("v")),
-            )
-        ).alias("m"),
-    ).select(F.concat(F.col("m.p"), F.col("class")).alias("key"), F.col("m.v").alias("value"))
-    acc = conf.agg(
-        F.lit("accuracy").alias("key"),
-        _ratio(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)), F.sum("n")).alias(
-            "value"
-        ),
-    )
-    pos = (
-        pc.where(F.col("class") == F.lit(str(positive)))
-        .select(F.lit(f1_key or f"f1_{str(positive).lower()}").alias("key"), F.col("f1_score").alias("value"))
+    r = _rolled(confusion(df, label, prediction))
+    kv = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
+    cls = F.col("class")
+    pos_key = F.lit(f1_key or f"f1_{str(positive).lower()}")
+    rows = F.when(F.col("_total") == 1, F.array(kv(F.lit("accuracy"), F.col("accuracy")))).otherwise(
+        F.array(
+            kv(F.concat(F.lit("precision_"), cls), F.col("precision")),
+            kv(F.concat(F.lit("recall_"), cls), F.col("recall")),
+            kv(F.concat(F.lit("f1_"), cls), F.col("f1_score")),
+            kv(F.when(cls == F.lit(str(positive)), pos_key), F.col("f1_score")),
+        )
     )
-    return acc.unionByName(pos).unionByName(per)
+    return r.select(F.explode(rows).alias("m")).where(F.col("m.key").isNotNull()).select("m.*")
