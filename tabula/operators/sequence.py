@@ -6,7 +6,8 @@ on (g, o) instead, which spreads a hot group over many partitions. Each row's
 position inside its partition comes from ``monotonically_increasing_id`` right
 after the sort; a small table of (g, partition) counts gives the offset of every
 group slice. The ranged data is checkpointed so the positions used by the two
-reads are the same ones.
+reads are the same ones. A scan-position id is the last range key, so even rows
+equal on every key (a hot tie group) are spread over partitions.
 """
 
 from __future__ import annotations
@@ -34,9 +35,10 @@ def sequence_within(
     ensure_checkpoint_dir(spark)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    keys = [F.col(c) for c in partition_cols] + order
+    keys = [F.col(c) for c in partition_cols] + order + [F.col("_tie")]
     ranged = (
-        df.repartitionByRange(parts, *keys)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn(
@@ -55,4 +57,4 @@ def sequence_within(
     cond.append(F.col("_r._pid") == F.col("_s._pid"))
     joined = ranged.alias("_r").join(s, cond, "inner")
     seq = F.col("_s._before") + F.col("_r._pos") - F.col("_s._first") + F.lit(1)
-    return joined.select("_r.*", seq.alias(out)).drop("_pid", "_pos")
+    return joined.select("_r.*", seq.alias(out)).drop("_pid", "_pos", "_tie")

@@ -18,3 +18,13 @@ def test_global_sequence(spark):
     df = spark.createDataFrame([(v,) for v in [5, 3, 9, 1, 7]], "v long")
     got = {r.v: r.seq for r in sequence_within(df, [], ["v"], num_partitions=3).collect()}
     assert got == {1: 1, 3: 2, 5: 3, 7: 4, 9: 5}
+
+
+def test_hot_tie_group_is_spread(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(2000).select(F.lit("hot").alias("g"), F.lit(1).alias("t"), "id")
+    out = sequence_within(df, ["g"], ["t"], num_partitions=8)
+    assert sorted(r.seq for r in out.collect()) == list(range(1, 2001))
+    sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1  # one tie group, several partitions
