@@ -36,17 +36,28 @@ def required_nulls(df: DataFrame, cols) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).unpivot([], list(cols), "column", "n_null")
 
 
-def profile(df: DataFrame, name: str = "dataset") -> DataFrame:
-    """One row: name, num_rows, num_columns, num_elements, schema JSON."""
+def profile(df: DataFrame, name: str = "dataset", digest_cols=None) -> DataFrame:
+    """One row: name, num_rows, num_columns, num_elements, schema JSON; with
+    ``digest_cols`` also the content digest of those columns, in the same pass."""
     ncols = len(df.columns)
     schema = json.dumps([{"name": f.name, "type": f.dataType.simpleString()} for f in df.schema.fields])
-    return df.agg(F.count("*").alias("num_rows")).select(
+    aggs = [F.count("*").alias("num_rows")]
+    if digest_cols is not None:
+        aggs.append(_digest_sum(digest_cols).alias("digest"))
+    out = df.agg(*aggs).select(
         F.lit(name).alias("name"),
         F.col("num_rows"),
         F.lit(ncols).cast("long").alias("num_columns"),
         (F.col("num_rows") * F.lit(ncols)).alias("num_elements"),
         F.lit(schema).alias("schema"),
+        *(["digest"] if digest_cols is not None else []),
     )
+    return out
+
+
+def _digest_sum(cols):
+    h = row_digest32([F.col(c) for c in cols]).cast("decimal(20,0)")
+    return F.sum(h).cast("string")
 
 
 def digest(df: DataFrame, cols=None) -> DataFrame:
@@ -55,5 +66,4 @@ def digest(df: DataFrame, cols=None) -> DataFrame:
     A sum, not a xor, so that repeated rows do not cancel; decimal so it cannot overflow.
     """
     cols = list(cols or df.columns)
-    h = row_digest32([F.col(c) for c in cols]).cast("decimal(20,0)")
-    return df.agg(F.count("*").alias("num_rows"), F.sum(h).cast("string").alias("digest"))
+    return df.agg(F.count("*").alias("num_rows"), _digest_sum(cols).alias("digest"))

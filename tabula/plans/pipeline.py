@@ -52,22 +52,26 @@ def train_register(
     experiment_id: str = "default",
     tags: dict | None = None,
 ) -> dict:
+    import time
+
     tr, te = spark.table(train_name), spark.table(test_name)
     run_id = store.start_run(experiment_id, "train-register")
+    t0 = time.time()
     model = train.fit(tr, spec, params)
+    fit_seconds = time.time() - t0
     scored = train.score(model, te, spec, keep=[spec.target], out="_pred")
     metrics = evaluate.metrics_long(scored, spec.target, "_pred", positive)
     store.log_metrics(run_id, metrics)
     store.log_params(run_id, dataclasses.asdict(params))
-    prof = contract.profile(tr, "train_set").first()
-    digest = contract.digest(tr.drop("update_timestamp_utc")).first().digest
-    store.log_input(run_id, prof, digest, "training")
+    content = [c for c in tr.columns if c != "update_timestamp_utc"]
+    prof = contract.profile(tr, "train_set", digest_cols=content).first()
+    store.log_input(run_id, prof, prof["digest"], "training")
     path = f"{model_root}/{run_id}/model"
     train.save(model, path)
     version = store.register_model(model_name, run_id, path, tags)
     store.set_alias(model_name, alias, version)
     store.end_run(run_id)
-    return {"run_id": run_id, "version": version, "model_path": path}
+    return {"run_id": run_id, "version": version, "model_path": path, "fit_seconds": fit_seconds}
 
 
 def score_alias(store: RunStore, model_name: str, alias: str, df: DataFrame, spec: FeatureSpec,
