@@ -20,7 +20,14 @@ def years_since(c: str | Column, current_year: int | None = None) -> Column:
     return year - c
 
 
-def epoch_millis(c: str | Column) -> Column:
-    """Milliseconds since the epoch; local (zone-less) timestamps are read in the session zone."""
+def epoch_millis(c: str | Column, zone_less: bool = True) -> Column:
+    """Milliseconds since the epoch.
+
+    Zone-less timestamps (TIMESTAMP_NTZ) count wall-clock time from 1970-01-01 00:00,
+    so the result does not depend on the session time zone; zoned timestamps use the
+    instant (``zone_less=False``).
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.unix_millis(c.cast("timestamp"))
+    if zone_less:
+        return F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), c)
+    return F.unix_millis(c)
