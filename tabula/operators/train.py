@@ -96,14 +96,25 @@ def build_pipeline(spec: FeatureSpec, params: BoostParams = BoostParams(), missi
     return Pipeline(stages=[prep, label, index, onehot, impute, assemble, gbt])
 
 
-def fit(train: DataFrame, spec: FeatureSpec, params: BoostParams = BoostParams(), missing_flags: bool = True) -> PipelineModel:
+def fit(
+    train: DataFrame,
+    spec: FeatureSpec,
+    params: BoostParams = BoostParams(),
+    missing_flags: bool = True,
+    rows_per_partition: int = 200_000,
+) -> PipelineModel:
     """Fit on the training frame; returns a model whose last stage names the class."""
     require_columns(train, [*spec.inputs, spec.target])
     # Every stage fit and every boosting round reads the input: keep it (spillable,
     # recomputed from lineage if an executor is lost) instead of re-running upstream.
     data = train.select(*spec.inputs, spec.target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = build_pipeline(spec, params, missing_flags).fit(data)
+        # Each boosting level is a job over every input partition: size the partition
+        # count to the data (about rows_per_partition rows each) rather than to the scan.
+        rows = data.count()
+        wanted = max(1, -(-rows // rows_per_partition))
+        fit_input = data.coalesce(wanted) if data.rdd.getNumPartitions() > wanted else data
+        model = build_pipeline(spec, params, missing_flags).fit(fit_input)
     finally:
         data.unpersist()
     labels = model.stages[1].labels
