@@ -62,7 +62,8 @@ def first_n_by_hash(
     # Duplicate keys straddle the cut: order the tied rows by a hash of the whole row.
     x = F.col("_x")
     keyed = keyed.withColumn("_x", F.xxhash64(*[F.col(c) for c in data_cols]))
-    r2 = kth_smallest(keyed.where(h == F.lit(r1.value)), "_x", left)
+    # The tied count is known, so a small tie set is collected in one pass.
+    r2 = kth_smallest(keyed.where(h == F.lit(r1.value)), "_x", left, stats=(r1.n_equal, -(2**63), 2**63 - 1))
     left2 = left - r2.n_less
     if left2 == r2.n_equal:
         pred = (h < F.lit(r1.value)) | ((h == F.lit(r1.value)) & (x <= F.lit(r2.value)))
@@ -74,7 +75,7 @@ def first_n_by_hash(
         .withColumn("_x", F.xxhash64(*[F.col(c) for c in data_cols]))
     )
     tied = keyed.where((h == F.lit(r1.value)) & (x == F.lit(r2.value)))
-    r3 = kth_smallest(tied, "_m", left2)
+    r3 = kth_smallest(tied, "_m", left2, stats=(r2.n_equal, 0, 2**63 - 1))
     pred = (h < F.lit(r1.value)) | (
         (h == F.lit(r1.value))
         & ((x < F.lit(r2.value)) | ((x == F.lit(r2.value)) & (F.col("_m") <= F.lit(r3.value))))

@@ -358,6 +358,46 @@ def q_split_checks(spark, sf):
     return split.split_summary(split.exact_split(o, "o_orderkey", TEST_RATIO, SEED), "o_orderkey")
 
 
+@query(
+    "exact_split_dupkeys",
+    f"""WITH ranked AS (
+  SELECT l_orderkey, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(l_orderkey AS VARCHAR))) AS rn,
+    count(*) OVER () AS n FROM lineitem)
+SELECT CAST(count_if(rn <= ceil({TEST_RATIO} * n)) AS BIGINT) AS n_test,
+  CAST(count_if(rn > ceil({TEST_RATIO} * n)) AS BIGINT) AS n_train,
+  CAST(sum(CASE WHEN rn <= ceil({TEST_RATIO} * n) THEN l_orderkey ELSE 0 END) AS BIGINT) AS test_key_sum
+FROM ranked""",
+)
+def q_exact_split_dupkeys(spark, sf):
+    """Exact split keyed by a repeated key (about four lines per order): the size is exact
+    even when the cut falls inside one order's lines; which lines of that order go to
+    test does not change these sums."""
+    li = V.load(spark, sf, "lineitem")
+    flagged = split.exact_split(li, "l_orderkey", TEST_RATIO, SEED)
+    t = F.col("is_test")
+    return flagged.agg(
+        F.count_if(t).alias("n_test"),
+        F.count_if(~t).alias("n_train"),
+        F.sum(F.when(t, F.col("l_orderkey")).otherwise(F.lit(0))).alias("test_key_sum"),
+    )
+
+
+@query(
+    "hash_split_grouped",
+    f"""WITH f AS (
+  SELECT l_orderkey,
+    ('0x' || substr(md5('{SEED}:' || CAST(l_orderkey AS VARCHAR)), 1, 8))::UBIGINT < {int(TEST_RATIO * 2**32)} AS is_test
+  FROM lineitem),
+per_order AS (SELECT l_orderkey, count_if(NOT is_test) AS tr, count_if(is_test) AS te FROM f GROUP BY l_orderkey)
+SELECT CAST(sum(tr + te) AS BIGINT) AS n_total, CAST(sum(tr) AS BIGINT) AS n_train, CAST(sum(te) AS BIGINT) AS n_test,
+  CAST(count_if(tr > 0 AND te > 0) AS BIGINT) AS n_ids_both_sides, CAST(11 AS BIGINT) AS n_columns FROM per_order""",
+)
+def q_hash_split_grouped(spark, sf):
+    """Hash split of lines by order key: every line of an order lands on the same side."""
+    li = V.load(spark, sf, "lineitem")
+    return split.split_summary(split.hash_split(li, "l_orderkey", TEST_RATIO, SEED), "l_orderkey")
+
+
 @query(
     "split_profile",
     PREPROCESS_SQL
