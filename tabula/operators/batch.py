@@ -7,13 +7,19 @@ runs; only the input columns named here cross into Python.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# The functions and wrappers below run inside Python workers; ship them by value so the
+# workers need only pandas/numpy, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class BatchModel(Protocol):
     def predict(self, frame: pd.DataFrame) -> pd.Series: ...
