@@ -37,15 +37,17 @@ def hash_split(df: DataFrame, id_col: str, ratio: float = 0.2, seed: int = 42, o
 
 def first_n_by_hash(
     df: DataFrame, id_col: str, n: int | None = None, seed: int = 42, out: str = "is_test", ratio: float | None = None,
-    size_rule=None,
+    size_rule=None, tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Flag exactly ``n`` rows (or ``size_rule(rows)``, default ``ceil(ratio * rows)``):
-    the first rows in seeded-hash order of ``id_col``.
+    the first rows in seeded-hash order of ``id_col``. Rows sharing a key are ordered by
+    a hash of the ``tiebreak`` columns (default: the whole row); naming a secondary key
+    keeps the scan to those columns.
 
     The hash range is known (60 bits), so the first histogram pass over the hashed key
     also counts the rows; the threshold search reads only that one column.
     """
-    data_cols = list(df.columns)
+    data_cols = list(tiebreak or df.columns)
     keyed = df.withColumn("_h", hashed_key60(_key(id_col), seed))
     if n is not None:
         rule = lambda total: n
@@ -88,9 +90,11 @@ def test_size(n: int, ratio: float) -> int:
     return int(math.ceil(ratio * n))
 
 
-def exact_split(df: DataFrame, id_col: str, ratio: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
+def exact_split(
+    df: DataFrame, id_col: str, ratio: float = 0.2, seed: int = 42, out: str = "is_test", tiebreak: list[str] | None = None
+) -> DataFrame:
     """Flag exactly ``ceil(n * ratio)`` rows as test, deterministically from the key."""
-    return first_n_by_hash(df, id_col, None, seed, out, ratio=ratio)
+    return first_n_by_hash(df, id_col, None, seed, out, ratio=ratio, tiebreak=tiebreak)
 
 
 def exact_sample(df: DataFrame, id_col: str, frac: float, seed: int = 42) -> DataFrame:

@@ -373,7 +373,7 @@ def q_exact_split_dupkeys(spark, sf):
     even when the cut falls inside one order's lines; which lines of that order go to
     test does not change these sums."""
     li = V.load(spark, sf, "lineitem")
-    flagged = split.exact_split(li, "l_orderkey", TEST_RATIO, SEED)
+    flagged = split.exact_split(li, "l_orderkey", TEST_RATIO, SEED, tiebreak=["l_linenumber"])
     t = F.col("is_test")
     return flagged.agg(
         F.count_if(t).alias("n_test"),

@@ -47,3 +47,11 @@ def test_hash_split_stable_per_key(spark):
 def test_exact_sample_size(spark):
     df = spark.range(1000)
     assert split.exact_sample(df, "id", 0.05, 42).count() == 50
+
+
+def test_exact_split_with_secondary_key(spark):
+    lines = spark.range(400).select((F.col("id") % 90).alias("order"), (F.col("id") % 4).alias("line"), "id")
+    flagged = split.exact_split(lines, "order", 0.25, 5, tiebreak=["line"])
+    assert flagged.where("is_test").count() == 100
+    again = split.exact_split(lines, "order", 0.25, 5, tiebreak=["line"])
+    assert sorted(r.id for r in flagged.where("is_test").collect()) == sorted(r.id for r in again.where("is_test").collect())
