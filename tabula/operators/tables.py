@@ -67,3 +67,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines (one document per row)."""
     df.write.mode(mode).json(path)
+
+
+VERSION_LOG_DDL = "name string, version bigint, ts bigint, num_rows bigint"
+
+
+def record_version(spark: SparkSession, log_table: str, name: str, fmt: str = DEFAULT_FORMAT) -> int:
+    """Append the next version of table ``name`` (with its row count) to a version log
+    and return the number; versions start at 0 like a fresh table history."""
+    import time
+
+    if not spark.catalog.tableExists(log_table):
+        spark.createDataFrame([], VERSION_LOG_DDL).write.format(fmt).saveAsTable(log_table)
+    top = spark.table(log_table).where(F.col("name") == name).agg(F.max("version")).first()[0]
+    version = 0 if top is None else top + 1
+    rows = spark.table(name).count()
+    row = spark.createDataFrame([(name, version, int(time.time() * 1000), rows)], VERSION_LOG_DDL)
+    row.write.mode("append").format(fmt).saveAsTable(log_table)
+    return version
+
+
+def current_version(spark: SparkSession, log_table: str, name: str) -> int | None:
+    """Newest recorded version of ``name`` (None when never published)."""
+    return spark.table(log_table).where(F.col("name") == name).agg(F.max("version")).first()[0]

@@ -35,6 +35,8 @@ def prepare(raw: DataFrame, spec: FeatureSpec, database: str, month_col: str | N
     train_name, test_name = f"{database}.train_set", f"{database}.test_set"
     tables.publish_split(flagged, train_name, test_name)
     tables.enable_change_feed(spark, train_name, test_name)
+    for name in (train_name, test_name):
+        tables.record_version(spark, f"{database}.table_versions", name)
     return train_name, test_name
 
 
@@ -66,6 +68,10 @@ def train_register(
     content = [c for c in tr.columns if c != "update_timestamp_utc"]
     prof = contract.profile(tr, "train_set", digest_cols=content).first()
     store.log_input(run_id, prof, prof["digest"], "training")
+    db = train_name.rsplit(".", 1)[0] if "." in train_name else "default"
+    if spark.catalog.tableExists(f"{db}.table_versions"):
+        version = tables.current_version(spark, f"{db}.table_versions", train_name)
+        store.set_tags(run_id, {"data_version": version})
     path = f"{model_root}/{run_id}/model"
     train.save(model, path)
     version = store.register_model(model_name, run_id, path, tags)

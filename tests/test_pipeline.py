@@ -34,3 +34,6 @@ def test_end_to_end(spark, tmp_dir):
     assert scored.count() == test.count()
     assert scored.select(F.countDistinct("Booking_ID")).first()[0] == 30
     assert store.table("inputs").count() == 2 and store.table("datasets").count() == 1
+    assert data["tags"]["data_version"] == "0"
+    prepare(raw, BOOKINGS, "tabula_e2e", month_col="arrival_month")  # republish -> version 1
+    assert tables.current_version(spark, "tabula_e2e.table_versions", tr_name) == 1
