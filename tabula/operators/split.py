@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tabula.functions.hashing import hash_fraction, hashed_key60
 from tabula.operators.select import kth_smallest
+from tabula.session import ensure_checkpoint_dir
 
 _HELPERS = ("_h", "_x", "_m")
 
@@ -61,7 +62,7 @@ def first_n_by_hash(
     left = n - r1.n_less
     if left == r1.n_equal:
         return keyed.withColumn(out, h <= F.lit(r1.value)).drop(*_HELPERS)
-    # Duplicate keys straddle the cut: order the tied rows by a hash of the whole row.
+    # Duplicate keys straddle the cut: order the tied rows by a hash of the tiebreak columns.
     x = F.col("_x")
     keyed = keyed.withColumn("_x", F.xxhash64(*[F.col(c) for c in data_cols]))
     # The tied count is known, so a small tie set is collected in one pass.
@@ -70,9 +71,13 @@ def first_n_by_hash(
     if left2 == r2.n_equal:
         pred = (h < F.lit(r1.value)) | ((h == F.lit(r1.value)) & (x <= F.lit(r2.value)))
         return keyed.withColumn(out, pred).drop(*_HELPERS)
-    # Identical copies: take them in scan order (stable for a deterministic scan).
+    # Copies equal on key and tiebreak: take them in scan order. The input is checkpointed
+    # first (rare path) so that positions are the same in the threshold and final passes
+    # even when the input comes out of a shuffle.
+    ensure_checkpoint_dir(df.sparkSession)
     keyed = (
-        df.withColumn("_m", F.monotonically_increasing_id())
+        df.checkpoint(eager=True)
+        .withColumn("_m", F.monotonically_increasing_id())
         .withColumn("_h", hashed_key60(_key(id_col), seed))
         .withColumn("_x", F.xxhash64(*[F.col(c) for c in data_cols]))
     )
