@@ -6,8 +6,10 @@ on (g, o) instead, which spreads a hot group over many partitions. Each row's
 position inside its partition comes from ``monotonically_increasing_id`` right
 after the sort; a small table of (g, partition) counts gives the offset of every
 group slice. The ranged data is checkpointed so the positions used by the two
-reads are the same ones. A scan-position id is the last range key, so even rows
-equal on every key (a hot tie group) are spread over partitions.
+reads are the same ones. A position id is the last range key, so even rows equal on
+every key (a hot tie group) are spread over partitions; each input partition is first
+sorted by row content, so a re-run task assigns the same positions even when its rows
+arrive in another order (identical rows are interchangeable).
 """
 
 from __future__ import annotations
@@ -36,8 +38,10 @@ def sequence_within(
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in partition_cols] + order + [F.col("_tie")]
+    content = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
     ranged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
+        df.sortWithinPartitions(F.xxhash64(*content), *content)
+        .withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
