@@ -150,8 +150,14 @@ def score(
     ``keep`` columns (for example ids) are carried through; one output row per input row.
     """
     keep = list(keep or [])
-    inputs = enforce(df, contract) if contract is not None else df.select(*spec.inputs)
-    carried = df.select(*keep, *[F.col(c) for c in inputs.columns]) if keep else inputs
+    if contract is not None:
+        enforce(df, contract)  # missing names or unsafe casts fail here, before any job
+        inputs = [F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields]
+        names = contract.fieldNames()
+    else:
+        names = list(spec.inputs)
+        inputs = [F.col(c) for c in names]
+    carried = df.select(*[k for k in keep if k not in names], *inputs)
     scored = model.transform(carried)
     label = decode_expr(PREDICTED, labels) if labels else F.col(PREDICTED)
     return scored.select(*keep, label.alias(out))
