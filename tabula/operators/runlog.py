@@ -353,7 +353,8 @@ class RunStore:
 
     def log_params(self, run_id: str, params: dict) -> None:
         new = self.spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()], _STORE_TABLES["params"])
-        self._append("params", params_to_append(self.table("params"), new))
+        logged = self.table("params").where(F.col("run_id") == run_id)  # pushed to the scan
+        self._append("params", params_to_append(logged, new))
 
     def set_tags(self, run_id: str, tags: dict) -> None:
         now = self._now()
