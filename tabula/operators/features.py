@@ -33,6 +33,15 @@ def project_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return ids_to_string(df.select(*spec.projection), spec.id_columns)
 
 
+def feature_label_split(df: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, DataFrame]:
+    """(X, y): model inputs in signature order (numeric then categorical) and the target.
+
+    Two projections of one lazy frame, so each reads only its own columns.
+    """
+    require_columns(df, [*spec.inputs, spec.target])
+    return df.select(*spec.inputs), df.select(spec.target)
+
+
 def preprocess(df: DataFrame, spec: FeatureSpec, month_col: str | None = None, period: float = 12.0) -> DataFrame:
     """Clean + feature step: coerce numerics, cyclic month, projection, id text.
 

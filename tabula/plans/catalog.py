@@ -286,6 +286,16 @@ def q_preprocess(spark, sf):
     return _preprocessed(spark, sf)
 
 
+@query(
+    "model_inputs",
+    PREPROCESS_SQL + "SELECT price, o_custkey, order_month, o_orderpriority FROM pre",
+)
+def q_model_inputs(spark, sf):
+    """Feature/label split of the cleaned frame: the model input block X (target dropped)."""
+    x, _ = features.feature_label_split(_preprocessed(spark, sf), ORDERS_SPEC)
+    return x
+
+
 @query(
     "age_column",
     f"SELECT o_orderkey, o_orderstatus, CAST({AGE_YEAR} - year(o_orderdate) AS BIGINT) AS order_age FROM orders",
