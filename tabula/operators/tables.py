@@ -72,19 +72,28 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 VERSION_LOG_DDL = "name string, version bigint, ts bigint, num_rows bigint"
 
 
-def record_version(spark: SparkSession, log_table: str, name: str, fmt: str = DEFAULT_FORMAT) -> int:
-    """Append the next version of table ``name`` (with its row count) to a version log
-    and return the number; versions start at 0 like a fresh table history."""
+def record_versions(spark: SparkSession, log_table: str, names, fmt: str = DEFAULT_FORMAT) -> dict:
+    """Append the next version of each table in ``names`` (with its row count) to a
+    version log in one write and return {name: version}; versions start at 0 like a
+    fresh table history."""
     import time
 
+    names = list(names)
     if not spark.catalog.tableExists(log_table):
         spark.createDataFrame([], VERSION_LOG_DDL).write.format(fmt).saveAsTable(log_table)
-    top = spark.table(log_table).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = 0 if top is None else top + 1
-    rows = spark.table(name).count()
-    row = spark.createDataFrame([(name, version, int(time.time() * 1000), rows)], VERSION_LOG_DDL)
-    row.write.mode("append").format(fmt).saveAsTable(log_table)
-    return version
+    tops = {
+        r["name"]: r["v"]
+        for r in spark.table(log_table).where(F.col("name").isin(names)).groupBy("name").agg(F.max("version").alias("v")).collect()
+    }
+    now = int(time.time() * 1000)
+    rows = [(n, 0 if tops.get(n) is None else tops[n] + 1, now, spark.table(n).count()) for n in names]
+    spark.createDataFrame(rows, VERSION_LOG_DDL).write.mode("append").format(fmt).saveAsTable(log_table)
+    return {n: v for n, v, _, _ in rows}
+
+
+def record_version(spark: SparkSession, log_table: str, name: str, fmt: str = DEFAULT_FORMAT) -> int:
+    """Single-table form of ``record_versions``."""
+    return record_versions(spark, log_table, [name], fmt)[name]
 
 
 def current_version(spark: SparkSession, log_table: str, name: str) -> int | None:

@@ -35,8 +35,7 @@ def prepare(raw: DataFrame, spec: FeatureSpec, database: str, month_col: str | N
     train_name, test_name = f"{database}.train_set", f"{database}.test_set"
     tables.publish_split(flagged, train_name, test_name)
     tables.enable_change_feed(spark, train_name, test_name)
-    for name in (train_name, test_name):
-        tables.record_version(spark, f"{database}.table_versions", name)
+    tables.record_versions(spark, f"{database}.table_versions", [train_name, test_name])
     return train_name, test_name
 
 
