@@ -113,7 +113,11 @@ def fit(
         # count to the data (about rows_per_partition rows each) rather than to the scan.
         rows = data.count()
         wanted = max(1, -(-rows // rows_per_partition))
-        fit_input = data.coalesce(wanted) if data.rdd.getNumPartitions() > wanted else data
+        try:
+            current = data.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view in remote sessions: keep the partitioning
+            current = wanted
+        fit_input = data.coalesce(wanted) if current > wanted else data
         model = build_pipeline(spec, params, missing_flags).fit(fit_input)
     finally:
         data.unpersist()

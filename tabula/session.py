@@ -32,13 +32,17 @@ def build_session(master: str | None = None, app: str = "tabula", conf: dict | N
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the checkpoint folder, taking ``spark.checkpoint.dir`` from the session.
 
     A folder of our own is only created for local masters (tests); on a cluster the
-    setting must name a shared folder, so its absence is an error.
+    setting must name a shared folder, so its absence is an error. Sessions without a
+    local SparkContext (Spark Connect) use the server's setting as it is.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
