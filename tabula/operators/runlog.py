@@ -148,9 +148,17 @@ def experiments_by_tag(experiments: DataFrame, experiment_tags: DataFrame, key:
     return experiments.join(hit, "experiment_id", "left_semi")
 
 
-def versions_of(model_versions: DataFrame, name: str) -> DataFrame:
-    """Model versions of one registered name."""
-    return model_versions.where(F.col("name") == F.lit(name))
+def versions_of(model_versions: DataFrame, name: str | None = None, run_id: str | None = None,
+                tags: dict | None = None) -> DataFrame:
+    """Model versions filtered by name, producing run and/or tag values (all optional)."""
+    out = model_versions
+    if name is not None:
+        out = out.where(F.col("name") == F.lit(name))
+    if run_id is not None:
+        out = out.where(F.col("run_id") == F.lit(run_id))
+    for k, v in (tags or {}).items():
+        out = out.where(F.try_element_at(F.col("tags"), F.lit(k)) == F.lit(str(v)))
+    return out
 
 
 # ---------------------------------------------------------------- nested runs

@@ -23,6 +23,11 @@ def test_end_to_end(spark, tmp_dir):
     second = train_register(spark, store, BOOKINGS, tr_name, te_name, "bookings_model", os.path.join(tmp_dir, "m"), params)
     assert (first["version"], second["version"]) == (1, 2)
     assert store.resolve("bookings_model", "latest-model").version == 2
+    from tabula.operators.runlog import versions_of
+
+    mv = store.table("model_versions")
+    assert versions_of(mv, "bookings_model", tags={"git_sha": "abc"}).first().version == 1
+    assert versions_of(mv, run_id=second["run_id"]).first().version == 2
     data = store.run_data(second["run_id"])
     assert "accuracy" in data["metrics"] and data["params"]["max_iter"] == "5"
     runs = store.runs()
