@@ -289,6 +289,8 @@ _STORE_TABLES = {
     "model_versions": "name string, version bigint, run_id string, source string, created bigint, status string, "
     "tags map<string,string>",
     "model_aliases": "name string, alias string, version bigint, ts bigint",
+    "experiments": "experiment_id string, name string, creation_time bigint, lifecycle_stage string",
+    "experiment_tags": "experiment_id string, key string, value string, ts bigint",
 }
 
 
@@ -299,8 +301,8 @@ class RunStore:
     ``upsert_latest`` over the appended rows, so writers never rewrite a table.
     """
 
-    def __init__(self, spark, database: str = "runlog", fmt: str = "parquet") -> None:
-        self.spark, self.db, self.fmt = spark, database, fmt
+    def __init__(self, spark, database: str = "runlog", fmt: str = "parquet", artifact_root: str | None = None) -> None:
+        self.spark, self.db, self.fmt, self.artifact_root = spark, database, fmt, artifact_root
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, ddl in _STORE_TABLES.items():
             if not spark.catalog.tableExists(self._name(name)):
@@ -324,14 +326,38 @@ class RunStore:
 
         return int(time.time() * 1000)
 
+    # experiments -----------------------------------------------------
+    def create_experiment(self, name: str, tags: dict | None = None) -> str:
+        """Experiment id for ``name``, created on first use."""
+        import uuid
+
+        found = self.table("experiments").where(F.col("name") == name).select("experiment_id").limit(1).collect()
+        if found:
+            exp_id = found[0][0]
+        else:
+            exp_id = uuid.uuid4().hex
+            row = [(exp_id, name, self._now(), "active")]
+            self._append("experiments", self.spark.createDataFrame(row, _STORE_TABLES["experiments"]))
+        if tags:
+            self.set_experiment_tags(exp_id, tags)
+        return exp_id
+
+    def set_experiment_tags(self, experiment_id: str, tags: dict) -> None:
+        now = self._now()
+        rows = [(experiment_id, k, str(v), now) for k, v in tags.items()]
+        self._append("experiment_tags", self.spark.createDataFrame(rows, _STORE_TABLES["experiment_tags"]))
+
+    def search_experiments(self, key: str, value: str) -> DataFrame:
+        return experiments_by_tag(self.table("experiments"), self.table("experiment_tags"), key, value)
+
     # runs ------------------------------------------------------------
-    def start_run(self, experiment_id: str, run_name: str, parent_run_id: str | None = None,
-                  artifact_root: str = "") -> str:
+    def start_run(self, experiment_id: str, run_name: str, parent_run_id: str | None = None) -> str:
         import uuid
 
         run_id = uuid.uuid4().hex
         now = self._now()
-        row = [(run_id, experiment_id, run_name, "RUNNING", now, None, f"{artifact_root}/{run_id}/artifacts", "active", now)]
+        uri = f"{self.artifact_root.rstrip('/')}/{run_id}/artifacts" if self.artifact_root else None
+        row = [(run_id, experiment_id, run_name, "RUNNING", now, None, uri, "active", now)]
         self._append("runs", self.spark.createDataFrame(row, _STORE_TABLES["runs"]))
         if parent_run_id:
             self.set_tags(run_id, {"mlflow.parentRunId": parent_run_id})
@@ -345,6 +371,17 @@ class RunStore:
             cur.withColumn("status", F.lit(status)).withColumn("end_time", F.lit(now)).withColumn("updated", F.lit(now)),
         )
 
+    def log_document(self, run_id: str, name: str, doc: dict) -> str:
+        """Write a JSON document under the run's artifact folder (shared storage) and return its path."""
+        import json
+
+        uri = self.runs().where(F.col("run_id") == run_id).select("artifact_uri").first()
+        if uri is None or uri[0] is None:
+            raise ValueError("the store has no artifact_root, or the run is unknown")
+        path = f"{uri[0]}/{name}"
+        self.spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return path
+
     def runs(self) -> DataFrame:
         """Current state of every run."""
         return upsert_latest(self.table("runs"), ["run_id"], "updated", tiebreak=["status"])

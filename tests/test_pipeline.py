@@ -16,7 +16,10 @@ def test_end_to_end(spark, tmp_dir):
     raw = read_csv_text(spark, raw_path)
     tr_name, te_name = prepare(raw, BOOKINGS, "tabula_e2e", month_col="arrival_month")
     assert spark.table(te_name).count() == 30 and spark.table(tr_name).count() == 120
-    store = RunStore(spark, "tabula_e2e_runs")
+    store = RunStore(spark, "tabula_e2e_runs", artifact_root=os.path.join(tmp_dir, "artifacts"))
+    exp = store.create_experiment("/Shared/bookings", {"repository_name": "demo"})
+    assert store.create_experiment("/Shared/bookings") == exp
+    assert [r.experiment_id for r in store.search_experiments("repository_name", "demo").collect()] == [exp]
     params = train.BoostParams(max_iter=5, max_depth=3, min_instances_per_node=1)
     first = train_register(spark, store, BOOKINGS, tr_name, te_name, "bookings_model", os.path.join(tmp_dir, "m"), params,
                            tags={"git_sha": "abc"})
@@ -39,6 +42,11 @@ def test_end_to_end(spark, tmp_dir):
     assert scored.count() == test.count()
     assert scored.select(F.countDistinct("Booking_ID")).first()[0] == 30
     assert store.table("inputs").count() == 2 and store.table("datasets").count() == 1
+    doc_path = store.log_document(second["run_id"], "run_info.json", {"metrics": data["metrics"]})
+    import json
+
+    # read back as text: the metric keys differ only in case, which JSON schema inference rejects
+    assert json.loads(spark.read.text(doc_path).first().value)["metrics"] == data["metrics"]
     assert data["tags"]["data_version"] == "0"
     prepare(raw, BOOKINGS, "tabula_e2e", month_col="arrival_month")  # republish -> version 1
     assert tables.current_version(spark, "tabula_e2e.table_versions", tr_name) == 1
