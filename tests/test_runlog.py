@@ -105,3 +105,20 @@ def test_upsert_last_write_wins(spark):
     assert got == {"k": "new", "j": "x"}
     exps = spark.createDataFrame([("e", "demo")], "experiment_id string, name string")
     assert runlog.experiments_by_tag(exps, rows, "k", "new").count() == 1
+
+
+def test_store_nested_runs(spark):
+    store = runlog.RunStore(spark, "tabula_nested_runs")
+    exp = store.create_experiment("/Shared/nested")
+    parent = store.start_run(exp, "top_level_run-1")
+    names = {}
+    for i in range(1, 5):
+        child = store.start_run(exp, f"subruns_{i}", parent_run_id=parent)
+        names[child] = f"subruns_{i}"
+        store.log_metrics(child, {"m1": 5.1 + i, "m2": 2 * i, "m3": 1.5 * i + 3})
+        store.end_run(child)
+    wide = runlog.child_metrics_wide(store.runs(), store.tags(), store.table("metrics"), ["m1", "m2", "m3"])
+    assert wide.count() == 4
+    best = runlog.best_child(wide, "m1").first()
+    assert best.parent_run_id == parent and names[best.best_run_id] == "subruns_4"
+    assert best.best_value == pytest.approx(9.1)
