@@ -108,6 +108,12 @@ def exact_sample(df: DataFrame, id_col: str, frac: float, seed: int = 42) -> Dat
     return flagged.where("_in_sample").drop("_in_sample")
 
 
+def hash_sample(df: DataFrame, id_col: str, frac: float, seed: int = 42) -> DataFrame:
+    """Approximate sample of about ``frac`` of the rows: map-only, no count, stable when
+    rows are appended (a key is either always in or always out)."""
+    return hash_split(df, id_col, frac, seed, out="_in_sample").where("_in_sample").drop("_in_sample")
+
+
 def train_test(flagged: DataFrame, flag: str = "is_test") -> tuple[DataFrame, DataFrame]:
     """(train, test) frames from a flagged frame; both keep the input columns."""
     return flagged.where(~F.col(flag)).drop(flag), flagged.where(F.col(flag)).drop(flag)

@@ -55,3 +55,10 @@ def test_exact_split_with_secondary_key(spark):
     assert flagged.where("is_test").count() == 100
     again = split.exact_split(lines, "order", 0.25, 5, tiebreak=["line"])
     assert sorted(r.id for r in flagged.where("is_test").collect()) == sorted(r.id for r in again.where("is_test").collect())
+
+
+def test_hash_sample_is_stable_and_close(spark):
+    base = spark.range(5000)
+    a = {r.id for r in split.hash_sample(base, "id", 0.1, 9).collect()}
+    more = {r.id for r in split.hash_sample(spark.range(6000), "id", 0.1, 9).collect()}
+    assert a <= more and 400 < len(a) < 600
