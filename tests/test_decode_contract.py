@@ -32,3 +32,8 @@ def test_profile_and_digest(spark):
     assert d1 == d2 and d1 != d3  # order-free, but repeated rows count
     schema = contract.capture_schema(df, ["v"])
     assert schema.fieldNames() == ["v"] and schema.fields[0].nullable
+
+
+def test_required_nulls(spark):
+    df = spark.createDataFrame([(1, None), (None, "x"), (None, None)], "a int, b string")
+    assert {r.column: r.n_null for r in contract.required_nulls(df, ["a", "b"]).collect()} == {"a": 2, "b": 2}

@@ -43,3 +43,13 @@ def test_run_documents_and_json_sink(spark, tmp_dir):
     assert r.run_id == "r1" and r.metrics == {"m": 1.5} and r.params == {"p": "3"}
     tables.write_json(read_run_documents(spark, p), os.path.join(tmp_dir, "out"))
     assert spark.read.json(os.path.join(tmp_dir, "out")).count() == 1
+
+
+def test_explode_run_document_maps(spark, tmp_dir):
+    from tabula.sources.documents import explode_map
+
+    p = os.path.join(tmp_dir, "doc.json")
+    with open(p, "w") as f:
+        json.dump({"info": {"run_id": "r9"}, "data": {"metrics": {"a": 1.0, "b": 2.0}, "params": {}, "tags": {}}}, f)
+    rows = sorted((r.key, r.value) for r in explode_map(read_run_documents(spark, p), "metrics").collect())
+    assert rows == [("a", 1.0), ("b", 2.0)]
