@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.functions.numeric import MISSING_TOKENS, nan_to_null, null_tokens, to_number
-from tabula.operators.select import exact_median
+from tabula.operators.select import exact_medians
 
 _FRACTIONAL = (T.DoubleType, T.FloatType)
 
@@ -68,8 +68,9 @@ def fill_mean(df: DataFrame, cols) -> DataFrame:
 
 
 def fill_median(df: DataFrame, cols, **kw) -> DataFrame:
-    """Fill missing values with the exact column median (mean of the middle pair)."""
-    medians = {c: exact_median(df.select(nan_to_null(F.col(c).cast("double")).alias(c)), c, **kw) for c in cols}
+    """Fill missing values with the exact column median (mean of the middle pair); the
+    medians of all columns come from shared passes over the data."""
+    medians = exact_medians(df, cols, **kw)
     return replace_columns(
         df, {c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(medians[c])) for c in cols}
     )

@@ -137,3 +137,92 @@ def exact_median(df: DataFrame, col: str, **kw) -> float | None:
         return float(low.value)
     nxt = _values(df, col).where(F.col("_v") > F.lit(low.value)).agg(F.min("_v")).first()[0]
     return (float(low.value) + float(nxt)) / 2.0
+
+
+def exact_medians(df: DataFrame, cols, *, fanout: int = 1024, max_collect: int = 50_000) -> dict:
+    """Exact medians of several columns with shared passes (values read as double).
+
+    The columns are stacked into (column, value) rows inside each task, so every pass
+    (stats, histograms, final collect, upper neighbour) serves all columns at once and
+    the pass count does not grow with the number of columns.
+    """
+    cols = list(cols)
+    if not cols:
+        return {}
+    v = F.col("_p.v")
+    stacked = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])
+    ).alias("_p")
+    long = df.select(stacked).where(v.isNotNull() & ~F.isnan(v)).select(F.col("_p.c").alias("c"), v.alias("v"))
+    stats = {r["c"]: r for r in long.groupBy("c").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    # search state per column: [lo, hi, count, rank, below, n]
+    state = {c: [stats[c]["lo"], stats[c]["hi"], int(stats[c]["n"]), (int(stats[c]["n"]) + 1) // 2, 0, int(stats[c]["n"])]
+             for c in cols if c in stats}
+    low = {}  # column -> (value, n_less, n_equal)
+    while state:
+        for c in [c for c, s in state.items() if s[0] == s[1]]:
+            lo, _, count, _, below, _ = state.pop(c)
+            low[c] = (lo, below, count)
+        small = [c for c, s in state.items() if s[2] <= max_collect]
+        if small:
+            cond = None
+            for c in small:
+                lo, hi = state[c][0], state[c][1]
+                term = (F.col("c") == c) & (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
+                cond = term if cond is None else cond | term
+            got: dict = {c: [] for c in small}
+            for r in long.where(cond).collect():
+                got[r["c"]].append(r["v"])
+            for c in small:
+                _, _, _, rank, below, _ = state.pop(c)
+                vals = sorted(got[c])
+                x = vals[rank - 1]
+                first = bisect.bisect_left(vals, x)
+                low[c] = (x, below + first, bisect.bisect_right(vals, x) - first)
+        if not state:
+            break
+        bucket = None
+        for c, (lo, hi, *_rest) in state.items():
+            width = float(hi) / fanout - float(lo) / fanout
+            if not (width > 0 and math.isfinite(width)):
+                width = math.ulp(float(lo))
+            b = F.least(F.floor((F.col("v") - F.lit(float(lo))) / F.lit(width)), F.lit(fanout - 1)).cast("int")
+            inside = (F.col("c") == c) & (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
+            bucket = F.when(inside, b) if bucket is None else bucket.when(inside, b)
+        hist = (
+            long.select("c", "v", bucket.alias("_b"))
+            .where(F.col("_b").isNotNull())
+            .groupBy("c", "_b")
+            .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .collect()
+        )
+        per_col: dict = {}
+        for r in hist:
+            per_col.setdefault(r["c"], []).append(r)
+        for c, s in state.items():
+            rank = s[3]
+            for b in sorted(per_col.get(c, []), key=lambda r: r["_b"]):
+                if rank <= b["n"]:
+                    s[0], s[1], s[2], s[3] = b["lo"], b["hi"], int(b["n"]), rank
+                    break
+                rank -= b["n"]
+                s[4] += b["n"]
+    # even counts: the upper middle value, for all columns needing it in one pass
+    out, need = {}, []
+    for c in cols:
+        if c not in stats:
+            out[c] = None
+            continue
+        n = int(stats[c]["n"])
+        x, n_less, n_equal = low[c]
+        if n % 2 == 1 or n // 2 + 1 <= n_less + n_equal:
+            out[c] = float(x)
+        else:
+            need.append(c)
+    if need:
+        aggs = [F.min(F.when((F.col("c") == c) & (F.col("v") > F.lit(low[c][0])), F.col("v"))).alias(f"_{i}")
+                for i, c in enumerate(need)]
+        row = long.where(F.col("c").isin(need)).agg(*aggs).first()
+        for i, c in enumerate(need):
+            out[c] = (float(low[c][0]) + float(row[f"_{i}"])) / 2.0
+    return out

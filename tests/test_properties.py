@@ -88,3 +88,19 @@ def test_class_report_matches_brute_force(spark, pairs):
         assert math.isclose(rep[c].f1_score, f1) and rep[c].support == tp + fn
     assert math.isclose(rep["macro avg"].f1_score, sum(f1s) / len(f1s))
     assert rep["weighted avg"].support == len(pairs)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-20, 20)), st.one_of(st.none(), st.floats(-5, 5))),
+                min_size=1, max_size=150))
+def test_exact_medians_match_brute_force(spark, rows):
+    import statistics
+
+    from tabula.operators.select import exact_medians
+
+    df = spark.createDataFrame(rows, "a long, b double")
+    got = exact_medians(df, ["a", "b"], fanout=3, max_collect=4)
+    for i, c in enumerate(["a", "b"]):
+        vals = [r[i] for r in rows if r[i] is not None]
+        want = statistics.median(vals) if vals else None
+        assert (got[c] is None and want is None) or math.isclose(got[c], want, rel_tol=0, abs_tol=1e-12)

@@ -41,3 +41,19 @@ def test_median_real_table(spark):
     vals = [r[0] for r in o.select("o_totalprice").collect()]
     assert exact_median(o, "o_totalprice", max_collect=100) == statistics.median(vals)
     assert F is not None
+
+
+def test_exact_medians_many_columns_shared_passes(spark):
+    import random
+
+    from tabula.operators.select import exact_medians
+
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 50), rnd.random() * 100 if i % 9 else None, 5 if i % 3 else rnd.randint(0, 9))
+            for i in range(777)]
+    df = spark.createDataFrame(rows, "a long, b double, c long")
+    got = exact_medians(df, ["a", "b", "c"], fanout=4, max_collect=20)
+    for i, c in enumerate(["a", "b", "c"]):
+        vals = [r[i] for r in rows if r[i] is not None]
+        assert got[c] == statistics.median(vals), c
+    assert exact_medians(df.where("a < 0"), ["a"]) == {"a": None}
