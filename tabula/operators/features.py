@@ -120,13 +120,24 @@ class OneHot:
 
 
 def fit_one_hot(df: DataFrame, cols, max_categories: int = 1_000) -> OneHot:
-    """Collect the (checked, bounded) category set of each column in one pass per column."""
+    """Collect the category set of every column in one job (columns stacked as
+    (column, value) rows inside each task); at most ``len(cols) * max_categories + 1``
+    rows reach the driver, and a column over the cap is an error."""
+    cols = list(cols)
     require_columns(df, cols)
-    cats = {}
-    for col in cols:
-        key = F.coalesce(F.col(col).cast("string"), F.lit(NULL_CATEGORY)).alias("v")
-        rows = df.select(key).distinct().limit(max_categories + 1).collect()
-        if len(rows) > max_categories:
-            raise ValueError(f"{col} has more than {max_categories} categories")
-        cats[col] = sorted(r[0] for r in rows)
-    return OneHot(cats)
+    pairs = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("c"), F.coalesce(F.col(c).cast("string"), F.lit(NULL_CATEGORY)).alias("v"))
+                for c in cols
+            ]
+        )
+    ).alias("_p")
+    rows = df.select(pairs).select("_p.c", "_p.v").distinct().limit(len(cols) * max_categories + 1).collect()
+    cats: dict = {c: [] for c in cols}
+    for r in rows:
+        cats[r["c"]].append(r["v"])
+    over = [c for c, vals in cats.items() if len(vals) > max_categories]
+    if over or len(rows) > len(cols) * max_categories:
+        raise ValueError(f"more than {max_categories} categories in {over or cols}")
+    return OneHot({c: sorted(vals) for c, vals in cats.items()})

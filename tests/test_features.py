@@ -77,3 +77,11 @@ def test_age_and_cyclic(spark):
     assert "GarageYrBlt" not in out.columns and out.first().GarageAge == 24
     c = features.add_cyclic(df, "m").first()
     assert c.month_as_sin == pytest.approx(math.sin(2 * math.pi * 3 / 12))
+
+
+def test_one_hot_many_columns_and_cap(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), ("a", 2)], "s string, n int")
+    model = features.fit_one_hot(df, ["s", "n"])
+    assert model.categories == {"s": ["a", "b"], "n": ["1", "2", "__null__"]}
+    with pytest.raises(ValueError):
+        features.fit_one_hot(df, ["s", "n"], max_categories=2)
