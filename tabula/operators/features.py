@@ -92,10 +92,38 @@ def fit_dictionary(df: DataFrame, col: str, max_local: int = 10_000) -> Dictiona
     return Dictionary(col, None, table.select("value", F.col("code").cast("int").alias("code")))
 
 
+def fit_dictionaries(df: DataFrame, cols, max_local: int = 10_000) -> dict:
+    """Dictionaries of several columns: the small ones come from one stacked job (at most
+    ``len(cols) * max_local + 1`` values reach the driver); a column past the cap gets the
+    distributed dictionary of ``fit_dictionary``."""
+    cols = list(cols)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("_p")
+    typed = {c: F.col(c) for c in cols}
+    rows = (
+        df.select(pairs)
+        .select("_p.c", "_p.v")
+        .where(F.col("v").isNotNull())
+        .distinct()
+        .limit(len(cols) * max_local + 1)
+        .collect()
+    )
+    found: dict = {c: [] for c in cols}
+    for r in rows:
+        found[r["c"]].append(r["v"])
+    complete = len(rows) <= len(cols) * max_local
+    out = {}
+    for c in cols:
+        if complete and len(found[c]) <= max_local and dict(df.dtypes)[c] == "string":
+            out[c] = Dictionary(c, sorted(found[c]), None)
+        else:  # non-text columns keep their own ordering; large ones are distributed
+            out[c] = fit_dictionary(df.select(typed[c]), c, max_local)
+    return out
+
+
 def category_codes(df: DataFrame, cols, max_local: int = 10_000) -> DataFrame:
     """Append ``<col>_code`` for each column: sorted-value code, missing -> -1."""
-    for col in cols:
-        df = fit_dictionary(df, col, max_local).transform(df)
+    for col, dictionary in fit_dictionaries(df, cols, max_local).items():
+        df = dictionary.transform(df)
     return df
 
 

@@ -85,3 +85,9 @@ def test_one_hot_many_columns_and_cap(spark):
     assert model.categories == {"s": ["a", "b"], "n": ["1", "2", "__null__"]}
     with pytest.raises(ValueError):
         features.fit_one_hot(df, ["s", "n"], max_categories=2)
+
+
+def test_category_codes_text_and_numbers(spark):
+    df = spark.createDataFrame([("b", 10), ("a", 2), (None, 1), ("b", None)], "s string, n int")
+    out = features.category_codes(df, ["s", "n"]).orderBy(F.monotonically_increasing_id()).collect()
+    assert [(r.s_code, r.n_code) for r in out] == [(1, 2), (0, 1), (-1, 0), (1, -1)]
