@@ -314,6 +314,19 @@ class RunStore:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._name(name))
 
+    def compact(self, name: str, rows_per_file: int = 5_000_000) -> None:
+        """Rewrite one store table into few files (the appends leave one small file per
+        batch): write a compacted copy, then swap it in. Not atomic: run it while no
+        writer appends to that table."""
+        full, tmp = self._name(name), self._name(f"{name}__compact")
+        src = self.table(name)
+        files = max(1, -(-src.count() // rows_per_file))
+        if self.spark.catalog.tableExists(tmp):
+            self.spark.sql(f"DROP TABLE {tmp}")
+        src.coalesce(files).write.format(self.fmt).saveAsTable(tmp)
+        self.spark.sql(f"DROP TABLE {full}")
+        self.spark.sql(f"ALTER TABLE {tmp} RENAME TO {full}")
+
     def _append(self, name: str, df: DataFrame) -> None:
         target = self.table(name)
         df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.mode("append").format(

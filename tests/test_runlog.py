@@ -122,3 +122,17 @@ def test_store_nested_runs(spark):
     best = runlog.best_child(wide, "m1").first()
     assert best.parent_run_id == parent and names[best.best_run_id] == "subruns_4"
     assert best.best_value == pytest.approx(9.1)
+
+
+def test_store_compaction_keeps_rows(spark):
+    store = runlog.RunStore(spark, "tabula_compact_runs")
+    run = store.start_run("e", "r")
+    for i in range(4):
+        store.log_metrics(run, {"m": float(i)}, step=i)
+    before = sorted(map(tuple, store.table("metrics").select("key", "value", "step").collect()))
+    store.compact("metrics")
+    after = sorted(map(tuple, store.table("metrics").select("key", "value", "step").collect()))
+    assert before == after and len(after) == 4
+    assert len(store.table("metrics").inputFiles()) == 1
+    store.log_metrics(run, {"m": 9.0}, step=9)  # still appendable
+    assert store.run_data(run)["metrics"] == {"m": 9.0}
