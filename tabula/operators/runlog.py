@@ -15,7 +15,11 @@ from pyspark.sql import types as T
 
 from tabula.operators.sequence import sequence_within
 
+# The alias name the registry reserves, the run-store tag keys for a run's
+# parent and for a dataset input's context.
 RESERVED_ALIASES = ("latest",)
+PARENT_TAG = "mlflow.parentRunId"
+CONTEXT_TAG = "mlflow.data.context"
 
 RUNS = T.StructType(
     [
@@ -165,7 +169,7 @@ def versions_of(model_versions: DataFrame, name: str | None = None, run_id: str
 
 
 def child_metrics_wide(
-    runs: DataFrame, tags: DataFrame, metrics: DataFrame, keys: list[str], parent_tag: str = "mlflow.parentRunId"
+    runs: DataFrame, tags: DataFrame, metrics: DataFrame, keys: list[str], parent_tag: str = PARENT_TAG
 ) -> DataFrame:
     """One row per child run: parent id, child id, one column per metric key."""
     parents = tags.where(F.col("key") == F.lit(parent_tag)).select("run_id", F.col("value").alias("parent_run_id"))
@@ -373,7 +377,7 @@ class RunStore:
         row = [(run_id, experiment_id, run_name, "RUNNING", now, None, uri, "active", now)]
         self._append("runs", self.spark.createDataFrame(row, _STORE_TABLES["runs"]))
         if parent_run_id:
-            self.set_tags(run_id, {"mlflow.parentRunId": parent_run_id})
+            self.set_tags(run_id, {PARENT_TAG: parent_run_id})
         return run_id
 
     def end_run(self, run_id: str, status: str = "FINISHED") -> None:

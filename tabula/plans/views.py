@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabula.functions.numeric import NUMBER_PATTERN
 from tabula.functions.temporal import epoch_millis
+from tabula.operators.runlog import PARENT_TAG
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -194,7 +195,7 @@ def child_runs_from_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     runs = users.select(F.col("user_id").cast("string").alias("run_id"))
     tags = users.select(
         F.col("user_id").cast("string").alias("run_id"),
-        F.lit("mlflow.parentRunId").alias("key"),
+        F.lit(PARENT_TAG).alias("key"),
         F.concat(F.lit("parent_"), (F.col("user_id") % 10).cast("string")).alias("value"),
     )
     return runs, tags

@@ -12,9 +12,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabula.operators.runlog import CONTEXT_TAG
+
 # Numeric run status codes of the run store.
 RUN_STATUS = {"1": "RUNNING", "2": "SCHEDULED", "3": "FINISHED", "4": "FAILED", "5": "KILLED"}
 
@@ -87,7 +91,7 @@ def scan_run_tree(spark: SparkSession, root: str) -> RunTables:
     inputs = meta.where(_part(3) == "inputs").select(
         _part(4).alias("run_id"),
         _yaml("source_id").alias("dataset_id"),
-        F.regexp_extract(F.col("value"), r"mlflow\.data\.context: (\S+)", 1).alias("context"),
+        F.regexp_extract(F.col("value"), re.escape(CONTEXT_TAG) + r": (\S+)", 1).alias("context"),
     )
     profile = F.regexp_replace(_yaml("profile"), "''", "'")
     datasets = meta.where(_part(3) == "datasets").select(
