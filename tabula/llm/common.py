@@ -40,6 +40,14 @@ def small_side(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES)
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is in ``decided`` (a frame with ``id_col``); null ids match null."""
     ids = decided.select(F.col(f"`{id_col}`").alias("_kept_id")).distinct()

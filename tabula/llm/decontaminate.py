@@ -13,8 +13,9 @@ costs linear work, and only document ids and hit ranges are shuffled. The benchm
 broadcast after its size is counted; a larger one is joined by a shuffle on the fingerprint,
 which moves the blocks' words that the extension needs.
 
-A null or empty text has no words. Repeated ids count as one document with the words of all
-its rows; null ids are one id. Repeated benchmark rows count once.
+A null or empty text has no words. Rows that share an id (null is an id as well) are counted
+as one document: their words add up, and equal ranges of hit words count once. Repeated
+benchmark rows count once, items with a null id not at all.
 """
 
 from __future__ import annotations

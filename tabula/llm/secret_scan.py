@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.common import slices
+from tabula.llm.common import fresh, slices
 
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(
@@ -214,22 +214,22 @@ def with_secrets(df: DataFrame, text_col: str = "text", out: str = "secrets") ->
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``df`` with every found range of ``text_col`` replaced by ``mark``; overlapping ranges are one.
     Null stays null."""
-    made = with_secrets(df.withColumn("_text", F.col(f"`{text_col}`").cast("string")), "_text", "_secrets")
-    # ranges come by start: fold into (text so far, end of the last range)
+    whole, spans = fresh(df, "whole"), fresh(df, "spans")
+    made = with_secrets(df.withColumn(whole, F.col(f"`{text_col}`").cast("string")), whole, spans)
+
+    def step(acc, s):
+        """Ranges come by start: (text so far, end of the last range) after one more."""
+        part = F.col(whole).substr(acc["upto"] + 1, s["start"] - acc["upto"])
+        new = F.struct(F.concat(acc["done"], part, F.lit(mark)).alias("done"), s["end"].alias("upto"))
+        old = F.struct(acc["done"].alias("done"), F.greatest(acc["upto"], s["end"]).alias("upto"))
+        return F.when(s["start"] >= acc["upto"], new).otherwise(old)
+
     fold = F.aggregate(
-        F.col("_secrets"),
-        F.struct(F.lit("").alias("done"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                F.concat(acc["done"], F.expr("_text").substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("done"),
-                s["end"].alias("at"),
-            ),
-        ).otherwise(F.struct(acc["done"].alias("done"), F.greatest(acc["at"], s["end"]).alias("at"))),
-        lambda acc: F.concat(acc["done"], F.col("_text").substr(acc["at"] + 1, F.length("_text"))),
+        F.col(spans), F.struct(F.lit("").alias("done"), F.lit(0).alias("upto")), step,
+        lambda acc: F.concat(acc["done"], F.col(whole).substr(acc["upto"] + 1, F.length(whole))),
     )
-    clean = F.when(F.size("_secrets") == 0, F.col("_text")).otherwise(fold)
-    return made.withColumn(text_col, clean).drop("_text", "_secrets")
+    clean = F.when(F.size(spans) == 0, F.col(whole)).otherwise(fold)
+    return made.withColumn(text_col, clean).drop(whole, spans)
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,12 +237,15 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     own = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     base = F.filter("secrets", lambda s: s["path"] == "")
 
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     return with_secrets(own).select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[count(k) for k in KINDS],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("secrets")).alias("spans"),
     )

@@ -35,6 +35,7 @@ END_ID = 1
 #: Documents whose serialized ids train the dictionary: those of the smallest id hash.
 TRAIN_DOCS = 1_000
 DICT_BYTES = 64 << 10
+SAMPLE_BYTES = 32 << 10
 #: A shard closes at this many payload bytes or documents.
 SHARD_BYTES = 8 << 20
 SHARD_DOCS = 4_096
@@ -126,15 +127,23 @@ def _dictionary(dictionary: bytes):
 
 
 def train_dictionary(df: DataFrame, path: str, width: int, end_id: int = END_ID, train_docs: int = TRAIN_DOCS,
-                     dict_bytes: int = DICT_BYTES) -> bytes:
+                     dict_bytes: int = DICT_BYTES, sample_bytes: int = SAMPLE_BYTES) -> bytes:
     """Dictionary from at most ``train_docs`` documents (``id``, ``text``), chosen by the hash of
-    their id. Samples too small to train on give their concatenation as a raw dictionary."""
+    their id, and at most ``sample_bytes`` of each. Samples too small to train on give their concatenation as a raw dictionary."""
     import zstandard
 
-    picked = df.select("id", F.xxhash64("id").alias("_h")).orderBy("_h", "id").limit(train_docs).select("id").distinct()
-    sample = df.join(F.broadcast(picked), "id", "left_semi").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
-    texts = [r.text for r in sample.limit(train_docs).collect()]
-    blobs = [ids + end_id.to_bytes(width, "little") for ids in encoder(path, width).encode(texts)]
+    picked = df.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(train_docs).select("id").distinct()
+    sample = df.join(F.broadcast(picked), "id", "left_semi").select(F.xxhash64("id").alias("h"), "text")
+
+    def encode(batches):
+        for batch in batches:
+            for part in slices(batch):
+                made = encoder(path, width).encode(part.column(1).to_pylist())
+                blobs = [(ids + end_id.to_bytes(width, "little"))[:sample_bytes] for ids in made]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], ["h", "ids"])
+
+    rows = sample.mapInArrow(encode, "h long, ids binary").orderBy("h", "ids").limit(train_docs).collect()
+    blobs = [bytes(r.ids) for r in rows]
     try:
         return zstandard.train_dictionary(dict_bytes, blobs).as_bytes()
     except zstandard.ZstdError:
@@ -267,7 +276,7 @@ def lookup(spark: SparkSession, out: str, doc_ids: list[int]) -> DataFrame:
     asked = sorted({int(x) for x in doc_ids})
     if not asked:
         return read_shards(spark, out).select("doc_id", "ids").limit(0)
-    hit = _shards(spark, out).where(F.col("first_id") <= asked[-1]).where(F.col("last_id") >= asked[0])
+    hit = _shards(spark, out).where(F.coalesce(F.col("first_id") <= asked[-1], F.lit(True))).where(F.col("last_id") >= asked[0])
     frames = (
         hit.select("*", F.posexplode("doc_ids").alias("_i", "_id"))
         .where(F.col("_id").isin(asked))
