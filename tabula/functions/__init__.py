@@ -1,6 +1,6 @@
 """Column-expression helpers (all built-in Spark functions, no Python UDFs)."""
 
-from tabula.functions.hashing import hash_fraction, hashed_key60, row_digest32, seeded_md5
+from tabula.functions.hashing import hash_fraction, hashed_key60, row_digest60, seeded_md5
 from tabula.functions.numeric import MISSING_TOKENS, is_missing, nan_to_null, null_tokens, to_number
 from tabula.functions.temporal import cyclic, epoch_millis, years_since
 
@@ -13,7 +13,7 @@ __all__ = [
     "is_missing",
     "nan_to_null",
     "null_tokens",
-    "row_digest32",
+    "row_digest60",
     "seeded_md5",
     "to_number",
     "years_since",

@@ -28,7 +28,7 @@ def hash_fraction(key: str | Column, seed: int | str) -> Column:
     return F.conv(F.substring(seeded_md5(key, seed), 1, 8), 16, 10).cast("long")
 
 
-def row_digest32(cols: list[Column]) -> Column:
-    """32-bit md5 prefix of a row's canonical text, as a long (for order-free digests)."""
+def row_digest60(cols: list[Column]) -> Column:
+    """60-bit md5 prefix of a row's canonical text, as a long (for order-free digests)."""
     text = F.concat_ws("\u001f", *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in cols])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")

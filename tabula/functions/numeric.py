@@ -44,14 +44,18 @@ def null_tokens(c: str | Column, tokens: tuple[str, ...] = MISSING_TOKENS) -> Co
     return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
-def to_number(c: str | Column) -> Column:
+def to_number(c: str | Column, numeric: bool = False) -> Column:
     """Coerce to double: anything that is not a finite plain number becomes null.
 
     Mirrors "coerce" parsing: ``1d``/``1f`` suffixes, digit separators, hex and
-    overflow to infinity are all missing. Output is always double.
+    overflow to infinity are all missing. Output is always double. ``numeric`` says that
+    the column is a number already, so that no text is made and parsed.
     """
-    text = _col(c).cast("string")
-    parsed = F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
+    if numeric:
+        parsed = nan_to_null(_col(c).cast("double"))
+    else:
+        text = _col(c).cast("string")
+        parsed = F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
     return F.when(parsed.isin(_INF, -_INF), F.lit(None).cast("double")).otherwise(parsed)
 
 

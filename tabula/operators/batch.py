@@ -1,8 +1,8 @@
 """Batch prediction functions over Arrow batches (``mapInPandas``).
 
-A wrapped model object exposes ``predict(frame) -> values``. It is shipped to the
-executors once per task and applied to each Arrow batch, so per-row Python never
-runs; only the input columns named here cross into Python.
+A wrapped model object exposes ``predict(frame) -> values``. It is broadcast, so that an
+executor gets it once however many tasks it runs, and applied to each Arrow batch, so
+per-row Python never runs; only the input columns named here cross into Python.
 """
 
 from __future__ import annotations
@@ -58,10 +58,13 @@ def score_batches(df: DataFrame, wrapper: ModelWrapper, inputs: list[str], keep:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
     schema = f"{schema}, `{out}` string" if schema else f"`{out}` string"
 
+    shared = df.sparkSession.sparkContext.broadcast(wrapper)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared.value
         for frame in batches:
             result = frame[keep].copy()
-            result[out] = wrapper.predict(None, frame[inputs]).to_numpy()
+            result[out] = model.predict(None, frame[inputs]).to_numpy()
             yield result
 
     return df.select(*cols).mapInPandas(run, schema)

@@ -25,7 +25,7 @@ def require_columns(df: DataFrame, cols) -> None:
 
 def replace_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     """Replace or append columns in one projection, keeping the column order."""
-    out = [new[c].alias(c) if c in new else F.col(c) for c in df.columns]
+    out = [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns]
     out += [expr.alias(name) for name, expr in new.items() if name not in df.columns]
     return df.select(*out)
 
@@ -38,7 +38,8 @@ def normalize_missing(df: DataFrame, cols, tokens: tuple[str, ...] = MISSING_TOK
 def coerce_numeric(df: DataFrame, cols) -> DataFrame:
     """Parse ``cols`` to double; unparseable or non-finite values become null."""
     require_columns(df, cols)
-    return replace_columns(df, {c: to_number(c) for c in cols})
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return replace_columns(df, {c: to_number(c, numeric=isinstance(kinds[c], T.NumericType)) for c in cols})
 
 
 def nan_to_nulls(df: DataFrame, cols=None) -> DataFrame:

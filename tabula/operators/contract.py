@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.functions.hashing import row_digest32
+from tabula.functions.hashing import row_digest60
 from tabula.operators.clean import MissingColumnsError
 
 
@@ -36,6 +36,16 @@ def required_nulls(df: DataFrame, cols) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).unpivot([], list(cols), "column", "n_null")
 
 
+def required_report(df: DataFrame, cols) -> DataFrame:
+    """(column, missing, n_null) for columns that a contract requires; n_null is null for one
+    that is missing."""
+    there, absent = [c for c in cols if c in df.columns], [c for c in cols if c not in df.columns]
+    out = df.sparkSession.createDataFrame([(c, True, None) for c in absent], "column string, missing boolean, n_null bigint")
+    if there:
+        out = required_nulls(df, there).select("column", F.lit(False).alias("missing"), "n_null").unionByName(out)
+    return out
+
+
 def profile(df: DataFrame, name: str = "dataset", digest_cols=None) -> DataFrame:
     """One row: name, num_rows, num_columns, num_elements, schema JSON; with
     ``digest_cols`` also the content digest of those columns, in the same pass."""
@@ -56,12 +66,12 @@ def profile(df: DataFrame, name: str = "dataset", digest_cols=None) -> DataFrame
 
 
 def _digest_sum(cols):
-    h = row_digest32([F.col(c) for c in cols]).cast("decimal(20,0)")
+    h = row_digest60([F.col(c) for c in cols]).cast("decimal(38,0)")
     return F.sum(h).cast("string")
 
 
 def digest(df: DataFrame, cols=None) -> DataFrame:
-    """Order-insensitive content digest: decimal sum of per-row 32-bit md5 prefixes.
+    """Order-insensitive content digest: decimal sum of per-row 60-bit md5 prefixes.
 
     A sum, not a xor, so that repeated rows do not cancel; decimal so it cannot overflow.
     """

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabula.functions.temporal import cyclic, years_since
 from tabula.operators.clean import coerce_numeric, ids_to_string, replace_columns, require_columns
@@ -56,116 +58,118 @@ def preprocess(df: DataFrame, spec: FeatureSpec, month_col: str | None = None, p
 
 @dataclass
 class Dictionary:
-    """Sorted distinct non-null values of one column -> dense code 0..n-1."""
+    """Sorted distinct values of one column (neither null nor NaN) -> dense code 0..n-1."""
 
     column: str
-    values: list | None  # driver-side list when small
-    table: DataFrame | None  # (value, code) when large
+    table: DataFrame  # (value, code)
 
     def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
+        """``df`` plus the code of ``column``; missing and unseen values get -1. Catalyst picks
+        a broadcast or a shuffled join from the dictionary's size."""
         out = out or f"{self.column}_code"
-        c = F.col(self.column)
-        if self.values is not None:
-            if not self.values:
-                return replace_columns(df, {out: F.lit(-1)})
-            codes = F.create_map(*[x for i, v in enumerate(self.values) for x in (F.lit(v), F.lit(i))])
-            return replace_columns(df, {out: F.coalesce(F.try_element_at(codes, c), F.lit(-1))})
-        table = self.table.withColumnRenamed("value", "_dict_value").withColumnRenamed("code", "_dict_code")
-        joined = df.join(table, c == F.col("_dict_value"), "left")
-        return replace_columns(joined, {out: F.coalesce(F.col("_dict_code"), F.lit(-1))}).drop(
-            "_dict_value", "_dict_code"
-        )
+        table = self.table.select(F.col("value").alias("_dict_value"), F.col("code").alias("_dict_code"))
+        joined = df.join(table, F.col(self.column) == F.col("_dict_value"), "left")
+        return replace_columns(joined, {out: F.coalesce(F.col("_dict_code"), F.lit(-1))}).drop("_dict_value", "_dict_code")
 
 
-def fit_dictionary(df: DataFrame, col: str, max_local: int = 10_000) -> Dictionary:
-    """Fit a category dictionary.
+def fit_dictionary(df: DataFrame, col: str | Column, name: str | None = None) -> Dictionary:
+    """Category dictionary of a column, or of an expression over ``df`` that stands for the
+    column ``name``: its distinct values, numbered in sorted order by the sequence operator.
+    Nothing but a count reaches the driver, at any size."""
+    value = F.col(col) if isinstance(col, str) else col
+    values = df.select(value.alias("value")).where(F.col("value").isNotNull())
+    if isinstance(values.schema["value"].dataType, (T.DoubleType, T.FloatType)):
+        values = values.where(~F.isnan("value"))
+    table = sequence_within(values.distinct(), [], ["value"], out="code")
+    return Dictionary(name or str(col), table.select("value", (F.col("code") - 1).cast("int").alias("code")))
 
-    Small dictionaries (checked by count) travel as a literal map inside the plan;
-    larger ones stay a DataFrame numbered by the skew-proof sequence operator and
-    are joined (AQE picks broadcast or shuffle from the real size).
-    """
-    distinct = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    head = distinct.limit(max_local + 1).collect()
-    if len(head) <= max_local:
-        return Dictionary(col, sorted(r[0] for r in head), None)
-    table = sequence_within(distinct, [], ["value"], out="code").withColumn("code", F.col("code") - 1)
-    return Dictionary(col, None, table.select("value", F.col("code").cast("int").alias("code")))
-
-
-def fit_dictionaries(df: DataFrame, cols, max_local: int = 10_000) -> dict:
-    """Dictionaries of several columns: the small ones come from one stacked job (at most
-    ``len(cols) * max_local + 1`` values reach the driver); a column past the cap gets the
-    distributed dictionary of ``fit_dictionary``."""
-    cols = list(cols)
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("_p")
-    typed = {c: F.col(c) for c in cols}
-    rows = (
-        df.select(pairs)
-        .select("_p.c", "_p.v")
-        .where(F.col("v").isNotNull())
-        .distinct()
-        .limit(len(cols) * max_local + 1)
-        .collect()
-    )
-    found: dict = {c: [] for c in cols}
-    for r in rows:
-        found[r["c"]].append(r["v"])
-    complete = len(rows) <= len(cols) * max_local
-    out = {}
-    for c in cols:
-        if complete and len(found[c]) <= max_local and dict(df.dtypes)[c] == "string":
-            out[c] = Dictionary(c, sorted(found[c]), None)
-        else:  # non-text columns keep their own ordering; large ones are distributed
-            out[c] = fit_dictionary(df.select(typed[c]), c, max_local)
-    return out
-
-
-def category_codes(df: DataFrame, cols, max_local: int = 10_000) -> DataFrame:
+
+def category_codes(df: DataFrame, cols) -> DataFrame:
     """Append ``<col>_code`` for each column: sorted-value code, missing -> -1."""
-    for col, dictionary in fit_dictionaries(df, cols, max_local).items():
+    fitted = [fit_dictionary(df, col) for col in cols]
+    for dictionary in fitted:
         df = dictionary.transform(df)
     return df
 
 
+def _category(col: str) -> Column:
+    """Text of a category; missing is a category of its own."""
+    return F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(NULL_CATEGORY))
+
+
 @dataclass
 class OneHot:
-    """Fitted one-hot encoder: sorted categories per column (missing at fit is its own category)."""
+    """Fitted one-hot encoder for columns whose categories become columns of a wide table:
+    sorted categories per column (missing at fit is its own category)."""
 
     categories: dict[str, list[str]]
 
+    def names(self) -> dict[tuple[str, str], str]:
+        """(column, category) -> output column: ``column_category`` without characters that a column
+        reference would have to quote; a name that is taken gets a number."""
+        out: dict[tuple[str, str], str] = {}
+        taken: set[str] = set()
+        for col, vals in self.categories.items():
+            for v in vals:
+                base = name = re.sub(r"[.`]", "_", f"{col}_{v}")
+                n = 1
+                while name.lower() in taken:
+                    n += 1
+                    name = f"{base}__{n}"
+                taken.add(name.lower())
+                out[col, v] = name
+        return out
+
     def column_names(self) -> list[str]:
-        return [f"{c}_{v}" for c, vals in self.categories.items() for v in vals]
+        return list(self.names().values())
 
     def transform(self, df: DataFrame, keep_source: bool = True) -> DataFrame:
         """Add one 0/1 double column per category; unseen values give an all-zero block."""
-        new = {}
-        for col, vals in self.categories.items():
-            key = F.coalesce(F.col(col).cast("string"), F.lit(NULL_CATEGORY))
-            for v in vals:
-                new[f"{col}_{v}"] = F.when(key == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0))
+        new = {
+            name: F.when(_category(col) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)) for (col, v), name in self.names().items()
+        }
         out = replace_columns(df, new)
         return out if keep_source else out.drop(*self.categories)
 
 
-def fit_one_hot(df: DataFrame, cols, max_categories: int = 1_000) -> OneHot:
-    """Collect the category set of every column in one job (columns stacked as
-    (column, value) rows inside each task); at most ``len(cols) * max_categories + 1``
-    rows reach the driver, and a column over the cap is an error."""
+def fit_one_hot(df: DataFrame, cols) -> OneHot:
+    """The category set of every column, in one job (columns stacked as (column, value) rows
+    inside each task). Each category becomes a column, so all of them come to the driver; a
+    column with more than a table can have columns is for ``fit_one_hot_slots``."""
     cols = list(cols)
     require_columns(df, cols)
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("c"), F.coalesce(F.col(c).cast("string"), F.lit(NULL_CATEGORY)).alias("v"))
-                for c in cols
-            ]
-        )
-    ).alias("_p")
-    rows = df.select(pairs).select("_p.c", "_p.v").distinct().limit(len(cols) * max_categories + 1).collect()
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), _category(c).alias("v")) for c in cols])).alias("_p")
     cats: dict = {c: [] for c in cols}
-    for r in rows:
+    for r in df.select(pairs).select("_p.c", "_p.v").distinct().collect():
         cats[r["c"]].append(r["v"])
-    over = [c for c, vals in cats.items() if len(vals) > max_categories]
-    if over or len(rows) > len(cols) * max_categories:
-        raise ValueError(f"more than {max_categories} categories in {over or cols}")
     return OneHot({c: sorted(vals) for c, vals in cats.items()})
+
+
+@dataclass
+class OneHotSlots:
+    """Fitted one-hot encoder of one column with any number of categories: the block is a sparse
+    struct, and the categories stay a table."""
+
+    dictionary: Dictionary
+
+    def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
+        """``df`` plus ``out`` = struct(size, indices, values); unseen values have no index."""
+        column = self.dictionary.column
+        out = out or f"{column}_slots"
+        size = self.dictionary.table.agg(F.count(F.lit(1)).cast("int").alias("_size"))
+        coded = Dictionary("_category", self.dictionary.table).transform(df.withColumn("_category", _category(column)), "_slot")
+        seen = F.col("_slot") >= 0
+        block = F.struct(
+            F.col("_size").alias("size"),
+            F.when(seen, F.array("_slot")).otherwise(F.array().cast("array<int>")).alias("indices"),
+            F.when(seen, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+        )
+        # the size is one row
+        joined = coded.crossJoin(F.broadcast(size))
+        return replace_columns(joined, {out: block}).drop("_category", "_slot", "_size")
+
+
+def fit_one_hot_slots(df: DataFrame, col: str) -> OneHotSlots:
+    """One-hot encoder of ``col`` without a limit on its categories (missing is one of them)."""
+    require_columns(df, [col])
+    return OneHotSlots(fit_dictionary(df, _category(col), name=col))

@@ -9,6 +9,12 @@ aggregations (partial aggregation, so a run with huge histories stays cheap).
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +60,8 @@ MODEL_VERSIONS = T.StructType(
         T.StructField("created", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("signature", T.StringType()),
+        T.StructField("input_example", T.StringType()),
     ]
 )
 MODEL_ALIASES = T.StructType(
@@ -104,39 +112,53 @@ def search_runs(
     metrics: DataFrame | None = None,
     tags: DataFrame | None = None,
     *,
+    params: DataFrame | None = None,
+    experiments: DataFrame | None = None,
     experiment_ids=None,
+    experiment_names=None,
     status: str | None = None,
+    lifecycle_stage: str | None = None,
     started_after_ms: int | None = None,
     name_like: str | None = None,
     name_equals: str | None = None,
     metric_gt: dict | None = None,
+    param_eq: dict | None = None,
     tag_eq: dict | None = None,
     tag_ne: dict | None = None,
 ) -> DataFrame:
     """Runs matching every given condition (a conjunction).
 
     A tag condition ``!=`` needs the tag to be present (semi join with ``<>``), and a
-    metric condition applies to the latest value of that key.
+    metric condition applies to the latest value of that key. The conditions on the runs
+    themselves come first; only histories of runs that are left, and only of the keys asked
+    for, are reduced, once for all metric conditions.
     """
     out = runs
     if experiment_ids is not None:
         out = out.where(F.col("experiment_id").isin(list(experiment_ids)))
+    if experiment_names is not None:
+        named = experiments.where(F.col("name").isin(list(experiment_names))).select("experiment_id")
+        out = out.join(named, "experiment_id", "left_semi")
     if status is not None:
         out = out.where(F.col("status") == F.lit(status))
+    if lifecycle_stage is not None:
+        out = out.where(F.col("lifecycle_stage") == F.lit(lifecycle_stage))
     if started_after_ms is not None:
         out = out.where(F.col("start_time") > F.lit(started_after_ms))
     if name_like is not None:
         out = out.where(F.col("run_name").like(name_like))
     if name_equals is not None:
         out = out.where(F.col("run_name") == F.lit(name_equals))
+    for rows, conds, op in ((params, param_eq, "="), (tags, tag_eq, "="), (tags, tag_ne, "!=")):
+        for key, value in (conds or {}).items():
+            out = out.join(_tag_filter(rows, key, value, op), "run_id", "left_semi")
     if metric_gt:
-        latest = latest_metrics(metrics)
+        asked = metrics.where(F.col("key").isin(list(metric_gt))).join(out.select("run_id"), "run_id", "left_semi")
+        holds = F.lit(False)
         for key, bound in metric_gt.items():
-            hit = latest.where((F.col("key") == F.lit(key)) & (F.col("value") > F.lit(bound))).select("run_id")
-            out = out.join(hit, "run_id", "left_semi")
-    for conds, op in ((tag_eq, "="), (tag_ne, "!=")):
-        for key, value in (conds or {}).items():
-            out = out.join(_tag_filter(tags, key, value, op), "run_id", "left_semi")
+            holds = holds | ((F.col("key") == F.lit(key)) & (F.col("value") > F.lit(bound)))
+        hit = latest_metrics(asked).where(holds).groupBy("run_id").count().where(F.col("count") == len(metric_gt))
+        out = out.join(hit.select("run_id"), "run_id", "left_semi")
     return out
 
 
@@ -147,7 +169,7 @@ def newest(runs: DataFrame, n: int = 1) -> DataFrame:
 
 def experiments_by_tag(experiments: DataFrame, experiment_tags: DataFrame, key: str, value: str) -> DataFrame:
     """Experiments carrying tag ``key = value`` (latest value of the tag)."""
-    current = upsert_latest(experiment_tags, ["experiment_id", "key"], "ts")
+    current = upsert_latest(experiment_tags, ["experiment_id", "key"], "ts", tiebreak=_written(experiment_tags))
     hit = current.where((F.col("key") == F.lit(key)) & (F.col("value") == F.lit(value))).select("experiment_id")
     return experiments.join(hit, "experiment_id", "left_semi")
 
@@ -195,12 +217,16 @@ def best_child(wide: DataFrame, metric: str, maximize: bool = True) -> DataFrame
 
 
 def merge_params(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Classify new params against logged ones: ``new``, ``same`` (already logged with
-    that value, dropped) or ``conflict`` (logged with another value, rejected)."""
+    """Classify new params against logged ones and each other: ``new``, ``same`` (already logged
+    with that value, dropped) or ``conflict`` (logged, or given in the same batch, with another
+    value, rejected). Equal rows of the batch are one."""
     old = existing.select("run_id", "key", F.col("value").alias("_old"), F.lit(True).alias("_seen"))
-    j = new.join(old, ["run_id", "key"], "left")
+    rows = new.select("run_id", "key", "value").distinct()
+    given = rows.groupBy("run_id", "key").agg(F.count(F.lit(1)).alias("_given"))
+    j = rows.join(given, ["run_id", "key"]).join(old, ["run_id", "key"], "left")
     outcome = (
-        F.when(F.col("_seen").isNull(), F.lit("new"))
+        F.when(F.col("_given") > 1, F.lit("conflict"))
+        .when(F.col("_seen").isNull(), F.lit("new"))
         .when(F.col("_old").eqNullSafe(F.col("value")), F.lit("same"))
         .otherwise(F.lit("conflict"))
     )
@@ -228,6 +254,12 @@ def upsert_latest(rows: DataFrame, keys: list[str], ts_col: str, tiebreak: list[
     return rows.groupBy(*keys).agg(best.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
+def alias_allowed(alias: str | Column) -> Column:
+    """Whether an alias may be set: the reserved names, in any case, may not."""
+    alias = F.col(alias) if isinstance(alias, str) else alias
+    return ~F.lower(alias).isin(list(RESERVED_ALIASES))
+
+
 def check_alias(alias: str) -> str:
     """Reserved alias names are refused on set and on load."""
     if alias.lower() in RESERVED_ALIASES:
@@ -235,6 +267,11 @@ def check_alias(alias: str) -> str:
     return alias
 
 
+def _written(rows: DataFrame) -> list[str]:
+    """The write order of store rows, where a table has it."""
+    return ["seq"] if "seq" in rows.columns else []
+
+
 def assign_versions(
     registrations: DataFrame,
     existing: DataFrame | None,
@@ -254,47 +291,66 @@ def assign_versions(
     return out.withColumn("version", base + F.col("_seq")).drop("_seq", "_top")
 
 
-def resolve_alias(aliases: DataFrame, versions: DataFrame, name: str, alias: str) -> DataFrame:
-    """alias -> version -> run row of the registered model (current alias value)."""
+def resolve_aliases(aliases: DataFrame, versions: DataFrame, runs: DataFrame | None = None,
+                    tiebreak: list[str] | None = None) -> DataFrame:
+    """Every alias -> the version it points to now; with ``runs`` also -> the run that made the
+    version and its artifact folder. An alias of a version that is not there gives no row."""
+    current = upsert_latest(aliases, ["name", "alias"], "ts", tiebreak=tiebreak or _written(aliases))
+    out = current.select("name", "alias", "version").join(versions, ["name", "version"])
+    if runs is not None:
+        out = out.join(runs.select("run_id", "run_name", "artifact_uri"), "run_id", "left")
+    return out
+
+
+def resolve_alias(aliases: DataFrame, versions: DataFrame, name: str, alias: str, runs: DataFrame | None = None) -> DataFrame:
+    """One alias of one model, as ``resolve_aliases``."""
     check_alias(alias)
-    current = upsert_latest(aliases, ["name", "alias"], "ts")
-    hit = current.where((F.col("name") == F.lit(name)) & (F.col("alias") == F.lit(alias))).select("name", "version")
-    return hit.join(versions, ["name", "version"], "inner")
+    own = aliases.where((F.col("name") == F.lit(name)) & (F.col("alias") == F.lit(alias)))
+    return resolve_aliases(own, versions.where(F.col("name") == F.lit(name)), runs).drop("alias")
 
 
-def run_inputs(inputs: DataFrame, datasets: DataFrame, run_id: str) -> DataFrame:
-    """Datasets a run consumed, with their context tag."""
-    return (
-        inputs.where(F.col("run_id") == F.lit(run_id))
-        .join(datasets, inputs["dataset_digest"] == datasets["digest"], "inner")
-        .drop("dataset_digest")
-    )
+def run_inputs(inputs: DataFrame, datasets: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Datasets that runs (or one run) consumed, with their context tag."""
+    if run_id is not None:
+        inputs = inputs.where(F.col("run_id") == F.lit(run_id))
+    return inputs.join(datasets, inputs["dataset_digest"] == datasets["digest"], "inner").drop("dataset_digest")
 
 
-# ---------------------------------------------------------------- table-backed store
+def run_lookup(run_id: str, runs: DataFrame, metrics: DataFrame, params: DataFrame, tags: DataFrame) -> DataFrame:
+    """One run as rows (kind, key, value text): its fields, latest metrics, params and tags."""
+    mine = F.col("run_id") == F.lit(run_id)
+    run = runs.where(mine)
+    fields = run.select(*[F.col(c).cast("string") for c in run.columns]).unpivot([], run.columns, "key", "value")
+    rows = fields.select(F.lit("info").alias("kind"), "key", "value")
+    for kind, part in (("metric", latest_metrics(metrics.where(mine))), ("param", params.where(mine)), ("tag", tags.where(mine))):
+        rows = rows.unionByName(part.select(F.lit(kind).alias("kind"), "key", F.col("value").cast("string").alias("value")))
+    return rows
 
 
-def relative_bound_ms(seconds_ago: float, now_s: float | None = None) -> int:
-    """Epoch-ms bound ``seconds_ago`` before now (a parameter for run searches)."""
-    import time
+# ---------------------------------------------------------------- table-backed store
+
 
-    return int((time.time() if now_s is None else now_s) - seconds_ago) * 1000
+def relative_bound_ms(seconds_ago: float, now_ms: int | None = None) -> int:
+    """Epoch milliseconds of a moment ``seconds_ago`` before now, for run searches."""
+    if now_ms is None:
+        now_ms = time.time_ns() // 1_000_000
+    return now_ms - round(seconds_ago * 1000)
 
 
 _STORE_TABLES = {
     "runs": "run_id string, experiment_id string, run_name string, status string, start_time bigint, "
-    "end_time bigint, artifact_uri string, lifecycle_stage string, updated bigint",
+    "end_time bigint, artifact_uri string, lifecycle_stage string, updated bigint, seq bigint",
     "metrics": "run_id string, key string, ts bigint, value double, step bigint",
     "params": "run_id string, key string, value string",
-    "tags": "run_id string, key string, value string, ts bigint",
+    "tags": "run_id string, key string, value string, ts bigint, seq bigint",
     "inputs": "run_id string, dataset_digest string, context string",
     "datasets": "digest string, name string, source_type string, source string, schema string, "
     "num_rows bigint, num_elements bigint",
     "model_versions": "name string, version bigint, run_id string, source string, created bigint, status string, "
-    "tags map<string,string>",
-    "model_aliases": "name string, alias string, version bigint, ts bigint",
+    "tags map<string,string>, signature string, input_example string",
+    "model_aliases": "name string, alias string, version bigint, ts bigint, seq bigint",
     "experiments": "experiment_id string, name string, creation_time bigint, lifecycle_stage string",
-    "experiment_tags": "experiment_id string, key string, value string, ts bigint",
+    "experiment_tags": "experiment_id string, key string, value string, ts bigint, seq bigint",
 }
 
 
@@ -302,11 +358,16 @@ class RunStore:
     """Run log and model registry kept as append-only tables in one database.
 
     Current state (run status, tag values, alias targets) is read back with
-    ``upsert_latest`` over the appended rows, so writers never rewrite a table.
+    ``upsert_latest`` over the appended rows, so writers never rewrite a table. Rows carry the
+    order of their writing (``seq``), which decides between rows of the same millisecond.
+    Inside ``with store.batch():`` the rows are held back, and each table is written once, the
+    tables side by side, when the block ends without an error.
     """
 
     def __init__(self, spark, database: str = "runlog", fmt: str = "parquet", artifact_root: str | None = None) -> None:
         self.spark, self.db, self.fmt, self.artifact_root = spark, database, fmt, artifact_root
+        self._held: dict[str, list[tuple]] | None = None
+        self._last_seq = 0
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, ddl in _STORE_TABLES.items():
             if not spark.catalog.tableExists(self._name(name)):
@@ -331,100 +392,135 @@ class RunStore:
         self.spark.sql(f"DROP TABLE {full}")
         self.spark.sql(f"ALTER TABLE {tmp} RENAME TO {full}")
 
-    def _append(self, name: str, df: DataFrame) -> None:
-        target = self.table(name)
-        df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.mode("append").format(
-            self.fmt
-        ).saveAsTable(self._name(name))
+    def _append(self, name: str, rows: list[tuple]) -> None:
+        """Rows in the order of the table's columns."""
+        if not rows:
+            return
+        if self._held is not None:
+            self._held.setdefault(name, []).extend(rows)
+            return
+        frame = self.spark.createDataFrame(rows, _STORE_TABLES[name]).coalesce(1)
+        frame.write.mode("append").format(self.fmt).saveAsTable(self._name(name))
+
+    def _pending(self, name: str) -> list[tuple]:
+        return (self._held or {}).get(name, [])
+
+    @contextmanager
+    def batch(self):
+        """Hold rows back and write each table once at the end; nothing is written on an error."""
+        if self._held is not None:
+            yield self
+            return
+        self._held = {}
+        try:
+            yield self
+            held = self._held
+        finally:
+            self._held = None
+        with ThreadPoolExecutor(max_workers=max(1, min(4, len(held)))) as pool:
+            list(pool.map(lambda item: self._append(*item), held.items()))
 
     @staticmethod
     def _now() -> int:
-        import time
+        return time.time_ns() // 1_000_000
 
-        return int(time.time() * 1000)
+    def _seq(self) -> int:
+        """Grows with every row that this store writes, and with time across stores."""
+        self._last_seq = max(self._last_seq + 1, time.time_ns())
+        return self._last_seq
 
     # experiments -----------------------------------------------------
     def create_experiment(self, name: str, tags: dict | None = None) -> str:
         """Experiment id for ``name``, created on first use."""
-        import uuid
-
         found = self.table("experiments").where(F.col("name") == name).select("experiment_id").limit(1).collect()
-        if found:
-            exp_id = found[0][0]
-        else:
-            exp_id = uuid.uuid4().hex
-            row = [(exp_id, name, self._now(), "active")]
-            self._append("experiments", self.spark.createDataFrame(row, _STORE_TABLES["experiments"]))
+        found = [tuple(r) for r in found] or [r for r in self._pending("experiments") if r[1] == name]
+        exp_id = found[0][0] if found else uuid.uuid4().hex
+        if not found:
+            self._append("experiments", [(exp_id, name, self._now(), "active")])
         if tags:
             self.set_experiment_tags(exp_id, tags)
         return exp_id
 
     def set_experiment_tags(self, experiment_id: str, tags: dict) -> None:
         now = self._now()
-        rows = [(experiment_id, k, str(v), now) for k, v in tags.items()]
-        self._append("experiment_tags", self.spark.createDataFrame(rows, _STORE_TABLES["experiment_tags"]))
+        self._append("experiment_tags", [(experiment_id, k, str(v), now, self._seq()) for k, v in tags.items()])
 
     def search_experiments(self, key: str, value: str) -> DataFrame:
         return experiments_by_tag(self.table("experiments"), self.table("experiment_tags"), key, value)
 
     # runs ------------------------------------------------------------
-    def start_run(self, experiment_id: str, run_name: str, parent_run_id: str | None = None) -> str:
-        import uuid
-
+    def start_run(self, experiment_id: str, run_name: str, parent_run_id: str | None = None, tags: dict | None = None) -> str:
+        """Id of a new run; ``tags`` (such as a code version) are set at its start."""
         run_id = uuid.uuid4().hex
         now = self._now()
         uri = f"{self.artifact_root.rstrip('/')}/{run_id}/artifacts" if self.artifact_root else None
-        row = [(run_id, experiment_id, run_name, "RUNNING", now, None, uri, "active", now)]
-        self._append("runs", self.spark.createDataFrame(row, _STORE_TABLES["runs"]))
-        if parent_run_id:
-            self.set_tags(run_id, {PARENT_TAG: parent_run_id})
+        with self.batch():
+            self._append("runs", [(run_id, experiment_id, run_name, "RUNNING", now, None, uri, "active", now, self._seq())])
+            tags = {**(tags or {}), **({PARENT_TAG: parent_run_id} if parent_run_id else {})}
+            if tags:
+                self.set_tags(run_id, tags)
         return run_id
 
+    def _run_row(self, run_id: str) -> tuple | None:
+        """The current row of a run, held back or written."""
+        held = [r for r in self._pending("runs") if r[0] == run_id]
+        if held:
+            return held[-1]
+        mine = self.table("runs").where(F.col("run_id") == run_id)  # pushed to the scan
+        row = upsert_latest(mine, ["run_id"], "updated", tiebreak=["seq"]).select(*mine.columns).first()
+        return None if row is None else tuple(row)
+
     def end_run(self, run_id: str, status: str = "FINISHED") -> None:
-        cur = self.runs().where(F.col("run_id") == run_id)
+        row = self._run_row(run_id)
+        if row is None:
+            raise KeyError(run_id)
         now = self._now()
-        self._append(
-            "runs",
-            cur.withColumn("status", F.lit(status)).withColumn("end_time", F.lit(now)).withColumn("updated", F.lit(now)),
-        )
+        self._append("runs", [(*row[:3], status, row[4], now, *row[6:8], now, self._seq())])
 
     def log_document(self, run_id: str, name: str, doc: dict) -> str:
         """Write a JSON document under the run's artifact folder (shared storage) and return its path."""
-        import json
-
-        uri = self.runs().where(F.col("run_id") == run_id).select("artifact_uri").first()
-        if uri is None or uri[0] is None:
+        row = self._run_row(run_id)
+        if row is None or row[6] is None:
             raise ValueError("the store has no artifact_root, or the run is unknown")
-        path = f"{uri[0]}/{name}"
+        path = f"{row[6]}/{name}"
         self.spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(path)
         return path
 
     def runs(self) -> DataFrame:
         """Current state of every run."""
-        return upsert_latest(self.table("runs"), ["run_id"], "updated", tiebreak=["status"])
+        return upsert_latest(self.table("runs"), ["run_id"], "updated", tiebreak=["seq"]).drop("seq")
+
+    def search_runs(self, **conditions) -> DataFrame:
+        """``search_runs`` over the store's tables."""
+        return search_runs(self.runs(), self.table("metrics"), self.tags(), params=self.table("params"),
+                           experiments=self.table("experiments"), **conditions)
 
     # metrics / params / tags -----------------------------------------
     def log_metrics(self, run_id: str, metrics, step: int = 0) -> None:
-        """``metrics``: a dict or a DataFrame of (key, value) rows."""
+        """``metrics``: a dict, or a DataFrame of (key, value) rows, a few per class."""
         now = self._now()
-        if isinstance(metrics, dict):
-            metrics = self.spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "key string, value double")
-        rows = metrics.select(F.lit(run_id).alias("run_id"), "key", F.lit(now).alias("ts"), "value",
-                              F.lit(step).cast("long").alias("step"))
-        self._append("metrics", rows)
+        if not isinstance(metrics, dict):
+            metrics = {r["key"]: r["value"] for r in metrics.select("key", "value").collect()}
+        self._append("metrics", [(run_id, k, now, float(v), int(step)) for k, v in metrics.items()])
 
     def log_params(self, run_id: str, params: dict) -> None:
-        new = self.spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()], _STORE_TABLES["params"])
-        logged = self.table("params").where(F.col("run_id") == run_id)  # pushed to the scan
-        self._append("params", params_to_append(logged, new))
+        held = {(r[0], r[1]): r[2] for r in self._pending("params")}
+        new = {k: str(v) for k, v in params.items()}
+        bad = [(run_id, k, held[run_id, k], v) for k, v in new.items() if held.get((run_id, k), v) != v]
+        if bad:
+            raise ParamConflictError(bad)
+        fresh = [(run_id, k, v) for k, v in new.items() if (run_id, k) not in held]
+        if fresh:
+            logged = self.table("params").where(F.col("run_id") == run_id)  # pushed to the scan
+            rows = params_to_append(logged, self.spark.createDataFrame(fresh, _STORE_TABLES["params"])).collect()
+            self._append("params", [tuple(r) for r in rows])
 
     def set_tags(self, run_id: str, tags: dict) -> None:
         now = self._now()
-        rows = [(run_id, k, str(v), now) for k, v in tags.items()]
-        self._append("tags", self.spark.createDataFrame(rows, _STORE_TABLES["tags"]))
+        self._append("tags", [(run_id, k, str(v), now, self._seq()) for k, v in tags.items()])
 
     def tags(self) -> DataFrame:
-        return upsert_latest(self.table("tags"), ["run_id", "key"], "ts", tiebreak=["value"]).drop("ts")
+        return upsert_latest(self.table("tags"), ["run_id", "key"], "ts", tiebreak=["seq"]).drop("ts", "seq")
 
     def run_data(self, run_id: str) -> dict:
         """{'metrics': {...}, 'params': {...}, 'tags': {...}} of one run (bounded by its key count)."""
@@ -434,36 +530,42 @@ class RunStore:
         t = {r.key: r.value for r in pick(self.tags()).collect()}
         return {"metrics": m, "params": p, "tags": t}
 
-    def log_input(self, run_id: str, profile_row, digest: str, context: str, source: str = "table") -> None:
-        ds = [(digest, profile_row["name"], source, profile_row["name"], profile_row["schema"], profile_row["num_rows"],
-               profile_row["num_elements"])]
+    # datasets --------------------------------------------------------
+    def log_input(self, run_id: str, profile_row, digest: str, context: str, table: str | None = None) -> None:
+        """Record the dataset that a run consumed; ``table`` is the full name it can be read by."""
         known = self.table("datasets").where(F.col("digest") == digest).limit(1).count()
-        if not known:
-            self._append("datasets", self.spark.createDataFrame(ds, _STORE_TABLES["datasets"]))
-        self._append("inputs", self.spark.createDataFrame([(run_id, digest, context)], _STORE_TABLES["inputs"]))
+        if not known and not any(r[0] == digest for r in self._pending("datasets")):
+            p = profile_row
+            row = (digest, p["name"], "table", table or p["name"], p["schema"], p["num_rows"], p["num_elements"])
+            self._append("datasets", [row])
+        self._append("inputs", [(run_id, digest, context)])
+
+    def load_input(self, run_id: str, context: str = "training") -> DataFrame:
+        """The dataset that a run consumed, read from the table it was recorded with."""
+        mine = run_inputs(self.table("inputs"), self.table("datasets"), run_id)
+        row = mine.where(F.col("context") == context).select("source").first()
+        if row is None:
+            raise KeyError(f"run {run_id} has no {context} input")
+        return self.spark.table(row["source"])
 
     # registry --------------------------------------------------------
-    def register_model(self, name: str, run_id: str, source: str, tags: dict | None = None) -> int:
-        """Append the next version of ``name`` and return its number."""
-        regs = self.spark.createDataFrame([(name, run_id, source, self._now())],
-                                          "name string, run_id string, source string, created bigint")
-        existing = self.table("model_versions").where(F.col("name") == name)
-        top = existing.agg(F.max("version")).first()[0] or 0
-        row = regs.select("name", F.lit(top + 1).cast("long").alias("version"), "run_id", "source", "created",
-                          F.lit("READY").alias("status"),
-                          F.create_map(*[F.lit(x) for kv in (tags or {}).items() for x in (kv[0], str(kv[1]))])
-                          .cast("map<string,string>").alias("tags"))
-        self._append("model_versions", row)
-        return top + 1
+    def register_model(self, name: str, run_id: str, source: str, tags: dict | None = None,
+                       signature: str | None = None, input_example: str | None = None) -> int:
+        """Append the next version of ``name`` and return its number. ``signature`` is the model's
+        input contract and ``input_example`` a row that meets it, both as JSON."""
+        top = self.table("model_versions").where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
+        version = max([top, *(r[1] for r in self._pending("model_versions") if r[0] == name)]) + 1
+        labels = {k: str(v) for k, v in (tags or {}).items()}
+        self._append("model_versions", [(name, version, run_id, source, self._now(), "READY", labels, signature, input_example)])
+        return version
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
         check_alias(alias)
-        row = [(name, alias, int(version), self._now())]
-        self._append("model_aliases", self.spark.createDataFrame(row, _STORE_TABLES["model_aliases"]))
+        self._append("model_aliases", [(name, alias, int(version), self._now(), self._seq())])
 
     def resolve(self, name: str, alias: str):
-        """The model-version row an alias points to (raises when absent)."""
-        got = resolve_alias(self.table("model_aliases"), self.table("model_versions"), name, alias).first()
+        """The version an alias points to, with the run that made it and its artifacts (raises when absent)."""
+        got = resolve_alias(self.table("model_aliases"), self.table("model_versions"), name, alias, self.runs()).first()
         if got is None:
             raise KeyError(f"{name}@{alias}")
         return got

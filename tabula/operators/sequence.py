@@ -1,11 +1,11 @@
 """Skew-proof ``row_number() over (partition by g order by o)``.
 
-A plain window puts each group in one task, so a group holding a third of the
-rows becomes a third of the job in one task. Here the rows are range partitioned
-on (g, o) instead, which spreads a hot group over many partitions. Each row's
-position inside its partition comes from ``monotonically_increasing_id`` right
-after the sort; a small table of (g, partition) counts gives the offset of every
-group slice. The ranged data is checkpointed so the positions used by the two
+Groups of up to ``task_rows`` rows, counted first, are numbered by a plain window. A larger
+group would be more than a task's share there, so its rows are range partitioned on (g, o)
+instead, which spreads it over many partitions. Each row's position inside its
+partition comes from ``monotonically_increasing_id`` right after the sort; a small table of
+(g, partition) counts, one row per partition that such a group reaches, gives the offset
+of every slice. The ranged rows are checkpointed so the positions used by the two
 reads are the same ones. A position id is the last range key, so even rows equal on
 every key (a hot tie group) are spread over partitions; each input partition is first
 sorted by row content, so a re-run task assigns the same positions even when its rows
@@ -19,28 +19,63 @@ from pyspark.sql import functions as F
 
 from tabula.session import ensure_checkpoint_dir
 
+#: Rows of one group that a single task numbers; larger groups are spread.
+TASK_ROWS = 1_000_000
+#: Names of large groups that are broadcast; more are joined by a shuffle.
+MAX_BROADCAST_GROUPS = 100_000
 _POS_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
+def _content(df: DataFrame) -> list[Column]:
+    return [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
+
+
+def _same_group(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[f"_g_{c}"])
+    return cond
+
+
 def sequence_within(
     df: DataFrame,
     partition_cols: list[str],
     order_cols: list[str | Column],
     out: str = "seq",
     num_partitions: int | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Add ``out`` = 1-based row number inside each ``partition_cols`` group.
 
-    Rows tied on every ordering column are numbered in scan order.
+    Rows tied on every ordering column are numbered by content; identical rows are
+    interchangeable.
     """
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    number = F.row_number().over(
+        Window.partitionBy(*partition_cols).orderBy(*order, F.xxhash64(*_content(df)), *_content(df))
+    ).cast("long")
+    if not partition_cols:
+        return df.withColumn(out, number) if df.count() <= task_rows else _spread(df, [], order, out, num_partitions)
+    # at most one group per task_rows rows of the table
+    large = df.groupBy(*partition_cols).count().where(F.col("count") > task_rows)
+    large = large.select(*[F.col(c).alias(f"_g_{c}") for c in partition_cols])
+    n_large = large.count()
+    if not n_large:
+        return df.withColumn(out, number)
+    side = F.broadcast(large) if n_large <= MAX_BROADCAST_GROUPS else large
+    same = _same_group(df, large, partition_cols)
+    rest = df.join(side, same, "left_anti").withColumn(out, number)
+    return rest.unionByName(_spread(df.join(side, same, "left_semi"), partition_cols, order, out, num_partitions))
+
+
+def _spread(df: DataFrame, partition_cols: list[str], order: list[Column], out: str, num_partitions: int | None) -> DataFrame:
+    """The numbering of rows whose groups exceed a task."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in partition_cols] + order + [F.col("_tie")]
-    content = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
     ranged = (
-        df.sortWithinPartitions(F.xxhash64(*content), *content)
+        df.sortWithinPartitions(F.xxhash64(*_content(df)), *_content(df))
         .withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)

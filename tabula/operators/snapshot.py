@@ -1,9 +1,11 @@
 """Change feed between two snapshots of a keyed table, and snapshot versions.
 
-The diff unions both snapshots with a side flag and groups once by key: one
-shuffle with map-side combine, no join, so a hot key never multiplies into pairs.
-Presence is an explicit flag per side (not inferred from nulls) and rows are
-compared null-safely as structs.
+The diff unions both snapshots with a side flag and counts equal rows once (one shuffle with
+map-side combine, no join of the snapshots, so a hot key never multiplies into pairs).
+What one side has more of is its surplus. A key with at most one surplus row per side, which
+is every key of a table without repeated keys, is settled by one more aggregation. The
+surplus rows of other keys are numbered per key and side and paired by number; numbering
+is skew-proof.
 """
 
 from __future__ import annotations
@@ -11,41 +13,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabula.operators.sequence import sequence_within
+
 INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_postimage"
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], change_col: str = "_change_type") -> DataFrame:
     """Rows of ``insert`` / ``delete`` / ``update_preimage`` / ``update_postimage``.
 
-    Both snapshots must have the same columns; ``keys`` identify a row. When a key is
-    repeated inside one snapshot the smallest row (struct order) stands for it.
+    Both snapshots must have the same columns; ``keys`` identify a row. A key may repeat:
+    rows that both snapshots have (as often) are no change, and of the others the i-th old and
+    the i-th new row in sorted order are an update, the rest are deletes or inserts.
     """
     values = [c for c in old.columns if c not in keys]
     if sorted(old.columns) != sorted(new.columns):
         raise ValueError("snapshots must have the same columns")
     row = F.struct(*[F.col(c) for c in values])
-    both = old.select(*keys, row.alias("_row"), F.lit(0).alias("_side")).unionByName(
-        new.select(*keys, row.alias("_row"), F.lit(1).alias("_side"))
+    both = old.select(*keys, row.alias("_row"), F.lit(-1).alias("_n")).unionByName(
+        new.select(*keys, row.alias("_row"), F.lit(1).alias("_n"))
+    )
+    surplus = both.groupBy(*keys, "_row").agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    is_new, is_old = F.col("_n") > 0, F.col("_n") < 0
+    per_key = surplus.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(is_old, -F.col("_n"))), F.lit(0)).alias("_n_old"),
+        F.coalesce(F.sum(F.when(is_new, F.col("_n"))), F.lit(0)).alias("_n_new"),
+        F.max(F.when(is_old, F.struct("_row"))).alias("_old"),
+        F.max(F.when(is_new, F.struct("_row"))).alias("_new"),
     )
-    per_key = both.groupBy(*keys).agg(
-        F.min(F.when(F.col("_side") == 0, F.col("_row"))).alias("_old"),
-        F.min(F.when(F.col("_side") == 1, F.col("_row"))).alias("_new"),
-        F.max(F.col("_side") == 0).alias("_in_old"),
-        F.max(F.col("_side") == 1).alias("_in_new"),
+    pair = (F.col("_n_old") > 0) & (F.col("_n_new") > 0)
+    change = lambda kind, r: F.struct(kind.alias("t"), F.col(r)["_row"].alias("r"))
+    sides = F.array(
+        F.when(F.col("_n_old") > 0, change(F.when(pair, PRE).otherwise(DELETE), "_old")),
+        F.when(F.col("_n_new") > 0, change(F.when(pair, POST).otherwise(INSERT), "_new")),
+    )
+    single = (F.col("_n_old") <= 1) & (F.col("_n_new") <= 1)
+    rows = per_key.where(single).select(*keys, F.explode(sides).alias("_c")).where("_c is not null")
+    rows = rows.select(*keys, F.col("_c.r").alias("_row"), F.col("_c.t").alias(change_col))
+
+    many = per_key.where(~single).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.least("_n_old", "_n_new").alias("_pairs")
     )
-    in_old, in_new = F.col("_in_old"), F.col("_in_new")
-    changed = in_old & in_new & ~F.col("_old").eqNullSafe(F.col("_new"))
-    out = F.when(in_new & ~in_old, F.array(F.struct(F.lit(INSERT).alias("t"), F.col("_new").alias("r"))))
-    out = out.when(in_old & ~in_new, F.array(F.struct(F.lit(DELETE).alias("t"), F.col("_old").alias("r"))))
-    out = out.when(
-        changed,
-        F.array(
-            F.struct(F.lit(PRE).alias("t"), F.col("_old").alias("r")),
-            F.struct(F.lit(POST).alias("t"), F.col("_new").alias("r")),
-        ),
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & surplus[k].eqNullSafe(many[f"_k{i}"])
+    each = surplus.join(many, same).select(
+        *keys, "_row", "_pairs", is_new.alias("_is_new"), F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_copy")
     )
-    rows = per_key.select(*keys, F.explode(out).alias("_c"))
-    return rows.select(*keys, *[F.col(f"_c.r.{c}").alias(c) for c in values], F.col("_c.t").alias(change_col))
+    numbered = sequence_within(each, [*keys, "_is_new"], ["_row"], out="_i")
+    update = F.col("_i") <= F.col("_pairs")
+    kind = F.when(F.col("_is_new"), F.when(update, POST).otherwise(INSERT)).otherwise(F.when(update, PRE).otherwise(DELETE))
+    rows = rows.unionByName(numbered.select(*keys, "_row", kind.alias(change_col)))
+    return rows.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values], change_col)
 
 
 def latest_versions(log: DataFrame, name_col: str = "name", version_col: str = "version") -> DataFrame:

@@ -8,8 +8,9 @@ on the same side, even when rows are appended later.
 usual in-memory splitter). Rows are ranked by the seeded hash of the key and the
 threshold rank is found with ``kth_smallest`` counting passes over the hashed key
 alone, so no sort or shuffle of the rows is needed; the split itself is a map-only
-predicate. Ties on the hash (duplicate keys) are broken by a row hash, and rows
-that are identical copies by their scan position.
+predicate. Ties on the hash (duplicate keys) are broken by a hash of the tiebreak columns,
+then of the whole row, so the order of the input plays no part; of rows that are identical
+copies the right number goes to each side.
 """
 
 from __future__ import annotations
@@ -21,9 +22,8 @@ from pyspark.sql import functions as F
 
 from tabula.functions.hashing import hash_fraction, hashed_key60
 from tabula.operators.select import kth_smallest
-from tabula.session import ensure_checkpoint_dir
 
-_HELPERS = ("_h", "_x", "_m")
+_HELPERS = ("_h", "_x", "_y")
 
 
 def _key(id_col: str) -> Column:
@@ -42,13 +42,12 @@ def first_n_by_hash(
 ) -> DataFrame:
     """Flag exactly ``n`` rows (or ``size_rule(rows)``, default ``ceil(ratio * rows)``):
     the first rows in seeded-hash order of ``id_col``. Rows sharing a key are ordered by
-    a hash of the ``tiebreak`` columns (default: the whole row); naming a secondary key
-    keeps the scan to those columns.
+    a hash of the ``tiebreak`` columns, then of the whole row; naming a secondary key keeps
+    the first of these scans to its columns.
 
     The hash range is known (60 bits), so the first histogram pass over the hashed key
     also counts the rows; the threshold search reads only that one column.
     """
-    data_cols = list(tiebreak or df.columns)
     keyed = df.withColumn("_h", hashed_key60(_key(id_col), seed))
     if n is not None:
         rule = lambda total: n
@@ -62,32 +61,36 @@ def first_n_by_hash(
     left = n - r1.n_less
     if left == r1.n_equal:
         return keyed.withColumn(out, h <= F.lit(r1.value)).drop(*_HELPERS)
-    # Duplicate keys straddle the cut: order the tied rows by a hash of the tiebreak columns.
-    x = F.col("_x")
-    keyed = keyed.withColumn("_x", F.xxhash64(*[F.col(c) for c in data_cols]))
-    # The tied count is known, so a small tie set is collected in one pass.
-    r2 = kth_smallest(keyed.where(h == F.lit(r1.value)), "_x", left, stats=(r1.n_equal, -(2**63), 2**63 - 1))
-    left2 = left - r2.n_less
-    if left2 == r2.n_equal:
-        pred = (h < F.lit(r1.value)) | ((h == F.lit(r1.value)) & (x <= F.lit(r2.value)))
-        return keyed.withColumn(out, pred).drop(*_HELPERS)
-    # Copies equal on key and tiebreak: take them in scan order. The input is checkpointed
-    # first (rare path) so that positions are the same in the threshold and final passes
-    # even when the input comes out of a shuffle.
-    ensure_checkpoint_dir(df.sparkSession)
-    keyed = (
-        df.checkpoint(eager=True)
-        .withColumn("_m", F.monotonically_increasing_id())
-        .withColumn("_h", hashed_key60(_key(id_col), seed))
-        .withColumn("_x", F.xxhash64(*[F.col(c) for c in data_cols]))
-    )
-    tied = keyed.where((h == F.lit(r1.value)) & (x == F.lit(r2.value)))
-    r3 = kth_smallest(tied, "_m", left2, stats=(r2.n_equal, 0, 2**63 - 1))
-    pred = (h < F.lit(r1.value)) | (
-        (h == F.lit(r1.value))
-        & ((x < F.lit(r2.value)) | ((x == F.lit(r2.value)) & (F.col("_m") <= F.lit(r3.value))))
-    )
-    return keyed.withColumn(out, pred).drop(*_HELPERS)
+    # Duplicate keys straddle the cut: order the tied rows by a hash of the tiebreak columns,
+    # then by a hash of the whole row. The tied count is known, so a small tie set is
+    # collected in one pass.
+    pred, tied, left_over, equal = h < F.lit(r1.value), h == F.lit(r1.value), left, r1.n_equal
+    steps = [list(tiebreak)] if tiebreak and set(tiebreak) != set(df.columns) else []
+    for i, cols in enumerate([*steps, df.columns]):
+        name = _HELPERS[1 + i]
+        keyed = keyed.withColumn(name, F.xxhash64(*[F.col(f"`{c}`") for c in cols]))
+        x = F.col(name)
+        r = kth_smallest(keyed.where(tied), name, left_over, stats=(equal, -(2**63), 2**63 - 1))
+        pred, tied = pred | (tied & (x < F.lit(r.value))), tied & (x == F.lit(r.value))
+        left_over, equal = left_over - r.n_less, r.n_equal
+        if left_over == equal:
+            return keyed.withColumn(out, pred | tied).drop(*_HELPERS)
+    # What is still tied are copies of one row (or, if hashes met, of a few): they are counted
+    # and dealt out again, the first ``left_over`` of them to test. No position is needed.
+    spark = df.sparkSession
+    copies = keyed.where(tied).groupBy(*[F.col(f"`{c}`") for c in df.columns]).count()
+    parts = [keyed.where(~tied).withColumn(out, pred).drop(*_HELPERS)]
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns]
+    for row in copies.orderBy(*order).collect():
+        n = row["count"]
+        one = spark.createDataFrame([row[:-1]], df.schema)
+        dealt = spark.range(n).select((F.col("id") < F.lit(left_over)).alias(out)).crossJoin(F.broadcast(one))
+        parts.append(dealt.select(*[f"`{c}`" for c in df.columns], out))
+        left_over -= min(n, left_over)
+    flagged = parts[0]
+    for part in parts[1:]:
+        flagged = flagged.unionByName(part)
+    return flagged
 
 
 def test_size(n: int, ratio: float) -> int:

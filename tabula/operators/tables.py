@@ -23,19 +23,39 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = DEFAULT_FORMAT, partiti
 
 def append_table(df: DataFrame, name: str, keys=None, fmt: str = DEFAULT_FORMAT) -> None:
     """Append to a named table; with ``keys`` rows whose key already exists are skipped
-    (left anti join against the table's keys), so a re-run adds nothing twice."""
+    (null-safe left anti join against the table's keys) and of rows that share a key within
+    ``df`` one is written, chosen by content, so a re-run adds nothing twice."""
     spark = df.sparkSession
-    if keys and spark.catalog.tableExists(name):
-        existing = spark.table(name).select(*keys).distinct()
-        df = df.join(existing, on=list(keys), how="left_anti")
+    if keys:
+        keys, columns = list(keys), df.columns
+        rest = [F.col(f"`{c}`") for c in columns if c not in keys]
+        if rest:
+            one = F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("_rest")
+            df = df.groupBy(*keys).agg(one).select(*keys, "_rest.*").select(*[f"`{c}`" for c in columns])
+        else:
+            df = df.distinct()
+        if spark.catalog.tableExists(name):
+            there = spark.table(name).select(*[F.col(k).alias(f"_there_{k}") for k in keys]).distinct()
+            same = F.lit(True)
+            for k in keys:
+                same = same & df[k].eqNullSafe(there[f"_there_{k}"])
+            df = df.join(there, same, "left_anti")
     df.write.mode("append").format(fmt).saveAsTable(name)
 
 
-def publish_split(flagged: DataFrame, train_name: str, test_name: str, flag: str = "is_test") -> None:
-    """Write the train and test tables with a load timestamp, from one flagged frame."""
+def publish_split(flagged: DataFrame, train_name: str, test_name: str, flag: str = "is_test",
+                  mode: str = "overwrite", keys=None) -> None:
+    """Write the train and test tables with a load timestamp, from one flagged frame. ``mode``
+    ``append`` adds to them, with ``keys`` only rows whose key they do not have."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode is overwrite or append, not {mode}")
     stamped = with_load_time(flagged)
-    overwrite_table(stamped.where(~F.col(flag)).drop(flag), train_name)
-    overwrite_table(stamped.where(F.col(flag)).drop(flag), test_name)
+    for side, name in ((~F.col(flag), train_name), (F.col(flag), test_name)):
+        rows = stamped.where(side).drop(flag)
+        if mode == "append":
+            append_table(rows, name, keys)
+        else:
+            overwrite_table(rows, name)
 
 
 def set_properties(spark: SparkSession, name: str, props: dict) -> None:
@@ -60,8 +80,11 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header row and no index column (a folder of part files)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header row and no index column (a folder of part files); values keep their
+    blanks, and quotes inside them are doubled."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

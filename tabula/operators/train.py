@@ -32,9 +32,11 @@ from tabula.operators.clean import require_columns
 from tabula.operators.contract import enforce
 from tabula.operators.decode import decode_expr
 from tabula.operators.features import NULL_CATEGORY
+from tabula.session import ensure_checkpoint_dir
 from tabula.spec import FeatureSpec
 
 LABEL, FEATURES, PREDICTION, PREDICTED = "_label", "features", "prediction", "predicted_class"
+VALIDATION = "_validation"
 
 
 @dataclass(frozen=True)
@@ -50,13 +52,18 @@ class BoostParams:
     subsampling_rate: float = 0.8
     seed: int = 42
     max_bins: int = 32
+    #: Share of the training rows kept apart to end the boosting when their loss stops falling
+    #: (0: all rounds are run, as in the original model).
+    validation_share: float = 0.0
+    validation_tol: float = 0.01
 
 
 def _cat_text(c: str) -> str:
     return f"{c}__text"
 
 
-def build_pipeline(spec: FeatureSpec, params: BoostParams = BoostParams(), missing_flags: bool = True) -> Pipeline:
+def build_features(spec: FeatureSpec, missing_flags: bool = True) -> Pipeline:
+    """The stages up to the feature vector: label index, then one-hot blocks, numbers, flags."""
     cats, nums = list(spec.cat_features), list(spec.num_features)
     text_cols = ", ".join(
         f"coalesce(CAST(`{c}` AS STRING), '{NULL_CATEGORY}') AS `{_cat_text(c)}`" for c in cats
@@ -73,13 +80,18 @@ def build_pipeline(spec: FeatureSpec, params: BoostParams = BoostParams(), missi
         handleInvalid="keep",
     )
     onehot = OneHotEncoder(
-        inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats], dropLast=True, handleInvalid="keep"
+        inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats], dropLast=True, handleInvalid="error"
     )
     impute = Imputer(strategy="mean", inputCols=[f"{c}__num" for c in nums], outputCols=[f"{c}__imp" for c in nums])
     inputs = [f"{c}__oh" for c in cats] + [f"{c}__imp" for c in nums]
     if missing_flags:
         inputs += [f"{c}__missing" for c in nums]
     assemble = VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error")
+    return Pipeline(stages=[prep, label, index, onehot, impute, assemble])
+
+
+def build_pipeline(spec: FeatureSpec, params: BoostParams = BoostParams(), missing_flags: bool = True) -> Pipeline:
+    early = {"validationIndicatorCol": VALIDATION, "validationTol": params.validation_tol} if params.validation_share else {}
     gbt = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,
@@ -92,8 +104,9 @@ def build_pipeline(spec: FeatureSpec, params: BoostParams = BoostParams(), missi
         subsamplingRate=params.subsampling_rate,
         maxBins=params.max_bins,
         seed=params.seed,
+        **early,
     )
-    return Pipeline(stages=[prep, label, index, onehot, impute, assemble, gbt])
+    return Pipeline(stages=[*build_features(spec, missing_flags).getStages(), gbt])
 
 
 def fit(
@@ -101,26 +114,30 @@ def fit(
     spec: FeatureSpec,
     params: BoostParams = BoostParams(),
     missing_flags: bool = True,
-    rows_per_partition: int = 200_000,
+    partitions: int = 32,
 ) -> PipelineModel:
-    """Fit on the training frame; returns a model whose last stage names the class."""
+    """Fit on the training frame; returns a model whose last stage names the class.
+
+    The boosting samples rows by partition and position, so the rows are dealt to
+    ``partitions`` partitions by a hash of their content and sorted there: the model depends on
+    the rows and on this setting, not on the layout of the input. It is part of the model's
+    settings and does not follow the data's size; a large table wants more partitions.
+    """
     require_columns(train, [*spec.inputs, spec.target])
+    ensure_checkpoint_dir(train.sparkSession)  # the boosting cuts its lineage every ten rounds
+    data = train.select(*spec.inputs, spec.target)
+    if params.validation_share:
+        share = F.pmod(F.xxhash64(F.lit(params.seed), *data.columns), F.lit(10_000)) < int(params.validation_share * 10_000)
+        data = data.withColumn(VALIDATION, share)
+    content = F.xxhash64(*data.columns)
     # Every stage fit and every boosting round reads the input: keep it (spillable,
     # recomputed from lineage if an executor is lost) instead of re-running upstream.
-    data = train.select(*spec.inputs, spec.target).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = data.repartition(partitions, content).sortWithinPartitions(content, *data.columns)
+    dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Each boosting level is a job over every input partition: size the partition
-        # count to the data (about rows_per_partition rows each) rather than to the scan.
-        rows = data.count()
-        wanted = max(1, -(-rows // rows_per_partition))
-        try:
-            current = data.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view in remote sessions: keep the partitioning
-            current = wanted
-        fit_input = data.coalesce(wanted) if current > wanted else data
-        model = build_pipeline(spec, params, missing_flags).fit(fit_input)
+        model = build_pipeline(spec, params, missing_flags).fit(dealt)
     finally:
-        data.unpersist()
+        dealt.unpersist()
     labels = model.stages[1].labels
     decode = IndexToString(inputCol=PREDICTION, outputCol=PREDICTED, labels=labels)
     return PipelineModel(stages=[*model.stages, decode])

@@ -7,6 +7,7 @@ to 6 places on both sides (plus 0.0 so that a negative zero reads as zero).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -195,9 +196,12 @@ def q_category_codes(spark, sf):
 
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-SCORED_EVENTS_SQL = """scored_events AS (
+SCORED_EVENTS_SQL = f"""scored_events AS (
   SELECT event_id, CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 50 = 0 THEN 'refund' ELSE event_type END AS event_type
-  FROM events)"""
+  FROM events),
+fitted AS (
+  SELECT DISTINCT event_type FROM events
+  WHERE ('0x' || substr(md5('{SEED}:' || CAST(event_id AS VARCHAR)), 1, 8))::UBIGINT >= {int(TEST_RATIO * 2**32)})"""
 
 
 def _scored_events(spark, sf):
@@ -219,7 +223,10 @@ def _fit_event_one_hot(events):
     "one_hot_wide",
     _with(SCORED_EVENTS_SQL)
     + "SELECT event_id, "
-    + ", ".join(f"CASE WHEN event_type = '{t}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS event_type_{t}" for t in EVENT_TYPES)
+    + ", ".join(
+        f"CASE WHEN event_type = '{t}' AND '{t}' IN (SELECT event_type FROM fitted) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS event_type_{t}"
+        for t in EVENT_TYPES
+    )
     + " FROM scored_events",
 )
 def q_one_hot_wide(spark, sf):
@@ -230,8 +237,8 @@ def q_one_hot_wide(spark, sf):
 @query(
     "one_hot_unknown",
     _with(SCORED_EVENTS_SQL)
-    + f"""SELECT coalesce(event_type, '<null>') AS event_type, count(*) AS n_rows,
-  CAST(sum(CASE WHEN event_type IN ({", ".join(repr(t) for t in EVENT_TYPES)}) THEN 1 ELSE 0 END) AS DOUBLE) AS n_hot
+    + """SELECT coalesce(event_type, '<null>') AS event_type, count(*) AS n_rows,
+  CAST(sum(CASE WHEN event_type IN (SELECT event_type FROM fitted) THEN 1 ELSE 0 END) AS DOUBLE) AS n_hot
 FROM scored_events GROUP BY 1""",
 )
 def q_one_hot_unknown(spark, sf):
@@ -244,6 +251,29 @@ def q_one_hot_unknown(spark, sf):
     )
 
 
+@query(
+    "one_hot_many",
+    f"""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS cust FROM orders),
+fitted AS (SELECT DISTINCT coalesce(cust, '{features.NULL_CATEGORY}') AS v FROM o
+  WHERE ('0x' || substr(md5('{SEED}:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::UBIGINT >= {int(TEST_RATIO * 2**32)}),
+slots AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS slot FROM fitted)
+SELECT o_orderkey, CAST((SELECT count(*) FROM slots) AS INTEGER) AS n_slots, slot, CASE WHEN slot IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS block_sum
+FROM o LEFT JOIN slots ON v = coalesce(cust, '{features.NULL_CATEGORY}')""",
+)
+def q_one_hot_many(spark, sf):
+    """A column with thousands of categories: fitted on the training side, all rows encoded."""
+    k = F.col("o_orderkey")
+    o = V.load(spark, sf, "orders").select(k, F.when(k % 41 != 0, F.col("o_custkey").cast("string")).alias("cust"))
+    train = split.hash_split(o, "o_orderkey", TEST_RATIO, SEED).where(~F.col("is_test"))
+    wide = features.fit_one_hot_slots(train, "cust").transform(o, out="block")
+    return wide.select(
+        "o_orderkey",
+        F.col("block.size").alias("n_slots"),
+        F.get("block.indices", F.lit(0)).alias("slot"),
+        F.aggregate("block.values", F.lit(0.0), lambda a, x: a + x).alias("block_sum"),
+    )
+
+
 ORDERS_SPEC = FeatureSpec(
     num_features=("price", "o_custkey", "order_month"),
     cat_features=("o_orderpriority",),
@@ -296,6 +326,13 @@ def q_model_inputs(spark, sf):
     return x
 
 
+@query("targets", PREPROCESS_SQL + "SELECT o_orderstatus, count(*) AS n_rows FROM pre GROUP BY 1")
+def q_targets(spark, sf):
+    """The target block y of the feature/label split, counted per class."""
+    _, y = features.feature_label_split(_preprocessed(spark, sf), ORDERS_SPEC)
+    return y.groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
+
+
 @query(
     "age_column",
     f"SELECT o_orderkey, o_orderstatus, CAST({AGE_YEAR} - year(o_orderdate) AS BIGINT) AS order_age FROM orders",
@@ -361,7 +398,8 @@ def q_exact_sample(spark, sf):
     "split_checks",
     _with(EXACT_SPLIT_SQL)
     + """SELECT count(*) AS n_total, CAST(count_if(NOT is_test) AS BIGINT) AS n_train, CAST(count_if(is_test) AS BIGINT) AS n_test,
-  CAST(0 AS BIGINT) AS n_ids_both_sides, CAST(6 AS BIGINT) AS n_columns FROM flagged""",
+  CAST((SELECT count(*) FROM (SELECT o_orderkey FROM flagged GROUP BY o_orderkey HAVING count(DISTINCT is_test) > 1)) AS BIGINT) AS n_ids_both_sides,
+  CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM orders)) AS BIGINT) AS n_columns FROM flagged""",
 )
 def q_split_checks(spark, sf):
     o = V.load(spark, sf, "orders")
@@ -400,7 +438,7 @@ def q_exact_split_dupkeys(spark, sf):
   FROM lineitem),
 per_order AS (SELECT l_orderkey, count_if(NOT is_test) AS tr, count_if(is_test) AS te FROM f GROUP BY l_orderkey)
 SELECT CAST(sum(tr + te) AS BIGINT) AS n_total, CAST(sum(tr) AS BIGINT) AS n_train, CAST(sum(te) AS BIGINT) AS n_test,
-  CAST(count_if(tr > 0 AND te > 0) AS BIGINT) AS n_ids_both_sides, CAST(11 AS BIGINT) AS n_columns FROM per_order""",
+  CAST(count_if(tr > 0 AND te > 0) AS BIGINT) AS n_ids_both_sides, CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM lineitem)) AS BIGINT) AS n_columns FROM per_order""",
 )
 def q_hash_split_grouped(spark, sf):
     """Hash split of lines by order key: every line of an order lands on the same side."""
@@ -523,10 +561,30 @@ def q_contract_project(spark, sf):
     return contract.enforce(V.load(spark, sf, "lineitem"), schema)
 
 
+@query(
+    "contract_required",
+    _with(V.DIRTY_ORDERS_SQL)
+    + """, required AS (SELECT unnest(['o_orderkey', 'o_orderstatus', 'price_text', 'discount', 'channel']) AS "column"),
+there AS (SELECT column_name AS "column" FROM (DESCRIBE WITH """
+    + V.DIRTY_ORDERS_SQL
+    + """ SELECT * FROM dirty_orders)),
+nulls AS (
+  SELECT 'o_orderkey' AS "column", count_if(o_orderkey IS NULL) AS n_null FROM dirty_orders
+  UNION ALL SELECT 'o_orderstatus', count_if(o_orderstatus IS NULL) FROM dirty_orders
+  UNION ALL SELECT 'price_text', count_if(price_text IS NULL) FROM dirty_orders)
+SELECT r."column", r."column" NOT IN (SELECT "column" FROM there) AS missing, CAST(n_null AS BIGINT) AS n_null
+FROM required r LEFT JOIN nulls n ON r."column" = n."column" """,
+)
+def q_contract_required(spark, sf):
+    """Columns that a contract requires: those that are missing, and the nulls of the others."""
+    return contract.required_report(V.dirty_orders(spark, sf), ["o_orderkey", "o_orderstatus", "price_text", "discount", "channel"])
+
+
 @query(
     "dataset_profile",
     PREPROCESS_SQL
-    + "SELECT 'orders_clean' AS name, count(*) AS num_rows, CAST(8 AS BIGINT) AS num_columns, count(*) * 8 AS num_elements FROM pre",
+    + f""", width AS (SELECT count(*) AS n FROM (DESCRIBE {PREPROCESS_SQL}SELECT * FROM pre))
+SELECT 'orders_clean' AS name, count(*) AS num_rows, any_value(n) AS num_columns, count(*) * any_value(n) AS num_elements FROM pre, width""",
 )
 def q_dataset_profile(spark, sf):
     return contract.profile(_preprocessed(spark, sf), "orders_clean").drop("schema")
@@ -546,7 +604,7 @@ _DIGEST_PARTS = [
     "dataset_digest",
     "SELECT count(*) AS num_rows, CAST(sum(('0x' || substr(md5(concat_ws(chr(31), "
     + ", ".join(f"coalesce({p}, chr(0))" for p in _DIGEST_PARTS)
-    + ")), 1, 8))::UBIGINT) AS VARCHAR) AS digest FROM orders",
+    + ")), 1, 15))::UBIGINT) AS VARCHAR) AS digest FROM orders",
 )
 def q_dataset_digest(spark, sf):
     o = V.load(spark, sf, "orders").select(
@@ -628,6 +686,30 @@ def q_snapshot_diff(spark, sf):
     return snapshot.snapshot_diff(old, new, ["c_custkey"])
 
 
+@query(
+    "snapshot_diff_dupkeys",
+    """WITH old_s AS (SELECT l_orderkey, l_returnflag, CAST(l_quantity AS BIGINT) AS qty FROM lineitem WHERE l_linenumber <> 3),
+new_s AS (SELECT l_orderkey, l_returnflag, CAST(l_quantity AS BIGINT) + CASE WHEN l_orderkey % 10 = 3 THEN 1 ELSE 0 END AS qty FROM lineitem
+  WHERE l_linenumber <> 2),
+surplus AS (SELECT l_orderkey, l_returnflag, qty, sum(n) AS n FROM (
+  SELECT *, -1 AS n FROM old_s UNION ALL SELECT *, 1 FROM new_s) GROUP BY ALL HAVING sum(n) <> 0),
+each AS (SELECT l_orderkey, l_returnflag, qty, n > 0 AS is_new, unnest(range(CAST(abs(n) AS BIGINT))) AS copy FROM surplus),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, is_new ORDER BY l_returnflag, qty) AS i,
+  least(count_if(is_new) OVER (PARTITION BY l_orderkey), count_if(NOT is_new) OVER (PARTITION BY l_orderkey)) AS pairs FROM each)
+SELECT l_orderkey, l_returnflag, qty,
+  CASE WHEN is_new THEN CASE WHEN i <= pairs THEN 'update_postimage' ELSE 'insert' END
+       ELSE CASE WHEN i <= pairs THEN 'update_preimage' ELSE 'delete' END END AS _change_type FROM numbered""",
+)
+def q_snapshot_diff_dupkeys(spark, sf):
+    """Change feed of a table whose key repeats: lines of an order, some gone, new or changed."""
+    li = V.load(spark, sf, "lineitem")
+    qty = F.col("l_quantity").cast("long")
+    old = li.where("l_linenumber <> 3").select("l_orderkey", "l_returnflag", qty.alias("qty"))
+    bumped = qty + F.when(F.col("l_orderkey") % 10 == 3, 1).otherwise(0)
+    new = li.where("l_linenumber <> 2").select("l_orderkey", "l_returnflag", bumped.alias("qty"))
+    return snapshot.snapshot_diff(old, new, ["l_orderkey"])
+
+
 @query(
     "snapshot_version",
     """SELECT 'orders_' || o_orderstatus AS name, max(year(o_orderdate) - 1992) AS latest_version,
@@ -739,6 +821,64 @@ def q_run_search(spark, sf):
     return found.select("run_id", "run_name", "start_time")
 
 
+@query(
+    "run_by_name",
+    _with(V.RUNS_SQL) + "SELECT run_id, experiment_id, start_time FROM runs WHERE run_name = '2-HIGH' AND lifecycle_stage = 'active'",
+)
+def q_run_by_name(spark, sf):
+    found = runlog.search_runs(V.runs_from_orders(spark, sf), name_equals="2-HIGH", lifecycle_stage="active")
+    return found.select("run_id", "experiment_id", "start_time")
+
+
+LOOKUP_RUN = "7"
+
+
+@query(
+    "run_lookup",
+    _with(V.RUNS_SQL, V.LINE_METRICS_SQL, V.TAGS_SQL)
+    + f""", mine AS (SELECT * FROM runs WHERE run_id = '{LOOKUP_RUN}'),
+latest AS (SELECT key, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_id, key ORDER BY step DESC, ts DESC, value DESC) AS rn FROM line_metrics
+  WHERE run_id = '{LOOKUP_RUN}') WHERE rn = 1)
+SELECT 'info' AS kind, u.key, u.value FROM (
+  SELECT unnest(['run_id', 'experiment_id', 'run_name', 'status', 'start_time', 'end_time', 'artifact_uri', 'lifecycle_stage']) AS key,
+    unnest([run_id, experiment_id, run_name, status, CAST(start_time AS VARCHAR), CAST(end_time AS VARCHAR), artifact_uri, lifecycle_stage]) AS value
+  FROM mine) u
+UNION ALL SELECT 'metric', key, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) FROM latest
+UNION ALL SELECT 'param', 'clerk', 'c' || CAST(o_custkey % 97 AS VARCHAR) FROM orders WHERE o_orderkey = {LOOKUP_RUN}
+UNION ALL SELECT 'tag', key, value FROM run_tags WHERE run_id = '{LOOKUP_RUN}'""",
+)
+def q_run_lookup(spark, sf):
+    """Everything recorded about one run."""
+    o = V.load(spark, sf, "orders")
+    clerk = F.concat(F.lit("c"), (F.col("o_custkey") % 97).cast("string"))
+    params = o.select(F.col("o_orderkey").cast("string").alias("run_id"), F.lit("clerk").alias("key"), clerk.alias("value"))
+    metrics = V.metrics_from_lineitem(spark, sf).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    return runlog.run_lookup(LOOKUP_RUN, V.runs_from_orders(spark, sf), metrics, params, V.tags_from_orders(spark, sf))
+
+
+@query(
+    "experiments_by_tag",
+    """WITH history AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS experiment_id, 'segment' AS key, 'NONE' AS value, 1 AS ts FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'segment', c_mktsegment, 2 FROM customer WHERE c_custkey % 7 <> 0
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'nation', CAST(c_nationkey AS VARCHAR), 3 FROM customer),
+latest AS (SELECT experiment_id, key, arg_max(value, ts) AS value FROM history GROUP BY 1, 2)
+SELECT CAST(c_custkey AS VARCHAR) AS experiment_id, c_name AS name FROM customer
+WHERE CAST(c_custkey AS VARCHAR) IN (SELECT experiment_id FROM latest WHERE key = 'segment' AND value = 'BUILDING')""",
+)
+def q_experiments_by_tag(spark, sf):
+    c = V.load(spark, sf, "customer")
+    exp = F.col("c_custkey").cast("string").alias("experiment_id")
+    tag = lambda df, key, value, ts: df.select(exp, F.lit(key).alias("key"), value.alias("value"), F.lit(ts).alias("ts"))
+    tags = (
+        tag(c, "segment", F.lit("NONE"), 1)
+        .unionByName(tag(c.where("c_custkey % 7 <> 0"), "segment", F.col("c_mktsegment"), 2))
+        .unionByName(tag(c, "nation", F.col("c_nationkey").cast("string"), 3))
+    )
+    return runlog.experiments_by_tag(c.select(exp, F.col("c_name").alias("name")), tags, "segment", "BUILDING")
+
+
 @query(
     "newest_run",
     _with(V.RUNS_SQL)
@@ -785,6 +925,63 @@ def q_param_merge(spark, sf):
     return runlog.merge_params(existing, new)
 
 
+@query(
+    "param_merge_batch",
+    """WITH logged AS (SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'flag' AS key, 'N' AS value FROM orders WHERE o_orderkey % 3 = 0),
+new AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS run_id, 'flag' AS key, l_returnflag AS value FROM lineitem),
+given AS (SELECT run_id, key, count(*) AS n FROM new GROUP BY ALL)
+SELECT n.run_id, n.key, n.value, l.value AS logged_value,
+  CASE WHEN g.n > 1 THEN 'conflict' WHEN l.run_id IS NULL THEN 'new' WHEN l.value = n.value THEN 'same' ELSE 'conflict' END AS outcome
+FROM new n JOIN given g USING (run_id, key) LEFT JOIN logged l ON l.run_id = n.run_id AND l.key = n.key""",
+)
+def q_param_merge_batch(spark, sf):
+    """A batch that gives some params several times, with one value or with several."""
+    rows = lambda df, key, value: df.select(F.col(key).cast("string").alias("run_id"), F.lit("flag").alias("key"), value.alias("value"))
+    logged = rows(V.load(spark, sf, "orders").where("o_orderkey % 3 = 0"), "o_orderkey", F.lit("N"))
+    return runlog.merge_params(logged, rows(V.load(spark, sf, "lineitem"), "l_orderkey", F.col("l_returnflag")))
+
+
+@query(
+    "param_maps",
+    """SELECT CAST(p_partkey AS VARCHAR) AS run_id, 3 AS n_params,
+  'brand=' || p_brand || ';size=' || CAST(p_size AS VARCHAR) || ';type=' || p_type AS params_text FROM part""",
+)
+def q_param_maps(spark, sf):
+    p = V.load(spark, sf, "part")
+    one = lambda key, value: p.select(F.col("p_partkey").cast("string").alias("run_id"), F.lit(key).alias("key"), value.alias("value"))
+    rows = one("type", F.col("p_type")).unionByName(one("size", F.col("p_size").cast("string"))).unionByName(one("brand", F.col("p_brand")))
+    maps = runlog.kv_maps(rows, "params")
+    text = F.array_join(F.transform(F.map_entries("params"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return maps.select("run_id", F.size("params").alias("n_params"), text.alias("params_text"))
+
+
+@query(
+    "run_inputs",
+    """SELECT CAST(l_orderkey AS VARCHAR) AS run_id, CASE WHEN l_returnflag = 'R' THEN 'eval' ELSE 'training' END AS context,
+  CAST(p_partkey AS VARCHAR) AS digest, p_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey""",
+)
+def q_run_inputs(spark, sf):
+    context = F.when(F.col("l_returnflag") == "R", F.lit("eval")).otherwise(F.lit("training"))
+    inputs = V.load(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("run_id"), F.col("l_partkey").cast("string").alias("dataset_digest"), context.alias("context")
+    )
+    datasets = V.load(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("digest"), F.col("p_name").alias("name"))
+    return runlog.run_inputs(inputs, datasets)
+
+
+@query(
+    "alias_reserved",
+    """SELECT alias, lower(alias) <> 'latest' AS allowed, count(*) AS n FROM (
+  SELECT CASE o_orderkey % 10 WHEN 0 THEN 'Latest' WHEN 1 THEN 'latest' WHEN 2 THEN 'latest-model' ELSE lower(o_orderpriority) END AS alias
+  FROM orders) GROUP BY ALL""",
+)
+def q_alias_reserved(spark, sf):
+    m = F.col("o_orderkey") % 10
+    alias = F.when(m == 0, "Latest").when(m == 1, "latest").when(m == 2, "latest-model").otherwise(F.lower("o_orderpriority"))
+    rows = V.load(spark, sf, "orders").select(alias.alias("alias"))
+    return rows.groupBy("alias", runlog.alias_allowed("alias").alias("allowed")).agg(F.count("*").alias("n"))
+
+
 def _versions(spark, sf):
     regs = V.registrations_from_orders(spark, sf)
     return runlog.assign_versions(regs, None, ["created", "o_orderkey"])
@@ -795,6 +992,39 @@ def q_version_numbers(spark, sf):
     return _versions(spark, sf).select("name", "version", "run_id", "created")
 
 
+REGISTER_SINCE_MS = 788918400000  # 1995-01-01T00:00:00Z
+
+
+@query(
+    "register_rows",
+    _with(V.REGISTRATIONS_SQL)
+    + f""", before AS (SELECT name, max(version) AS top FROM versions WHERE created < {REGISTER_SINCE_MS} GROUP BY name)
+SELECT name, coalesce(top, 0) + row_number() OVER (PARTITION BY name ORDER BY created, o_orderkey) AS version, run_id
+FROM versions LEFT JOIN before USING (name) WHERE created >= {REGISTER_SINCE_MS}""",
+)
+def q_register_rows(spark, sf):
+    """New registrations, numbered on from the versions that a model has."""
+    there = _versions(spark, sf).where(F.col("created") < REGISTER_SINCE_MS).select("name", "version")
+    new = V.registrations_from_orders(spark, sf).where(F.col("created") >= REGISTER_SINCE_MS)
+    return runlog.assign_versions(new, there, ["created", "o_orderkey"]).select("name", "version", "run_id")
+
+
+@query(
+    "versions_of",
+    _with(V.REGISTRATIONS_SQL)
+    + """SELECT v.name, v.version, v.run_id FROM versions v JOIN orders o ON v.o_orderkey = o.o_orderkey
+WHERE v.name = 'model_7' OR o.o_orderpriority = '1-URGENT'""",
+)
+def q_versions_of(spark, sf):
+    """Versions of one model, and versions with a tag."""
+    regs = V.registrations_from_orders(spark, sf)
+    orders = V.load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    tagged = runlog.assign_versions(regs, None, ["created", "o_orderkey"]).join(orders, "o_orderkey")
+    tagged = tagged.withColumn("tags", F.create_map(F.lit("priority"), "o_orderpriority"))
+    both = runlog.versions_of(tagged, "model_7").unionByName(runlog.versions_of(tagged, tags={"priority": "1-URGENT"}))
+    return both.select("name", "version", "run_id").distinct()
+
+
 @query(
     "upsert_latest",
     _with(V.REGISTRATIONS_SQL)
@@ -810,14 +1040,16 @@ def q_upsert_latest(spark, sf):
 @query(
     "alias_resolve",
     _with(V.REGISTRATIONS_SQL)
-    + """SELECT v.name, v.version, v.run_id, v.source FROM versions v JOIN (
-  SELECT name, max(version) AS version FROM versions GROUP BY name) a ON v.name = a.name AND v.version = a.version""",
+    + """, """ + V.RUNS_SQL + """SELECT v.name, v.version, v.run_id, v.source, r.run_name, r.artifact_uri FROM versions v JOIN (
+  SELECT name, max(version) AS version FROM versions GROUP BY name) a ON v.name = a.name AND v.version = a.version
+LEFT JOIN runs r ON r.run_id = v.run_id""",
 )
 def q_alias_resolve(spark, sf):
-    v = _versions(spark, sf)
+    """Alias -> version -> run -> artifact folder, for every alias."""
+    v = _versions(spark, sf).drop("o_orderkey")
     aliases = v.select("name", F.lit("champion").alias("alias"), "version", F.col("created").alias("ts"))
-    current = runlog.upsert_latest(aliases, ["name", "alias"], "ts", tiebreak=["version"])
-    return current.join(v, ["name", "version"]).select("name", "version", "run_id", "source")
+    got = runlog.resolve_aliases(aliases, v, V.runs_from_orders(spark, sf), tiebreak=["version"])
+    return got.select("name", "version", "run_id", "source", "run_name", "artifact_uri")
 
 
 # ================================================================ head / limit
@@ -836,8 +1068,10 @@ DOC_SPEC = FeatureSpec(
     target="quality_label",
     id_columns=("doc_id",),
 )
-# Query-level settings: a lighter model than the library default so the query runs in seconds.
-QUERY_BOOST = dict(max_iter=20, max_depth=5)
+# The full settings of the original model; the boosting ends before its last round if the loss on
+# a tenth of the training rows stops falling.
+QUERY_BOOST = dict(validation_share=0.1)
+FIT_PARTITIONS = 8
 DOC_LABELS = {"High": "keep", "Low": "drop"}
 
 
@@ -848,16 +1082,64 @@ def _labeled_docs(spark, sf):
     return docs, labels.join(docs, "doc_id").select("doc_id", "lang", "source", "n_chars", label.alias("quality_label"))
 
 
-def _fit_docs(spark, sf):
+def _doc_split(spark, sf):
+    docs, labeled = _labeled_docs(spark, sf)
+    return docs, *split.train_test(split.exact_split(labeled, "doc_id", TEST_RATIO, SEED))
+
+
+def _fit_docs(spark, sf, boost: dict | None = None):
     from tabula.operators import train
 
-    docs, labeled = _labeled_docs(spark, sf)
-    flagged = split.exact_split(labeled, "doc_id", TEST_RATIO, SEED)
-    tr, te = split.train_test(flagged)
-    model = train.fit(tr, DOC_SPEC, train.BoostParams(**QUERY_BOOST))
+    docs, tr, te = _doc_split(spark, sf)
+    model = train.fit(tr, DOC_SPEC, train.BoostParams(**(QUERY_BOOST if boost is None else boost)), partitions=FIT_PARTITIONS)
     return train, model, docs, tr, te
 
 
+LABELED_SQL = f"""labeled AS (
+  SELECT l.doc_id, d.lang, d.source, d.n_chars, CASE WHEN l.quality = 1 THEN 'High' ELSE 'Low' END AS quality_label
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+doc_ranked AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn, count(*) OVER () AS n FROM labeled),
+doc_train AS (SELECT * FROM doc_ranked WHERE rn > ceil({TEST_RATIO} * n))"""
+
+
+@query(
+    "label_index",
+    _with(LABELED_SQL)
+    + """SELECT doc_id, quality_label, CAST(dense_rank() OVER (ORDER BY quality_label) - 1 AS DOUBLE) AS label_index FROM doc_train""",
+)
+def q_label_index(spark, sf):
+    """Label encoding of the training rows: classes numbered in alphabetical order."""
+    from tabula.operators import train
+
+    _, tr, _ = _doc_split(spark, sf)
+    model = train.build_features(DOC_SPEC).fit(tr)
+    return model.transform(tr).select("doc_id", "quality_label", F.col(train.LABEL).alias("label_index"))
+
+
+@query(
+    "assembled_vector",
+    _with(LABELED_SQL)
+    + """, langs AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS i FROM (SELECT DISTINCT lang FROM doc_train)),
+sources AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS i FROM (SELECT DISTINCT source FROM doc_train)),
+sizes AS (SELECT (SELECT count(*) FROM langs) AS n_lang, (SELECT count(*) FROM sources) AS n_source)
+SELECT doc_id, CAST(i AS INTEGER) AS slot, 1.0::DOUBLE AS value FROM documents JOIN langs USING (lang)
+UNION ALL SELECT doc_id, CAST(n_lang + i AS INTEGER), 1.0::DOUBLE FROM documents JOIN sources USING (source), sizes
+UNION ALL SELECT doc_id, CAST(n_lang + n_source AS INTEGER), CAST(n_chars AS DOUBLE) FROM documents, sizes WHERE n_chars <> 0""",
+)
+def q_assembled_vector(spark, sf):
+    """The feature vector of every document under the stages fitted on the training rows, as
+    its non-zero slots: the one-hot blocks, then the numbers, then their missing flags."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tabula.operators import train
+
+    docs, tr, _ = _doc_split(spark, sf)
+    model = train.build_features(DOC_SPEC).fit(tr)
+    rows = model.transform(docs.withColumn(DOC_SPEC.target, F.lit("High")))
+    slots = rows.select("doc_id", F.posexplode(vector_to_array(train.FEATURES)).alias("slot", "value"))
+    return slots.where("value <> 0")
+
+
 @query("gbt_score", None)
 def q_gbt_score(spark, sf):
     """Fit on the labeled training split, batch-score every document (one row each)."""
@@ -866,6 +1148,29 @@ def q_gbt_score(spark, sf):
     return train.score(model, docs, DOC_SPEC, contract=contract_, keep=["doc_id"], labels=DOC_LABELS)
 
 
+@query(
+    "gbt_score_count",
+    """SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids, CAST(count_if(doc_id IS NULL) AS BIGINT) AS n_bad_labels,
+  CAST(count(*) - count(doc_id) AS BIGINT) AS n_changed_by_reload FROM documents""",
+)
+def q_gbt_score_count(spark, sf):
+    """What must hold of the scores whatever the model: one row per document, only known labels,
+    and the same scores from the saved and reloaded model."""
+    from tabula.session import ensure_checkpoint_dir
+
+    train, model, docs, _, _ = _fit_docs(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark)}/gbt-{uuid.uuid4().hex}"
+    train.save(model, path)
+    score = lambda m, out: train.score(m, docs, DOC_SPEC, keep=["doc_id"], labels=DOC_LABELS, out=out)
+    both = score(model, "a").join(score(train.load(path), "b"), "doc_id", "full")
+    return both.agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("doc_id").alias("n_ids"),
+        F.count_if(~F.coalesce(F.col("a").isin(list(DOC_LABELS.values())), F.lit(False))).alias("n_bad_labels"),
+        F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_changed_by_reload"),
+    )
+
+
 @query("gbt_metrics", None)
 def q_gbt_metrics(spark, sf):
     """Fit, score the test split, and report the long metric rows."""

@@ -10,17 +10,28 @@ from tabula.operators.clean import normalize_missing
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, columns: list[str] | None = None, tokens: tuple[str, ...] = MISSING_TOKENS
+    spark: SparkSession, path: str, columns: list[str] | None = None, tokens: tuple[str, ...] = MISSING_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read every column as text (declared, no inference pass), then null out missing tokens.
+    """Read columns as text (no inference pass), then null out missing tokens.
 
-    With ``columns`` the schema is declared up front, so no job runs to read the header;
-    without it the header row names the columns.
+    Columns go by the names of the header row, wherever they stand; ``columns`` picks some of
+    them in that order, and one that the header lacks is an error, as is a file whose header
+    differs from the first one's. Quotes are doubled inside quoted values. A quoted line break
+    needs ``multi_line`` (which keeps a file from being split over tasks); without it the
+    two halves of such a row have too few values, and reading them fails.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    df = reader.csv(path)
+    reader = (
+        spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        .option("multiLine", multi_line).option("columnPruning", False)
+    )
+    header = reader.option("inferSchema", False).csv(path).columns
+    absent = [c for c in columns or [] if c not in header]
+    if absent:
+        raise ValueError(f"{path} has no column {absent}; its header is {header}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(schema).csv(path)
+    df = df.select(*[f"`{c}`" for c in columns or header])
     return normalize_missing(df, df.columns, tokens)
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _STR = T.StringType()
+# The fields of a dataset in a run document.
+DATASET_FIELDS = ("digest", "name", "profile", "schema", "source", "source_type")
 
 RUN_DOCUMENT = T.StructType(
     [
@@ -20,6 +22,7 @@ RUN_DOCUMENT = T.StructType(
                     T.StructField("lifecycle_stage", _STR),
                     T.StructField("run_id", _STR),
                     T.StructField("run_name", _STR),
+                    T.StructField("run_uuid", _STR),
                     T.StructField("start_time", T.LongType()),
                     T.StructField("status", _STR),
                     T.StructField("user_id", _STR),
@@ -36,17 +39,45 @@ RUN_DOCUMENT = T.StructType(
                 ]
             ),
         ),
+        T.StructField(
+            "inputs",
+            T.StructType(
+                [
+                    T.StructField(
+                        "dataset_inputs",
+                        T.ArrayType(
+                            T.StructType(
+                                [
+                                    T.StructField("dataset", T.StructType([T.StructField(n, _STR) for n in DATASET_FIELDS])),
+                                    T.StructField(
+                                        "tags",
+                                        T.ArrayType(T.StructType([T.StructField("key", _STR), T.StructField("value", _STR)])),
+                                    ),
+                                ]
+                            )
+                        ),
+                    )
+                ]
+            ),
+        ),
     ]
 )
 
 
 def read_run_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per run document: the info fields flattened plus the three maps."""
+    """One row per run document: the info fields flattened, the three maps and the dataset inputs."""
     docs = spark.read.schema(RUN_DOCUMENT).option("multiLine", True).json(path)
     return docs.select("info.*", F.col("data.metrics").alias("metrics"), F.col("data.params").alias("params"),
-                       F.col("data.tags").alias("tags"))
+                       F.col("data.tags").alias("tags"), F.col("inputs.dataset_inputs").alias("dataset_inputs"))
 
 
 def explode_map(docs: DataFrame, map_col: str) -> DataFrame:
     """Long (run_id, key, value) rows from one of the maps."""
     return docs.select("run_id", F.explode(map_col).alias("key", "value"))
+
+
+def explode_inputs(docs: DataFrame) -> DataFrame:
+    """One row per run and dataset it consumed: run_id, the dataset's fields, its tags as a map."""
+    rows = docs.select("run_id", F.explode("dataset_inputs").alias("i"))
+    tags = F.map_from_entries(F.coalesce("i.tags", F.array().cast("array<struct<key:string,value:string>>")))
+    return rows.select("run_id", "i.dataset.*", tags.alias("tags"))

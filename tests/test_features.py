@@ -54,12 +54,19 @@ def test_preprocess_missing_column(spark):
         features.preprocess(df, BOOKINGS, month_col="arrival_month")
 
 
-def test_dictionary_small_and_large(spark):
-    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "c string")
-    small = [r.c_code for r in features.category_codes(df, ["c"]).collect()]
-    large = [r.c_code for r in features.category_codes(df, ["c"], max_local=1).orderBy(F.monotonically_increasing_id()).collect()]
-    assert small == [1, 0, -1, 2, 0]
-    assert sorted(large) == sorted(small)
+def test_dictionary_any_size(spark, monkeypatch):
+    from tabula.operators import sequence
+
+    df = spark.createDataFrame([(0, "b"), (1, "a"), (2, None), (3, "c"), (4, "a")], "k int, c string")
+    for task_rows in (sequence.TASK_ROWS, 1):  # one task, or ranges over many
+        monkeypatch.setattr(sequence.sequence_within, "__defaults__", ("seq", None, task_rows))
+        assert [r.c_code for r in features.category_codes(df, ["c"]).orderBy("k").collect()] == [1, 0, -1, 2, 0]
+
+
+def test_category_of_nan_and_infinity(spark):
+    rows = [(0, float("nan")), (1, 2.0), (2, None), (3, float("-inf")), (4, float("inf"))]
+    got = features.category_codes(spark.createDataFrame(rows, "k int, d double"), ["d"]).orderBy("k").collect()
+    assert [r.d_code for r in got] == [-1, 1, -1, 0, 2]
 
 
 def test_one_hot_unseen_and_null_at_fit(spark):
@@ -79,15 +86,31 @@ def test_age_and_cyclic(spark):
     assert c.month_as_sin == pytest.approx(math.sin(2 * math.pi * 3 / 12))
 
 
-def test_one_hot_many_columns_and_cap(spark):
+def test_one_hot_many_columns(spark):
     df = spark.createDataFrame([("a", 1), ("b", None), ("a", 2)], "s string, n int")
     model = features.fit_one_hot(df, ["s", "n"])
     assert model.categories == {"s": ["a", "b"], "n": ["1", "2", "__null__"]}
-    with pytest.raises(ValueError):
-        features.fit_one_hot(df, ["s", "n"], max_categories=2)
+
+
+def test_one_hot_names_never_meet(spark):
+    df = spark.createDataFrame([("b_c", "c", "1.0"), ("x", "y", "1_0")], "a string, a_b string, v string")
+    model = features.fit_one_hot(df, ["a", "a_b", "v"])
+    names = model.column_names()
+    assert len(set(names)) == 6 and names[:3] == ["a_b_c", "a_x", "a_b_c__2"]
+    row = model.transform(df, keep_source=False).select(*names).where("a_b_c = 1").first()
+    assert [row[n] for n in names] == [1.0, 0.0, 1.0, 0.0, 1.0, 0.0]
+
+
+def test_one_hot_slots_have_no_limit(spark):
+    fit_df = spark.range(3000).selectExpr("cast(id as string) as c").unionByName(spark.createDataFrame([(None,)], "c string"))
+    score = spark.createDataFrame([("7",), ("none of them",), (None,)], "c string")
+    got = {r.c: r.c_slots for r in features.fit_one_hot_slots(fit_df, "c").transform(score).collect()}
+    order = sorted([str(i) for i in range(3000)] + [features.NULL_CATEGORY])
+    assert got["7"].indices == [order.index("7")] and got["7"].values == [1.0] and got["7"].size == 3001
+    assert got["none of them"].indices == [] and got[None].indices == [order.index(features.NULL_CATEGORY)]
 
 
 def test_category_codes_text_and_numbers(spark):
-    df = spark.createDataFrame([("b", 10), ("a", 2), (None, 1), ("b", None)], "s string, n int")
-    out = features.category_codes(df, ["s", "n"]).orderBy(F.monotonically_increasing_id()).collect()
+    df = spark.createDataFrame([(0, "b", 10), (1, "a", 2), (2, None, 1), (3, "b", None)], "k int, s string, n int")
+    out = features.category_codes(df, ["s", "n"]).orderBy("k").collect()
     assert [(r.s_code, r.n_code) for r in out] == [(1, 2), (0, 1), (-1, 0), (1, -1)]

@@ -1,5 +1,7 @@
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabula.operators import tables, train
@@ -37,14 +39,24 @@ def test_end_to_end(spark, tmp_dir):
     assert runs.where("status = 'FINISHED'").count() == 2
     newest = search_runs(runs, status="FINISHED", started_after_ms=relative_bound_ms(3600)).count()
     assert newest == 2
+    tagged = store.search_runs(tag_eq={"git_sha": "abc"})
+    assert [r.run_id for r in tagged.collect()] == [first["run_id"]]
+    assert store.load_input(second["run_id"]).count() == 120
+    got = store.resolve("bookings_model", "latest-model")
+    assert got.run_id == second["run_id"] and got.artifact_uri.endswith(f"{second['run_id']}/artifacts")
+    assert "lead_time" in json.loads(got.input_example) and "lead_time" in got.signature
+    wrong = spark.table(te_name).withColumn("lead_time", F.lit("soon"))
+    with pytest.raises(Exception) as e:
+        score_alias(store, "bookings_model", "latest-model", wrong, BOOKINGS, keep=["Booking_ID"])
+    assert "lead_time" in str(e.value) and "CAST_INVALID_INPUT" not in str(e.value)
+    with pytest.raises(KeyError):
+        score_alias(store, "bookings_model", "latest-model", wrong.drop("lead_time"), BOOKINGS)
     test = spark.table(te_name).drop("booking_status")
     scored = score_alias(store, "bookings_model", "latest-model", test, BOOKINGS, keep=["Booking_ID"])
     assert scored.count() == test.count()
     assert scored.select(F.countDistinct("Booking_ID")).first()[0] == 30
     assert store.table("inputs").count() == 2 and store.table("datasets").count() == 1
     doc_path = store.log_document(second["run_id"], "run_info.json", {"metrics": data["metrics"]})
-    import json
-
     # read back as text: the metric keys differ only in case, which JSON schema inference rejects
     assert json.loads(spark.read.text(doc_path).first().value)["metrics"] == data["metrics"]
     assert data["tags"]["data_version"] == "0"

@@ -46,3 +46,18 @@ def test_hot_key_aggregations_combine_map_side(spark):
     for name in ("metric_latest", "upsert_latest", "snapshot_diff"):
         text = plan(catalog.QUERIES[name](spark, SF))
         assert "partial_" in text, name  # partial aggregation before the shuffle
+
+
+def test_run_search_cuts_histories_before_reducing_them(spark):
+    text = plan(catalog.QUERIES["run_search"](spark, SF))
+    tree = text[: text.index("\n\n(1)")]
+    lines = [x for x in tree.splitlines() if "lineitem" in x or "LeftSemi" in x or "Aggregate" in x or "Join" in x]
+    joins = [i for i, x in enumerate(lines) if "Join" in x]
+    aggregates = [i for i, x in enumerate(lines) if "Aggregate" in x]
+    assert max(joins) > max(aggregates)  # a join lies below the aggregates
+    assert "In(l_returnflag" in text or "r_price" in text
+
+
+def test_numbering_small_groups_needs_no_join(spark):
+    text = plan(catalog.QUERIES["version_numbers"](spark, SF))
+    assert "Join" not in text and shuffles(text) == 1

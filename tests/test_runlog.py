@@ -13,18 +13,25 @@ def write(path, text):
         f.write(text)
 
 
+#: child run -> (loss, gain) of a made-up sweep
+SWEEP = {"shallow": (0.82, 11.0), "wide": (0.64, 17.5), "deep": (0.31, 14.25)}
+
+
 def make_tree(root):
     exp = os.path.join(root, "100")
     write(os.path.join(exp, "meta.yaml"), "artifact_location: file:///x\ncreation_time: 5\nexperiment_id: '100'\nlifecycle_stage: active\nname: /Shared/demo\n")
-    write(os.path.join(exp, "parent", "meta.yaml"), "run_id: parent\nexperiment_id: '100'\nrun_name: top_level_run-1\nstatus: 3\nstart_time: 10\nend_time: 20\nartifact_uri: file:///a\nlifecycle_stage: active\n")
-    for i in range(1, 5):
-        run = os.path.join(exp, f"child{i}")
-        write(os.path.join(run, "meta.yaml"), f"run_id: child{i}\nexperiment_id: '100'\nrun_name: subruns_{i}\nstatus: 3\nstart_time: {10 + i}\nend_time: 30\nartifact_uri: file:///c\nlifecycle_stage: active\n")
-        write(os.path.join(run, "tags", "mlflow.parentRunId"), "parent")
-        write(os.path.join(run, "metrics", "m1"), f"100 {5.1 + i} 0\n")
-        write(os.path.join(run, "metrics", "m2"), f"100 {2 * i} 0\n")
-        write(os.path.join(run, "metrics", "m3"), f"100 {1.5 * i + 3} 0\n")
-        write(os.path.join(run, "params", "i"), str(i))
+    write(os.path.join(exp, "sweep", "meta.yaml"), "run_id: sweep\nexperiment_id: '100'\nrun_name: sweep of settings\nstatus: 3\nstart_time: 10\nend_time: 20\nartifact_uri: file:///a\nlifecycle_stage: active\n")
+    for i, (name, (loss, gain)) in enumerate(SWEEP.items()):
+        run = os.path.join(exp, name)
+        write(os.path.join(run, "meta.yaml"), f"run_id: {name}\nexperiment_id: '100'\nrun_name: try {name}\nstatus: 3\nstart_time: {40 + i}\nend_time: 90\nartifact_uri: file:///c\nlifecycle_stage: active\n")
+        write(os.path.join(run, "tags", runlog.PARENT_TAG), "sweep")
+        write(os.path.join(run, "metrics", "loss"), f"100 {loss} 0\n")
+        write(os.path.join(run, "metrics", "train", "gain"), f"100 {gain} 0\n")
+        write(os.path.join(run, "metrics", "val loss"), "100 1.0 0\n")
+        write(os.path.join(run, "params", "opt", "lr"), str(i))
+        write(os.path.join(run, "artifacts", "metrics", "notes.txt"), "no numbers here\n")
+    model = os.path.join(root, "models", "m", "version-1")
+    write(os.path.join(model, "meta.yaml"), "aliases: []\ncreation_timestamp: 3\nname: m\nrun_id: deep\nsource: s\nstatus: READY\nversion: 1\n")
     hist = os.path.join(exp, "hist")
     write(os.path.join(hist, "meta.yaml"), "run_id: hist\nexperiment_id: '100'\nrun_name: h\nstatus: 3\nstart_time: 50\nend_time: 60\nartifact_uri: file:///h\nlifecycle_stage: active\n")
     write(os.path.join(hist, "metrics", "metric1"), "1 3.0 0\n2 3.5 1\n3 4.0 2\n")
@@ -35,14 +42,15 @@ def make_tree(root):
 
 def test_scan_tree_and_goldens(spark, tmp_dir):
     t = scan_run_tree(spark, make_tree(os.path.join(tmp_dir, "runs")))
-    assert t.runs.count() == 6
-    assert t.runs.where("run_id = 'parent'").first().status == "FINISHED"
+    assert sorted(r.run_id for r in t.runs.collect()) == ["deep", "hist", "shallow", "sweep", "wide"]
+    assert t.runs.where("run_id = 'sweep'").first().status == "FINISHED"
     latest = {r.key: r.value for r in runlog.latest_metrics(t.metrics).where("run_id = 'hist'").collect()}
     assert latest == {"metric1": 4.0}
-    wide = runlog.child_metrics_wide(t.runs, t.tags, t.metrics, ["m1", "m2", "m3"])
-    assert wide.count() == 4
-    best = runlog.best_child(wide, "m1").first()
-    assert best.best_run_id == "child4" and best.best_value == pytest.approx(9.1)
+    assert {r.key for r in t.metrics.where("run_id = 'deep'").collect()} == {"loss", "train/gain", "val loss"}
+    wide = runlog.child_metrics_wide(t.runs, t.tags, t.metrics, ["loss", "train/gain"])
+    assert {r.run_id: (r.loss, r["train/gain"]) for r in wide.collect()} == SWEEP
+    best = runlog.best_child(wide, "loss", maximize=False).first()
+    assert (best.parent_run_id, best.best_run_id, best.best_value) == ("sweep", "deep", 0.31)
     ds = t.datasets.first()
     assert (ds.num_rows, ds.num_elements, ds.digest) == (1451, 30471, "f9c40f61")
     inp = runlog.run_inputs(t.inputs.withColumnRenamed("dataset_id", "dataset_digest"),
@@ -50,7 +58,9 @@ def test_scan_tree_and_goldens(spark, tmp_dir):
     assert inp.context == "training" and inp.name == "train_set"
     assert t.experiments.first().name == "/Shared/demo"
     maps = {r.run_id: r.params for r in runlog.kv_maps(t.params, "params").collect()}
-    assert maps["child2"] == {"i": "2"}
+    assert maps["deep"] == {"opt/lr": "2"}
+    beside, _ = scan_registry(spark, os.path.join(tmp_dir, "runs", "models"))
+    assert [(r.name, r.version, r.run_id) for r in beside.collect()] == [("m", 1, "deep")]
 
 
 def test_search_and_newest(spark):
@@ -110,18 +120,58 @@ def test_upsert_last_write_wins(spark):
 def test_store_nested_runs(spark):
     store = runlog.RunStore(spark, "tabula_nested_runs")
     exp = store.create_experiment("/Shared/nested")
-    parent = store.start_run(exp, "top_level_run-1")
-    names = {}
-    for i in range(1, 5):
-        child = store.start_run(exp, f"subruns_{i}", parent_run_id=parent)
-        names[child] = f"subruns_{i}"
-        store.log_metrics(child, {"m1": 5.1 + i, "m2": 2 * i, "m3": 1.5 * i + 3})
-        store.end_run(child)
-    wide = runlog.child_metrics_wide(store.runs(), store.tags(), store.table("metrics"), ["m1", "m2", "m3"])
-    assert wide.count() == 4
-    best = runlog.best_child(wide, "m1").first()
-    assert best.parent_run_id == parent and names[best.best_run_id] == "subruns_4"
-    assert best.best_value == pytest.approx(9.1)
+    parent = store.start_run(exp, "sweep of settings")
+    ids = {}
+    with store.batch():
+        for name, (loss, gain) in SWEEP.items():
+            ids[name] = store.start_run(exp, name, parent_run_id=parent, tags={"git_sha": f"sha-{name}"})
+            store.log_metrics(ids[name], {"loss": loss, "gain": gain})
+            store.log_params(ids[name], {"depth": 3})
+            with pytest.raises(runlog.ParamConflictError):
+                store.log_params(ids[name], {"depth": 4})
+            store.end_run(ids[name])
+        assert store.runs().count() == 1  # held back until the batch ends
+    wide = runlog.child_metrics_wide(store.runs(), store.tags(), store.table("metrics"), ["loss", "gain"])
+    assert wide.count() == 3
+    best = runlog.best_child(wide, "gain").first()
+    assert (best.parent_run_id, best.best_run_id, best.best_value) == (parent, ids["wide"], 17.5)
+    assert len(store.table("metrics").inputFiles()) == 2  # that of the empty table, and one for the whole batch
+    found = store.search_runs(experiment_names=["/Shared/nested"], status="FINISHED", metric_gt={"gain": 12, "loss": 0.5},
+                              param_eq={"depth": "3"}, tag_eq={"git_sha": "sha-wide"}, lifecycle_stage="active")
+    assert [r.run_id for r in found.collect()] == [ids["wide"]]
+    assert store.search_runs(experiment_names=["other"]).count() == 0
+
+
+def test_last_write_wins_within_a_millisecond(spark, monkeypatch):
+    store = runlog.RunStore(spark, "tabula_ties")
+    monkeypatch.setattr(runlog.RunStore, "_now", staticmethod(lambda: 1000))
+    run = store.start_run("e", "r")
+    store.end_run(run)
+    store.set_tags(run, {"stage": "z"})
+    store.set_tags(run, {"stage": "a"})
+    store.set_alias("m", "champion", 2)
+    store.set_alias("m", "champion", 1)
+    store.register_model("m", run, "s1")
+    store.register_model("m", run, "s2", signature="{}", input_example="{}")
+    assert store.runs().first().status == "FINISHED"
+    assert store.tags().first().value == "a"
+    got = store.resolve("m", "champion")
+    assert (got.version, got.source, got.run_name) == (1, "s1", "r")
+    with pytest.raises(KeyError):
+        store.resolve("m", "other")
+
+
+def test_batch_of_params_may_not_contradict_itself(spark):
+    ddl = "run_id string, key string, value string"
+    none = spark.createDataFrame([], ddl)
+    with pytest.raises(runlog.ParamConflictError):
+        runlog.params_to_append(none, spark.createDataFrame([("r", "lr", "0.1"), ("r", "lr", "0.2")], ddl))
+    same = spark.createDataFrame([("r", "lr", "0.1"), ("r", "lr", "0.1")], ddl)
+    assert [tuple(r) for r in runlog.params_to_append(none, same).collect()] == [("r", "lr", "0.1")]
+
+
+def test_time_bound_keeps_milliseconds():
+    assert runlog.relative_bound_ms(1.5, now_ms=10_250) == 8_750
 
 
 def test_store_compaction_keeps_rows(spark):

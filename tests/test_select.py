@@ -57,3 +57,29 @@ def test_exact_medians_many_columns_shared_passes(spark):
         vals = [r[i] for r in rows if r[i] is not None]
         assert got[c] == statistics.median(vals), c
     assert exact_medians(df.where("a < 0"), ["a"]) == {"a": None}
+
+
+def test_infinities_and_wide_spreads_take_few_passes(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from tabula.operators.select import exact_medians
+
+    rnd = random.Random(5)
+    inf = float("inf")
+    columns = {
+        "both": [-inf, inf, inf] + [rnd.gauss(0, 1) for _ in range(2000)],
+        "wide": [10.0 ** rnd.uniform(-270, 280) * rnd.choice([-1, 1]) for _ in range(2003)],
+        "hot": [-inf] * 700 + [0.0, -0.0, inf] * 300 + [rnd.random() for _ in range(403)],
+    }
+    n = min(map(len, columns.values()))
+    rows = list(zip(*(rnd.sample(v, n) for v in columns.values())))
+    df = spark.createDataFrame(rows, "both double, wide double, hot double").cache()
+    passes = []
+    monkeypatch.setattr(DataFrame, "first", lambda self, f=DataFrame.first: passes.append(1) or f(self))
+    got = exact_medians(df, list(columns), max_collect=30)
+    assert len(passes) <= 10, len(passes)
+    for i, c in enumerate(columns):
+        assert got[c] == statistics.median(r[i] for r in rows), c
+    for k in (1, 2, 700, n):
+        assert kth_smallest(df, "both", k, max_collect=5).value == sorted(r[0] for r in rows)[k - 1]
+        assert kth_smallest(df, "hot", k, max_collect=5, fanout=8).value == sorted(r[2] for r in rows)[k - 1]

@@ -62,3 +62,18 @@ def test_hash_sample_is_stable_and_close(spark):
     a = {r.id for r in split.hash_sample(base, "id", 0.1, 9).collect()}
     more = {r.id for r in split.hash_sample(spark.range(6000), "id", 0.1, 9).collect()}
     assert a <= more and 400 < len(a) < 600
+
+
+def test_split_does_not_depend_on_the_order_of_rows(spark):
+    import random
+
+    rows = [(i % 3, i % 2, i // 4) for i in range(60)] * 2
+    sides = set()
+    for seed in range(10):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "k int, t int, v int").repartition(1 + seed % 4)
+        flagged = split.exact_split(df, "k", 0.4, 7, tiebreak=["t"])
+        test = sorted(tuple(r)[:3] for r in flagged.where("is_test").collect())
+        assert len(test) == 48 and sorted(tuple(r)[:3] for r in flagged.collect()) == sorted(rows)
+        sides.add(tuple(test))
+    assert len(sides) == 1

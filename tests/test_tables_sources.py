@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabula.operators import tables
@@ -53,3 +54,72 @@ def test_explode_run_document_maps(spark, tmp_dir):
         json.dump({"info": {"run_id": "r9"}, "data": {"metrics": {"a": 1.0, "b": 2.0}, "params": {}, "tags": {}}}, f)
     rows = sorted((r.key, r.value) for r in explode_map(read_run_documents(spark, p), "metrics").collect())
     assert rows == [("a", 1.0), ("b", 2.0)]
+
+
+def test_columns_go_by_their_header(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "h.csv")
+    with open(path, "w") as f:
+        f.write('id,name,v\n1,"a ""b"" c",x\n2, blank ,"p,q"\n')
+    got = [tuple(r) for r in read_csv_text(spark, path, ["v", "name", "id"]).orderBy("id").collect()]
+    assert got == [("x", 'a "b" c', "1"), ("p,q", " blank ", "2")]
+    assert read_csv_text(spark, path, ["name"]).columns == ["name"]
+    with pytest.raises(ValueError):
+        read_csv_text(spark, path, ["id", "price"])
+
+
+def test_files_with_another_header_are_refused(spark, tmp_dir):
+    for name, text in (("a.csv", "id,v\n1,x\n"), ("b.csv", "v,id\ny,2\n")):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    with pytest.raises(Exception):
+        read_csv_text(spark, tmp_dir, ["id", "v"]).collect()
+
+
+def test_line_breaks_in_quotes(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "n.csv")
+    with open(path, "w") as f:
+        f.write('id,v,w\n1,"two\nlines",x\n2,y,z\n')
+    assert sorted(tuple(r) for r in read_csv_text(spark, path, multi_line=True).collect()) == [("1", "two\nlines", "x"), ("2", "y", "z")]
+    with pytest.raises(Exception):
+        read_csv_text(spark, path).select("id").collect()
+
+
+def test_csv_sink_keeps_blanks_and_quotes(spark, tmp_dir):
+    rows = [("1", ' lead "and" trail '), ("2", "a,b"), ("3", "back\\slash"), ("4", "two\nlines")]
+    path = os.path.join(tmp_dir, "out")
+    tables.write_csv(spark.createDataFrame(rows, "id string, v string"), path)
+    assert sorted(tuple(r) for r in read_csv_text(spark, path, multi_line=True).collect()) == rows
+
+
+def test_append_skips_null_keys_and_repeats(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS tabula_t")
+    rows = spark.createDataFrame([(1, "a"), (None, "n"), (2, "x"), (2, "y")], "k int, v string")
+    spark.sql("DROP TABLE IF EXISTS tabula_t.keyed")
+    for _ in range(2):
+        tables.append_table(rows, "tabula_t.keyed", keys=["k"])
+    got = sorted((str(r.k), r.v) for r in spark.table("tabula_t.keyed").collect())
+    assert [k for k, _ in got] == ["1", "2", "None"] and got[1][1] in ("x", "y")
+
+
+def test_publish_can_append(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS tabula_t")
+    flagged = spark.range(6).withColumn("is_test", F.col("id") < 2)
+    tables.publish_split(flagged, "tabula_t.a_train", "tabula_t.a_test")
+    tables.publish_split(spark.range(9).withColumn("is_test", F.col("id") < 2), "tabula_t.a_train", "tabula_t.a_test", mode="append", keys=["id"])
+    assert sorted(r.id for r in spark.table("tabula_t.a_train").collect()) == [2, 3, 4, 5, 6, 7, 8]
+    assert spark.table("tabula_t.a_test").count() == 2
+
+
+def test_run_document_inputs(spark, tmp_dir):
+    from tabula.sources.documents import explode_inputs
+
+    dataset = {"digest": "d1", "name": "bookings", "source": "cat.sch.t", "source_type": "table"}
+    doc = {"info": {"run_id": "r", "run_uuid": "u"}, "data": {},
+           "inputs": {"dataset_inputs": [{"dataset": dataset, "tags": [{"key": "context", "value": "training"}]}]}}
+    p = os.path.join(tmp_dir, "doc.json")
+    with open(p, "w") as f:
+        json.dump(doc, f)
+    docs = read_run_documents(spark, p)
+    assert docs.first().run_uuid == "u"
+    r = explode_inputs(docs).first()
+    assert (r.run_id, r.digest, r.source, r.tags) == ("r", "d1", "cat.sch.t", {"context": "training"})

@@ -59,3 +59,31 @@ def test_batch_wrapper(spark):
     w = ModelWrapper(ThresholdModel("n", 10, "Not_Canceled", "Canceled"), {"Canceled": "Room Not Reserved"})
     got = {r.id: r.prediction for r in score_batches(df, w, ["n"], ["id"]).collect()}
     assert got == {1: "Room Not Reserved", 2: "Not_Canceled"}
+
+
+def test_fit_does_not_depend_on_the_layout(spark, fitted):
+    clean, tr, te, _ = fitted
+    got = []
+    for n in (1, 5):
+        model = train.fit(tr.repartition(n), BOOKINGS, FAST, partitions=3)
+        rows = train.score(model, te, BOOKINGS, keep=["Booking_ID"]).collect()
+        got.append((sorted(map(tuple, rows)), list(model.stages[-2].featureImportances.toArray())))
+    assert got[0] == got[1]
+
+
+def test_unseen_category_is_a_block_of_zeros(spark, fitted):
+    from pyspark.ml.functions import vector_to_array
+
+    _, tr, te, _ = fitted
+    model = train.build_features(BOOKINGS).fit(tr)
+    odd = te.withColumn("room_type_reserved", F.lit("Room_Type 99")).limit(1)
+    sizes = [len(model.stages[2].labelsArray[i]) for i in range(4)]
+    v = model.transform(odd).select(vector_to_array("features").alias("v")).first().v
+    start = sum(sizes[:2])
+    assert set(v[start : start + sizes[2]]) == {0.0} and sum(v[: sum(sizes)]) == 3.0
+
+
+def test_boosting_may_end_early(spark, fitted):
+    _, tr, _, _ = fitted
+    params = train.BoostParams(max_iter=200, max_depth=2, min_instances_per_node=1, validation_share=0.2, validation_tol=0.5)
+    assert train.fit(tr, BOOKINGS, params, partitions=2).stages[-2].getNumTrees < 200
