@@ -36,24 +36,42 @@ END_ID = 1
 TRAIN_DOCS = 1_000
 DICT_BYTES = 64 << 10
 SAMPLE_BYTES = 32 << 10
+LEVEL = 3
 #: A shard closes at this many payload bytes or documents.
 SHARD_BYTES = 8 << 20
 SHARD_DOCS = 4_096
-#: Words a task remembers; over it the memory is emptied and filled anew.
-MEMORY = 400_000
+#: Words of one generation that a task remembers.
+MEMORY = 500_000
 SHARD_SCHEMA = (
     "shard_key string, first_id long, last_id long, n_docs int, n_ids long, dict_hash string, width int, "
     "doc_ids array<bigint>, offsets array<int>, counts array<int>, payload binary"
 )
 
 
+def _byte_level() -> dict[int, str]:
+    """The byte-level pre-tokenizer's text for every character below U+0250: printable bytes stand
+    for themselves, the others for characters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    of = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(other)}}
+    return {c: "".join(of[b] for b in chr(c).encode()) for c in range(_LATIN)}
+
+
+_LATIN = 0x250
+#: The one letter below U+0250 whose lower case ends in a mark, which a full stop would join.
+_DOTTED = "\u0130"
+
+
 class WordEncoder:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     The vocabulary's normalizer and pre-tokenizer never join characters across a space, a
     tab or a line break, so a text's ids are those of its words in turn. A full stop or comma
-    after a letter is a pre-token of its own, and a word of ASCII letters is one pre-token
-    that the normalizer only lower-cases, so these go to the model directly.
+    after a letter is a pre-token of its own. A word of letters below U+0250 is one pre-token,
+    which the normalizer only lower-cases, so it goes to the model directly.
+
+    Words are remembered in two generations of ``MEMORY`` words: when the young one is full it
+    becomes the old one, and what is met again moves to the young one.
     """
 
     def __init__(self, path: str, width: int):
@@ -64,44 +82,57 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.type = f"<u{width}"
-        self.known: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.bytes_of = _byte_level()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.mark = {c: self._pack(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.type).tobytes()
+        return b"".join([self.packed[i] for i in ids])
 
-    def _learn(self, words: set[str]) -> None:
-        cores, marks, rest = self.cores, self.mark, []
-        tokenize, split = self.tokenizer.model.tokenize, []
+    def _learn(self, words: list[str]) -> None:
+        young, old, marks, packed = self.young, self.old, self.mark, self.packed
+        tokenize, table, rest, ended = self.tokenizer.model.tokenize, self.bytes_of, [], []
         for word in words:
             core, last = word, word[-1:]
-            if last in marks and len(word) > 1 and word[-2] < "\u0250" and word[-2].isalpha():
+            if last in marks and len(word) > 1 and word[-2] < "\u0250" and word[-2].isalpha() and word[-2] != _DOTTED:
                 core = word[:-1]
-            if core.isascii() and core.isalpha():
-                core = core.lower()
-                if core not in cores:
-                    cores[core] = self._pack([t.id for t in tokenize(core)])
-            elif core not in cores:
+                ended.append((word, core, last))
+            if core in young:
+                continue
+            if core in old:
+                young[core] = old[core]
+                continue
+            low = core.lower()
+            if low.isalpha() and max(low) < "\u0250" and max(core) < "\u0250":
+                text = low if low.isascii() else low.translate(table)
+                young[core] = b"".join([packed[t.id] for t in tokenize(text)])
+            else:
                 rest.append(core)
-            split.append((word, core, last if len(core) < len(word) else ""))
         rest = list(set(rest))
         for start in range(0, len(rest), 8192):
             some = rest[start : start + 8192]
             made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            cores.update((w, self._pack(e.ids)) for w, e in zip(some, made))
-        for word, core, last in split:
-            self.known[word] = cores[core] + marks[last] if last else cores[core]
+            young.update((w, self._pack(e.ids)) for w, e in zip(some, made))
+        for word, core, last in ended:
+            young[word] = young[core] + marks[last]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The serialized ids of each text."""
+        if len(self.young) > MEMORY:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
         split = [_spaced(t).split(" ") if t else [] for t in texts]
-        fresh = set().union(*split)
-        if len(self.known) + len(fresh) > MEMORY:
-            self.known, self.cores = {}, {}
-        self._learn(fresh - self.known.keys())
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        made = [list(map(young.get, words)) for words in split]
+        open_ = [i for i, parts in enumerate(made) if None in parts]
+        fresh = {w for i in open_ for w, part in zip(split[i], made[i]) if part is None}
+        met = fresh.intersection(old)
+        young.update((w, old[w]) for w in met)
+        self._learn(list(fresh - met))
+        for i in open_:
+            made[i] = map(young.__getitem__, split[i])
+        return [b"".join(parts) for parts in made]
 
 
 def _spaced(text: str) -> str:
@@ -126,6 +157,17 @@ def _dictionary(dictionary: bytes):
     return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
 
+def _compressor(dictionary: bytes):
+    """A compressor that digests the dictionary once, not for every document."""
+    import zstandard
+
+    data = _dictionary(dictionary)
+    if data is None:
+        return zstandard.ZstdCompressor(level=LEVEL)
+    data.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(dict_data=data)
+
+
 def train_dictionary(df: DataFrame, path: str, width: int, end_id: int = END_ID, train_docs: int = TRAIN_DOCS,
                      dict_bytes: int = DICT_BYTES, sample_bytes: int = SAMPLE_BYTES) -> bytes:
     """Dictionary from at most ``train_docs`` documents (``id``, ``text``), chosen by the hash of
@@ -172,9 +214,7 @@ def write_shards(df: DataFrame, out: str, id_col: str = "doc_id", text_col: str
         return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
     def pack(batches):
-        import zstandard
-
-        press = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary))
+        press = _compressor(dictionary)
         own, end = encoder(path, width), end_id.to_bytes(width, "little")
         ids, counts, frames, size, seq = [], [], [], 0, 0
         for batch in batches:

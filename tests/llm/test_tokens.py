@@ -89,8 +89,11 @@ def test_word_encoder_equals_the_library(library):
     rng = random.Random(4)
     texts = ["".join(rng.choice("aabbccΣσς ddeé中\U0001f600 \n\t\r\x0b'1234!!.,́  \u0085") for _ in range(rng.randint(0, 200))) for _ in range(500)]
     texts += ["x" + chr(c) + ". " + chr(c) + "́, " + chr(c) for c in [*range(0, 0xD800, 5), *range(0xE000, 0x11000, 5)]]
+    texts += [f"x{chr(c)} {chr(c)} {chr(c)}. y{chr(c)}{chr(d)}z," for c in range(0x21, 0x260) for d in (c, 0x131, 0xDF)]
     texts += ["<|endoftext|> it's, don't. A.B., end.", None, ""]
     own = token_shards.WordEncoder(token_shards.VOCABULARY, 2)
+    own.encode(texts[::7])
+    own.old, own.young = own.young, {}  # as after a change of generations
     for text, packed in zip(texts, own.encode(texts)):
         assert np.frombuffer(packed, "<u2").tolist() + [1] == library(text), repr(text)
 
