@@ -11,14 +11,17 @@ a table key is a pair of one collection of each group, so ``HALVES``**2 tables o
 2. Half keys that no other class has are dropped, since no table key over them can meet;
    only the others are combined. Buckets with the same members are taken once.
 3. In every bucket the members are compared with its smallest member only (a star, so a
-   bucket's rows stay linear), and links are confirmed on the full sets.
-4. Buckets that then still hold several components are compared across components, in
-   blocks of at most about ``BLOCK`` members, and links are confirmed likewise. So every
-   two linked documents that met in a bucket end in one component.
-
-Before full sets are fetched, pairs whose sizes cannot reach the similarity are dropped
-(exact), as are those whose 96 minhashes agree in less than ``SIGN_SHARE`` (4.5 standard
-deviations under the threshold).
+   bucket's rows stay linear). Pairs whose sizes cannot reach the similarity are dropped
+   (exact), as are those whose 96 minhashes agree in less than ``SIGN_SHARE`` (4.5 standard
+   deviations under the threshold); the others are alike, and their full sets decide whether
+   they are linked.
+4. Documents joined by alike pairs form a neighbourhood. In one that still holds several
+   components of links, members of different components are compared on their full sets, in
+   blocks of about ``BLOCK_BYTES``; a block reports the links that join components, not all.
+5. Members of one bucket but different neighbourhoods are compared by their minhashes, in
+   blocks as well, and the pairs that are alike are confirmed on the full sets.
+
+So every two linked documents that met in a bucket end in one component.
 
 Documents without words are linked with nothing. Rows with a null id are linked with
 nothing and kept. Ids are expected to be unique; rows that repeat an id carry each the
@@ -43,6 +46,8 @@ PERCENT = 75
 HALVES = 16
 ROWS = 3
 SIGN_SHARE = 0.55
+#: Packed sets of a block in step 4, and members of one in step 5.
+BLOCK_BYTES = 16 << 20
 BLOCK = 1024
 #: Words a task remembers the hash of; over it the memory is emptied.
 MEMORY = 500_000
@@ -91,15 +96,17 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
 @lru_cache(maxsize=4)
 def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20)
-    draw = lambda: rng.integers(0, 1 << 63, count, dtype=np.int64).astype(_U)
-    return draw() * _U(2) + _U(1), draw()
+    draw = lambda: rng.integers(0, 1 << 32, count, dtype=np.uint32)
+    return draw() | np.uint32(1), draw()
 
 
 def minhashes(own: np.ndarray, count: int) -> np.ndarray:
+    """The smallest value of each hash function, on the high half of the shingles' hashes."""
     factor, shift = _functions(count)
-    best = np.full(count, ~_U(0))
+    high = (own >> _U(32)).astype(np.uint32)
+    best = np.full(count, ~np.uint32(0))
     for start in range(0, len(own), SIDE):
-        part = own[start : start + SIDE, None] * factor
+        part = high[start : start + SIDE, None] * factor
         part += shift
         np.minimum(best, part.min(0), out=best)
     return best
@@ -107,7 +114,7 @@ def minhashes(own: np.ndarray, count: int) -> np.ndarray:
 
 def sketch(own: np.ndarray, halves: int = HALVES, rows: int = ROWS) -> tuple[np.ndarray, bytes]:
     """(half keys, first of one group, then of the other; a byte of every minhash)."""
-    low = _mixed(minhashes(own, 2 * halves * rows))
+    low = _mixed(minhashes(own, 2 * halves * rows).astype(_U) + _U(1))
     key = np.arange(2 * halves, dtype=_U)
     for column in low.reshape(2 * halves, rows).T:
         key = _mixed(key * _U(0x9E3779B97F4A7C15) + column)
@@ -222,33 +229,81 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, path
     return saved(linked.select("a", "b").distinct(), f"{path}/links")
 
 
-def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, percent: int, share: float, block: int) -> DataFrame:
-    """Pairs (a, b) of one bucket but different components that sizes and minhashes allow."""
-    own = members.join(comps, members["rep"] == comps["node"], "left").select(
-        "bucket", "rep", "size", F.coalesce("root", "rep").alias("comp")
+def _inside(near: DataFrame, comps: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int,
+            share: float, block_bytes: int) -> DataFrame:
+    """Links (a, b) that join components of one neighbourhood; ``near`` has (node, root)."""
+    own = near.select(F.col("node").alias("rep"), F.col("root").alias("near")).join(
+        comps, F.col("rep") == F.col("node"), "left"
+    ).select("rep", "near", F.coalesce("root", "rep").alias("comp"))
+    own = own.join(reps.select("rep", "n", "sign"), "rep")
+    mixed = own.groupBy("near").agg(
+        F.min("comp").alias("_x"), F.max("comp").alias("_y"), F.ceil(F.sum("n") * 8 / block_bytes).cast("int").alias("blocks")
+    ).where("_x <> _y").select("near", "blocks")
+    own = own.join(mixed, "near")
+    ids = own.select(F.col("rep").alias("id")).distinct()
+    sets = _sets(docs.join(small_side(ids, 16), "id", "left_semi"), words).select(F.col("id").alias("rep"), "own")
+    own = _paired(own.join(sets, "rep"), "near").select("near", "i", "j", "mine", "rep", "comp", "n", "sign", "own")
+
+    def compare(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("rep", ignore_index=True)
+        rep, n, mine = (pdf[c].to_numpy() for c in ("rep", "n", "mine"))
+        comp = pd.factorize(pdf["comp"])[0]
+        sets = [np.frombuffer(x, _U) for x in pdf["own"]]
+        sign = np.frombuffer(b"".join(pdf["sign"]), np.uint8).reshape(len(pdf), -1)
+        crossing, out = pdf["i"].iat[0] != pdf["j"].iat[0], []
+        for x in range(len(pdf) - 1):
+            y = slice(x + 1, None)
+            ok = (comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
+            if crossing:
+                ok &= mine[y] != mine[x]
+            at = np.nonzero(ok)[0] + x + 1
+            if not len(at):
+                continue
+            agree = (sign[at] == sign[x]).mean(1)
+            at = at[agree >= share][np.argsort(-agree[agree >= share], kind="stable")]
+            while len(at):
+                z, at = at[0], at[1:]
+                both = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
+                if 100 * both >= percent * (n[x] + n[z] - both):
+                    out.append((rep[x], rep[z]))
+                    comp[comp == comp[z]] = comp[x]  # from here on they are one
+                    at = at[comp[at] != comp[x]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return own.groupBy("near", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _paired(own: DataFrame, group: str) -> DataFrame:
+    """Rows of ``own``, whose groups are cut into ``blocks``, once for every pair (i, j) of blocks that
+    theirs (``mine``) is part of: each pair of blocks is a group of its own, and no rows are paired."""
+    own = own.withColumn("mine", F.pmod(F.xxhash64("rep", group), F.greatest("blocks", F.lit(1))).cast("int"))
+    own = own.withColumn("other", F.explode_outer(F.expr("sequence(0, greatest(blocks, 1) - 1)")))
+    return own.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
+
+
+def _across(members: DataFrame, near: DataFrame, reps: DataFrame, percent: int, share: float, block: int) -> DataFrame:
+    """Alike pairs (a, b) of one bucket but different neighbourhoods."""
+    own = members.join(near, members["rep"] == near["node"], "left").select(
+        "bucket", "rep", "size", F.coalesce("root", "rep").alias("near")
     )
-    mixed = own.groupBy("bucket").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x <> _y").select("bucket")
+    mixed = own.groupBy("bucket").agg(F.min("near").alias("_x"), F.max("near").alias("_y")).where("_x <> _y").select("bucket")
     own = own.join(mixed, "bucket").join(reps.select("rep", "n", "sign"), "rep")
-    # a large bucket is cut into blocks, and each pair of blocks is a group of its own
-    own = own.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn(
-        "mine", F.pmod(F.xxhash64("rep", "bucket"), F.col("blocks")).cast("int")
-    )
-    own = own.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "comp", "n", "sign"
-    )
+    own = own.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    own = _paired(own, "bucket").select("bucket", "i", "j", "mine", "rep", "near", "n", "sign")
 
     def compare(pdf):
         import pandas as pd
 
         pdf = pdf.sort_values("rep", ignore_index=True)
-        rep, comp, n, mine = (pdf[c].to_numpy() for c in ("rep", "comp", "n", "mine"))
+        rep, home, n, mine = (pdf[c].to_numpy() for c in ("rep", "near", "n", "mine"))
         sign = np.frombuffer(b"".join(pdf["sign"]), np.uint8).reshape(len(pdf), -1)
-        first, second = pdf["i"].iat[0], pdf["j"].iat[0]
-        out = []
+        crossing, out = pdf["i"].iat[0] != pdf["j"].iat[0], []
         for x in range(len(pdf) - 1):
             y = slice(x + 1, None)
-            ok = (comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
-            if first != second:
+            ok = (home[y] != home[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
+            if crossing:
                 ok &= mine[y] != mine[x]
             at = np.nonzero(ok)[0] + x + 1
             if len(at):
@@ -260,7 +315,8 @@ def _across(members: DataFrame, comps: DataFrame, reps: DataFrame, percent: int,
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    percent: int = PERCENT, share: float = SIGN_SHARE, block: int = BLOCK) -> DataFrame:
+                    percent: int = PERCENT, share: float = SIGN_SHARE, block: int = BLOCK,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable) and kept."""
     path = workspace(df.sparkSession, "near-dedup")
     docs = id_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
@@ -278,10 +334,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     left = signs.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sign").alias("sign_a"))
     right = signs.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sign").alias("sign_b"))
     known = docs.where("id is not null")
-    links = _confirmed(_alike(star.join(left, "a").join(right, "b"), percent, share).distinct(), known, words, percent, f"{path}/star")
+    alike = saved(_alike(star.join(left, "a").join(right, "b"), percent, share).distinct(), f"{path}/alike")
+    links = _confirmed(alike, known, words, percent, f"{path}/star")
     comps = connected(links, f"{path}/components-1")
-    more = _confirmed(_across(members, comps, reps, percent, share, block), known, words, percent, f"{path}/across")
-    comps = connected(links.unionByName(more), f"{path}/components-2")
+    near = connected(alike, f"{path}/neighbourhoods")
+    joins = saved(_inside(near, comps, reps, known, words, percent, share, block_bytes), f"{path}/joins")
+    more = _confirmed(_across(members, near, reps, percent, share, block), known, words, percent, f"{path}/across")
+    comps = connected(links.unionByName(joins).unionByName(more), f"{path}/components-2")
 
     classes = reps.select("set_key", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(
         "set_key", F.coalesce("root", "rep").alias("root")
