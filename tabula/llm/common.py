@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabula.session import ensure_checkpoint_dir
@@ -63,3 +63,18 @@ def slices(batch, size: int = SLICE_ROWS):
     """An Arrow batch in parts of ``size`` rows."""
     for start in range(0, batch.num_rows, size):
         yield batch.slice(start, size)
+
+
+def sample_per_label(rows: DataFrame, count: int) -> DataFrame:
+    """Of (id, label): per label the ``count`` rows of the smallest id hash.
+
+    The labels are counted first, and rows whose hash is far beyond what the count needs are left
+    out before the ranking, so that it moves a few rows per label however many tasks there are.
+    """
+    top = (1 << 63) - 1
+    hashed = rows.select("id", "label", F.xxhash64("id").bitwiseAND(F.lit(top)).alias("_h"))
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
+    enough = F.when(F.col("_n") <= 4 * count, F.lit(top)).otherwise((F.lit(4.0 * count) / F.col("_n") * F.lit(float(top))).cast("long"))
+    near = hashed.join(small_side(sizes, 64), "label").where(F.col("_h") <= enough)
+    order = Window.partitionBy("label").orderBy("_h", "id")
+    return near.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= count).select("id", "label")

@@ -15,10 +15,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.common import slices
+from tabula.llm.common import sample_per_label, slices
 
 HIDDEN = 8
 SEGMENT = 64
@@ -212,9 +212,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
         F.col(f"`{label_col}`").cast("string").alias("label"), held_out(id_col).alias("held"),
     ).where("not held and label is not null and text is not null")
-    # ranks are cut map-side before the shuffle, so no task gets a whole language
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    picked = rows.select("id", "label").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= train_docs)
+    picked = sample_per_label(rows, train_docs)
     room = F.greatest(F.length("text") - train_chars, F.lit(0)) + 1
     cut = F.col("text").substr((F.pmod(F.xxhash64("id", "label"), room) + 1).cast("int"), F.lit(train_chars))
     sample = rows.join(F.broadcast(picked.select("id").distinct()), "id", "left_semi").select("id", "label", cut.alias("cut"))

@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.common import slices
+from tabula.llm.common import sample_per_label, slices
 
 SEED_DOCS = 800
 POOL_DOCS = 1_600
@@ -210,11 +210,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ).groupBy("id").agg(F.min("label").alias("label"))
     ids = rows.select("id").where("id is not null").distinct()
     there = marks.join(ids, "id")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     share = there.agg(F.avg("label")).first()[0]
     if share is None or share in (0.0, 1.0):
         return 1.0 if share is None else float(share)
-    seed = there.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= seed_docs).drop("_n")
+    seed = sample_per_label(there, seed_docs)
     free = ids.join(marks.select("id"), "id", "left_anti")
     pool = free.select("id", F.xxhash64("id").alias("_h")).orderBy("_h", "id").limit(pool_docs)
     # both id lists are bounded by their parameters
