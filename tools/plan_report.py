@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from tabula.plans.catalog import QUERIES  # noqa: E402
 from tabula.session import build_session  # noqa: E402
 
 SKIP_PLAN = {"gbt_score", "gbt_metrics"}  # Spark ML fits run jobs while the plan is built
@@ -52,7 +52,7 @@ def main() -> None:
     print("category collection, model fit) are not part of these plans.\n")
     print("| query | shuffles | broadcasts | joins | aggregates | python | scans: file, pushed filters, columns read |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name in SKIP_PLAN:
             continue
         df = fn(spark, sf)
