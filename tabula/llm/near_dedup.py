@@ -5,14 +5,14 @@ hashes. Two groups of ``HALVES`` small collections of ``ROWS`` minhashes are tak
 a table key is a pair of one collection of each group, so ``HALVES``**2 tables of
 2 * ``ROWS`` minhashes come from 2 * ``HALVES`` * ``ROWS`` hash functions instead of
 2 * ``HALVES``**2 * ``ROWS``. Two sets of similarity s meet in a table with probability
-(1 - (1 - s**ROWS)**HALVES)**2: 0.9997 at 0.75, and 0.99999 at 0.8.
+(1 - (1 - s**ROWS)**HALVES)**2: 0.9998 at 0.75, and 0.99999 at 0.8.
 
 1. Documents with equal sets are one class; its smallest id stands for it from then on.
 2. Half keys that no other class has are dropped, since no table key over them can meet;
    only the others are combined. Buckets with the same members are taken once.
 3. In every bucket the members are compared with its smallest member only (a star, so a
    bucket's rows stay linear). Pairs whose sizes cannot reach the similarity are dropped
-   (exact), as are those whose 96 minhashes agree in less than ``SIGN_SHARE`` (4.5 standard
+   (exact), as are those whose 192 minhashes agree in less than ``SIGN_SHARE`` (4.8 standard
    deviations under the threshold); the others are alike, and their full sets decide whether
    they are linked.
 4. Documents joined by alike pairs form a neighbourhood. In one that still holds several
@@ -43,11 +43,11 @@ from tabula.llm.components import connected
 
 WORDS = 5
 PERCENT = 75
-HALVES = 16
-ROWS = 3
-SIGN_SHARE = 0.55
+HALVES = 24
+ROWS = 4
+SIGN_SHARE = 0.6
 #: Packed sets of a block in step 4, and members of one in step 5.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK = 1024
 #: Words a task remembers the hash of; over it the memory is emptied.
 MEMORY = 500_000
