@@ -15,7 +15,7 @@ a table key is a pair of one collection of each group, so ``HALVES``**2 tables o
    (exact), as are those whose 192 minhashes agree in less than ``SIGN_SHARE`` (4.8 standard
    deviations under the threshold); the others are alike, and their full sets decide whether
    they are linked.
-4. Documents joined by alike pairs form a neighbourhood. In one that still holds several
+4. Star pairs that agree in ``NEAR_SHARE`` at least join their documents to neighbourhoods. In one that still holds several
    components of links, members of different components are compared on their full sets, in
    blocks of about ``BLOCK_BYTES``; a block reports the links that join components, not all.
 5. Members of one bucket but different neighbourhoods are compared by their minhashes, in
@@ -46,6 +46,8 @@ PERCENT = 75
 HALVES = 24
 ROWS = 4
 SIGN_SHARE = 0.6
+#: Share of equal minhashes from which two documents count as neighbours.
+NEAR_SHARE = 0.4
 #: Packed sets of a block in step 4, and members of one in step 5.
 BLOCK_BYTES = 4 << 20
 BLOCK = 1024
@@ -183,8 +185,9 @@ def _bucket_members(reps: DataFrame, path: str, halves: int) -> DataFrame:
     return saved(table.join(once, "bucket"), f"{path}/members")
 
 
-def _alike(pairs: DataFrame, percent: int, share: float) -> DataFrame:
-    """Pairs (a, b) of a frame (a, b, n_a, n_b, sign_a, sign_b) that sizes and minhashes allow."""
+def _agreeing(pairs: DataFrame, share: float) -> DataFrame:
+    """Pairs (a, b, n_a, n_b, agree) of a frame (a, b, n_a, n_b, sign_a, sign_b) whose minhashes agree in
+    ``share`` at least."""
 
     def run(batches):
         for batch in batches:
@@ -194,11 +197,13 @@ def _alike(pairs: DataFrame, percent: int, share: float) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
                 for c in ("sign_a", "sign_b")
             )
-            keep = pa.array((left == right).mean(1) >= share)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+            agree = (left == right).mean(1)
+            keep, names = pa.array(agree >= share), ["a", "b", "n_a", "n_b"]
+            columns = [batch.column(c).filter(keep) for c in names] + [pa.array(agree).filter(keep)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "agree"])
 
-    fits = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return fits.select("a", "b", "sign_a", "sign_b").mapInArrow(run, "a long, b long")
+    columns = ["a", "b", "n_a", "n_b", "sign_a", "sign_b"]
+    return pairs.select(*columns).mapInArrow(run, "a long, b long, n_a long, n_b long, agree double")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, path: str) -> DataFrame:
@@ -316,7 +321,7 @@ def _across(members: DataFrame, near: DataFrame, reps: DataFrame, percent: int,
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     percent: int = PERCENT, share: float = SIGN_SHARE, block: int = BLOCK,
-                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, near_share: float = NEAR_SHARE) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable) and kept."""
     path = workspace(df.sparkSession, "near-dedup")
     docs = id_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
@@ -334,10 +339,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     left = signs.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sign").alias("sign_a"))
     right = signs.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sign").alias("sign_b"))
     known = docs.where("id is not null")
-    alike = saved(_alike(star.join(left, "a").join(right, "b"), percent, share).distinct(), f"{path}/alike")
+    pairs = saved(_agreeing(star.join(left, "a").join(right, "b"), min(share, near_share)), f"{path}/agreeing")
+    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    alike = pairs.where(fits & (F.col("agree") >= share)).select("a", "b").distinct()
     links = _confirmed(alike, known, words, percent, f"{path}/star")
     comps = connected(links, f"{path}/components-1")
-    near = connected(alike, f"{path}/neighbourhoods")
+    near = connected(pairs.select("a", "b"), f"{path}/neighbourhoods")
     joins = saved(_inside(near, comps, reps, known, words, percent, share, block_bytes), f"{path}/joins")
     more = _confirmed(_across(members, near, reps, percent, share, block), known, words, percent, f"{path}/across")
     comps = connected(links.unionByName(joins).unionByName(more), f"{path}/components-2")
