@@ -41,7 +41,7 @@ LEVEL = 3
 SHARD_BYTES = 8 << 20
 SHARD_DOCS = 4_096
 #: Words of one generation that a task remembers.
-MEMORY = 500_000
+MEMORY = 1_000_000
 SHARD_SCHEMA = (
     "shard_key string, first_id long, last_id long, n_docs int, n_ids long, dict_hash string, width int, "
     "doc_ids array<bigint>, offsets array<int>, counts array<int>, payload binary"
