@@ -3,7 +3,9 @@
 A text is scanned as it is. Encoded parts are then unwrapped to new layers, which are
 scanned and unwrapped in turn until nothing new appears: percent escapes and Unicode
 escapes are decoded in place within their line, base64 runs alone, and base64 whose bytes
-are gzip, zlib or zstandard data is decompressed. A layer seen before is not entered again,
+are gzip, zlib or zstandard data is decompressed. Base64 is of either alphabet and may be
+wrapped over lines; a run that is no text as a whole is also opened behind its separators
+and in its parts, as a token after a URL path. A layer seen before is not entered again,
 so chains that lead back to themselves end. Every character of a layer carries the range
 of the original text that it came from; a find in a layer is reported as that range, with
 the way it was reached (``path``, such as ``base64/url``; empty for the text itself).
@@ -18,6 +20,8 @@ import base64
 import gzip
 import re
 import zlib
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +38,20 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+_RUN, _BREAK = r"[A-Za-z0-9+/_-]", r"(?:[\x20\t]*\r?\n[\x20\t]*|(?:\\r)?\\n)"
+#: A run of either alphabet with the lines it is wrapped over; a short line is the last and has nothing behind it.
+_BASE64 = re.compile(
+    rf"{_RUN}{{16,}}(?:{_BREAK}{_RUN}{{16,}})*(?:{_BREAK}{_RUN}{{1,15}}(?==|[\x20\t]*(?:\r?\n|\Z)|\\|[\"']))?={{0,2}}"
+)
+_LINE = re.compile(_BREAK)
+_STANDARD = str.maketrans("-_", "+/")
+_SEPARATOR = re.compile(r"[+/_-]+")
+#: What may stand alone between separators: either alphabet, what is between slashes, and what is between any.
+_PARTS = [re.compile(rf"[A-Za-z0-9{more}]{{16,}}") for more in ("+/", "_-", "+_-", "")]
+#: The first base64 characters of gzip, zstandard and zlib data.
+_PACKED = re.compile(r"H4sI|KLUv[/_]|e[AFJN]")
+#: Base64 characters that show whether text starts at a place.
+_HEAD = 24
 #: Decompressed bytes of one layer at most, against bombs; a layer over it is scanned up to there.
 LAYER_BYTES = 64 << 20
 
@@ -98,17 +115,45 @@ def _readable(data: bytes) -> str | None:
     return text if text and all(c >= " " or c in "\t\n\r" for c in text) else None
 
 
-def _unbase64(run: str) -> tuple[str, str] | None:
-    """(layer, name) of a base64 run whose bytes are text or compressed text."""
-    core = run.rstrip("=").replace("-", "+").replace("_", "/")
+def _width(c: str) -> int:
+    """Bytes of a character in UTF-8."""
+    return 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
+
+
+def _unbase64(run: str) -> bytes:
+    core = run.rstrip("=").translate(_STANDARD)
     core = core[: len(core) - (len(core) % 4 == 1)]
-    data = base64.b64decode(core + "=" * (-len(core) % 4))
-    name = "base64"
-    # compressed data may be wrapped several times
-    while (inner := _inflated(data)) is not None:
-        data, name = inner, name + "/compressed"
-    text = _readable(data)
-    return None if text is None else (text, name)
+    return base64.b64decode(core + "=" * (-len(core) % 4))
+
+
+def _starts(core: str) -> list[int]:
+    """Places behind separators from which a run that is no text as a whole is opened: those of
+    packed data, and for each alignment the first that text starts at."""
+    made, aligned = [], set()
+    for m in _SEPARATOR.finditer(core):
+        for at in range(m.start() + 1, m.end() + 1):
+            if len(core) - at < 16:
+                return made
+            head = _unbase64(core[at : at + _HEAD])
+            if _PACKED.match(core, at) and _inflated(head) is not None:
+                made.append(at)
+            elif at % 4 not in aligned and any(_readable(head[:n]) is not None for n in range(len(head), len(head) - 4, -1)):
+                aligned.add(at % 4)
+                made.append(at)
+    return made
+
+
+def _wrapped(lines: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Lines that follow each other, in groups of equal length up to a shorter one."""
+    groups: list[list[tuple[int, int]]] = []
+    width, closed = 0, True
+    for a, b in lines:
+        if closed or b - a > width:
+            groups.append([])
+            width, closed = b - a, False
+        groups[-1].append((a, b))
+        closed = b - a < width
+    return groups
 
 
 class _Layer:
@@ -165,9 +210,55 @@ class _Layer:
                     yield self.rewritten(start, end, _ESCAPE, _escape, "unicode")
                 break
         for m in _BASE64.finditer(self.text):
-            if (made := _unbase64(m[0])) is not None:
-                where = self.original(m.start(), m.end())
-                yield _Layer(made[0], [where] * len(made[0]), f"{self.path}/{made[1]}".strip("/"))
+            yield from self.unwrapped(m.start(), m.end())
+
+    def unwrapped(self, start: int, end: int):
+        """Layers of a base64 run and the lines it is wrapped over. What is text or packed data
+        as a whole is not opened in parts."""
+        lines, at = [], start
+        for m in _LINE.finditer(self.text, start, end):
+            lines.append((at, m.start()))
+            at = m.end()
+        lines.append((at, end))
+        groups, clear = _wrapped(lines), set()
+        for group in [*(g for g in groups if len(g) > 1), *([lines] if len(groups) > 1 else [])]:
+            if not clear.issuperset(group) and (made := self.opened(group)) is not None:
+                clear.update(group)
+                yield made
+        for a, b in lines:
+            if (a, b) in clear:
+                continue
+            if (made := self.opened([(a, b)])) is not None:
+                yield made
+                continue
+            run = self.text[a:b].rstrip("=")
+            places = {(a + at, b) for at in _starts(run)}
+            places |= {(a + m.start(), a + m.end()) for part in _PARTS for m in part.finditer(run)} - {(a, a + len(run))}
+            for place in sorted(places):
+                if (made := self.opened([place])) is not None:
+                    yield made
+
+    def opened(self, pieces: list[tuple[int, int]]) -> _Layer | None:
+        """The layer of a base64 run that lies in ``pieces``, if it is text or packed text. A character of packed
+        data has all pieces for its range, another one those that it lies in."""
+        data = _unbase64("".join(self.text[a:b] for a, b in pieces))
+        whole, name = self.original(pieces[0][0], pieces[-1][1]), "base64"
+        # compressed data may be wrapped several times
+        while (inner := _inflated(data)) is not None:
+            data, name = inner, name + "/compressed"
+        text = _readable(data)
+        if text is None:
+            return None
+        spans = [whole] * len(text)
+        if len(pieces) > 1 and name == "base64":
+            own = [self.original(a, b) for a, b in pieces]
+            starts = list(accumulate((b - a for a, b in pieces[:-1]), initial=0))
+            at = 0
+            for i, c in enumerate(text):
+                first, at = at, at + _width(c)
+                j, k = bisect_right(starts, first * 4 // 3) - 1, bisect_right(starts, (at * 8 - 1) // 6) - 1
+                spans[i] = own[j] if j == k else (min(x for x, _ in own[j : k + 1]), max(y for _, y in own[j : k + 1]))
+        return _Layer(text, spans, f"{self.path}/{name}".strip("/"))
 
 
 def find_secrets(text: str | None) -> list[tuple[str, int, int, str]]:

@@ -81,3 +81,29 @@ def test_redaction_and_awkward_rows(spark):
     same = secret_scan.redact(extra)
     assert same.columns == extra.columns and sorted(map(str, same.collect())) == sorted(map(str, extra.collect()))
     assert secret_scan.digests(extra).count() == len(CASES) and secret_scan.digests(empty(spark)).count() == 0
+
+
+def test_base64_of_both_alphabets_wrapped_and_behind_paths():
+    inner = "ÿÿÿ the password=abcdefgh123 ok~~~ " + "some more words? ÿ> " * 8
+    for pack in (str.encode, lambda x: gzip.compress(x.encode()), lambda x: zlib.compress(x.encode())):
+        data = pack(inner)
+        safe, plain = base64.urlsafe_b64encode(data).decode().rstrip("="), base64.b64encode(data).decode()
+        assert find_secrets(f"see {safe} end")[0][:3] == ("assign", 4, 4 + len(safe))
+        for width, end in ((64, "\r\n"), (76, "\n"), (76, "\\n")):
+            wrapped = end.join(plain[i : i + width] for i in range(0, len(plain), width))
+            (kind, a, b, path), = find_secrets(f"see\n{wrapped}\nend")
+            assert kind == "assign" and 4 <= a < b <= 4 + len(wrapped) and path.startswith("base64")
+            assert find_secrets(f"-----BEGIN CERTIFICATE-----\n{wrapped}\n-----END")[0][0] == "assign"
+        for token in (safe, plain.rstrip("=")):
+            for path in ("d/", "dd/", "ddd/", "d-d/e_e/"):
+                text = f"see https://x.io/{path}{token} end"
+                assert ("assign", text.index(token), len(text) - 4) in [s[:3] for s in find_secrets(text)]
+        text = f"see https://x.io/d/{safe}/edit end"
+        assert ("assign", text.index(safe), text.index("/edit")) in [s[:3] for s in find_secrets(text)]
+
+
+def test_find_across_a_line_end_has_both_lines():
+    plain = base64.b64encode(b"x" * 50 + b" password=abcdefgh123 " + b"y" * 90).decode()
+    lines = [plain[i : i + 76] for i in range(0, len(plain), 76)]
+    assert find_secrets("\n".join(lines)) == [("assign", 0, 153, "base64")]
+    assert find_secrets("\n".join([*lines, "", "some words"])) == [("assign", 0, 153, "base64")]
