@@ -5,7 +5,10 @@ scanned and unwrapped in turn until nothing new appears: percent escapes and Uni
 escapes are decoded in place within their line, base64 runs alone, and base64 whose bytes
 are gzip, zlib or zstandard data is decompressed. Base64 is of either alphabet and may be
 wrapped over lines; a run that is no text as a whole is also opened behind its separators
-and in its parts, as a token after a URL path. A layer seen before is not entered again,
+and in its parts, as a token after a URL path. Packed data written in percent or byte
+escapes is decompressed as well. Every decoded layer is scanned and unwrapped, whatever its
+bytes: as UTF-8, else UTF-16, else Latin-1, and once more without its NULs. A layer seen
+before is not entered again,
 so chains that lead back to themselves end. Every character of a layer carries the range
 of the original text that it came from; a find in a layer is reported as that range, with
 the way it was reached (``path``, such as ``base64/url``; empty for the text itself).
@@ -50,6 +53,19 @@ _SEPARATOR = re.compile(r"[+/_-]+")
 _PARTS = [re.compile(rf"[A-Za-z0-9{more}]{{16,}}") for more in ("+/", "_-", "+_-", "")]
 #: The first base64 characters of gzip, zstandard and zlib data.
 _PACKED = re.compile(r"H4sI|KLUv[/_]|e[AFJN]")
+#: Packed data in percent escapes and in byte escapes, from its first bytes on.
+_PERCENT_PACKED = re.compile(
+    r"(?:(?:%1[Ff]|\x1f)%8[Bb]|(?:%28|\()%[Bb]5(?:%2[Ff]|/)%[Ff][Dd]|(?:%78|x)(?:%01|%5[Ee]|\^|%9[Cc]|%[Dd][Aa]))[\x21-\x7e]*"
+)
+_X = r"\\(?:x|u00)"
+_ESCAPE_PACKED = re.compile(
+    rf"(?:{_X}1[Ff]{_X}8[Bb]|(?:{_X}28|\(){_X}[Bb]5(?:{_X}2[Ff]|/){_X}[Ff][Dd]"
+    rf"|(?:{_X}78|x)(?:{_X}01|{_X}5[Ee]|\^|{_X}9[Cc]|{_X}[Dd][Aa]))[\x20-\x7e\x80-\xff]*"
+)
+_PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|(.)", re.S)
+_ESCAPE_BYTE = re.compile(r"\\(?:x|u00)([0-9A-Fa-f]{2})|\\([abtnvfr0\\'\"/])|(.)", re.S)
+_SIMPLE = dict(zip("abtnvfr0", b"\a\b\t\n\v\f\r\0"))
+_NULS = re.compile("\x00+")
 #: Base64 characters that show whether text starts at a place.
 _HEAD = 24
 #: Decompressed bytes of one layer at most, against bombs; a layer over it is scanned up to there.
@@ -87,36 +103,74 @@ def _escape(run: str) -> str:
     return chr(code) if code < 0xD800 or 0xDFFF < code <= 0x10FFFF else "�"
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """Content of gzip, zlib or zstandard data, None for anything else."""
+def _inflated(data: bytes) -> tuple[bytes, int] | None:
+    """Content of gzip, zlib or zstandard data and the bytes it was read from, None for anything else."""
     try:
         if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, LAYER_BYTES)
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(data, LAYER_BYTES)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
+            stream = zlib.decompressobj(31)
+            made = stream.decompress(data, LAYER_BYTES)
+        elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+            stream = zlib.decompressobj()
+            made = stream.decompress(data, LAYER_BYTES)
+        elif data[:4] == b"\x28\xb5\x2f\xfd":
             import zstandard
 
-            return zstandard.ZstdDecompressor().decompressobj().decompress(data)[:LAYER_BYTES]
+            stream = zstandard.ZstdDecompressor().decompressobj()
+            made = stream.decompress(data)[:LAYER_BYTES]
+        else:
+            return None
+        return made, len(data) - len(stream.unused_data)
     except (zlib.error, gzip.BadGzipFile, EOFError):
         return None
     except Exception as e:  # zstandard's own error type
         if type(e).__name__ == "ZstdError":
             return None
         raise
-    return None
 
 
-def _readable(data: bytes) -> str | None:
+def _wide(data: bytes) -> str | None:
+    """The UTF-16 that data is written in by its mark or by where its zeros are, None for another encoding."""
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16-le" if data[0] == 0xFF else "utf-16-be"
+    even, odd = data[::2].count(0), data[1::2].count(0)
+    if max(even, odd) * 4 < len(data) // 2 or min(even, odd) * 8 > max(even, odd) or len(data) < 4:
+        return None
+    return "utf-16-le" if odd > even else "utf-16-be"
+
+
+def _decoded(data: bytes) -> tuple[str, str]:
+    """Text of any bytes, and its encoding."""
+    code = _wide(data)
+    if code:
+        return data[: len(data) // 2 * 2].decode(code, "replace"), code
     try:
-        text = data.decode("utf-8")
+        return data.decode("utf-8"), "utf-8"
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c >= " " or c in "\t\n\r" for c in text) else None
+        return data.decode("latin-1"), "latin-1"
+
 
+def _clear(text: str, code: str) -> bool:
+    """Whether bytes are text and no noise, so that a run needs no opening in parts."""
+    return code != "latin-1" and bool(text) and all(c >= " " or c in "\t\n\r" for c in text) and "\ufffd" not in text
 
-def _width(c: str) -> int:
-    """Bytes of a character in UTF-8."""
+
+def _percent_bytes(run: str) -> tuple[bytes, list[int]]:
+    """Bytes of a text in percent escapes and the places that they come from."""
+    found = list(_PERCENT_BYTE.finditer(run))
+    return bytes(int(m[1], 16) if m[1] else ord(m[2]) for m in found), [m.start() for m in found]
+
+
+def _escape_bytes(run: str) -> tuple[bytes, list[int]]:
+    """Bytes of a text in byte escapes and the places that they come from."""
+    found = list(_ESCAPE_BYTE.finditer(run))
+    made = (int(m[1], 16) if m[1] else _SIMPLE.get(m[2], ord(m[2])) if m[2] else ord(m[3]) for m in found)
+    return bytes(made), [m.start() for m in found]
+
+
+def _width(c: str, code: str) -> int:
+    """Bytes of a character in an encoding."""
+    if code != "utf-8":
+        return 1 if code == "latin-1" else 2 if c < "\U00010000" else 4
     return 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
 
 
@@ -137,7 +191,7 @@ def _starts(core: str) -> list[int]:
             head = _unbase64(core[at : at + _HEAD])
             if _PACKED.match(core, at) and _inflated(head) is not None:
                 made.append(at)
-            elif at % 4 not in aligned and any(_readable(head[:n]) is not None for n in range(len(head), len(head) - 4, -1)):
+            elif at % 4 not in aligned and any(_clear(*_decoded(head[:n])) for n in range(len(head), len(head) - 4, -1)):
                 aligned.add(at % 4)
                 made.append(at)
     return made
@@ -209,6 +263,12 @@ class _Layer:
                 for start, end in self.lines_with(_ESCAPE, hint):
                     yield self.rewritten(start, end, _ESCAPE, _escape, "unicode")
                 break
+        if "%" in self.text:
+            yield from self.unpacked(_PERCENT_PACKED, _percent_bytes, "url")
+        if "\\" in self.text:
+            yield from self.unpacked(_ESCAPE_PACKED, _escape_bytes, "unicode")
+        for start, end in self.lines_with(_NULS, "\x00"):
+            yield self.rewritten(start, end, _NULS, lambda run: "", "nul")
         for m in _BASE64.finditer(self.text):
             yield from self.unwrapped(m.start(), m.end())
 
@@ -222,43 +282,58 @@ class _Layer:
         lines.append((at, end))
         groups, clear = _wrapped(lines), set()
         for group in [*(g for g in groups if len(g) > 1), *([lines] if len(groups) > 1 else [])]:
-            if not clear.issuperset(group) and (made := self.opened(group)) is not None:
-                clear.update(group)
+            if not clear.issuperset(group):
+                made, whole = self.opened(group)
+                clear.update(group if whole else ())
                 yield made
         for a, b in lines:
             if (a, b) in clear:
                 continue
-            if (made := self.opened([(a, b)])) is not None:
-                yield made
+            made, whole = self.opened([(a, b)])
+            yield made
+            if whole:
                 continue
             run = self.text[a:b].rstrip("=")
             places = {(a + at, b) for at in _starts(run)}
             places |= {(a + m.start(), a + m.end()) for part in _PARTS for m in part.finditer(run)} - {(a, a + len(run))}
             for place in sorted(places):
-                if (made := self.opened([place])) is not None:
-                    yield made
+                yield self.opened([place])[0]
 
-    def opened(self, pieces: list[tuple[int, int]]) -> _Layer | None:
-        """The layer of a base64 run that lies in ``pieces``, if it is text or packed text. A character of packed
-        data has all pieces for its range, another one those that it lies in."""
+    def opened(self, pieces: list[tuple[int, int]]) -> tuple[_Layer, bool]:
+        """The layer of a base64 run that lies in ``pieces``, and whether it is text or packed data as a whole. A
+        character of packed data has all pieces for its range, another one those that it lies in."""
         data = _unbase64("".join(self.text[a:b] for a, b in pieces))
         whole, name = self.original(pieces[0][0], pieces[-1][1]), "base64"
         # compressed data may be wrapped several times
         while (inner := _inflated(data)) is not None:
-            data, name = inner, name + "/compressed"
-        text = _readable(data)
-        if text is None:
-            return None
+            data, name = inner[0], name + "/compressed"
+        text, code = _decoded(data)
+        clear = name != "base64" or _clear(text, code)
         spans = [whole] * len(text)
         if len(pieces) > 1 and name == "base64":
             own = [self.original(a, b) for a, b in pieces]
             starts = list(accumulate((b - a for a, b in pieces[:-1]), initial=0))
             at = 0
             for i, c in enumerate(text):
-                first, at = at, at + _width(c)
+                first, at = at, at + _width(c, code)
                 j, k = bisect_right(starts, first * 4 // 3) - 1, bisect_right(starts, (at * 8 - 1) // 6) - 1
                 spans[i] = own[j] if j == k else (min(x for x, _ in own[j : k + 1]), max(y for _, y in own[j : k + 1]))
-        return _Layer(text, spans, f"{self.path}/{name}".strip("/"))
+        return _Layer(text, spans, f"{self.path}/{name}".strip("/")), clear
+
+    def unpacked(self, pattern, read, name: str):
+        """Layers of packed data that is written in escapes."""
+        at = 0
+        while (m := pattern.search(self.text, at)) is not None:
+            data, places = read(m[0])
+            at = m.start() + 1
+            if (inner := _inflated(data)) is None or not inner[0]:
+                continue
+            at = m.end() if inner[1] == len(data) else m.start() + places[inner[1]]
+            where, path = self.original(m.start(), at), f"{self.path}/{name}/compressed".strip("/")
+            while (more := _inflated(inner[0])) is not None:
+                inner, path = more, path + "/compressed"
+            text = _decoded(inner[0])[0]
+            yield _Layer(text, [where] * len(text), path)
 
 
 def find_secrets(text: str | None) -> list[tuple[str, int, int, str]]:

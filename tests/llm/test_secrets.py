@@ -107,3 +107,26 @@ def test_find_across_a_line_end_has_both_lines():
     lines = [plain[i : i + 76] for i in range(0, len(plain), 76)]
     assert find_secrets("\n".join(lines)) == [("assign", 0, 153, "base64")]
     assert find_secrets("\n".join([*lines, "", "some words"])) == [("assign", 0, 153, "base64")]
+
+
+def test_every_decoded_layer_is_scanned():
+    inner = "a log \x1b[31m line\x0c with password=abcdefgh123 and \x00 in it, é"
+    nested = "\x1b[0m " + base64.b64encode(b"the password=abcdefgh123 ok").decode()
+    for text in (inner, nested):
+        for code in ("utf-8", "latin-1", "utf-16", "utf-16-le", "utf-16-be"):
+            for pack in (bytes, gzip.compress, zlib.compress, zstandard.ZstdCompressor().compress):
+                run = base64.b64encode(pack(text.encode(code))).decode()
+                assert ("assign", 4, 4 + len(run)) in [s[:3] for s in find_secrets(f"see {run} end")], (text, code, pack)
+    wide = "".join(f"%{b:02X}" for b in "password=abcdefgh123".encode("utf-16-le"))
+    assert find_secrets(wide)[0][0] == "assign"
+
+
+def test_packed_data_in_escapes():
+    inner = "the password=abcdefgh123 ok " + "and so on. " * 9
+    for pack in (gzip.compress, zlib.compress, zstandard.ZstdCompressor().compress):
+        data = pack(inner.encode())
+        for run in (
+            "".join(f"%{b:02X}" for b in data), "".join(f"\\x{b:02x}" for b in data), urllib.parse.quote(data),
+            urllib.parse.quote(data, safe=""), repr(data)[2:-1],
+        ):
+            assert ("assign", 5, 5 + len(run)) in [s[:3] for s in find_secrets(f"see '{run}' end")], (pack, run)
