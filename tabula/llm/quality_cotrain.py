@@ -3,14 +3,16 @@
 The text view sees what is written: words and word shapes (hashed), and how often words
 follow themselves. The metadata view sees what is known about the page without reading it:
 language, source, length, line layout and the shares of character classes. Each view is a
-logistic regression. Both start from a bounded labelled sample; in every round each view
-labels the pooled documents that it is most sure of, and these become training rows of the
-other view. In the end each view's score is calibrated (Platt) on labelled rows kept apart,
+logistic regression. Both start from a bounded labelled sample; in every round both views
+score all documents without label, and those that a view is most sure of, per class and
+language and source (by their slots), become training rows of the other view. In the end each view's score is calibrated (Platt) on labelled rows kept apart,
 the calibrated log-odds are weighted by a last regression on these rows, and the weights
 score every document.
 
-The samples (``SEED_DOCS`` per class, ``POOL_DOCS`` without label, those of the smallest id
-hash) are bounds of the fit only; scoring reads all rows whole. Without two classes among the
+The sample of labelled rows (``SEED_DOCS`` per class, those of the smallest id hash) is a bound
+of the fit only. The views of the documents without label are written once to the shared folder;
+a round reads them in one pass whose tasks report their surest rows only, equal rows once, so
+that the driver gets the rows handed over and no others. Without two classes among the
 labels there is nothing to learn: the score is the share of good labels, or 1 without labels.
 
 Null and empty texts have no words and score like any other text of length 0. Null language
@@ -19,22 +21,23 @@ and source are values of their own. Rows are scored one by one.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabula.llm.common import sample_per_label, slices
+from tabula.llm.common import sample_per_label, slices, small_side, workspace
 
 SEED_DOCS = 800
-POOL_DOCS = 1_600
 ROUNDS = 4
-#: Pseudo-labels that each view hands over per round and class.
-PER_ROUND = 60
+#: Pseudo-labels that each view hands over per round and class, dealt over the groups of language
+#: and source; every group hands over PER_GROUP if it has as many.
+PER_ROUND, PER_GROUP = 60, 2
 #: A view hands over only labels with at least this probability.
 SURE = 0.9
 #: Every CALIBRATE-th labelled row is kept apart for calibration.
@@ -144,28 +147,40 @@ class CoTrained:
         return float(_sigmoid(total))
 
 
-def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], good_share: float,
+def _pool(matrices: list[np.ndarray], per_round: int, sure: float):
+    """``handed`` over one matrix per view."""
+    free = [np.ones(len(matrices[0]), bool) for _ in range(2)]
+
+    def handed(fits):
+        made = [[], []]
+        for k in range(2 if len(matrices[0]) else 0):
+            p, other = _sigmoid(matrices[k] @ fits[k][0] + fits[k][1]), 1 - k
+            for good in (1.0, 0.0):
+                own = p if good else 1 - p
+                rows = np.nonzero(free[other] & (own >= sure))[0]
+                rows = rows[np.argsort(-own[rows], kind="stable")[:per_round]]
+                free[other][rows] = False
+                made[other].append((matrices[other][rows], good))
+        return made
+
+    return handed
+
+
+def co_train(labelled: list[np.ndarray], y: np.ndarray, pool, good_share: float,
              rounds: int = ROUNDS, per_round: int = PER_ROUND, sure: float = SURE) -> CoTrained:
-    """``labelled`` and ``pool`` hold one matrix per view."""
+    """``labelled`` holds one matrix per view, and ``pool`` as well; or it is a function that takes the fits of
+    both views and returns for either view what it is handed: (matrix, label) pairs."""
     apart = np.arange(len(y)) % CALIBRATE == 0
     if len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
         apart[:] = False
     train = ~apart
     xs, ys = [v[train] for v in labelled], [y[train].copy(), y[train].copy()]
-    free = [np.ones(len(pool[0]), bool) for _ in range(2)]
+    handed = pool if callable(pool) else _pool(pool, per_round, sure)
     for _ in range(rounds):
         fits = [_regression(x, t) for x, t in zip(xs, ys)]
-        for k in range(2):
-            if not len(pool[k]):
-                continue
-            p, other = _sigmoid(pool[k] @ fits[k][0] + fits[k][1]), 1 - k
-            for good in (1.0, 0.0):
-                own = p if good else 1 - p
-                rows = np.nonzero(free[other] & (own >= sure))[0]
-                rows = rows[np.argsort(-own[rows], kind="stable")[:per_round]]
-                free[other][rows] = False
-                xs[other] = np.concatenate([xs[other], pool[other][rows]])
-                ys[other] = np.concatenate([ys[other], np.full(len(rows), good)])
+        for k, parts in enumerate(handed(fits)):
+            xs[k] = np.concatenate([xs[k], *(x for x, _ in parts)])
+            ys[k] = np.concatenate([ys[k], *(np.full(len(x), good) for x, good in parts)])
     views = [_regression(x, t) for x, t in zip(xs, ys)]
     held = apart if apart.any() else np.ones(len(y), bool)
     calibration, odds = [], []
@@ -200,10 +215,122 @@ def _views(df: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array([r.label for r in rows], float), mats
 
 
+def _sparse(text: str | None, lang: str | None, source: str | None) -> tuple[int, bytes]:
+    """Group of language and source, and both views in one: places (2 bytes each), then values (4 bytes each)."""
+    x = np.concatenate([text_view(text), meta_view(lang, source, text)])
+    at = np.nonzero(x)[0]
+    group = _slot(f"lang={lang}", LANG_SLOTS) * SOURCE_SLOTS + _slot(f"source={source}", SOURCE_SLOTS)
+    return group, at.astype("<u2").tobytes() + x[at].astype("<f4").tobytes()
+
+
+def _dense(packed: list[bytes], view: int) -> np.ndarray:
+    """The matrix of a view from packed rows."""
+    out = np.zeros((len(packed), TEXT_SIZE + META_SIZE), np.float32)
+    for row, x in zip(out, packed):
+        n = len(x) // 6
+        row[np.frombuffer(x, "<u2", n)] = np.frombuffer(x, "<f4", n, 2 * n)
+    return out[:, TEXT_SIZE:] if view else out[:, :TEXT_SIZE]
+
+
+def _odds(packed: list[bytes], fits) -> list[np.ndarray]:
+    """Log-odds of packed rows by the fits of both views."""
+    sizes = np.array([len(x) // 6 for x in packed], np.int64)
+    places = np.concatenate([np.frombuffer(x, "<u2", n) for x, n in zip(packed, sizes)]).astype(np.int64)
+    values = np.concatenate([np.frombuffer(x, "<f4", n, 2 * n) for x, n in zip(packed, sizes)])
+    rows, out = np.repeat(np.arange(len(packed)), sizes), []
+    for view, (w, b) in enumerate(fits):
+        full = np.zeros(TEXT_SIZE + META_SIZE)
+        full[TEXT_SIZE * view : TEXT_SIZE if view == 0 else None] = w
+        out.append(np.bincount(rows, values * full[places], len(packed)) + b)
+    return out
+
+
+def _unlabelled(rows: DataFrame) -> DataFrame:
+    """Views of rows (text, lang, source), written once: group, hash of the views, views."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                d = part.to_pydict()
+                made = [_sparse(*x) for x in zip(d["text"], d["lang"], d["source"])]
+                marks = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) for _, x in made]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([g for g, _ in made], pa.int32()), pa.array(marks, pa.int64()), pa.array([x for _, x in made], pa.binary())],
+                    ["grp", "h", "x"],
+                )
+
+    schema = "grp int, h long, x binary"
+    path = f"{workspace(rows.sparkSession, 'quality-views')}/unlabelled"
+    rows.select("text", "lang", "source").mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
+def _surest(views: DataFrame, fits, taken: list[set[int]], count: int, sure: float) -> DataFrame:
+    """(view, good, x): per view that is handed them, label and group the ``count`` rows that the other view is
+    surest of, without those ``taken`` before. Equal rows are one."""
+    least = float(np.log(sure / (1 - sure)))
+    known = [np.array(sorted(t), np.int64) for t in taken]
+
+    def run(batches):
+        best: dict[tuple[int, int, int], dict[int, tuple[float, bytes]]] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            packed, h = batch.column("x").to_pylist(), batch.column("h").to_numpy()
+            group = batch.column("grp").to_numpy()
+            for view, odds in enumerate(_odds(packed, fits)):
+                free = ~np.isin(h, known[1 - view])
+                for good in (1, 0):
+                    own = odds if good else -odds
+                    rows = np.nonzero(free & (own >= least))[0]
+                    full = set()
+                    for i in rows[np.lexsort((h[rows], -own[rows]))]:
+                        if group[i] in full:
+                            continue
+                        top = best.setdefault((1 - view, good, int(group[i])), {})
+                        if int(h[i]) in top:
+                            continue
+                        if len(top) == count:
+                            last = max(top, key=lambda m: (-top[m][0], m))
+                            if (-own[i], h[i]) > (-top[last][0], last):
+                                full.add(group[i])  # the rows after this one are no surer
+                                continue
+                            del top[last]
+                        top[int(h[i])] = (float(own[i]), packed[i])
+        rows = [(*key, m, o, x) for key, top in best.items() for m, (o, x) in top.items()]
+        kinds = [("view", pa.int32()), ("good", pa.int32()), ("grp", pa.int32()), ("h", pa.int64()), ("own", pa.float64()), ("x", pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, (_, t) in enumerate(kinds)], [n for n, _ in kinds])
+
+    # every task gives at most ``count`` rows of a group, so that no group is large here
+    found = views.mapInArrow(run, "view int, good int, grp int, h long, own double, x binary")
+    order = Window.partitionBy("view", "good", "grp").orderBy(F.desc("own"), "h")
+    ranked = found.withColumn("_rank", F.dense_rank().over(order)).where(F.col("_rank") <= count)
+    return ranked.dropDuplicates(["view", "good", "grp", "h"]).select("view", "good", "h", "x")
+
+
+def _exchange(views: DataFrame, per_round: int = PER_ROUND, per_group: int = PER_GROUP, sure: float = SURE):
+    """``handed`` over all rows of ``views``."""
+    groups = views.select("grp").distinct().count()
+    count, taken = max(per_group, -(-per_round // max(1, groups))), [set(), set()]
+
+    def handed(fits):
+        made = [[], []]
+        found = sorted(((r.view, -r.good, r.h, bytes(r.x)) for r in _surest(views, fits, taken, count, sure).collect())) if groups else []
+        for view in range(2):
+            for good in (1, 0):
+                rows = [r for r in found if r[:2] == (view, -good)]
+                taken[view].update(r[2] for r in rows)
+                made[view].append((_dense([r[3] for r in rows], view), float(good)))
+        return made
+
+    return handed
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           source_col: str = "source", label_col: str = "quality", seed_docs: int = SEED_DOCS,
-          pool_docs: int = POOL_DOCS, rounds: int = ROUNDS) -> CoTrained | float:
-    """The model, or the share of good labels if there are not two classes to learn from."""
+          pool_docs: int | None = None, rounds: int = ROUNDS) -> CoTrained | float:
+    """The model, or the share of good labels if there are not two classes to learn from. All documents without
+    label take part, or ``pool_docs`` of them if that is given."""
     rows = _named(docs, id_col, text_col, lang_col, source_col)
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("label")).where(
         "id is not null and label in (0, 1)"
@@ -214,12 +341,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if share is None or share in (0.0, 1.0):
         return 1.0 if share is None else float(share)
     seed = sample_per_label(there, seed_docs)
-    free = ids.join(marks.select("id"), "id", "left_anti")
-    pool = free.select("id", F.xxhash64("id").alias("_h")).orderBy("_h", "id").limit(pool_docs)
-    # both id lists are bounded by their parameters
-    y, seeds = _views(rows.join(F.broadcast(seed), "id").dropDuplicates(["id"]))
-    _, pooled = _views(rows.join(F.broadcast(pool.select("id", F.lit(None).cast("double").alias("label"))), "id").dropDuplicates(["id"]))
-    return co_train(seeds, y, pooled, share, rounds)
+    y, seeds = _views(rows.join(F.broadcast(seed), "id").dropDuplicates(["id"]))  # bounded by its parameter
+    free = rows.join(small_side(marks.select("id"), 32), "id", "left_anti")
+    if pool_docs is not None:
+        some = free.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(pool_docs)
+        free = free.join(F.broadcast(some), "id", "left_semi")
+    return co_train(seeds, y, _exchange(_unlabelled(free)), share, rounds)
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:

@@ -98,3 +98,22 @@ def test_classifier_awkward_rows_and_labels(spark):
     assert len(got) == 10 and all(0 <= r.score <= 1 and r.kept == (r.score >= 0.5) for r in got)
     assert quality_cotrain.classify(empty(spark), model).count() == 0
     assert quality_cotrain.train(empty(spark), two) == 1.0
+
+
+def test_all_unlabelled_documents_exchange_labels(spark):
+    ids = [r.id for r in spark.range(2_500).orderBy(F.xxhash64("id")).collect()]
+    rare, slot = set(ids[-3:]), quality_cotrain._slot("lang=rare", quality_cotrain.LANG_SLOTS)
+    assert slot != quality_cotrain._slot("lang=en", quality_cotrain.LANG_SLOTS)
+    rows, marks = [], []
+    for i in ids:
+        good = i % 2 and i not in rare
+        word = "fine" if good else "junk"
+        rows.append((i, " ".join([word] * 5 + [f"w{(i * 7 + j) % 50}" for j in range(9)]), "rare" if i in rare else "en", "a", 0))
+        marks += [(i, int(good), 0)] if i in ids[:200] else []
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = quality_cotrain.train(docs, labels)
+    # only the text view can tell that the rare language is bad; the other one learns it from its labels
+    assert model.views[1][0][slot] < 0
+    again = quality_cotrain.train(docs.unionByName(docs).repartition(7), labels)
+    assert np.allclose(again.views[1][0], model.views[1][0])
