@@ -13,8 +13,10 @@ from tabula.llm import (
     quality_cotrain,
     quality_rules,
     secret_scan,
+    signature_search,
     token_counts,
     token_shards,
+    whitening,
 )
 from tabula.llm.common import read, saved, workspace
 
@@ -68,9 +70,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.report(read(spark, sf_dir, "conversations"))
 
 
+def op12_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_cotrain, op3_quality_rules, op4_token_counts, op5_token_shards, op6_secret_scan,
     op7_byte_bpe, op8_language_id, op9_near_dedup, op10_chat_format,
+    op12_signature_search, op13_whitening,
 )}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -167,9 +178,23 @@ SELECT conv_id, perspective, block, CAST(coalesce(sum(length(rendered)) OVER (PA
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) block_start, n_turns, rendered, mask FROM blocks
 """
 
+OP12_SQL = rf"""
+WITH words AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t FROM documents),
+tf AS (SELECT doc_id, t, count(*) f FROM words GROUP BY doc_id, t),
+lengths AS (SELECT doc_id, CAST(sum(f) AS BIGINT) n FROM tf GROUP BY doc_id),
+totals AS (SELECT count(*) c, CAST(sum(n) AS BIGINT) l FROM lengths),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(c) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) w FROM tf, totals GROUP BY t),
+items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t FROM benchmark),
+scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * f) // (1000 * f + 8 * (10 + (90 * n * c) // l)))) AS BIGINT) score
+  FROM items JOIN tf USING (t) JOIN weights USING (t) JOIN lengths USING (doc_id), totals GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= {signature_search.TOP}
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
     "op9_near_dedup": OP9_SQL,
     "op10_chat_format": OP10_SQL,
+    "op12_signature_search": OP12_SQL,
 }
