@@ -12,6 +12,7 @@ from tabula.llm import (
     near_dedup,
     quality_cotrain,
     quality_rules,
+    repeated_passages,
     secret_scan,
     signature_search,
     token_counts,
@@ -70,6 +71,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.report(read(spark, sf_dir, "conversations"))
 
 
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.report(read(spark, sf_dir, "documents"))
+
+
 def op12_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -81,7 +86,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_cotrain, op3_quality_rules, op4_token_counts, op5_token_shards, op6_secret_scan,
     op7_byte_bpe, op8_language_id, op9_near_dedup, op10_chat_format,
-    op12_signature_search, op13_whitening,
+    op11_repeated_passages, op12_signature_search, op13_whitening,
 )}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -178,6 +183,18 @@ SELECT conv_id, perspective, block, CAST(coalesce(sum(length(rendered)) OVER (PA
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) block_start, n_turns, rendered, mask FROM blocks
 """
 
+OP11_SQL = rf"""
+WITH words AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + {repeated_passages.WINDOW - 1}], ' ') g FROM
+  (SELECT doc_id, w, unnest(range(1, len(w) - {repeated_passages.WINDOW - 2})) i FROM words WHERE len(w) >= {repeated_passages.WINDOW})),
+led AS (SELECT g, min(doc_id) lo FROM windows GROUP BY g HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(i, i + {repeated_passages.WINDOW}))))) r FROM windows JOIN led USING (g) WHERE doc_id > lo GROUP BY doc_id),
+places AS (SELECT doc_id, unnest(w) x, unnest(range(1, len(w) + 1)) i FROM words),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) t FROM places p ANTI JOIN (SELECT doc_id, unnest(r) i FROM gone) USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) n_words, CAST(coalesce(len(r), 0) AS BIGINT) n_removed, sha256(coalesce(t, '')) kept_sha256
+FROM words LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP12_SQL = rf"""
 WITH words AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t FROM documents),
 tf AS (SELECT doc_id, t, count(*) f FROM words GROUP BY doc_id, t),
@@ -196,5 +213,6 @@ ORACLES = {
     "op3_quality_rules": OP3_SQL,
     "op9_near_dedup": OP9_SQL,
     "op10_chat_format": OP10_SQL,
+    "op11_repeated_passages": OP11_SQL,
     "op12_signature_search": OP12_SQL,
 }
