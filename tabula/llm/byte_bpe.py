@@ -6,7 +6,7 @@ minimum rank. A merge writes the pair's token at the left position, unlinks the
 and updates the three leaves whose pair changed (the merged position, its live left
 neighbour and the removed position), each in logarithmic steps. Pre-tokens of up to
 ``WIDE`` bytes are merged side by side, one tree per row of a numpy matrix; longer ones
-alone, with the same tree in a list.
+alone, with the same tree in an array of whole numbers.
 
 A pre-token that is itself in the vocabulary is one id, as in the tiktoken library. Null
 is the empty text: no ids, no bytes.
@@ -15,6 +15,7 @@ is the empty text: no ids, no bytes.
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -24,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructType
 
-from tabula.llm.common import slices
+from tabula.llm.common import releasing, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pre-tokens of at most this many bytes share a matrix of trees.
 WIDE = 64
-#: Pre-tokens a task remembers; over it the memory is emptied and filled anew.
-MEMORY = 500_000
+#: Pre-tokens a task remembers; over it, and when the task ends, the memory is emptied.
+MEMORY = 200_000
 _NONE = np.int64(1) << 40
 
 
@@ -108,28 +109,35 @@ class Merger:
 
     def merge_long(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one piece of any length."""
-        n, none, base, pairs = len(piece), int(_NONE), self.base, self.pairs
+        n, base, pairs = len(piece), self.base, self.pairs
         width = 1 << max(0, (n - 1).bit_length())
-        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        tree = [(none, 0)] * (2 * width)
-
-        def leaf(i: int) -> tuple[int, int]:
+        raw = self.byte_ids[np.frombuffer(piece, np.uint8)]
+        # a node is rank * width + position, so the smaller number is the smaller rank, then the leftmost place
+        none = int(_NONE) * width
+        nodes = np.full(2 * width, none, np.int64)
+        rank = self._pair_rank(raw[:-1], raw[1:])
+        nodes[width : width + n - 1] = np.where(rank < _NONE, rank * width + np.arange(n - 1), none)
+        level = width
+        while level > 1:
+            nodes[level >> 1 : level] = np.minimum(nodes[level : 2 * level : 2], nodes[level + 1 : 2 * level : 2])
+            level >>= 1
+        tree, ids = array("q", nodes.tobytes()), array("i", raw.astype(np.int32).tobytes())
+        del nodes, raw, rank
+        after, before = array("i", [*range(1, n), -1]), array("i", range(-1, n - 1))
+
+        def leaf(i: int) -> int:
             j = after[i]
-            return (none, i) if j < 0 else (pairs.get(ids[i] * base + ids[j], none), i)
+            found = pairs.get(ids[i] * base + ids[j]) if j >= 0 else None
+            return none if found is None else found * width + i
 
-        for i in range(n):
-            tree[width + i] = leaf(i)
-        for node in range(width - 1, 0, -1):
-            tree[node] = min(tree[2 * node], tree[2 * node + 1])
-        while tree[1][0] < none:
-            merged, pos = tree[1]
+        while tree[1] < none:
+            merged, pos = divmod(tree[1], width)
             gone = after[pos]
             follow, prior = after[gone], before[pos]
             ids[pos], ids[gone], after[pos] = merged, -1, follow
             if follow >= 0:
                 before[follow] = pos
-            changed = [(gone, (none, gone)), (pos, leaf(pos))]
+            changed = [(gone, none), (pos, leaf(pos))]
             if prior >= 0:
                 changed.append((prior, leaf(prior)))
             for i, value in changed:
@@ -182,8 +190,8 @@ def merger(path: str, pattern: str) -> Merger:
     return Merger(path, pattern)
 
 
-def _with_column(df: DataFrame, source: str, out: str, kind: DataType, convert) -> DataFrame:
-    """``df`` plus column ``out`` = ``convert`` of column ``source``, by Arrow batches."""
+def _with_column(df: DataFrame, source: str, out: str, kind: DataType, convert, own) -> DataFrame:
+    """``df`` plus column ``out`` = ``convert`` of column ``source``, by Arrow batches; ``own`` gives the merger."""
     schema = StructType([f for f in df.schema.fields if f.name != out]).add(out, kind)
     names = [f.name for f in schema.fields[:-1]]
 
@@ -193,7 +201,7 @@ def _with_column(df: DataFrame, source: str, out: str, kind: DataType, convert)
                 made = convert(part.column(source))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [made], names + [out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(releasing(run, lambda: own().known.clear()), schema)
 
 
 def encode_texts(df: DataFrame, text_col: str = "text", out: str = "ids", path: str = VOCABULARY,
@@ -207,7 +215,7 @@ def encode_texts(df: DataFrame, text_col: str = "text", out: str = "ids", path:
             return pa.array(ids, pa.binary())
         return pa.array([np.frombuffer(x, "<u4").tolist() for x in ids], pa.list_(pa.int32()))
 
-    return _with_column(df, text_col, out, BinaryType() if packed else ArrayType(IntegerType()), convert)
+    return _with_column(df, text_col, out, BinaryType() if packed else ArrayType(IntegerType()), convert, lambda: merger(path, pattern))
 
 
 def decode_ids(df: DataFrame, ids_col: str = "ids", out: str = "decoded", path: str = VOCABULARY,
@@ -222,7 +230,7 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", out: str = "decoded", path:
             rows = [np.array(x or [], "<u4").tobytes() for x in column.to_pylist()]
         return pa.array([own.decode(x) for x in rows], pa.binary())
 
-    return _with_column(df, ids_col, out, BinaryType(), convert)
+    return _with_column(df, ids_col, out, BinaryType(), convert, lambda: merger(path, pattern))
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY) -> DataFrame:

@@ -65,6 +65,23 @@ def slices(batch, size: int = SLICE_ROWS):
         yield batch.slice(start, size)
 
 
+def releasing(run, forget=None):
+    """The mapper ``run``, giving back what its task remembered when it ends: Python workers are used
+    again by the tasks of later stages, which would otherwise inherit it."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow
+
+            if forget:
+                forget()
+            pyarrow.default_memory_pool().release_unused()
+
+    return task
+
+
 def sample_per_label(rows: DataFrame, count: int) -> DataFrame:
     """Of (id, label): per label the ``count`` rows of the smallest id hash.
 

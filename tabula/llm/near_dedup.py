@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.common import id_text, saved, slices, small_side, workspace
+from tabula.llm.common import id_text, releasing, saved, slices, small_side, workspace
 from tabula.llm.components import connected
 
 WORDS = 5
@@ -51,8 +51,8 @@ NEAR_SHARE = 0.4
 #: Packed sets of a block in step 4, and members of one in step 5.
 BLOCK_BYTES = 4 << 20
 BLOCK = 1024
-#: Words a task remembers the hash of; over it the memory is emptied.
-MEMORY = 500_000
+#: Words a task remembers the hash of; over it, and when the task ends, the memory is emptied.
+MEMORY = 200_000
 #: Shingles whose minhashes are taken at once.
 SIDE = 4096
 _U = np.uint64
@@ -71,6 +71,10 @@ def _word_hashes() -> _WordHashes:
     return _WordHashes()
 
 
+def _forget() -> None:
+    _word_hashes().clear()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values whose every bit depends on all bits of the input."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -145,7 +149,7 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*out), _SKETCH_TYPES)], ["id", "n", "set_key", "halves", "sign"]
                 )
 
-    return docs.mapInArrow(run, _SKETCH)
+    return docs.mapInArrow(releasing(run, _forget), _SKETCH)
 
 
 _SKETCH_TYPES = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
@@ -163,7 +167,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                     ["id", "n", "own"],
                 )
 
-    return docs.mapInArrow(run, "id long, n long, own binary")
+    return docs.mapInArrow(releasing(run, _forget), "id long, n long, own binary")
 
 
 def _bucket_members(reps: DataFrame, path: str, halves: int) -> DataFrame:
@@ -191,16 +195,15 @@ def _agreeing(pairs: DataFrame, share: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                for c in ("sign_a", "sign_b")
-            )
-            agree = (left == right).mean(1)
-            keep, names = pa.array(agree >= share), ["a", "b", "n_a", "n_b"]
-            columns = [batch.column(c).filter(keep) for c in names] + [pa.array(agree).filter(keep)]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "agree"])
+            for part in slices(batch, SIDE):
+                left, right = (
+                    np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                    for c in ("sign_a", "sign_b")
+                )
+                agree = (left == right).mean(1)
+                keep, names = pa.array(agree >= share), ["a", "b", "n_a", "n_b"]
+                columns = [part.column(c).filter(keep) for c in names] + [pa.array(agree).filter(keep)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "agree"])
 
     columns = ["a", "b", "n_a", "n_b", "sign_a", "sign_b"]
     return pairs.select(*columns).mapInArrow(run, "a long, b long, n_a long, n_b long, agree double")

@@ -1,12 +1,11 @@
 """Quality classifier by co-training of two views.
 
 The text view sees what is written: words and word shapes (hashed), and how often words
-follow themselves. The metadata view sees what is known about the page without reading it:
-language, source, length, line layout and the shares of character classes. Each view is a
-logistic regression. Both start from a bounded labelled sample; in every round both views
+follow themselves. The metadata view sees what is stored about the page and never its text:
+language, source and number of characters. Each view is a logistic regression. Both start from a bounded labelled sample; in every round both views
 score all documents without label, and those that a view is most sure of, per class and
-language and source (by their slots), become training rows of the other view. In the end each view's score is calibrated (Platt) on labelled rows kept apart,
-the calibrated log-odds are weighted by a last regression on these rows, and the weights
+language and source (by their slots), become training rows of the other view. In the end each
+view's score is calibrated (Platt) on labelled rows kept apart, the calibrated log-odds are weighted by a last regression on these rows, and the weights
 score every document.
 
 The sample of labelled rows (``SEED_DOCS`` per class, those of the smallest id hash) is a bound
@@ -15,8 +14,8 @@ a round reads them in one pass whose tasks report their surest rows only, equal
 that the driver gets the rows handed over and no others. Without two classes among the
 labels there is nothing to learn: the score is the share of good labels, or 1 without labels.
 
-Null and empty texts have no words and score like any other text of length 0. Null language
-and source are values of their own. Rows are scored one by one.
+Null and empty texts have no words and score like any other text of length 0. Null language, source
+and length are values of their own. Rows are scored one by one.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabula.llm.common import sample_per_label, slices, small_side, workspace
+from tabula.llm.common import releasing, sample_per_label, slices, small_side, workspace
 
 SEED_DOCS = 800
 ROUNDS = 4
@@ -44,16 +43,16 @@ SURE = 0.9
 CALIBRATE = 4
 #: A document is kept from this score on.
 THRESHOLD = 0.5
-WORD_SLOTS, SHAPE_SLOTS, LANG_SLOTS, SOURCE_SLOTS = 1024, 256, 16, 64
-#: Words a task remembers; over it the memory is emptied.
-MEMORY = 500_000
-TEXT_SIZE = WORD_SLOTS + SHAPE_SLOTS + 3
-META_SIZE = LANG_SLOTS + SOURCE_SLOTS + 9
+WORD_SLOTS, SHAPE_SLOTS, LANG_SLOTS, SOURCE_SLOTS = 1024, 256, 64, 256
+#: Steps of the length: powers of two, the last one for an unknown length.
+LENGTH_SLOTS = 40
+#: Words a task remembers; over it, and when the task ends, the memory is emptied.
+MEMORY = 150_000
+#: Packed rows that a task takes at a time.
+PACKED_ROWS = 1024
+TEXT_SIZE = WORD_SLOTS + SHAPE_SLOTS + 2
+META_SIZE = LANG_SLOTS + SOURCE_SLOTS + LENGTH_SLOTS + 1
 _SHAPES = ((re.compile(r"[^\W\d_]*[a-zß-öø-ÿ][^\W\d_]*"), "x"), (re.compile(r"[^\W\d_a-z]+"), "X"), (re.compile(r"\d+"), "9"))
-_CLASS = np.zeros(256, np.int64)
-for _i in range(256):
-    _c = chr(_i)
-    _CLASS[_i] = 0 if _i >= 128 or _c.islower() else 1 if _c.isupper() else 2 if _c.isdigit() else 3 if _c.isspace() else 4
 
 
 def _slot(text: str, slots: int) -> int:
@@ -80,6 +79,10 @@ class _Slots(dict):
 _SLOTS = _Slots()
 
 
+def _forget() -> None:
+    _SLOTS.clear()
+
+
 def text_view(text: str | None) -> np.ndarray:
     words = text.split() if text else []
     out = np.zeros(TEXT_SIZE, np.float32)
@@ -89,26 +92,19 @@ def text_view(text: str | None) -> np.ndarray:
     out[:WORD_SLOTS] = np.bincount(both // SHAPE_SLOTS, minlength=WORD_SLOTS)
     out[WORD_SLOTS : WORD_SLOTS + SHAPE_SLOTS] = np.bincount(both % SHAPE_SLOTS, minlength=SHAPE_SLOTS)
     out[: WORD_SLOTS + SHAPE_SLOTS] *= 4 / len(words)
-    out[-3] = (both[1:] == both[:-1]).mean() * 4 if len(both) > 1 else 0
-    out[-2] = np.log1p(len(words)) / 8
+    out[-2] = (both[1:] == both[:-1]).mean() * 4 if len(both) > 1 else 0
     out[-1] = sum(map(len, words)) / len(words) / 8
     return out
 
 
-def meta_view(lang: str | None, source: str | None, text: str | None) -> np.ndarray:
+def meta_view(lang: str | None, source: str | None, chars: int | None) -> np.ndarray:
     out = np.zeros(META_SIZE, np.float32)
     out[_slot(f"lang={lang}", LANG_SLOTS)] = 0.5
     out[LANG_SLOTS + _slot(f"source={source}", SOURCE_SLOTS)] = 0.5
     rest = out[LANG_SLOTS + SOURCE_SLOTS :]
-    raw = np.frombuffer((text or "").encode(), np.uint8)
-    if len(raw):
-        lines = text.count("\n") + 1
-        shares = np.bincount(_CLASS[raw], minlength=5) / len(raw)
-        rest[:5] = shares * np.array([1, 4, 8, 4, 8])
-        rest[5] = np.log1p(len(raw)) / 10
-        rest[6] = np.log1p(lines) / 5
-        rest[7] = np.log1p(len(raw) / lines) / 8
-        rest[8] = min(1.0, shares[4] * 20)
+    known = chars is not None and chars >= 0
+    rest[min(int(chars).bit_length(), LENGTH_SLOTS - 2) if known else LENGTH_SLOTS - 1] = 0.5
+    rest[LENGTH_SLOTS] = np.log1p(chars) / 10 if known else 0
     return out
 
 
@@ -138,10 +134,10 @@ class CoTrained:
     calibration: list[tuple[float, float]]
     blend: tuple[float, float, float]
 
-    def score(self, text: str | None, lang: str | None, source: str | None) -> float:
+    def score(self, text: str | None, lang: str | None, source: str | None, chars: int | None) -> float:
         total = self.blend[2]
         for (w, b), (slope, shift), part, x in zip(
-            self.views, self.calibration, self.blend, (text_view(text), meta_view(lang, source, text))
+            self.views, self.calibration, self.blend, (text_view(text), meta_view(lang, source, chars))
         ):
             total += part * (slope * float(x @ w + b) + shift)
         return float(_sigmoid(total))
@@ -195,29 +191,31 @@ def co_train(labelled: list[np.ndarray], y: np.ndarray, pool, good_share: float,
 
 
 def _views(df: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels and the two matrices of a bounded frame (id, text, lang, source, label), by id hash."""
+    """Labels and the two matrices of a bounded frame (id, text, lang, source, chars, label), by id hash."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 d = part.to_pydict()
                 t = [text_view(x).tobytes() for x in d["text"]]
-                m = [meta_view(*x).tobytes() for x in zip(d["lang"], d["source"], d["text"])]
+                m = [meta_view(*x).tobytes() for x in zip(d["lang"], d["source"], d["chars"])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("h"), part.column("label"), pa.array(t, pa.binary()), pa.array(m, pa.binary())],
                     ["h", "label", "t", "m"],
                 )
 
-    rows = df.withColumn("h", F.xxhash64("id")).mapInArrow(run, "h long, label double, t binary, m binary").collect()
+    rows = df.withColumn("h", F.xxhash64("id")).mapInArrow(
+        releasing(run, _forget), "h long, label double, t binary, m binary"
+    ).collect()
     rows.sort(key=lambda r: (r.h, bytes(r.t)))
     mats = [np.frombuffer(b"".join(r[k] for r in rows), np.float32).reshape(len(rows), -1) for k in ("t", "m")] if rows else [
         np.zeros((0, TEXT_SIZE), np.float32), np.zeros((0, META_SIZE), np.float32)]
     return np.array([r.label for r in rows], float), mats
 
 
-def _sparse(text: str | None, lang: str | None, source: str | None) -> tuple[int, bytes]:
+def _sparse(text: str | None, lang: str | None, source: str | None, chars: int | None) -> tuple[int, bytes]:
     """Group of language and source, and both views in one: places (2 bytes each), then values (4 bytes each)."""
-    x = np.concatenate([text_view(text), meta_view(lang, source, text)])
+    x = np.concatenate([text_view(text), meta_view(lang, source, chars)])
     at = np.nonzero(x)[0]
     group = _slot(f"lang={lang}", LANG_SLOTS) * SOURCE_SLOTS + _slot(f"source={source}", SOURCE_SLOTS)
     return group, at.astype("<u2").tobytes() + x[at].astype("<f4").tobytes()
@@ -246,13 +244,13 @@ def _odds(packed: list[bytes], fits) -> list[np.ndarray]:
 
 
 def _unlabelled(rows: DataFrame) -> DataFrame:
-    """Views of rows (text, lang, source), written once: group, hash of the views, views."""
+    """Views of rows (text, lang, source, chars), written once: group, hash of the views, views."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 d = part.to_pydict()
-                made = [_sparse(*x) for x in zip(d["text"], d["lang"], d["source"])]
+                made = [_sparse(*x) for x in zip(d["text"], d["lang"], d["source"], d["chars"])]
                 marks = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) for _, x in made]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([g for g, _ in made], pa.int32()), pa.array(marks, pa.int64()), pa.array([x for _, x in made], pa.binary())],
@@ -261,7 +259,7 @@ def _unlabelled(rows: DataFrame) -> DataFrame:
 
     schema = "grp int, h long, x binary"
     path = f"{workspace(rows.sparkSession, 'quality-views')}/unlabelled"
-    rows.select("text", "lang", "source").mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    rows.select("text", "lang", "source", "chars").mapInArrow(releasing(run, _forget), schema).write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -271,38 +269,39 @@ def _surest(views: DataFrame, fits, taken: list[set[int]], count: int, sure: flo
     least = float(np.log(sure / (1 - sure)))
     known = [np.array(sorted(t), np.int64) for t in taken]
 
+    def add(best, packed, h, group):
+        for view, odds in enumerate(_odds(packed, fits)):
+            free = ~np.isin(h, known[1 - view])
+            for good in (1, 0):
+                own = odds if good else -odds
+                rows = np.nonzero(free & (own >= least))[0]
+                full = set()
+                for i in rows[np.lexsort((h[rows], -own[rows]))]:
+                    if group[i] in full:
+                        continue
+                    top = best.setdefault((1 - view, good, int(group[i])), {})
+                    if int(h[i]) in top:
+                        continue
+                    if len(top) == count:
+                        last = max(top, key=lambda m: (-top[m][0], m))
+                        if (-own[i], h[i]) > (-top[last][0], last):
+                            full.add(group[i])  # the rows after this one are no surer
+                            continue
+                        del top[last]
+                    top[int(h[i])] = (float(own[i]), packed[i])
+
     def run(batches):
         best: dict[tuple[int, int, int], dict[int, tuple[float, bytes]]] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            packed, h = batch.column("x").to_pylist(), batch.column("h").to_numpy()
-            group = batch.column("grp").to_numpy()
-            for view, odds in enumerate(_odds(packed, fits)):
-                free = ~np.isin(h, known[1 - view])
-                for good in (1, 0):
-                    own = odds if good else -odds
-                    rows = np.nonzero(free & (own >= least))[0]
-                    full = set()
-                    for i in rows[np.lexsort((h[rows], -own[rows]))]:
-                        if group[i] in full:
-                            continue
-                        top = best.setdefault((1 - view, good, int(group[i])), {})
-                        if int(h[i]) in top:
-                            continue
-                        if len(top) == count:
-                            last = max(top, key=lambda m: (-top[m][0], m))
-                            if (-own[i], h[i]) > (-top[last][0], last):
-                                full.add(group[i])  # the rows after this one are no surer
-                                continue
-                            del top[last]
-                        top[int(h[i])] = (float(own[i]), packed[i])
+            for part in slices(batch, PACKED_ROWS):
+                packed, h = part.column("x").to_pylist(), part.column("h").to_numpy()
+                add(best, packed, h, part.column("grp").to_numpy())
         rows = [(*key, m, o, x) for key, top in best.items() for m, (o, x) in top.items()]
         kinds = [("view", pa.int32()), ("good", pa.int32()), ("grp", pa.int32()), ("h", pa.int64()), ("own", pa.float64()), ("x", pa.binary())]
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, (_, t) in enumerate(kinds)], [n for n, _ in kinds])
 
     # every task gives at most ``count`` rows of a group, so that no group is large here
-    found = views.mapInArrow(run, "view int, good int, grp int, h long, own double, x binary")
+    found = views.mapInArrow(releasing(run), "view int, good int, grp int, h long, own double, x binary")
     order = Window.partitionBy("view", "good", "grp").orderBy(F.desc("own"), "h")
     ranked = found.withColumn("_rank", F.dense_rank().over(order)).where(F.col("_rank") <= count)
     return ranked.dropDuplicates(["view", "good", "grp", "h"]).select("view", "good", "h", "x")
@@ -327,11 +326,11 @@ def _exchange(views: DataFrame, per_round: int = PER_ROUND, per_group: int = PER
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source", label_col: str = "quality", seed_docs: int = SEED_DOCS,
+          source_col: str = "source", chars_col: str = "n_chars", label_col: str = "quality", seed_docs: int = SEED_DOCS,
           pool_docs: int | None = None, rounds: int = ROUNDS) -> CoTrained | float:
     """The model, or the share of good labels if there are not two classes to learn from. All documents without
     label take part, or ``pool_docs`` of them if that is given."""
-    rows = _named(docs, id_col, text_col, lang_col, source_col)
+    rows = _named(docs, id_col, text_col, lang_col, source_col, chars_col)
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("label")).where(
         "id is not null and label in (0, 1)"
     ).groupBy("id").agg(F.min("label").alias("label"))
@@ -349,16 +348,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return co_train(seeds, y, _exchange(_unlabelled(free)), share, rounds)
 
 
-def _named(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").alias("id"), *[
-        F.col(f"`{c}`").cast("string").alias(n) for c, n in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))
-    ])
+def _named(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str, chars_col: str) -> DataFrame:
+    kinds = ((text_col, "text", "string"), (lang_col, "lang", "string"), (source_col, "source", "string"), (chars_col, "chars", "long"))
+    return docs.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`").cast(kind).alias(n) for c, n, kind in kinds])
 
 
 def classify(docs: DataFrame, model: CoTrained | float, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", source_col: str = "source", threshold: float = THRESHOLD) -> DataFrame:
+             lang_col: str = "lang", source_col: str = "source", chars_col: str = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: its id, score (probability of good quality) and kept."""
-    rows = _named(docs, id_col, text_col, lang_col, source_col)
+    rows = _named(docs, id_col, text_col, lang_col, source_col, chars_col)
     if isinstance(model, float):
         scored = rows.select(F.col("id").alias(id_col), F.lit(model).alias("score"))
     else:
@@ -367,9 +365,9 @@ def classify(docs: DataFrame, model: CoTrained | float, id_col: str = "doc_id",
             for batch in batches:
                 for part in slices(batch):
                     d = part.to_pydict()
-                    score = [model.score(*x) for x in zip(d["text"], d["lang"], d["source"])]
+                    score = [model.score(*x) for x in zip(d["text"], d["lang"], d["source"], d["chars"])]
                     yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(score, pa.float64())], [id_col, "score"])
 
         kind = docs.schema[id_col].dataType.simpleString()
-        scored = rows.mapInArrow(run, f"`{id_col}` {kind}, score double")
+        scored = rows.mapInArrow(releasing(run, _forget), f"`{id_col}` {kind}, score double")
     return scored.withColumn("kept", F.col("score") >= threshold)

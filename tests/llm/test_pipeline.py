@@ -16,7 +16,7 @@ def test_stages_match_brute_force(spark):
     model = quality_cotrain.train(docs, read("labels"))
     left = {r.doc_id: r for r in docs.collect()}
     assert {c for c in docs.columns} == set(left[0].asDict())
-    left = {k: r.text for k, r in left.items() if model.score(r.text, r.lang, r.source) >= quality_cotrain.THRESHOLD}
+    left = {k: r.text for k, r in left.items() if model.score(r.text, r.lang, r.source, r.n_chars) >= quality_cotrain.THRESHOLD}
     groups = test_near_dedup.brute(list(left.items()))
     left = {k: t for k, t in left.items() if groups[k][2]}
     leaked = test_decontaminate.brute(list(left.items()), [(r.item_id, r.text) for r in read("benchmark").collect()])
@@ -52,6 +52,6 @@ def test_near_dedup_stage_keeps_one_of_each_group(spark):
 
 def test_queries_are_registered():
     names = set(queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names and set(oracle_sql()) <= names
     assert np.uint64 and byte_bpe.VOCABULARY
