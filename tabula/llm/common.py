@@ -40,6 +40,11 @@ def small_side(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES)
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
+def small_table(df: DataFrame, bytes_: Column, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``small_side`` for rows of very different sizes: ``bytes_`` is the size of a row."""
+    return F.broadcast(df) if (df.agg(F.sum(bytes_)).first()[0] or 0) <= max_bytes else df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
@@ -48,10 +53,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``decided`` (a frame with ``id_col``); null ids match null."""
-    ids = decided.select(F.col(f"`{id_col}`").alias("_kept_id")).distinct()
-    return docs.join(ids, docs[f"`{id_col}`"].eqNullSafe(ids["_kept_id"]), "left_semi")
+def without(docs: DataFrame, rejected: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` but those whose ``keys`` (column of ``rejected`` -> expression over ``docs``) are all
+    equal to those of a row of ``rejected``. A null key equals nothing, so such rows stay."""
+    names = {k: f"_rejected_{i}" for i, k in enumerate(keys)}
+    gone = rejected.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+    # written before it is counted and joined, so that what rejects runs once
+    gone = small_side(saved(gone, workspace(docs.sparkSession, "rejected")), 64 * len(keys))
+    same = [expression == gone[names[k]] for k, expression in keys.items()]
+    return docs.join(gone, same, "left_anti")
 
 
 def ascii_lower(text: Column) -> Column:

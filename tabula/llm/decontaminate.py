@@ -23,14 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.common import ascii_lower, id_text, small_side
+from tabula.llm.common import ascii_lower, id_text, small_table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPAN = 10
 K = 4
 BLOCK_WORDS = 96
-#: Counted bytes of a benchmark fingerprint row with its neighbours, for the broadcast check.
-ROW_BYTES = 400
+#: Counted bytes of a benchmark fingerprint row with its neighbours, and of each item that shares it, for the broadcast check.
+ROW_BYTES, ITEM_BYTES = 400, 64
 
 
 def words_of(text: Column) -> Column:
@@ -102,7 +102,7 @@ def leaks(docs: DataFrame, items: DataFrame, span: int, k: int, whole: bool, str
     kept = _blocks(docs, span, stride).withColumn("grams", F.expr(_grams(k))).select(
         "id", "base", "words", F.explode_outer(F.expr(_kept(span, k))).alias("fp")
     )
-    hits = kept.join(small_side(side, ROW_BYTES), "fp").withColumn("grams", F.expr(_grams(k)))
+    hits = kept.join(small_table(side, ROW_BYTES + ITEM_BYTES * F.size("items").cast("long")), "fp").withColumn("grams", F.expr(_grams(k)))
     hits = hits.withColumn("p", F.explode_outer(F.expr(_PLACES))).drop("grams")
     before, at, behind = _sides(span, k)
     return (

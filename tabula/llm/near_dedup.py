@@ -127,7 +127,7 @@ def sketch(own: np.ndarray, halves: int = HALVES, rows: int = ROWS) -> tuple[np.
     return key.view(np.int64), (low >> _U(56)).astype(np.uint8).tobytes()
 
 
-_SKETCH = "id long, n long, set_key binary, halves array<bigint>, sign binary"
+_SKETCH = "id long, n long, set_key binary, halves array<bigint>, sign binary, text_md5 string"
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -138,21 +138,21 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
             for part in slices(batch):
                 out = []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    own = shingles(text, words)
+                    own, md5 = shingles(text, words), None if text is None else hashlib.md5(text.encode()).hexdigest()
                     if len(own):
                         halves, sign = sketch(own)
                         key = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                        out.append((doc_id, len(own), key, halves.tolist(), sign))
+                        out.append((doc_id, len(own), key, halves.tolist(), sign, md5))
                     else:
-                        out.append((doc_id, 0, None, None, None))
+                        out.append((doc_id, 0, None, None, None, md5))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), _SKETCH_TYPES)], ["id", "n", "set_key", "halves", "sign"]
+                    [pa.array(c, t) for c, t in zip(zip(*out), _SKETCH_TYPES)], ["id", "n", "set_key", "halves", "sign", "text_md5"]
                 )
 
     return docs.mapInArrow(releasing(run, _forget), _SKETCH)
 
 
-_SKETCH_TYPES = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+_SKETCH_TYPES = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.string())
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -325,7 +325,7 @@ def _across(members: DataFrame, near: DataFrame, reps: DataFrame, percent: int,
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     percent: int = PERCENT, share: float = SIGN_SHARE, block: int = BLOCK,
                     block_bytes: int = BLOCK_BYTES, near_share: float = NEAR_SHARE) -> DataFrame:
-    """Per row: id, n_shingles, component_id (smallest id reachable) and kept."""
+    """Per row: id, n_shingles, component_id (smallest id reachable), kept, and the MD5 of its text."""
     path = workspace(df.sparkSession, "near-dedup")
     docs = id_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     rows = saved(sketches(docs, words), f"{path}/sketches")
@@ -357,6 +357,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     found = rows.join(classes, "set_key", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"), "text_md5",
     )
-    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept, "text_md5")
+
+
+def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_md5) of the rows that go if one of each group of near duplicates stays, each row judged by
+    its own text: of an id with several texts, all but one take part under ids of their own beyond all others."""
+    path = workspace(df.sparkSession, "near-copies")
+    docs = id_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long")).where("id is not null")
+    marked = docs.select("id", F.md5("text").alias("md5")).where("md5 is not null")
+    several = marked.groupBy("id").agg(F.min("md5").alias("first"), F.max("md5").alias("last")).where("first < last")
+    more = saved(marked.join(several.select("id", "first"), "id").where("md5 > first").select("id", "md5").distinct(), f"{path}/more")
+    if more.isEmpty():
+        return near_duplicates(docs, "id").where("not kept").select("doc_id", "text_md5")
+    top = docs.agg(F.max("id")).first()[0]
+    # numbered by place in the written table, so that every reader sees the same numbers
+    own = more.withColumn("own", F.monotonically_increasing_id() + F.lit(top + 1)).select(F.col("id").alias("was"), F.col("md5").alias("_md5"), "own")
+    own = saved(own, f"{path}/own")
+    named = docs.join(own, (F.col("id") == F.col("was")) & (F.md5("text") == F.col("_md5")), "left")
+    found = near_duplicates(named.select(F.coalesce("own", "id").alias("id"), "text"), "id").where("not kept")
+    return found.join(own, F.col("doc_id") == F.col("own"), "left").select(F.coalesce("was", "doc_id").alias("doc_id"), "text_md5")

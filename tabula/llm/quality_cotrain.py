@@ -371,3 +371,23 @@ def classify(docs: DataFrame, model: CoTrained | float, id_col: str = "doc_id",
         kind = docs.schema[id_col].dataType.simpleString()
         scored = rows.mapInArrow(releasing(run, _forget), f"`{id_col}` {kind}, score double")
     return scored.withColumn("kept", F.col("score") >= threshold)
+
+
+def accepted(docs: DataFrame, model: CoTrained | float, text_col: str = "text", lang_col: str = "lang",
+             source_col: str = "source", chars_col: str = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose own score reaches ``threshold``, with all their columns."""
+    if isinstance(model, float):
+        return docs if model >= threshold else docs.limit(0)
+    names = docs.columns
+    # the four values as text and long, at the end, so that no column of ``docs`` can clash
+    extra = [F.col(f"`{c}`").cast(t) for c, t in ((text_col, "string"), (lang_col, "string"), (source_col, "string"), (chars_col, "long"))]
+    wide = docs.select(*[F.col(f"`{c}`") for c in names], *[c.alias(f"_view_{i}") for i, c in enumerate(extra)])
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                values = [part.column(len(names) + i).to_pylist() for i in range(4)]
+                keep = pa.array([model.score(*x) >= threshold for x in zip(*values)], pa.bool_())
+                yield part.select(list(range(len(names)))).filter(keep)
+
+    return wide.mapInArrow(releasing(run, _forget), docs.schema)

@@ -64,7 +64,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents")).drop("text_md5")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,3 +55,22 @@ def test_queries_are_registered():
     assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names and set(oracle_sql()) <= names
     assert np.uint64 and byte_bpe.VOCABULARY
+
+
+def test_stages_judge_rows_not_ids(spark, tmp_dir):
+    """Of rows that share an id, or have none, only those whose own text is rejected go."""
+    words = lambda k, n=40: " ".join(f"{k}w{i}" for i in range(n))
+    leak = words("bench", 12)
+    rows = [
+        (1, words("a"), "en", "s", 1), (1, words("b") + " " + leak, "en", "s", 1), (2, words("a") + " end", "en", "s", 1),
+        (2, words("c"), "en", "s", 1), (None, words("d"), "en", "s", 1), (None, words("e") + " " + leak, "en", "s", 1),
+        (None, words("a"), "en", "s", 1), (3, None, None, None, None), (3, None, None, None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    spark.createDataFrame([("x", leak)], "item_id string, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    left = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    text = lambda keep: sorted(((r[0], r[1]) for i, r in enumerate(rows) if i in keep), key=str)
+    assert left(corpus_pipeline.decontamination(spark, docs, tmp_dir)) == text({0, 2, 3, 4, 6, 7, 8})
+    assert left(corpus_pipeline.near_duplicates(spark, docs, tmp_dir)) == text({0, 1, 3, 4, 5, 6, 7, 8})
+    model = quality_cotrain.CoTrained([(np.zeros(quality_cotrain.TEXT_SIZE), 0.0), (np.eye(1, quality_cotrain.META_SIZE, quality_cotrain.META_SIZE - 2)[0], -0.25)], [(1.0, 0.0)] * 2, (0.0, 9.0, 0.0))
+    assert left(quality_cotrain.accepted(docs, model)) == text({7, 8})  # the rows of unknown length
