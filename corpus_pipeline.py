@@ -4,8 +4,9 @@
 DataFrame, which ``run`` writes as Parquet to the shared folder and rereads as the next
 stage's ``docs``. All but the last return the columns of documents.
 
-Stages keep rows with null ids, drop none but those their operator rejects, and accept
-empty tables and further columns (the last stage returns its own columns only).
+Stages decide row by row: rows that share an id, null too, are judged by their own text each.
+They drop none but those their operator rejects, and accept empty tables and further columns
+(the last stage returns its own columns only).
 """
 
 from __future__ import annotations
@@ -14,25 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.llm import byte_bpe, decontaminate, near_dedup, quality_cotrain, secret_scan
-from tabula.llm.common import keep_rows, read, workspace
+from tabula.llm.common import read, without, workspace
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    model = quality_cotrain.train(docs, read(spark, sf_dir, "labels"))
-    scored = quality_cotrain.classify(docs, model)
-    return keep_rows(docs, scored.where("kept"))
+    return quality_cotrain.accepted(docs, quality_cotrain.train(docs, read(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    return keep_rows(docs, near_dedup.near_duplicates(docs).where("kept"))
+    return without(docs, near_dedup.copies(docs), {"doc_id": F.col("doc_id").cast("long"), "text_md5": F.md5("text")})
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
-    found = decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    return keep_rows(docs, found.where("not contaminated"))
+    texts = docs.select(F.md5("text").alias("doc_id"), "text")  # equal texts are judged once
+    found = decontaminate.decontaminate(texts, read(spark, sf_dir, "benchmark"))
+    return without(docs, found.where("contaminated"), {"doc_id": F.md5("text")})
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
