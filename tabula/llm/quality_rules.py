@@ -4,10 +4,12 @@ Every document gets counts from its whole text. Documents under fixed minimum ru
 at once. For the others, five ratios are summarised by mergeable quantile sketches (KLL)
 per (language, source): tasks sketch their own rows and the sketches are merged, so a
 source with a third of all rows is no hot spot. A document is kept if each of its ratios
-lies within the fences of its group: the quartiles, ``REACH`` times their distance beyond,
-and never inside the ``FLOOR`` of that ratio. Groups with fewer than ``MIN_DOCS``
-documents use the merged sketches of their language, and, if those are too few as well, of
-all documents.
+lies within the fences of its group, which are learned: a quantile of the group's own tail, and
+beyond it ``reach`` times the distance of that quantile from the group's median, or ``margin``
+where the group hardly varies (most documents have no symbols or repeated lines at all, and
+no cutoff should follow from that alone). There is no cutoff that all groups share. Groups with
+fewer than ``MIN_DOCS`` documents use the merged sketches of their language, and, if those are too
+few as well, of all documents.
 
 Null texts have no words and fail. A null language or source is a group like any other.
 Rows are judged one by one, so repeated ids give repeated rows. Sketches of up to ``SKETCH_K``
@@ -27,14 +29,14 @@ SYMBOL = r"[#*$%&|<>]"
 MIN_WORDS = 50
 SKETCH_K = 4096
 MIN_DOCS = 200
-REACH = 6.0
-#: Ratio -> (lower, upper) values that a fence never cuts into; None: no fence on that side.
-FLOOR = {
-    "symbol_ratio": (None, 0.05),
-    "dup_line_ratio": (None, 0.25),
-    "repeat_ratio": (None, 0.25),
-    "mark_ratio": (None, 0.25),
-    "mean_word": (2.5, 12.0),
+#: Ratio -> (quantile of the tail, reach, margin, whether there is a lower fence as well, at 1 - quantile).
+#: Documents full of symbols come in such numbers that the far tail is theirs, so that quantile lies before it.
+FENCES = {
+    "symbol_ratio": (0.75, 6.0, 0.03, False),
+    "dup_line_ratio": (0.95, 6.0, 0.25, False),
+    "repeat_ratio": (0.95, 6.0, 0.05, False),
+    "mark_ratio": (0.95, 6.0, 0.05, False),
+    "mean_word": (0.75, 10.0, 0.5, True),
 }
 
 
@@ -104,35 +106,35 @@ def sketches(counted: DataFrame, k: int = SKETCH_K) -> DataFrame:
     Sketches of several tables are merged by ``merged``."""
     rows = counted.where(~base_failed()).select("lang", "source", *[c.alias(n) for n, c in ratios().items()])
     return rows.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("n_docs"), *[F.kll_sketch_agg_double(n, F.lit(k)).alias(n) for n in FLOOR]
+        F.count(F.lit(1)).alias("n_docs"), *[F.kll_sketch_agg_double(n, F.lit(k)).alias(n) for n in FENCES]
     )
 
 
 def merged(sketched: DataFrame, *by: str, k: int = SKETCH_K) -> DataFrame:
     """Sketches merged over all columns but ``by``."""
     return sketched.groupBy(*by).agg(
-        F.sum("n_docs").alias("n_docs"), *[F.kll_merge_agg_double(n, F.lit(k)).alias(n) for n in FLOOR]
+        F.sum("n_docs").alias("n_docs"), *[F.kll_merge_agg_double(n, F.lit(k)).alias(n) for n in FENCES]
     )
 
 
-def thresholds(sketched: DataFrame, min_docs: int = MIN_DOCS, reach: float = REACH) -> DataFrame:
+def thresholds(sketched: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Fences (lang, source, low_<ratio>, high_<ratio>) of every group, from its own sketches or wider ones."""
     own, lang = sketched.alias("own"), merged(sketched, "lang").alias("wide")
     whole = merged(sketched).alias("whole")
     # one row per group on either side; the whole's sketches are one row
     rows = own.join(lang, F.col("own.lang").eqNullSafe(F.col("wide.lang"))).crossJoin(F.broadcast(whole))
     out = [F.col("own.lang").alias("lang"), F.col("own.source").alias("source")]
-    for name, (low, high) in FLOOR.items():
+    for name, (tail, reach, margin, both) in FENCES.items():
         sketch = (
             F.when(F.col("own.n_docs") >= min_docs, F.col(f"own.{name}"))
             .when(F.col("wide.n_docs") >= min_docs, F.col(f"wide.{name}"))
             .otherwise(F.col(f"whole.{name}"))
         )
-        q1 = F.kll_sketch_get_quantile_double(sketch, F.lit(0.25))
-        q3 = F.kll_sketch_get_quantile_double(sketch, F.lit(0.75))
-        below, above = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)
-        out.append((F.lit(float("-inf")) if low is None else F.least(below, F.lit(low))).alias(f"low_{name}"))
-        out.append((F.lit(float("inf")) if high is None else F.greatest(above, F.lit(high))).alias(f"high_{name}"))
+        at = lambda q: F.kll_sketch_get_quantile_double(sketch, F.lit(q))  # noqa: B023, E731
+        above = at(tail) + F.greatest(reach * (at(tail) - at(0.5)), F.lit(margin))
+        below = at(1 - tail) - F.greatest(reach * (at(0.5) - at(1 - tail)), F.lit(margin))
+        out.append((below if both else F.lit(float("-inf"))).alias(f"low_{name}"))
+        out.append(above.alias(f"high_{name}"))
     return rows.select(*out)
 
 

@@ -108,21 +108,22 @@ FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 _FENCE_COLUMNS = ", ".join(
-    f"quantile_disc({n}, 0.25) a_{n}, quantile_disc({n}, 0.75) b_{n}" for n in quality_rules.FLOOR
+    f"quantile_disc({n}, {tail}) t_{n}, quantile_disc({n}, 0.5) m_{n}, quantile_disc({n}, {1 - tail}) b_{n}"
+    for n, (tail, *_) in quality_rules.FENCES.items()
 )
 
 
 def _fence(name: str) -> str:
-    low, high = quality_rules.FLOOR[name]
+    _, reach, margin, both = quality_rules.FENCES[name]
 
     def pick(q: str) -> str:
         least = quality_rules.MIN_DOCS
         return f"(CASE WHEN own.n >= {least} THEN own.{q}_{name} WHEN wide.n >= {least} THEN wide.{q}_{name} ELSE whole.{q}_{name} END)"
 
-    a, b, reach = pick("a"), pick("b"), quality_rules.REACH
-    parts = [] if low is None else [f"{name} >= least({a} - {reach} * ({b} - {a}), {low})"]
-    parts += [] if high is None else [f"{name} <= greatest({b} + {reach} * ({b} - {a}), {high})"]
-    return " AND ".join(parts)
+    top, middle, bottom = pick("t"), pick("m"), pick("b")
+    high = f"{name} <= {top} + greatest({reach} * ({top} - {middle}), {margin}::DOUBLE)"
+    low = f" AND {name} >= {bottom} - greatest({reach} * ({middle} - {bottom}), {margin}::DOUBLE)"
+    return high + (low if both else "")
 
 
 OP3_SQL = rf"""
@@ -147,7 +148,7 @@ own AS (SELECT lang, source, count(*) n, {_FENCE_COLUMNS} FROM passed GROUP BY l
 wide AS (SELECT lang, count(*) n, {_FENCE_COLUMNS} FROM passed GROUP BY lang),
 whole AS (SELECT count(*) n, {_FENCE_COLUMNS} FROM passed)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce({" AND ".join(_fence(n) for n in quality_rules.FLOOR)}, TRUE) kept
+  NOT base_failed AND coalesce({" AND ".join(_fence(n) for n in quality_rules.FENCES)}, TRUE) kept
 FROM rated LEFT JOIN own ON rated.lang IS NOT DISTINCT FROM own.lang AND rated.source IS NOT DISTINCT FROM own.source
 LEFT JOIN wide ON rated.lang IS NOT DISTINCT FROM wide.lang CROSS JOIN whole
 """
