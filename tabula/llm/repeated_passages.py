@@ -37,7 +37,6 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +49,9 @@ BLOCK_BYTES = 8 << 20
 #: Buckets of the table of blocks; beyond it a bucket holds several blocks.
 BUCKETS = 20_000
 #: Phrases of one automaton; a block with more streams its documents once per automaton.
-PHRASES = 100_000
+PHRASES = 20_000
+#: Digits of word numbers in an automaton.
+BASE = 32
 _U = np.uint64
 OUT = "doc_id long, n_words long, n_removed long, removed array<struct<start: long, end: long>>, kept_text string"
 
@@ -79,11 +80,22 @@ def rolling(hashes: np.ndarray, size: int, base: int = 0x9E3779B97F4A7C15) -> np
     return x ^ (x >> _U(31))
 
 
+def _sliding(values: np.ndarray, span: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) of every ``span`` consecutive values, in logarithmic steps."""
+    size = 1
+    while size * 2 <= span:
+        values, size = pick(values[:-size], values[size:]), size * 2
+    return pick(values[: len(values) - (span - size)], values[span - size :]) if span > size else values
+
+
 def winnowed(grams: np.ndarray, span: int) -> np.ndarray:
-    """Positions of the smallest gram (the first of equals) of every ``span`` consecutive ones."""
+    """Positions of the smallest gram of every ``span`` consecutive ones; of equal grams all."""
     if len(grams) < span:
         return np.zeros(0, np.int64)
-    return np.unique(sliding_window_view(grams, span).argmin(1) + np.arange(len(grams) - span + 1))
+    least = _sliding(grams, span, np.minimum)
+    # a gram is kept if it is the smallest of some window that it is in; outside of the text there is none
+    around = np.concatenate([np.zeros(span - 1, _U), least, np.zeros(span - 1, _U)])
+    return np.flatnonzero(grams <= _sliding(around, span, np.maximum))
 
 
 def grams_of(hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +204,12 @@ def _cut(window: int, cell: int):
 
 
 class Passages:
-    """Passages as rows of word numbers, and automata that find where a document holds one."""
+    """Passages as rows of word numbers, and automata that find where a document holds one.
+
+    An automaton's node looks its next symbol up among all that it has, and thousands of phrases begin
+    with different words. So a word goes in as the digits of its number, in an alphabet of its own for each
+    place of a digit: nodes have ``BASE`` symbols at most, and no match can begin within a word.
+    """
 
     def __init__(self, rows: Iterable[tuple[int, bytes]], window: int = WINDOW, gram: int = GRAM, phrases: int = PHRASES):
         smallest: dict[bytes, int] = {}
@@ -208,28 +225,37 @@ class Passages:
                 places.setdefault(tuple(own[at : at + gram]), []).append((k, at))
         keys = list(places)
         self.shards = [{key: places[key] for key in keys[i : i + phrases]} for i in range(0, len(keys), phrases)]
+        self.digits = 1
+        while BASE**self.digits <= len(self.numbers):
+            self.digits += 1
+        # number 0 stands for all words that no passage has; its symbol is in no alphabet
+        self.codes = ["\0" * self.digits, *map(self._code, range(1, len(self.numbers) + 1))]
+
+    def _code(self, number: int) -> str:
+        return "".join(chr(1 + BASE * i + number // BASE**i % BASE) for i in range(self.digits))
 
     def automata(self):
         """One compiled automaton at a time, so that a block never holds two."""
         import ahocorasick
 
         for shard in self.shards:
-            found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            found = ahocorasick.Automaton(ahocorasick.STORE_ANY)
             for key, where in shard.items():
-                found.add_word(key, where)
+                found.add_word("".join([self.codes[n] for n in key]), where)
             found.make_automaton()
             yield found
 
-    def numbered(self, words: list[bytes]) -> tuple[int, ...]:
-        return tuple(map(self.numbers.get, words, repeat(0)))
+    def numbered(self, words: list[bytes]) -> list[int]:
+        return list(map(self.numbers.get, words, repeat(0)))
 
-    def mark(self, automaton, doc_id: int, own: tuple[int, ...], gone: np.ndarray) -> None:
+    def mark(self, automaton, doc_id: int, own: list[int], gone: np.ndarray) -> None:
         """Set ``gone`` at the words that a passage of a smaller id covers by a whole window."""
-        found: dict[tuple[int, int], None] = {}
-        for end, where in automaton.iter(own):
+        codes, found = self.codes, {}
+        for end, where in automaton.iter("".join([codes[n] for n in own])):
+            last = end // self.digits
             for k, at in where:
                 if self.owner[k] < doc_id:
-                    found[k, end - self.gram + 1 - at] = None
+                    found[k, last - self.gram + 1 - at] = None
         if not found:
             return
         array, hits = np.array(own), list(found)
@@ -243,7 +269,7 @@ class Passages:
             whole = np.flatnonzero(same[self.window :] - same[: -self.window] == self.window)
             if len(whole):
                 cuts = np.flatnonzero(np.diff(whole) > 1)
-                for a, z in zip(np.r_[whole[0], whole[cuts + 1]], np.r_[whole[cuts], whole[-1]], strict=True):
+                for a, z in zip(whole[[0, *(cuts + 1)]], whole[[*cuts, -1]], strict=True):
                     gone[low + a : low + z + self.window] = True
 
 
