@@ -6,7 +6,10 @@ escapes are decoded in place within their line, base64 runs alone, and base64 wh
 are gzip, zlib or zstandard data is decompressed. Base64 is of either alphabet and may be
 wrapped over lines; a run that is no text as a whole is also opened behind its separators
 and in its parts, as a token after a URL path. Packed data written in percent or byte
-escapes is decompressed as well. Every decoded layer is scanned and unwrapped, whatever its
+escapes is decompressed as well: a first piece is inflated before anything is decoded
+whole, so a run full of false heads costs linear time. Content is inflated as a stream, through
+all gzip members and zstandard frames, and scanned in windows of ``WINDOW_BYTES`` that overlap by
+``OVERLAP_BYTES``, so its size costs no memory. Every decoded layer is scanned and unwrapped, whatever its
 bytes: as UTF-8, else UTF-16, else Latin-1, and once more without its NULs. A layer seen
 before is not entered again,
 so chains that lead back to themselves end. Every character of a layer carries the range
@@ -20,9 +23,10 @@ first. Positions are code points, ends exclusive.
 from __future__ import annotations
 
 import base64
-import gzip
+import hashlib
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from itertools import accumulate
 
@@ -53,23 +57,27 @@ _SEPARATOR = re.compile(r"[+/_-]+")
 _PARTS = [re.compile(rf"[A-Za-z0-9{more}]{{16,}}") for more in ("+/", "_-", "+_-", "")]
 #: The first base64 characters of gzip, zstandard and zlib data.
 _PACKED = re.compile(r"H4sI|KLUv[/_]|e[AFJN]")
-#: Packed data in percent escapes and in byte escapes, from its first bytes on.
+#: Heads of packed data in percent escapes and in byte escapes, and what the data may go on with.
 _PERCENT_PACKED = re.compile(
-    r"(?:(?:%1[Ff]|\x1f)%8[Bb]|(?:%28|\()%[Bb]5(?:%2[Ff]|/)%[Ff][Dd]|(?:%78|x)(?:%01|%5[Ee]|\^|%9[Cc]|%[Dd][Aa]))[\x21-\x7e]*"
+    r"(?:(?:%1[Ff]|\x1f)%8[Bb]|(?:%28|\()%[Bb]5(?:%2[Ff]|/)%[Ff][Dd]|(?:%78|x)(?:%01|%5[Ee]|\^|%9[Cc]|%[Dd][Aa]))"
 )
 _X = r"\\(?:x|u00)"
 _ESCAPE_PACKED = re.compile(
     rf"(?:{_X}1[Ff]{_X}8[Bb]|(?:{_X}28|\(){_X}[Bb]5(?:{_X}2[Ff]|/){_X}[Ff][Dd]"
-    rf"|(?:{_X}78|x)(?:{_X}01|{_X}5[Ee]|\^|{_X}9[Cc]|{_X}[Dd][Aa]))[\x20-\x7e\x80-\xff]*"
+    rf"|(?:{_X}78|x)(?:{_X}01|{_X}5[Ee]|\^|{_X}9[Cc]|{_X}[Dd][Aa]))"
 )
+_PERCENT_RUN, _ESCAPE_RUN = re.compile(r"[\x21-\x7e]*"), re.compile(r"[\x20-\x7e\x80-\xff]*")
 _PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|(.)", re.S)
 _ESCAPE_BYTE = re.compile(r"\\(?:x|u00)([0-9A-Fa-f]{2})|\\([abtnvfr0\\'\"/])|(.)", re.S)
 _SIMPLE = dict(zip("abtnvfr0", b"\a\b\t\n\v\f\r\0"))
 _NULS = re.compile("\x00+")
 #: Base64 characters that show whether text starts at a place.
 _HEAD = 24
-#: Decompressed bytes of one layer at most, against bombs; a layer over it is scanned up to there.
-LAYER_BYTES = 64 << 20
+#: Content is scanned in windows of so many bytes; two neighbours share the last ones of the first.
+WINDOW_BYTES, OVERLAP_BYTES = 8 << 20, 64 << 10
+#: Bytes that an inflater is asked for at a time, and characters of a run that are tried first.
+CHUNK_BYTES = 1 << 20
+PROBE = 64
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -103,29 +111,133 @@ def _escape(run: str) -> str:
     return chr(code) if code < 0xD800 or 0xDFFF < code <= 0x10FFFF else "�"
 
 
-def _inflated(data: bytes) -> tuple[bytes, int] | None:
-    """Content of gzip, zlib or zstandard data and the bytes it was read from, None for anything else."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            stream = zlib.decompressobj(31)
-            made = stream.decompress(data, LAYER_BYTES)
-        elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            stream = zlib.decompressobj()
-            made = stream.decompress(data, LAYER_BYTES)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
+class _Bytes:
+    """Bytes, and then those of a stream, read in pieces."""
+
+    def __init__(self, head: bytes, source=None):
+        self.head, self.at, self.source = head, 0, source
+
+    def read(self, size: int) -> bytes:
+        if self.at >= len(self.head) and self.source is not None:
+            self.head, self.at = self.source.read(CHUNK_BYTES), 0
+        made = self.head[self.at : self.at + size]
+        self.at += len(made)
+        return made
+
+
+class _Inflater:
+    """The content of gzip, zlib or zstandard data, through all gzip members or zstandard frames, as a stream
+    that ends where the data ends or errs. ``used``: bytes of ``data`` up to the end of the last whole one."""
+
+    def __init__(self, data: _Bytes, kind: str):
+        self.data, self.kind, self.used, self.left, self.ended = data, kind, 0, b"", False
+        self.stream = self._stream()
+
+    def _stream(self):
+        if self.kind == "zstd":
             import zstandard
 
-            stream = zstandard.ZstdDecompressor().decompressobj()
-            made = stream.decompress(data)[:LAYER_BYTES]
+            return zstandard.ZstdDecompressor().decompressobj()
+        return zlib.decompressobj(31 if self.kind == "gzip" else 15)
+
+    def _step(self, size: int) -> bytes:
+        """Some content, or none if there is more to read first."""
+        if self.kind == "zstd":  # a few bytes may stand for a megabyte
+            more = self.left or self.data.read(PROBE)
+            made = self.stream.decompress(more) if more else b""
+            self.left = b""
         else:
-            return None
-        return made, len(data) - len(stream.unused_data)
-    except (zlib.error, gzip.BadGzipFile, EOFError):
-        return None
+            more = self.stream.unconsumed_tail or self.left or self.data.read(4096)
+            self.left = b"" if not self.stream.unconsumed_tail else self.left
+            made = self.stream.decompress(more, size) if more else b""
+        self.ended = not more
+        if self.stream.eof:
+            self.used = self.data.at - len(self.stream.unused_data)
+            self.left = self.stream.unused_data + self.data.read(4)
+            if _kind(self.left) == self.kind != "zlib":
+                self.stream = self._stream()
+            else:
+                self.ended = True
+        return made
+
+    def read(self, size: int = CHUNK_BYTES) -> bytes:
+        made = b""
+        while not made and not self.ended:
+            try:
+                made = self._step(size)
+            except zlib.error:
+                self.ended = True
+            except Exception as e:  # zstandard's own error type
+                if type(e).__name__ != "ZstdError":
+                    raise
+                self.ended = True
+        return made
+
+
+def _kind(head: bytes) -> str | None:
+    """The packing that bytes begin with."""
+    if head[:2] == b"\x1f\x8b":
+        return "gzip"
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return "zlib"
+    return "zstd" if head[:4] == b"\x28\xb5\x2f\xfd" else None
+
+
+def _plausible(data: bytes) -> bool:
+    """Whether bytes begin with packed data, the first part of which has no error."""
+    kind = _kind(data)
+    if kind is None:
+        return False
+    stream = _Inflater(_Bytes(data), kind).stream
+    try:
+        stream.decompress(data[: 4 * PROBE], *(() if kind == "zstd" else (CHUNK_BYTES,)))
+    except zlib.error:
+        return False
     except Exception as e:  # zstandard's own error type
-        if type(e).__name__ == "ZstdError":
-            return None
-        raise
+        if type(e).__name__ != "ZstdError":
+            raise
+        return False
+    return True
+
+
+def _content(data: bytes) -> tuple[object, int] | None:
+    """(stream of what packed data holds at its innermost, how often it was packed), None for anything else."""
+    source, head, depth, met = None, data, 0, set()
+    while head not in met and _plausible(head):  # content that is its own packing is met again
+        met.add(head)
+        stream = _Inflater(_Bytes(head, source), _kind(head))
+        first = stream.read()
+        if not first:
+            break
+        source, head, depth = stream, first, depth + 1
+    return (_Again(head, source), depth) if depth else None
+
+
+class _Again:
+    """A stream whose first bytes were read already."""
+
+    def __init__(self, head: bytes, source):
+        self.head, self.source = head, source
+
+    def windows(self):
+        """The content in windows that overlap."""
+        made = bytearray(self.head)
+        while True:
+            more = self.source.read(CHUNK_BYTES)
+            made += more or b""
+            if not more or len(made) >= WINDOW_BYTES:
+                yield bytes(made)
+                if not more:
+                    return
+                del made[: len(made) - OVERLAP_BYTES]
+
+
+def _length(data: bytes) -> int:
+    """Bytes of packed data up to the end of its outermost packing; all of it if that has no end."""
+    stream = _Inflater(_Bytes(data), _kind(data))
+    while not stream.ended:
+        stream.read()
+    return stream.used or len(data)
 
 
 def _wide(data: bytes) -> str | None:
@@ -189,7 +301,7 @@ def _starts(core: str) -> list[int]:
             if len(core) - at < 16:
                 return made
             head = _unbase64(core[at : at + _HEAD])
-            if _PACKED.match(core, at) and _inflated(head) is not None:
+            if _PACKED.match(core, at) and _plausible(head):
                 made.append(at)
             elif at % 4 not in aligned and any(_clear(*_decoded(head[:n])) for n in range(len(head), len(head) - 4, -1)):
                 aligned.add(at % 4)
@@ -211,7 +323,8 @@ def _wrapped(lines: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
 
 
 class _Layer:
-    """A decoded text; ``spans`` maps its characters to ranges of the original (None: itself)."""
+    """A decoded text; ``spans`` maps its characters to ranges of the original: None for the original
+    itself, one (start, end) that all characters share, or arrays of their starts and ends."""
 
     __slots__ = ("path", "spans", "text")
 
@@ -221,8 +334,14 @@ class _Layer:
     def original(self, start: int, end: int) -> tuple[int, int]:
         if self.spans is None:
             return start, end
-        own = self.spans[start:end]
-        return min(a for a, _ in own), max(b for _, b in own)
+        if isinstance(self.spans, tuple):
+            return self.spans
+        return min(self.spans[0][start:end]), max(self.spans[1][start:end])
+
+    def key(self) -> tuple:
+        """Equal for layers that give the same finds."""
+        where = self.spans if self.spans is None or isinstance(self.spans, tuple) else (self.spans[0][:1].tolist(), self.spans[1][-1:].tolist())
+        return hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), str(where)
 
     def lines_with(self, pattern, hint: str):
         """(start, end) of the lines in which ``pattern`` occurs."""
@@ -239,21 +358,33 @@ class _Layer:
 
     def rewritten(self, start: int, end: int, pattern, decode, name: str) -> _Layer:
         """The part from ``start`` to ``end`` with every match of ``pattern`` decoded in place."""
-        text, spans, at = [], [], start
+        text, at, path = [], start, f"{self.path}/{name}".strip("/")
+        if isinstance(self.spans, tuple):
+            return _Layer(pattern.sub(lambda m: decode(m[0]), self.text[start:end]), self.spans, path)
+        starts, ends = array("q"), array("q")
+
+        def as_is(a: int, b: int) -> None:
+            text.append(self.text[a:b])
+            if self.spans is None:
+                starts.extend(range(a, b))
+                ends.extend(range(a + 1, b + 1))
+            else:
+                starts.extend(self.spans[0][a:b])
+                ends.extend(self.spans[1][a:b])
+
         for m in pattern.finditer(self.text, start, end):
-            text.append(self.text[at : m.start()])
-            spans += [self.original(i, i + 1) for i in range(at, m.start())]
+            as_is(at, m.start())
             made, (whole_a, whole_b) = decode(m[0]), self.original(m.start(), m.end())
-            step = (m.end() - m.start()) / max(1, len(made))
-            exact = step == int(step)  # equal parts: one escape a character
-            for i in range(len(made)):
-                a = m.start() + int(i * step)
-                spans.append(self.original(a, a + int(step)) if exact else (whole_a, whole_b))
+            step, rest = divmod(m.end() - m.start(), max(1, len(made)))
+            for i in range(len(made)):  # equal parts: one escape a character
+                a = m.start() + i * step
+                own = (whole_a, whole_b) if rest else self.original(a, a + step)
+                starts.append(own[0])
+                ends.append(own[1])
             text.append(made)
             at = m.end()
-        text.append(self.text[at:end])
-        spans += [self.original(i, i + 1) for i in range(at, end)]
-        return _Layer("".join(text), spans, f"{self.path}/{name}".strip("/"))
+        as_is(at, end)
+        return _Layer("".join(text), [starts, ends], path)
 
     def children(self):
         for start, end in self.lines_with(_PERCENT, "%"):
@@ -264,9 +395,9 @@ class _Layer:
                     yield self.rewritten(start, end, _ESCAPE, _escape, "unicode")
                 break
         if "%" in self.text:
-            yield from self.unpacked(_PERCENT_PACKED, _percent_bytes, "url")
+            yield from self.unpacked(_PERCENT_PACKED, _PERCENT_RUN, _percent_bytes, "url")
         if "\\" in self.text:
-            yield from self.unpacked(_ESCAPE_PACKED, _escape_bytes, "unicode")
+            yield from self.unpacked(_ESCAPE_PACKED, _ESCAPE_RUN, _escape_bytes, "unicode")
         for start, end in self.lines_with(_NULS, "\x00"):
             yield self.rewritten(start, end, _NULS, lambda run: "", "nul")
         for m in _BASE64.finditer(self.text):
@@ -285,70 +416,94 @@ class _Layer:
             if not clear.issuperset(group):
                 made, whole = self.opened(group)
                 clear.update(group if whole else ())
-                yield made
+                yield from made
         for a, b in lines:
             if (a, b) in clear:
                 continue
             made, whole = self.opened([(a, b)])
-            yield made
+            yield from made
             if whole:
                 continue
             run = self.text[a:b].rstrip("=")
             places = {(a + at, b) for at in _starts(run)}
             places |= {(a + m.start(), a + m.end()) for part in _PARTS for m in part.finditer(run)} - {(a, a + len(run))}
             for place in sorted(places):
-                yield self.opened([place])[0]
+                yield from self.opened([place])[0]
 
-    def opened(self, pieces: list[tuple[int, int]]) -> tuple[_Layer, bool]:
-        """The layer of a base64 run that lies in ``pieces``, and whether it is text or packed data as a whole. A
+    def windows(self, stream, where: tuple[int, int], path: str):
+        """Layers of the windows of a stream."""
+        for window in stream.windows():
+            yield _Layer(_decoded(window)[0], where, path)
+
+    def opened(self, pieces: list[tuple[int, int]]):
+        """Layers of a base64 run that lies in ``pieces``, and whether it is text or packed data as a whole. A
         character of packed data has all pieces for its range, another one those that it lies in."""
         data = _unbase64("".join(self.text[a:b] for a, b in pieces))
-        whole, name = self.original(pieces[0][0], pieces[-1][1]), "base64"
-        # compressed data may be wrapped several times
-        while (inner := _inflated(data)) is not None:
-            data, name = inner[0], name + "/compressed"
+        whole, path = self.original(pieces[0][0], pieces[-1][1]), f"{self.path}/base64".strip("/")
+        if (found := _content(data)) is not None:
+            return self.windows(found[0], whole, path + "/compressed" * found[1]), True
         text, code = _decoded(data)
-        clear = name != "base64" or _clear(text, code)
-        spans = [whole] * len(text)
-        if len(pieces) > 1 and name == "base64":
+        spans = whole
+        if len(pieces) > 1:
             own = [self.original(a, b) for a, b in pieces]
-            starts = list(accumulate((b - a for a, b in pieces[:-1]), initial=0))
-            at = 0
-            for i, c in enumerate(text):
+            begins = list(accumulate((b - a for a, b in pieces[:-1]), initial=0))
+            at, spans = 0, [array("q"), array("q")]
+            for c in text:
                 first, at = at, at + _width(c, code)
-                j, k = bisect_right(starts, first * 4 // 3) - 1, bisect_right(starts, (at * 8 - 1) // 6) - 1
-                spans[i] = own[j] if j == k else (min(x for x, _ in own[j : k + 1]), max(y for _, y in own[j : k + 1]))
-        return _Layer(text, spans, f"{self.path}/{name}".strip("/")), clear
-
-    def unpacked(self, pattern, read, name: str):
-        """Layers of packed data that is written in escapes."""
-        at = 0
-        while (m := pattern.search(self.text, at)) is not None:
-            data, places = read(m[0])
-            at = m.start() + 1
-            if (inner := _inflated(data)) is None or not inner[0]:
+                j, k = bisect_right(begins, first * 4 // 3) - 1, bisect_right(begins, (at * 8 - 1) // 6) - 1
+                spans[0].append(min(x for x, _ in own[j : k + 1]))
+                spans[1].append(max(y for _, y in own[j : k + 1]))
+        return iter([_Layer(text, spans, path)]), _clear(text, code)
+
+    def unpacked(self, heads, run, read, name: str):
+        """Layers of packed data that is written in escapes. A head's run is decoded in pieces that grow, as long
+        as they inflate without an error, so a false head costs a few characters."""
+        at, false = 0, set()
+        while (m := heads.search(self.text, at)) is not None:
+            at, end, size = m.start() + 1, None, PROBE
+            if self.text[m.start() : m.start() + size] in false:
+                continue
+            while True:
+                piece = self.text[m.start() : m.start() + size]
+                here = run.match(piece).end()
+                whole = here < len(piece) or m.start() + size >= len(self.text)
+                if not whole:  # without what may be half an escape
+                    cut = max(piece.rfind("\\", here - 6), piece.rfind("%", here - 3))
+                    here = cut if cut > 0 else here
+                data, places = read(piece[:here])
+                if whole:
+                    end = m.start() + here
+                    break
+                if not _plausible(data):
+                    if size == PROBE and len(false) < 4096:
+                        false.add(piece)
+                    break
+                size *= 8
+            if end is None or not _plausible(data) or (found := _content(data)) is None:
                 continue
-            at = m.end() if inner[1] == len(data) else m.start() + places[inner[1]]
-            where, path = self.original(m.start(), at), f"{self.path}/{name}/compressed".strip("/")
-            while (more := _inflated(inner[0])) is not None:
-                inner, path = more, path + "/compressed"
-            text = _decoded(inner[0])[0]
-            yield _Layer(text, [where] * len(text), path)
+            used = _length(data)
+            at = end if used >= len(data) else m.start() + places[used]
+            where, path = self.original(m.start(), at), f"{self.path}/{name}".strip("/") + "/compressed" * found[1]
+            yield from self.windows(found[0], where, path)
 
 
 def find_secrets(text: str | None) -> list[tuple[str, int, int, str]]:
     """All (kind, start, end, path) of a text and the layers under it, by start, kind and end."""
     found: dict[tuple[str, int, int], str] = {}
-    seen, work = set(), [_Layer(text or "", None, "")]
+    # a layer is opened when its turn comes, so that only those on the way down are held
+    seen, work = set(), [iter([_Layer(text or "", None, "")])]
     while work:
-        layer = work.pop(0)
-        key = (layer.text, layer.spans[0] if layer.spans else None)
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        key = layer.key()
         if key in seen:
             continue
         seen.add(key)
         for kind, start, end in scan(layer.text):
             found.setdefault((kind, *layer.original(start, end)), layer.path)
-        work += layer.children()
+        work.append(layer.children())
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(((*k, p) for k, p in found.items()), key=lambda s: (s[1], order[s[0]], s[2]))
 

@@ -1,7 +1,11 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
+import subprocess
+import sys
+import time
 import urllib.parse
 import zlib
 
@@ -130,3 +134,49 @@ def test_packed_data_in_escapes():
             urllib.parse.quote(data, safe=""), repr(data)[2:-1],
         ):
             assert ("assign", 5, 5 + len(run)) in [s[:3] for s in find_secrets(f"see '{run}' end")], (pack, run)
+
+
+def _timed(text):
+    began = time.time()
+    found = find_secrets(text)
+    return time.time() - began, found
+
+
+def test_runs_full_of_false_heads_take_linear_time():
+    rng = random.Random(4)
+    noise = base64.b64encode(rng.randbytes(600_000)).decode()
+    wrapped = "\n".join(noise[i : i + 76] for i in range(0, len(noise), 76))
+    for text in ("100% \\ " + "x^2+" * 250_000, "%78%01" * 160_000, "\\x78\\x01" * 120_000, wrapped, "%20" + noise, "a %41 " * 150_000):
+        took, found = _timed(text)
+        assert took < 40 and found == [], (text[:20], took)
+    # what is hidden among false heads is found
+    packed = "".join(f"%{b:02X}" for b in zlib.compress(b"the password=abcdefgh123 ok"))
+    assert [s[:3] for s in find_secrets("%" + "x^2+" * 500 + packed)] == [("assign", 2001, 2001 + len(packed))]
+
+
+def test_all_members_of_any_size_are_read():
+    big, secret = b"some words " * 3_000_000, b" password=abcdefgh123 "
+    for members in ((b"first", secret), (big + secret,), (big, secret + big), (secret, b"", b"")):
+        run = base64.b64encode(b"".join(map(gzip.compress, members))).decode()
+        assert find_secrets(run) == [("assign", 0, len(run), "base64/compressed")]
+    run = base64.b64encode(zstandard.compress(big + secret) + zstandard.compress(b"end")).decode()
+    assert find_secrets(run) == [("assign", 0, len(run), "base64/compressed")]
+    inner = zlib.compress(gzip.compress(zstandard.compress(b"x" * 20_000_000 + secret)))
+    run = base64.b64encode(inner).decode()
+    assert find_secrets(run) == [("assign", 0, len(run), "base64/compressed/compressed/compressed")]
+
+
+def test_bombs_take_bounded_memory():
+    """200 MB behind 200 KB: measured in a process of its own."""
+    code = (
+        "import base64, gzip, resource, sys; from tabula.llm.secret_scan import find_secrets\n"
+        "run = base64.b64encode(gzip.compress(b'%41%42 ' * 30_000_000 + b' password=abcdefgh1')).decode()\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "import threading\n"
+        "found = find_secrets(run)\n"
+        "print(found == [('assign', 0, len(run), 'base64/compressed')], len(run))\n"
+    )
+    limit = "import resource; resource.setrlimit(resource.RLIMIT_AS, (1 << 30, 1 << 30))\n"
+    code = code.replace("before = ", "import gc; gc.collect(); " + limit.replace("\n", "; ") + "before = ")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=280, check=False)
+    assert out.stdout.startswith("True"), out.stderr[-500:]
