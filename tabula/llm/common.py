@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,7 +16,21 @@ BROADCAST_BYTES = 64 << 20
 SLICE_ROWS = 256
 
 
+#: Bytes of one Arrow batch between Spark and its Python workers.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on the bytes of an Arrow batch to ``BATCH_BYTES``. The default of 64 MB is held
+    several times over by every running task, on either side, and texts fill it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(name, "-1b"))
+    if now is None or not 0 < int(now[1]) <= BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
