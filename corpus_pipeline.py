@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.llm import byte_bpe, decontaminate, near_dedup, quality_cotrain, secret_scan
-from tabula.llm.common import read, without, workspace
+from tabula.llm.common import bounded_batches, read, without, workspace
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
+    bounded_batches(spark)
     return without(docs, near_dedup.copies(docs), {"doc_id": F.col("doc_id").cast("long"), "text_md5": F.md5("text")})
 
 
@@ -37,12 +38,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark and the length counted anew."""
+    bounded_batches(spark)
     clean = secret_scan.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its token ids, their number, and whether decoding them gives the text back."""
+    bounded_batches(spark)
     ids = byte_bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"))
     back = byte_bpe.decode_ids(ids)
     whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
