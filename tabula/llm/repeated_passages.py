@@ -108,8 +108,9 @@ def grams_of(hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np
 def _documents(table: pa.Table) -> Iterator[tuple[int, list[bytes]]]:
     """(id, words) of a block's documents, one at a time."""
     for batch in table.select(["id", "text"]).to_batches():
-        for doc_id, text in zip(batch.column("id"), batch.column("text"), strict=True):
-            yield doc_id.as_py(), text.as_py().split()
+        for part in slices(batch):
+            for doc_id, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                yield doc_id, text.split()
 
 
 def _fingerprints(window: int, gram: int):
@@ -251,7 +252,7 @@ class Passages:
     def mark(self, automaton, doc_id: int, own: list[int], gone: np.ndarray) -> None:
         """Set ``gone`` at the words that a passage of a smaller id covers by a whole window."""
         codes, found = self.codes, {}
-        for end, where in automaton.iter("".join([codes[n] for n in own])):
+        for end, where in automaton.iter("".join(map(codes.__getitem__, own))):
             last = end // self.digits
             for k, at in where:
                 if self.owner[k] < doc_id:
@@ -306,13 +307,15 @@ def _stream(window: int, gram: int, phrases: int):
     def run(table: pa.Table, sent: pa.Table) -> pa.Table:
         passages = Passages(zip(sent.column("lo").to_pylist(), sent.column("passage").to_pylist(), strict=True), window, gram, phrases)
         gone: dict[int, np.ndarray] = {}
-        for automaton in passages.automata():
+        rows, last = [], max(0, len(passages.shards) - 1)
+        for turn, automaton in enumerate(passages.automata() if passages.shards else [None]):
             for n, (doc_id, words) in enumerate(_documents(table)):
-                if len(words) >= window:
-                    if n not in gone:
-                        gone[n] = np.zeros(len(words), bool)
-                    passages.mark(automaton, doc_id, passages.numbered(words), gone[n])
-        return pa.table(_columns([_result(d, w, gone.get(n)) for n, (d, w) in enumerate(_documents(table))]), schema=_SCHEMA)
+                if automaton is not None and len(words) >= window:
+                    marks = gone.setdefault(n, np.zeros(len(words), bool))
+                    passages.mark(automaton, doc_id, passages.numbered(words), marks)
+                if turn == last:
+                    rows.append(_result(doc_id, words, gone.pop(n, None)))
+        return pa.table(_columns(rows), schema=_SCHEMA)
 
     return run
 
