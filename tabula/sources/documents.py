@@ -81,3 +81,34 @@ def explode_inputs(docs: DataFrame) -> DataFrame:
     rows = docs.select("run_id", F.explode("dataset_inputs").alias("i"))
     tags = F.map_from_entries(F.coalesce("i.tags", F.array().cast("array<struct<key:string,value:string>>")))
     return rows.select("run_id", "i.dataset.*", tags.alias("tags"))
+
+
+def document_shape(df: DataFrame, col: str, depth: int = 3) -> DataFrame:
+    """(path, kind, n): what JSON documents in a text column of unknown shape hold, down to ``depth`` names. Text that
+    is no JSON is counted with path and kind ``invalid``; null texts are left out.
+
+    Documents are parsed once, as variants; a level of names is exploded at a time, with the counts of each
+    task combined before they are shuffled, so a document's size and not the number of shapes is what a task holds.
+    """
+    text = F.col(f"`{col}`").cast("string")
+    parsed = df.where(text.isNotNull()).select(F.try_parse_json(text).alias("v"))
+    kind = lambda v: F.regexp_replace(F.schema_of_variant(v), r"[<(].*", "")
+    level = parsed.select(
+        F.when(F.col("v").isNull(), F.lit("invalid")).otherwise(F.lit("$")).alias("path"), "v",
+        F.when(F.col("v").isNull(), F.lit("invalid")).otherwise(kind(F.col("v"))).alias("kind"),
+    )
+    found = level.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n"))
+    for _ in range(depth):
+        inner = level.where("kind = 'OBJECT'").select("path", "v").lateralJoin(
+            df.sparkSession.tvf.variant_explode(F.col("v").outer()).select(F.col("key").alias("_key"), F.col("value").alias("_value"))
+        )
+        level = inner.select(F.concat("path", F.lit("."), "_key").alias("path"), F.col("_value").alias("v"), kind(F.col("_value")).alias("kind"))
+        found = found.unionByName(level.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n")))
+    return found
+
+
+def document_values(df: DataFrame, col: str, paths: dict[str, tuple[str, str]], keep: list[str]) -> DataFrame:
+    """``keep`` plus one column per entry of ``paths`` (name -> (path, type)) taken out of JSON documents; a path that
+    a document lacks, a value of another type and text that is no JSON give null."""
+    parsed = df.select(*keep, F.try_parse_json(F.col(f"`{col}`").cast("string")).alias("_document"))
+    return parsed.select(*keep, *[F.try_variant_get("_document", path, kind).alias(name) for name, (path, kind) in paths.items()])

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tabula import sources
 from tabula.operators import tables
 from tabula.sources import read_csv_inferred, read_csv_text, read_run_documents, row_range
 
@@ -123,3 +124,25 @@ def test_run_document_inputs(spark, tmp_dir):
     assert docs.first().run_uuid == "u"
     r = explode_inputs(docs).first()
     assert (r.run_id, r.digest, r.source, r.tags) == ("r", "d1", "cat.sch.t", {"context": "training"})
+
+
+def test_csv_rejects_hold_every_line_that_does_not_fit(spark, tmp_dir):
+    for name, lines in (("a.csv", ["id,name", "1,x", "2", "3,y,z", '4,"q,""r"""', "", "5,NA"]), ("b.csv", ["id,name", "6,w", "7"])):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    good, rejects = sources.read_csv_checked(spark, tmp_dir, ["name", "id"])
+    assert sorted((r["id"], r["name"]) for r in good.where("name is not null").collect()) == [("1", "x"), ("4", 'q,"r"'), ("6", "w")]
+    assert [r.id for r in good.where("name is null").collect()] == ["5"]
+    assert sorted((r.file[-5:], r.row) for r in rejects.collect()) == [("a.csv", "2"), ("a.csv", "3,y,z"), ("b.csv", "7")]
+    with pytest.raises(ValueError):
+        sources.read_csv_checked(spark, tmp_dir, ["nowhere"])
+
+
+def test_document_shape_and_values(spark):
+    rows = [(1, '{"a": {"b": 1}, "c": "x"}'), (2, '{"a": 5}'), (3, "{"), (4, None), (5, "[1]"), (6, '{"a": {"b": {"c": {"d": 1}}}}')]
+    df = spark.createDataFrame(rows, "id long, doc string")
+    got = {(r.path, r.kind): r.n for r in sources.document_shape(df, "doc", depth=3).groupBy("path", "kind").sum("n").toDF("path", "kind", "n").collect()}
+    assert got[("$", "OBJECT")] == 3 and got[("invalid", "invalid")] == 1 and got[("$", "ARRAY")] == 1
+    assert got[("$.a", "OBJECT")] == 2 and got[("$.a", "BIGINT")] == 1 and got[("$.a.b.c", "OBJECT")] == 1 and ("$.a.b.c.d", "BIGINT") not in got
+    values = {r.id: (r.b, r.c) for r in sources.document_values(df, "doc", {"b": ("$.a.b", "bigint"), "c": ("$.c", "string")}, ["id"]).collect()}
+    assert values == {1: (1, "x"), 2: (None, None), 3: (None, None), 4: (None, None), 5: (None, None), 6: (None, None)}
