@@ -24,8 +24,8 @@ def bounded_batches(spark: SparkSession) -> None:
     """Lower the session's limit on the bytes of an Arrow batch to ``BATCH_BYTES``. The default of 64 MB is held
     several times over by every running task, on either side, and texts fill it."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
-    if now is None or int(now[1]) > BATCH_BYTES:
+    now = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(name).lower())
+    if now is None or int(now[1]) << 10 * " kmgt".index(now[2] or " ") > BATCH_BYTES:
         spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
