@@ -19,8 +19,10 @@ Repeated ids are separate documents. An empty table gives no shard.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,26 +51,30 @@ SHARD_SCHEMA = (
 
 
 def _byte_level() -> dict[int, str]:
-    """The byte-level pre-tokenizer's text for every character below U+0250: printable bytes stand
+    """The byte-level pre-tokenizer's text for the lower case of every letter in ``_LETTERS``: printable bytes stand
     for themselves, the others for characters from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = [b for b in range(256) if b not in set(plain)]
     of = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(other)}}
-    return {c: "".join(of[b] for b in chr(c).encode()) for c in range(_LATIN)}
+    return {ord(c): "".join(of[b] for b in c.lower().encode()) for c in _LETTERS}
 
 
-_LATIN = 0x250
-#: The one letter below U+0250 whose lower case ends in a mark, which a full stop would join.
-_DOTTED = "\u0130"
+#: Letters below U+0250 whose lower case is one letter below it as well.
+_LETTERS = "".join(
+    c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha() and c.lower() < "\u0250"
+)
+#: A word of such letters, and what ends it: ASCII marks but the apostrophe, which begins contractions.
+_SIMPLE = re.compile(rf"([{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
 
 
 class WordEncoder:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     The vocabulary's normalizer and pre-tokenizer never join characters across a space, a
-    tab or a line break, so a text's ids are those of its words in turn. A full stop or comma
-    after a letter is a pre-token of its own. A word of letters below U+0250 is one pre-token,
-    which the normalizer only lower-cases, so it goes to the model directly.
+    tab or a line break, so a text's ids are those of its words in turn. The vocabulary's special tokens
+    hold no space either, so a word with one is split there by the library, as in a whole text. Letters and
+    a run of marks behind them are a pre-token each. A word of letters below U+0250 is only lower-cased by the
+    normalizer, so it goes to the model directly.
 
     Words are remembered in two generations of ``MEMORY`` words: when the young one is full it
     becomes the old one, and what is met again moves to the young one.
@@ -81,42 +87,46 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.width = width
         self.packed = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.bytes_of = _byte_level()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.mark = {c: self._pack(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
+        self.marks: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
         return b"".join([self.packed[i] for i in ids])
 
-    def _learn(self, words: list[str]) -> None:
-        young, old, marks, packed = self.young, self.old, self.mark, self.packed
-        tokenize, table, rest, ended = self.tokenizer.model.tokenize, self.bytes_of, [], []
-        for word in words:
-            core, last = word, word[-1:]
-            if last in marks and len(word) > 1 and word[-2] < "\u0250" and word[-2].isalpha() and word[-2] != _DOTTED:
-                core = word[:-1]
-                ended.append((word, core, last))
-            if core in young:
-                continue
-            if core in old:
-                young[core] = old[core]
+    def _learn(self, words: set[str]) -> None:
+        young, old, marks, table = self.young, self.old, self.marks, self.bytes_of
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        rest, ended, cores = [], [], set()
+        for word in words.difference(plain):
+            found = _SIMPLE.fullmatch(word)
+            if found is None:
+                rest.append(word)
                 continue
-            low = core.lower()
-            if low.isalpha() and max(low) < "\u0250" and max(core) < "\u0250":
-                text = low if low.isascii() else low.translate(table)
-                young[core] = b"".join([packed[t.id] for t in tokenize(text)])
-            else:
-                rest.append(core)
-        rest = list(set(rest))
+            core, end = found.groups()
+            cores.add(core)
+            if end:
+                ended.append((word, core, end))
+        # no set operations with the views of the memories: these walk all that is remembered
+        young.update([(c, old[c]) for c in cores if c in old and c not in young])
+        cores = [c for c in cores if c not in young]
+        texts = [c.lower() if c.isascii() else c.translate(table) for c in cores]
+        made = list(map(self.tokenizer.model.tokenize, chain(map(str.lower, plain), texts)))
+        flat = np.array([t.id for tokens in made for t in tokens], f"<u{self.width}").tobytes()
+        ends = [self.width * n for n in accumulate(map(len, made), initial=0)]
+        young.update(zip(chain(plain, cores), [flat[a:b] for a, b in zip(ends, ends[1:])]))
         for start in range(0, len(rest), 8192):
             some = rest[start : start + 8192]
             made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             young.update((w, self._pack(e.ids)) for w, e in zip(some, made))
-        for word, core, last in ended:
-            young[word] = young[core] + marks[last]
+        if len(marks) > MEMORY:
+            marks.clear()
+        for end in {e for *_, e in ended if e not in marks}:
+            marks[end] = self._pack(self.tokenizer.encode(end, add_special_tokens=False).ids)
+        young.update([(word, young[core] + marks[end]) for word, core, end in ended])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The serialized ids of each text."""
@@ -127,9 +137,9 @@ class WordEncoder:
         made = [list(map(young.get, words)) for words in split]
         open_ = [i for i, parts in enumerate(made) if None in parts]
         fresh = {w for i in open_ for w, part in zip(split[i], made[i]) if part is None}
-        met = fresh.intersection(old)
-        young.update((w, old[w]) for w in met)
-        self._learn(list(fresh - met))
+        met = {w for w in fresh if w in old}
+        young.update([(w, old[w]) for w in met])
+        self._learn(fresh - met)
         for i in open_:
             made[i] = map(young.__getitem__, split[i])
         return [b"".join(parts) for parts in made]

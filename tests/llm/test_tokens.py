@@ -81,7 +81,6 @@ def test_token_histogram_awkward_rows(spark):
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(token_shards.VOCABULARY)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -91,6 +90,8 @@ def test_word_encoder_equals_the_library(library):
     texts += ["x" + chr(c) + ". " + chr(c) + "́, " + chr(c) for c in [*range(0, 0xD800, 5), *range(0xE000, 0x11000, 5)]]
     texts += [f"x{chr(c)} {chr(c)} {chr(c)}. y{chr(c)}{chr(d)}z," for c in range(0x21, 0x260) for d in (c, 0x131, 0xDF)]
     texts += ["<|endoftext|> it's, don't. A.B., end.", None, ""]
+    texts += [f"hello{a}<|endoftext|>{b}world <|startoftext|>. <|ENDOFTEXT|> <|endoftext" for a in ("", " ", ".") for b in ("", " ", ",")]
+    texts += ["ab" * 500_000 + ". and " + "7é" * 1000]  # a word of a megabyte
     own = token_shards.WordEncoder(token_shards.VOCABULARY, 2)
     own.encode(texts[::7])
     own.old, own.young = own.young, {}  # as after a change of generations
