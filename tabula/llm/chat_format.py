@@ -5,12 +5,12 @@ the assistant's, every other speaker is a user under their own name, and system
 system turns. The mask marks what the assistant says (its text and end mark), as ranges of
 the rendered text.
 
-A conversation is rendered in blocks of ``BLOCK_TURNS`` consecutive turn numbers, so one of
-any length is spread over tasks; the blocks of one perspective, joined in order, are the
-whole rendering, and ``block_start`` is where a block begins in it. Text that looks like a
-mark is broken by a blank. A null speaker is ``unknown``, a null text empty, a null turn
-comes first, in a block of its own. Equal turns are ordered by speaker and text, repeated
-rows are repeated. A conversation without participants gives no rows. A null conversation
+The rows of a conversation are numbered by (turn, speaker, text), null turns first, and rendered
+in blocks of ``BLOCK_TURNS`` consecutive ones. The numbering spreads a large conversation over
+tasks, so one of any length is in many blocks, whatever its turns are called; the blocks of one
+perspective, joined in order, are the whole rendering, and ``block_start`` is where a block begins
+in it. Text that looks like a mark is broken by a blank. A null speaker is ``unknown``, a null text
+empty; repeated rows are repeated. A conversation without participants gives no rows. A null conversation
 id is an id like any other.
 """
 
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabula.operators.sequence import sequence_within
+
 BLOCK_TURNS = 256
 SYSTEM = "system"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -35,13 +37,15 @@ def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", spe
     turns = df.select(
         F.col(f"`{conv_col}`").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("turn"), name.alias("speaker"),
         _plain(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("said"),
-    ).withColumn("block", F.floor(F.col("turn") / F.lit(block_turns)).cast("long"))
+    )
+    turns = sequence_within(turns, ["conv_id"], ["turn", "speaker", "said"], out="place")
+    turns = turns.withColumn("block", F.floor((F.col("place") - 1) / F.lit(block_turns)).cast("long"))
     # two aggregates of the same turns: who speaks (small, combined map-side) and the turns of a block
     people = turns.where(F.col("speaker") != SYSTEM).groupBy("conv_id").agg(
         F.sort_array(F.collect_set("speaker")).alias("people")
     )
     blocks = turns.groupBy("conv_id", "block").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "speaker", "said"))).alias("turns")
+        F.sort_array(F.collect_list(F.struct("place", "turn", "speaker", "said"))).alias("turns")
     )
     b, p = blocks.alias("b"), people.alias("p")
     rows = b.join(p, F.col("b.conv_id").eqNullSafe(F.col("p.conv_id"))).select(
@@ -67,7 +71,7 @@ def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", spe
         F.array_join(F.transform("parts", lambda x: x["all"]), "").alias("rendered"), mask.alias("mask"),
     )
     # a row per block: the turns of one conversation divided by the block's length
-    before = Window.partitionBy("conv_id", "perspective").orderBy(F.col("block").asc_nulls_first()).rowsBetween(
+    before = Window.partitionBy("conv_id", "perspective").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     start = F.coalesce(F.sum(F.length("rendered")).over(before), F.lit(0)).cast("long")

@@ -168,9 +168,9 @@ FROM documents d JOIN roots ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d
 """
 
 OP10_SQL = f"""
-WITH turns AS (SELECT conv_id, turn, floor(turn / {float(chat_format.BLOCK_TURNS)})::BIGINT block,
-    regexp_replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '[\\r\\n]+', ' ', 'g') speaker,
+WITH said AS (SELECT conv_id, turn, regexp_replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '[\\r\\n]+', ' ', 'g') speaker,
     replace(coalesce(text, ''), '<|', '< |') said FROM conversations),
+turns AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, said) - 1) // {chat_format.BLOCK_TURNS} block FROM said),
 people AS (SELECT DISTINCT conv_id, speaker perspective FROM turns WHERE speaker <> 'system'),
 parts AS (SELECT t.conv_id, perspective, block, turn, speaker, said, speaker = perspective own,
     '{chat_format.OPEN}' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user name=' || speaker END || chr(10) head

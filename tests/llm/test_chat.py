@@ -11,8 +11,8 @@ def brute(turns, block):
         own.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
         for who in {t[1] for t in own} - {"system"}:
             start, blocks = 0, {}
-            for turn, role, text in own:
-                blocks.setdefault(None if turn is None else turn // block, []).append((role, text))
+            for place, (_, role, text) in enumerate(own):
+                blocks.setdefault(place // block, []).append((role, text))
             for b, parts in blocks.items():
                 s, mask = "", []
                 for role, text in parts:
@@ -52,3 +52,12 @@ def test_mask_covers_what_the_assistant_says(spark):
     assert chat_format.rotate(df.where("false")).count() == 0
     plan = chat_format.report(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_conversation_of_null_turns_is_in_many_blocks(spark):
+    df = spark.range(20_000).selectExpr("1L as conv_id", "cast(null as long) as turn", "if(id % 3 = 0, 'ann', 'bob') as role", "cast(id as string) as text")
+    got = chat_format.rotate(df, block_turns=100).where("perspective = 'ann'").collect()
+    assert len(got) == 200 and {r.n_turns for r in got} == {100}
+    whole = "".join(r.rendered for r in sorted(got, key=lambda r: r.block))
+    own = sorted(("ann" if i % 3 == 0 else "bob", str(i)) for i in range(20_000))
+    assert whole == "".join(f"<|im_start|>{'assistant' if n == 'ann' else 'user name=bob'}\n{t}<|im_end|>\n" for n, t in own)
