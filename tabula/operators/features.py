@@ -72,16 +72,27 @@ class Dictionary:
         return replace_columns(joined, {out: F.coalesce(F.col("_dict_code"), F.lit(-1))}).drop("_dict_value", "_dict_code")
 
 
+#: Values up to which a dictionary is numbered on the driver.
+SMALL_DICTIONARY = 10_000
+
+
 def fit_dictionary(df: DataFrame, col: str | Column, name: str | None = None) -> Dictionary:
-    """Category dictionary of a column, or of an expression over ``df`` that stands for the
-    column ``name``: its distinct values, numbered in sorted order by the sequence operator.
-    Nothing but a count reaches the driver, at any size."""
+    """Category dictionary of a column, or of an expression over ``df`` that stands for the column
+    ``name``: its distinct values, numbered in sorted order. Up to ``SMALL_DICTIONARY`` values are
+    numbered on the driver, in one job; more by the sequence operator, and none of them reach the driver."""
     value = F.col(col) if isinstance(col, str) else col
     values = df.select(value.alias("value")).where(F.col("value").isNotNull())
     if isinstance(values.schema["value"].dataType, (T.DoubleType, T.FloatType)):
         values = values.where(~F.isnan("value"))
-    table = sequence_within(values.distinct(), [], ["value"], out="code")
-    return Dictionary(name or str(col), table.select("value", (F.col("code") - 1).cast("int").alias("code")))
+    values = values.distinct()
+    some = [r[0] for r in values.limit(SMALL_DICTIONARY + 1).collect()]
+    if len(some) <= SMALL_DICTIONARY:
+        schema = T.StructType([values.schema["value"], T.StructField("code", T.IntegerType())])
+        table = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(sorted(some))], schema)
+    else:
+        numbered = sequence_within(values, [], ["value"], out="code")
+        table = numbered.select("value", (F.col("code") - 1).cast("int").alias("code"))
+    return Dictionary(name or str(col), table)
 
 
 def category_codes(df: DataFrame, cols) -> DataFrame:
@@ -132,15 +143,22 @@ class OneHot:
         return out if keep_source else out.drop(*self.categories)
 
 
+#: Categories of all columns together that a wide one-hot table may have.
+WIDE_CATEGORIES = 10_000
+
+
 def fit_one_hot(df: DataFrame, cols) -> OneHot:
     """The category set of every column, in one job (columns stacked as (column, value) rows
-    inside each task). Each category becomes a column, so all of them come to the driver; a
-    column with more than a table can have columns is for ``fit_one_hot_slots``."""
+    inside each task). Each category becomes a column, so all of them come to the driver; more than
+    ``WIDE_CATEGORIES`` are an error, and a column with so many is for ``fit_one_hot_slots``."""
     cols = list(cols)
     require_columns(df, cols)
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), _category(c).alias("v")) for c in cols])).alias("_p")
     cats: dict = {c: [] for c in cols}
-    for r in df.select(pairs).select("_p.c", "_p.v").distinct().collect():
+    found = df.select(pairs).select("_p.c", "_p.v").distinct().limit(WIDE_CATEGORIES + 1).collect()
+    if len(found) > WIDE_CATEGORIES:
+        raise ValueError(f"{cols} have more than {WIDE_CATEGORIES} categories")
+    for r in found:
         cats[r["c"]].append(r["v"])
     return OneHot({c: sorted(vals) for c, vals in cats.items()})
 

@@ -221,7 +221,8 @@ def merge_params(existing: DataFrame, new: DataFrame) -> DataFrame:
     with that value, dropped) or ``conflict`` (logged, or given in the same batch, with another
     value, rejected). Equal rows of the batch are one."""
     old = existing.select("run_id", "key", F.col("value").alias("_old"), F.lit(True).alias("_seen"))
-    rows = new.select("run_id", "key", "value").distinct()
+    # dealt by run and key once: the steps that follow, and the join, need no other shuffle of it
+    rows = new.select("run_id", "key", "value").repartition("run_id", "key").distinct()
     given = rows.groupBy("run_id", "key").agg(F.count(F.lit(1)).alias("_given"))
     j = rows.join(given, ["run_id", "key"]).join(old, ["run_id", "key"], "left")
     outcome = (

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.operators.sequence import sequence_within
+from tabula.session import ensure_checkpoint_dir
 
 INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_postimage"
 
@@ -32,7 +33,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], change_col: s
     both = old.select(*keys, row.alias("_row"), F.lit(-1).alias("_n")).unionByName(
         new.select(*keys, row.alias("_row"), F.lit(1).alias("_n"))
     )
-    surplus = both.groupBy(*keys, "_row").agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    # the changes alone, written once: all that follows reads them more than once
+    ensure_checkpoint_dir(old.sparkSession)
+    surplus = both.groupBy(*keys, "_row").agg(F.sum("_n").alias("_n")).where("_n <> 0").checkpoint()
     is_new, is_old = F.col("_n") > 0, F.col("_n") < 0
     per_key = surplus.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(is_old, -F.col("_n"))), F.lit(0)).alias("_n_old"),
@@ -53,6 +56,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], change_col: s
     many = per_key.where(~single).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.least("_n_old", "_n_new").alias("_pairs")
     )
+    out = [*keys, *[F.col(f"_row.{c}").alias(c) for c in values], change_col]
+    if many.isEmpty():
+        return rows.select(*out)
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & surplus[k].eqNullSafe(many[f"_k{i}"])
@@ -63,7 +69,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], change_col: s
     update = F.col("_i") <= F.col("_pairs")
     kind = F.when(F.col("_is_new"), F.when(update, POST).otherwise(INSERT)).otherwise(F.when(update, PRE).otherwise(DELETE))
     rows = rows.unionByName(numbered.select(*keys, "_row", kind.alias(change_col)))
-    return rows.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values], change_col)
+    return rows.select(*out)
 
 
 def latest_versions(log: DataFrame, name_col: str = "name", version_col: str = "version") -> DataFrame:

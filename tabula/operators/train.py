@@ -37,6 +37,8 @@ from tabula.spec import FeatureSpec
 
 LABEL, FEATURES, PREDICTION, PREDICTED = "_label", "features", "prediction", "predicted_class"
 VALIDATION = "_validation"
+#: Training rows of a partition, and partitions at least.
+FIT_ROWS, FIT_PARTITIONS = 250_000, 8
 
 
 @dataclass(frozen=True)
@@ -114,14 +116,14 @@ def fit(
     spec: FeatureSpec,
     params: BoostParams = BoostParams(),
     missing_flags: bool = True,
-    partitions: int = 32,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit on the training frame; returns a model whose last stage names the class.
 
     The boosting samples rows by partition and position, so the rows are dealt to
     ``partitions`` partitions by a hash of their content and sorted there: the model depends on
-    the rows and on this setting, not on the layout of the input. It is part of the model's
-    settings and does not follow the data's size; a large table wants more partitions.
+    the rows and on this setting, not on the layout of the input. By default there is one partition
+    for every ``FIT_ROWS`` rows, and ``FIT_PARTITIONS`` at least.
     """
     require_columns(train, [*spec.inputs, spec.target])
     ensure_checkpoint_dir(train.sparkSession)  # the boosting cuts its lineage every ten rounds
@@ -129,6 +131,7 @@ def fit(
     if params.validation_share:
         share = F.pmod(F.xxhash64(F.lit(params.seed), *data.columns), F.lit(10_000)) < int(params.validation_share * 10_000)
         data = data.withColumn(VALIDATION, share)
+    partitions = partitions or max(FIT_PARTITIONS, -(-data.count() // FIT_ROWS))
     content = F.xxhash64(*data.columns)
     # Every stage fit and every boosting round reads the input: keep it (spillable,
     # recomputed from lineage if an executor is lost) instead of re-running upstream.
