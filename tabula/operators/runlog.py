@@ -9,7 +9,9 @@ aggregations (partial aggregation, so a run with huge histories stays cheap).
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -401,7 +403,29 @@ class RunStore:
             self._held.setdefault(name, []).extend(rows)
             return
         frame = self.spark.createDataFrame(rows, _STORE_TABLES[name]).coalesce(1)
-        frame.write.mode("append").format(self.fmt).saveAsTable(self._name(name))
+        if self.fmt != "parquet":
+            frame.write.mode("append").format(self.fmt).saveAsTable(self._name(name))
+            return
+        # two writers cannot append files to one folder at once: each writes a folder of its own, whose files,
+        # named apart by Spark, are then moved to the table
+        staged = f"{self._root()}/_staged/{uuid.uuid4().hex}"
+        frame.write.parquet(staged)
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._name(name)}").where("col_name = 'Location'").first()[1]
+        fs, source = self._path(staged)
+        for status in fs.listStatus(source):
+            if status.getPath().getName().startswith("part-"):
+                if not fs.rename(status.getPath(), self._path(f"{described}/{status.getPath().getName()}")[1]):
+                    raise OSError(f"{status.getPath()} was not moved to {described}")
+        fs.delete(source, True)
+        self.spark.catalog.refreshTable(self._name(name))
+
+    def _root(self) -> str:
+        return self.spark.catalog.getDatabase(self.db).locationUri.rstrip("/")
+
+    def _path(self, path: str):
+        """(file system, path) as Spark's Hadoop settings give it."""
+        made = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return made.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), made
 
     def _pending(self, name: str) -> list[tuple]:
         return (self._held or {}).get(name, [])
@@ -553,13 +577,35 @@ class RunStore:
     def register_model(self, name: str, run_id: str, source: str, tags: dict | None = None,
                        signature: str | None = None, input_example: str | None = None) -> int:
         """Append the next version of ``name`` and return its number. ``signature`` is the model's
-        input contract and ``input_example`` a row that meets it, both as JSON."""
+        input contract and ``input_example`` a row that meets it, both as JSON.
+
+        The number is claimed by a file that only one writer can create, beside the tables, so writers that
+        register at the same time get different numbers; a writer that fails after its claim leaves a gap."""
         top = self.table("model_versions").where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
         version = max([top, *(r[1] for r in self._pending("model_versions") if r[0] == name)]) + 1
+        while not self._claimed(name, version):
+            version += 1
         labels = {k: str(v) for k, v in (tags or {}).items()}
         self._append("model_versions", [(name, version, run_id, source, self._now(), "READY", labels, signature, input_example)])
         return version
 
+    def _claimed(self, name: str, version: int) -> bool:
+        """Create the claim of a version; False if another writer has it."""
+        fs, path = self._path(f"{self._root()}/_claims/{hashlib.sha256(name.encode()).hexdigest()}/{version}")
+        fs.mkdirs(path.getParent())
+        try:
+            if fs.getScheme() == "file":  # Hadoop's local file system checks and creates in two steps
+                os.close(os.open(path.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            else:
+                fs.create(path, False).close()
+        except FileExistsError:
+            return False
+        except Exception:
+            if fs.exists(path):
+                return False
+            raise
+        return True
+
     def set_alias(self, name: str, alias: str, version: int) -> None:
         check_alias(alias)
         self._append("model_aliases", [(name, alias, int(version), self._now(), self._seq())])

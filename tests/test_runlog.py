@@ -186,3 +186,18 @@ def test_store_compaction_keeps_rows(spark):
     assert len(store.table("metrics").inputFiles()) == 1
     store.log_metrics(run, {"m": 9.0}, step=9)  # still appendable
     assert store.run_data(run)["metrics"] == {"m": 9.0}
+
+
+def test_parallel_writers_get_versions_of_their_own(spark):
+    import uuid
+    from concurrent.futures import ThreadPoolExecutor
+
+    db = f"runlog_{uuid.uuid4().hex[:8]}"
+    stores = [runlog.RunStore(spark, db) for _ in range(4)]
+    jobs = [(s, name, i) for i in range(3) for s in stores for name in ("m", "a/b ü")]
+    with ThreadPoolExecutor(8) as pool:
+        given = list(pool.map(lambda j: (j[1], j[0].register_model(j[1], f"run-{j[2]}", "s")), jobs))
+    for name in ("m", "a/b ü"):
+        assert sorted(v for n, v in given if n == name) == list(range(1, 13))
+        kept = stores[0].table("model_versions").where(F.col("name") == name).select("version").collect()
+        assert sorted(r.version for r in kept) == list(range(1, 13))
