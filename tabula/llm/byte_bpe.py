@@ -31,7 +31,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pre-tokens of at most this many bytes share a matrix of trees.
 WIDE = 64
 #: Pre-tokens a task remembers; over it, and when the task ends, the memory is emptied.
-MEMORY = 200_000
+MEMORY = 500_000
 _NONE = np.int64(1) << 40
 
 
