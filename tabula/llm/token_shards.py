@@ -22,7 +22,8 @@ import hashlib
 import re
 import zlib
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate, chain, compress, count, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -135,13 +136,16 @@ class WordEncoder:
         young, old = self.young, self.old
         split = [_spaced(t).split(" ") if t else [] for t in texts]
         made = [list(map(young.get, words)) for words in split]
-        open_ = [i for i, parts in enumerate(made) if None in parts]
-        fresh = {w for i in open_ for w, part in zip(split[i], made[i]) if part is None}
+        # the places of words that are not known yet; only these are looked up again
+        gaps = [(i, list(compress(count(), map(is_, parts, repeat(None))))) for i, parts in enumerate(made) if None in parts]
+        fresh = {split[i][k] for i, places in gaps for k in places}
         met = {w for w in fresh if w in old}
         young.update([(w, old[w]) for w in met])
         self._learn(fresh - met)
-        for i in open_:
-            made[i] = map(young.__getitem__, split[i])
+        for i, places in gaps:
+            words, parts = split[i], made[i]
+            for k in places:
+                parts[k] = young[words[k]]
         return [b"".join(parts) for parts in made]
 
 
