@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.operators.runlog import latest_metrics
+from tabula.session import ensure_checkpoint_dir
 
 KINDS = ("attribute", "metric", "param", "tag")
 _COMPARE = {
@@ -68,6 +69,17 @@ def _holds(c: Column, cond: Condition, numeric: bool) -> Column:
     return ops[cond.op](c, cond.value)
 
 
+def by_run(df: DataFrame) -> DataFrame:
+    """``df`` dealt by run id into as many partitions as the session's shuffles have, which are not merged."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run_id")
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` found once and kept in the shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return by_run(df.checkpoint())
+
+
 def _attribute(runs: DataFrame, kind: str, key: str) -> T.DataType:
     if key not in runs.columns:
         raise SearchError(f"runs have no attribute {key!r}; they have {runs.columns}")
@@ -111,10 +123,15 @@ def search(
     out = runs
     for c in (c for c in conditions if c.kind == "attribute"):
         out = out.where(_holds(F.col(c.key), c, isinstance(_attribute(runs, c.kind, c.key), T.NumericType)))
-    for kind in ("tag", "param", "metric"):
-        own = [c for c in conditions if c.kind == kind]
-        if own:
+    steps = [("order", k) for k in ("metric", "param", "tag") if any(o.kind == k for o in order_by)]
+    steps = [("where", k) for k in ("tag", "param", "metric") if any(c.kind == k for c in conditions)] + steps
+    if steps:
+        out = by_run(out)
+    for i, (step, kind) in enumerate(steps):
+        if step == "where":
+            own = [c for c in conditions if c.kind == kind]
             out = _runs_with(out, tables[kind], own, kind == "metric", kind == "metric")
+            out = _settled(out) if i + 1 < len(steps) else out
     if not order_by and limit is None:
         return out
     columns, orders, names = out.columns, [], {}

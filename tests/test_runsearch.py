@@ -67,3 +67,23 @@ def test_one_semi_join_per_kind(log):
     many = [C("tag", "branch", "!=", f"v{i}") for i in range(20)]
     plan = search(log["runs"], many, tags=log["tags"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftSemi") == 2  # the tags of the runs asked for, and the runs that have them
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_each_kind_starts_from_the_runs_left(log):
+    """Two joins in the last plan, whatever the kinds before, and partitions that are not merged."""
+    tables = {k: log[k] for k in ("metrics", "tags", "params")}
+    asked = [C("tag", "sha", "=", "x"), C("param", "depth", "=", "8"), C("metric", "m", "=", 1.0)]
+    out = search(log["runs"], asked, **tables)
+    assert ids(out) == ["r1"]
+    assert _plan(out).count("LeftSemi") == 2 and _plan(out).count("RepartitionByExpression") >= 1
+    assert "hashpartitioning(run_id" in (text := out._jdf.queryExecution().executedPlan().toString()) and "REPARTITION_BY_NUM" in text
+
+
+def test_an_order_starts_from_the_runs_left(log):
+    out = search(log["runs"], [C("metric", "m", ">", 0)], metrics=log["metrics"], order_by=[Order("metric", "m", False)], limit=2)
+    assert ids(out) == ["r3", "r2"]
+    assert _plan(out).count("LeftSemi") == 1  # the metrics of the runs left, to order by
