@@ -69,7 +69,7 @@ def q_run_search_ordered(spark, sf):
         order_by=[Order("metric", "a_price", False), Order("attribute", "start_time")],
         limit=100,
     )
-    price = runsearch.latest_metrics(metrics.where(F.col("key") == "a_price")).select("run_id", r6("value").alias("price"))
+    price = runsearch.latest_metrics(runsearch.by_run(metrics.where(F.col("key") == "a_price"))).select("run_id", r6("value").alias("price"))
     return found.join(price, "run_id").select("run_id", "start_time", "price")
 
 
