@@ -46,8 +46,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its token ids, their number, and whether decoding them gives the text back."""
     bounded_batches(spark)
-    ids = byte_bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"))
-    back = byte_bpe.decode_ids(ids)
+    back = byte_bpe.round_trip(docs.select("doc_id", "lang", "source", "text"))
     whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
 

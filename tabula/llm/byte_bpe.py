@@ -190,32 +190,39 @@ def merger(path: str, pattern: str) -> Merger:
     return Merger(path, pattern)
 
 
-def _with_column(df: DataFrame, source: str, out: str, kind: DataType, convert, own) -> DataFrame:
-    """``df`` plus column ``out`` = ``convert`` of column ``source``, by Arrow batches; ``own`` gives the merger."""
-    schema = StructType([f for f in df.schema.fields if f.name != out]).add(out, kind)
-    names = [f.name for f in schema.fields[:-1]]
+def _with_columns(df: DataFrame, source: str, kinds: dict[str, DataType], convert, own) -> DataFrame:
+    """``df`` plus the columns ``kinds`` = ``convert`` of column ``source``, by Arrow batches; ``own`` gives the merger."""
+    schema = StructType([f for f in df.schema.fields if f.name not in kinds])
+    names = schema.fieldNames()
+    for name, kind in kinds.items():
+        schema = schema.add(name, kind)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 made = convert(part.column(source))
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [made], names + [out])
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + made, names + list(kinds))
 
     return df.mapInArrow(releasing(run, lambda: own().known.clear()), schema)
 
 
+def _id_array(ids: list[bytes], packed: bool) -> pa.Array:
+    if packed:
+        return pa.array(ids, pa.binary())
+    flat = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]), pa.int32()), flat)
+
+
 def encode_texts(df: DataFrame, text_col: str = "text", out: str = "ids", path: str = VOCABULARY,
                  pattern: str = public_tokenizers.PATTERN, packed: bool = False) -> DataFrame:
     """``df`` plus ``out``: the ids of each text, as an array of ints, or with ``packed`` as
     little-endian unsigned 32-bit integers in a binary. A column of that name is replaced."""
 
     def convert(column):
-        ids = merger(path, pattern).encode(column.to_pylist())
-        if packed:
-            return pa.array(ids, pa.binary())
-        return pa.array([np.frombuffer(x, "<u4").tolist() for x in ids], pa.list_(pa.int32()))
+        return [_id_array(merger(path, pattern).encode(column.to_pylist()), packed)]
 
-    return _with_column(df, text_col, out, BinaryType() if packed else ArrayType(IntegerType()), convert, lambda: merger(path, pattern))
+    kind = BinaryType() if packed else ArrayType(IntegerType())
+    return _with_columns(df, text_col, {out: kind}, convert, lambda: merger(path, pattern))
 
 
 def decode_ids(df: DataFrame, ids_col: str = "ids", out: str = "decoded", path: str = VOCABULARY,
@@ -228,15 +235,28 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", out: str = "decoded", path:
             rows = [x or b"" for x in column.to_pylist()]
         else:
             rows = [np.array(x or [], "<u4").tobytes() for x in column.to_pylist()]
-        return pa.array([own.decode(x) for x in rows], pa.binary())
+        return [pa.array([own.decode(x) for x in rows], pa.binary())]
+
+    return _with_columns(df, ids_col, {out: BinaryType()}, convert, lambda: merger(path, pattern))
+
+
+def round_trip(df: DataFrame, text_col: str = "text", out: str = "ids", back: str = "decoded", path: str = VOCABULARY,
+               pattern: str = public_tokenizers.PATTERN, packed: bool = False) -> DataFrame:
+    """``decode_ids`` of ``encode_texts`` in one pass: a running task has one Python worker with one vocabulary, not two."""
+
+    def convert(column):
+        own = merger(path, pattern)
+        ids = own.encode(column.to_pylist())
+        return [_id_array(ids, packed), pa.array([own.decode(x) for x in ids], pa.binary())]
 
-    return _with_column(df, ids_col, out, BinaryType(), convert, lambda: merger(path, pattern))
+    kind = BinaryType() if packed else ArrayType(IntegerType())
+    return _with_columns(df, text_col, {out: kind, back: BinaryType()}, convert, lambda: merger(path, pattern))
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY) -> DataFrame:
     """Per row: its id, the number of ids, and the SHA-256 of the packed ids and of the decoded bytes."""
     own = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    made = decode_ids(encode_texts(own, path=path, packed=True).drop("text"), path=path)
+    made = round_trip(own, path=path, packed=True)
     return made.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),

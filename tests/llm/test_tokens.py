@@ -130,3 +130,15 @@ def test_shards_awkward_rows(spark, library):
     out = workspace(spark, "test-shards")
     token_shards.write_shards(empty(spark), out)
     assert token_shards.digests(spark, out).count() == 0
+
+
+def test_round_trip_is_encode_and_decode_in_one_pass(spark):
+    texts = ["Hello  wörld\n\n 123", "", None, "你好 \U0001f600", "x" * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for packed in (False, True):
+        made = byte_bpe.round_trip(docs, packed=packed)
+        two = byte_bpe.decode_ids(byte_bpe.encode_texts(docs, packed=packed))
+        assert made.schema == two.schema and sorted(made.collect()) == sorted(two.collect())
+        assert [bytes(r.decoded) for r in made.orderBy("doc_id").collect()] == [(t or "").encode() for t in texts]
+    for df in (byte_bpe.digests(docs), made):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
