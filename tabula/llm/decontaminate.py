@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tabula.llm.common import ascii_lower, id_text, small_table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before lower-casing, for counting them.
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPAN = 10
 K = 4
 BLOCK_WORDS = 96
@@ -119,7 +121,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", item_text: str = "text", span: int = SPAN, k: int = K,
                   stride: int = BLOCK_WORDS) -> DataFrame:
     """Per document id: n_words, n_hit, item_ids (those with leaked windows, as sorted strings), contaminated."""
-    own = id_text(docs, id_col, text_col).select("id", words_of(F.col("text")).alias("words"))
+    texts = id_text(docs, id_col, text_col)
+    own = texts.select("id", words_of(F.col("text")).alias("words"))
     items = id_text(benchmark, item_col, item_text).select(
         F.col("id").cast("string").alias("id"), words_of(F.col("text")).alias("words")
     ).where("id is not null").distinct()
@@ -129,7 +132,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ).first()
     found = [leaks(own, items, span, k, False, stride)] if sizes.long else []
     found += [leaks(own, items, n, min(k, n), True, stride) for n in sizes.short if n > 0]
-    base = own.groupBy("id").agg(F.sum(F.size("words")).alias("n_words"))
+    base = texts.groupBy("id").agg(F.sum(F.coalesce(F.regexp_count("text", F.lit(ANY_WORD)), F.lit(0))).alias("n_words"))
     if not found:
         none = F.array().cast("array<string>")
         return base.select(F.col("id").alias(id_col), "n_words", F.lit(0).cast("long").alias("n_hit"),

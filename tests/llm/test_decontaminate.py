@@ -2,6 +2,7 @@ import random
 import re
 
 from tabula.llm import decontaminate
+from tabula.llm.common import ascii_lower
 from tests.llm.cases import LONG, awkward, empty
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -78,3 +79,21 @@ def test_awkward_rows_and_empty_tables(spark):
     assert rows(decontaminate.decontaminate(empty(spark), items)) == {}
     plan = decontaminate.report(awkward(spark), items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_ascii_lower_is_exact_and_translates_other_texts_only(spark):
+    texts = ["ABC xyz 09", "ÉA", "İZ", "ΣAΣ", "KK", "", None, "a\U0001d400B"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", ascii_lower("text").alias("low"))
+    table = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    assert {r.text: r.low for r in df.collect()} == {t: t and t.translate(table) for t in texts}
+    assert "lower(" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_are_counted_without_being_made(spark):
+    texts = ["One Été TWO,three-4", "  ", None, "İx Y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([("i", "y")], "item_id string, text string")
+    out = decontaminate.decontaminate(docs, bench)
+    assert {r.doc_id: (r.n_words, r.n_hit) for r in out.collect()} == {0: (5, 0), 1: (0, 0), 2: (0, 0), 3: (2, 1)}
+    counted = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "n_words" in x and "sum(" in x]
+    assert counted and "regexp_extract_all(text" in counted[0]
