@@ -33,9 +33,14 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], change_col: s
     both = old.select(*keys, row.alias("_row"), F.lit(-1).alias("_n")).unionByName(
         new.select(*keys, row.alias("_row"), F.lit(1).alias("_n"))
     )
-    # the changes alone, written once: all that follows reads them more than once
-    ensure_checkpoint_dir(old.sparkSession)
-    surplus = both.groupBy(*keys, "_row").agg(F.sum("_n").alias("_n")).where("_n <> 0").checkpoint()
+    surplus = both.groupBy(*keys, "_row").agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    # keys that no snapshot repeats leave nothing to number; reads the keys only
+    repeated = both.groupBy(*keys, "_n").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    unique = repeated.isEmpty()
+    if not unique:
+        # the changes alone, written once: all that follows reads them more than once
+        ensure_checkpoint_dir(old.sparkSession)
+        surplus = surplus.checkpoint()
     is_new, is_old = F.col("_n") > 0, F.col("_n") < 0
     per_key = surplus.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(is_old, -F.col("_n"))), F.lit(0)).alias("_n_old"),
@@ -57,7 +62,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], change_col: s
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.least("_n_old", "_n_new").alias("_pairs")
     )
     out = [*keys, *[F.col(f"_row.{c}").alias(c) for c in values], change_col]
-    if many.isEmpty():
+    if unique or many.isEmpty():
         return rows.select(*out)
     same = F.lit(True)
     for i, k in enumerate(keys):
